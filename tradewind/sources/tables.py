@@ -44,6 +44,12 @@ class TimePartition:
             return F.date_format(ts, "yyyy-MM-dd-HH")
         return F.date_trunc(self.granularity, ts).cast("date")
 
+    def time(self) -> Column:
+        """The partition's start as timestamp, from the partition column."""
+        if self.granularity == "hour":
+            return F.to_timestamp(F.col(self.column), F.lit("yyyy-MM-dd-HH"))
+        return F.col(self.column).cast("timestamp")
+
 
 @dataclass(frozen=True)
 class RangePartition:
@@ -170,6 +176,10 @@ class Warehouse:
         writer.saveAsTable(build)
         self.drop(table)
         self.spark.sql(f"ALTER TABLE {build} RENAME TO {name}")
+        if partition:
+            # a catalog may keep partitions at the folder of the old name: list them anew
+            self.spark.sql(f"MSCK REPAIR TABLE {name} DROP PARTITIONS")
+            self.spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
 
     def drop(self, table: str) -> None:
         if self.exists(table):
