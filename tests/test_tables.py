@@ -274,3 +274,14 @@ def test_hot_partition_is_split_over_files(wh):
         spark.conf.set(key, before)
     files = wh.read("gold.hot").select("_metadata.file_path").distinct().count()
     assert files > 1 and wh.read("gold.hot").count() == 200_000
+
+
+def test_changes_of_two_tables_at_once(wh):
+    from tradewind.sources.raw import in_parallel
+
+    how = Incremental("merge", ("id",), DAY)
+    for t in ("gold.p", "gold.q", "gold.r"):
+        wh.write_table(t, make(wh.spark, BASE), DAY)
+    change = make(wh.spark, [("e", D3, "added", 1)])
+    in_parallel(lambda t=t: inc.apply(wh, t, change, how) for t in ("gold.p", "gold.q", "gold.r"))
+    assert [wh.read(t).count() for t in ("gold.p", "gold.q", "gold.r")] == [6, 6, 6]

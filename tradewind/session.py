@@ -59,13 +59,13 @@ def working_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def stage(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, in session ``reader`` if given.
 
     Cuts the lineage of a frame that several jobs use, so that it is computed once, keeps its
     values, and does not depend on executors staying alive.
     """
-    spark = df.sparkSession
+    spark = reader or df.sparkSession
     path = f"{working_folder(spark)}/staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,6 @@ files written by several tasks.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -192,11 +191,21 @@ class Warehouse:
 
     def replace_partitions(self, table: str, df: DataFrame, partition: Partition, cluster: Sequence[str] = ()) -> None:
         """Replace exactly the partitions that occur in ``df``. ``df`` may read the same table: old
-        files are removed when the job commits."""
-        out = self.arrange(df, partition, cluster)
-        with self._dynamic_overwrite():
-            (out.select(*self.spark.table(self.full_name(table)).columns)
-             .write.insertInto(self.full_name(table), overwrite=True))
+        files are removed when the job commits.
+
+        The overwrite mode is an option of this one write. As a session setting it could be reset by
+        another thread, and a static overwrite would empty the table.
+        """
+        name = self.full_name(table)
+        out = self.arrange(df, partition, cluster).select(*self.spark.table(name).columns)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition.column).parquet(self.location(table)))
+        self.spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
+        self.spark.catalog.refreshTable(name)
+
+    def location(self, table: str) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(table)}")
+        return described.where("col_name = 'Location'").select("data_type").first()[0]
 
     def drop_partitions(self, table: str, values: Sequence) -> None:
         column, = self.partition_columns(table)
@@ -204,16 +213,6 @@ class Warehouse:
             spec = f"{column} = NULL" if v is None else f"{column} = '{v}'"
             self.spark.sql(f"ALTER TABLE {self.full_name(table)} DROP IF EXISTS PARTITION ({spec})")
 
-    @contextmanager
-    def _dynamic_overwrite(self):
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "dynamic")
-        try:
-            yield
-        finally:
-            self.spark.conf.set(key, before)
-
     # -- other kinds ----------------------------------------------------------------------------
 
     def create_view(self, table: str, body: DataFrame | str, full_refresh: bool = False) -> None:
