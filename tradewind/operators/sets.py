@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -48,9 +48,10 @@ def number_in_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     the sizes of the lower ranges (one row per group and range) are added. ``order_by`` must order
     the rows of a group without ties; its first column must be a number, date or time.
     """
-    from pyspark.sql import Window
-
-    lead = F.col(order_by[0]).cast("double")
+    lead = F.col(order_by[0])
+    if dict(df.dtypes)[order_by[0]] in ("date", "timestamp", "timestamp_ntz"):
+        lead = lead.cast("timestamp")
+    lead = lead.cast("double")
     borders = df.select(lead.alias("lead")).agg(
         F.percentile_approx("lead", [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
     inner = sorted({b for b in borders if b is not None})
