@@ -66,11 +66,16 @@ class Bound:
         spend = orders.orders_with_spend(self.source("orders"), self.order_payments())
         return customers.customer_metrics(spend, self.source("reviews"), self.source("customers"), self.params)
 
+    def item_context(self) -> DataFrame:
+        """Items with their orders: all that product performance reads of the item fact."""
+        return orders.items_with_orders(self.source("order_items"), self.source("orders"))
+
     def product_performance(self) -> DataFrame:
-        return products.product_performance(self.dim_products(), self.fct_order_items(), self.params)
+        return products.product_performance(self.dim_products(), self.item_context(), self.params)
 
     def seller_performance(self) -> DataFrame:
-        return sellers.seller_performance(self.dim_sellers(), self.fct_order_items(), self.params)
+        items = orders.with_categories(self.item_context(), self.products_with_categories())
+        return sellers.seller_performance(self.dim_sellers(), items, self.params)
 
 
 _CLEAN = "trim({}, ' ' || chr(9) || chr(10))"
@@ -101,8 +106,7 @@ VIEWS: dict[str, str] = {
                (l_partkey * 10000000 + l_suppkey) * 10 + l_linenumber AS order_item_id,
                cast(l_partkey AS varchar) AS product_id, cast(l_suppkey AS varchar) AS seller_id,
                l_shipdate AS shipping_limit_date, l_extendedprice AS price,
-               cast(cast(cast(l_extendedprice AS decimal(18,2)) * cast(l_tax AS decimal(4,2)) AS decimal(18,2)) AS double)
-                   AS freight_value
+               floor(l_extendedprice * l_tax * 100.0::double + 0.5::double) / 100.0::double AS freight_value
         FROM lineitem""",
     "order_pays": """
         SELECT cast(l_orderkey AS varchar) AS order_id, cast(l_linenumber AS bigint) AS payment_sequential,

@@ -112,6 +112,15 @@ def _changed(how: Tracking, source: DataFrame, history_columns: Sequence[str]) -
     return reduce(Column.__or__, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in columns])
 
 
+def _spread(df: DataFrame, how: Tracking) -> DataFrame:
+    """Rows with a NULL key match nothing, but would all meet in one task of the full outer join. A
+    second join column, constant for all other rows, spreads them."""
+    if how.null_safe:
+        return df.withColumn("_spread", F.lit(0))
+    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in how.keys])
+    return df.withColumn("_spread", F.when(no_key, F.pmod(F.xxhash64(*df.columns), F.lit(4096))).otherwise(0).cast("int"))
+
+
 def changes(history: DataFrame, source: DataFrame, how: Tracking, now: datetime) -> DataFrame:
     """Versions that a run leaves in place of the open ones: column ``_was_open`` tells those that
     already existed (still open, or closed now) from those that are new."""
@@ -121,9 +130,10 @@ def changes(history: DataFrame, source: DataFrame, how: Tracking, now: datetime)
     history = add_columns(history, {f.name: f.dataType for f in source.schema if f.name not in known})
     columns = history.columns
     kinds = {f.name: f.dataType for f in history.schema}
-    old = history.where(how.is_open()).withColumn("_here", F.lit(True)).alias("old")
-    new = _stamped(source, how, now).withColumn("_here", F.lit(True)).alias("new")
+    old = _spread(history.where(how.is_open()), how).withColumn("_here", F.lit(True)).alias("old")
+    new = _spread(_stamped(source, how, now), how).withColumn("_here", F.lit(True)).alias("new")
     on = reduce(Column.__and__, [equals(f"old.{k}", f"new.{k}", how.null_safe) for k in how.keys])
+    on = on & (F.col("old._spread") == F.col("new._spread"))
     has_old, has_new = F.col("old._here").isNotNull(), F.col("new._here").isNotNull()
 
     deleted = F.coalesce(F.col(f"old.{n.is_deleted}") == "True", F.lit(False)) if n.is_deleted in known else F.lit(False)

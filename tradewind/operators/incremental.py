@@ -7,15 +7,16 @@ they are read several times (uniqueness, touched partitions, merge).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
+from tradewind.functions.casts import spark_type
 from tradewind.operators import merge
 from tradewind.operators.schema_drift import (
-    add_columns, change_column_type as cast_column, fit, policy_of, reconcile, schema_diff,
+    add_columns, change_column_type as cast_column, drop_columns, fit, policy_of, reconcile, schema_diff,
 )
 from tradewind.session import stage
 from tradewind.sources.tables import Partition, TimePartition, Warehouse, is_in
@@ -246,3 +247,15 @@ def change_schema(warehouse: Warehouse, table: str, source: DataFrame, how: Incr
 
 def change_column_type(warehouse: Warehouse, table: str, column: str, kind: str, how: Incremental = Incremental()) -> None:
     warehouse.write_table(table, cast_column(rows_of(warehouse, table, how.partition), column, kind), how.partition, how.cluster)
+
+
+def alter_columns(warehouse: Warehouse, table: str, add: Mapping[str, str] | None = None, drop: Sequence[str] = (),
+                  how: Incremental = Incremental()) -> None:
+    """Add columns (NULL in the rows there are), drop columns. Adding only changes the catalog;
+    dropping rewrites the files."""
+    if add:
+        listed = ", ".join(f"{c} {spark_type(t)}" for c, t in add.items())
+        warehouse.spark.sql(f"ALTER TABLE {warehouse.full_name(table)} ADD COLUMNS ({listed})")
+    if drop:
+        kept = drop_columns(rows_of(warehouse, table, how.partition), drop)
+        warehouse.write_table(table, kept, how.partition, how.cluster)

@@ -48,7 +48,9 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: str | Sequence[str] |
         return target.unionByName(new)
     t, s, on = target.alias("target"), new.alias("source"), match(keys, predicates, null_safe)
     if set(changed) == set(columns):
-        return t.join(s, on, "left_anti").unionByName(new)
+        # keys are all that the anti-join needs; repeated ones combine before they travel
+        by_key = s if predicates else new.select(*keys).distinct().alias("source")
+        return t.join(by_key, on, "left_anti").unionByName(new)
     # some columns keep their old value: one left join rewrites matched rows in place
     hit = F.col("source._hit").isNotNull()
     rewritten = t.join(new.withColumn("_hit", F.lit(True)).alias("source"), on, "left").select(*[
@@ -82,8 +84,8 @@ def delete_insert_rows(target: DataFrame, source: DataFrame, keys: str | Sequenc
     keys, new = key_list(keys), source.select(*target.columns)
     if not keys:
         return target.unionByName(new)
-    kept = target.alias("target").join(new.select(*keys).alias("source"), match(keys, predicates), "left_anti")
-    return kept.unionByName(new)
+    by_key = new.alias("source") if predicates else new.select(*keys).distinct().alias("source")
+    return target.alias("target").join(by_key, match(keys, predicates), "left_anti").unionByName(new)
 
 
 def overwrite_static_rows(target: DataFrame, source: DataFrame, partition: Column, values: Sequence) -> DataFrame:

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tradewind.operators.sets import filtered
+from tradewind.operators.sets import filtered, rows_not_in
 from tradewind.sources.tables import Warehouse
 
 # -- failing rows -----------------------------------------------------------------------------------
@@ -40,7 +40,8 @@ def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 def relationships(df: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Non-NULL values without a parent row."""
     child = df.where(F.col(column).isNotNull()).select(F.col(column).alias("from_field"))
-    return child.join(parent.select(F.col(field).alias("to_field")), F.col("from_field") == F.col("to_field"), "left_anti")
+    known = parent.select(F.col(field).alias("to_field")).distinct()
+    return child.join(known, F.col("from_field") == F.col("to_field"), "left_anti")
 
 
 def between(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
@@ -63,8 +64,8 @@ def minimum_at_least(df: DataFrame, column: str, low) -> DataFrame:
 
 
 def delivered_without_items(orders: DataFrame, items: DataFrame) -> DataFrame:
-    return orders.where(F.col("order_status") == "delivered").select("order_id").join(
-        items.select("order_id"), "order_id", "left_anti")
+    delivered = orders.where(F.col("order_status") == "delivered").select("order_id")
+    return rows_not_in(delivered, ["order_id"], items)
 
 
 def row_count_mismatch(a: DataFrame, b: DataFrame) -> DataFrame:

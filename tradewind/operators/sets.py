@@ -13,22 +13,26 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 
 def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Distinct rows of ``a`` that ``b`` lacks; NULLs compare as equal."""
-    return a.subtract(b.select(*a.columns))
+    """Distinct rows of ``a`` that ``b`` lacks; NULLs compare as equal.
+
+    Both sides are made distinct first: repeats combine before the shuffle, so a row that fills a
+    third of a table travels once per task, and the join works in the partitioning of that step.
+    """
+    return a.distinct().subtract(b.select(*a.columns).distinct())
 
 
 def intersect_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.intersect(b.select(*a.columns))
+    return a.distinct().intersect(b.select(*a.columns).distinct())
 
 
 def rows_in(df: DataFrame, keys: Sequence[str], other: DataFrame) -> DataFrame:
-    """Rows whose key tuple occurs in ``other``."""
-    return df.join(other.select(*keys), list(keys), "left_semi")
+    """Rows whose key tuple occurs in ``other``. Keys that ``other`` repeats combine first."""
+    return df.join(other.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def rows_not_in(df: DataFrame, keys: Sequence[str], other: DataFrame) -> DataFrame:
     """Rows whose key tuple does not occur in ``other``; a NULL key occurs nowhere."""
-    return df.join(other.select(*keys), list(keys), "left_anti")
+    return df.join(other.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def filtered(df: DataFrame, where: str | None) -> DataFrame:

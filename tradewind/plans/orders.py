@@ -70,21 +70,33 @@ def orders_with_spend(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
+def items_with_orders(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Items with customer, status and time of their order, and the item total.
+
+    ``orders`` may be cleaned, enriched or stored orders: only three columns are read, none of which
+    the enrichment changes.
+    """
+    context = orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp")
+    return items.join(context, "order_id", "left").withColumn("item_total", F.col("price") + F.col("freight_value"))
+
+
+def with_categories(items: DataFrame, products: DataFrame) -> DataFrame:
+    return items.join(products.select("product_id", "product_category_name_english"), "product_id", "left")
+
+
 def order_items_fact(items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
     """Items with the context of their order, product and seller.
 
-    ``orders`` may be cleaned, enriched or stored orders: only three columns are read, none of which
-    the enrichment changes. No side is broadcast by hand; Spark does so where it knows a side to be
-    small, and otherwise splits a skewed item side at run time.
+    No side is broadcast by hand: Spark does so where it knows a side to be small, and otherwise
+    splits a skewed item side at run time.
     """
     return (
-        items.join(orders.select("order_id", "customer_id", "order_status", "order_purchase_timestamp"), "order_id", "left")
-        .join(products.select("product_id", "product_category_name_english"), "product_id", "left")
+        with_categories(items_with_orders(items, orders), products)
         .join(sellers.select("seller_id", "seller_city", "seller_state"), "seller_id", "left")
         .select(
             "order_id", "order_item_id", "product_id", "seller_id",
             "customer_id", "order_status", "order_purchase_timestamp",
             "product_category_name_english", "seller_city", "seller_state",
-            "price", "freight_value", (F.col("price") + F.col("freight_value")).alias("item_total"),
+            "price", "freight_value", "item_total",
         )
     )

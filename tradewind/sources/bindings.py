@@ -75,9 +75,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").cast("timestamp").alias("shipping_limit_date"),
         F.col("l_extendedprice").alias("price"),
-        # rounded as decimals: rounding a product of doubles is not the same in every engine
-        (F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_tax").cast("decimal(4,2)"))
-        .cast("decimal(18,2)").cast("double").alias("freight_value"),
+        # half a cent up, written so that every engine does the same steps
+        (F.floor(F.col("l_extendedprice") * F.col("l_tax") * 100.0 + 0.5) / 100.0).alias("freight_value"),
     )
 
 
