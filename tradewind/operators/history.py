@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradewind.functions.predicates import equals
+from tradewind.operators.merge import spread_missing_keys
 from tradewind.operators.schema_drift import add_columns
 from tradewind.session import stage
 from tradewind.sources.tables import ValuePartition, Warehouse
@@ -112,15 +113,6 @@ def _changed(how: Tracking, source: DataFrame, history_columns: Sequence[str]) -
     return reduce(Column.__or__, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in columns])
 
 
-def _spread(df: DataFrame, how: Tracking) -> DataFrame:
-    """Rows with a NULL key match nothing, but would all meet in one task of the full outer join. A
-    second join column, constant for all other rows, spreads them."""
-    if how.null_safe:
-        return df.withColumn("_spread", F.lit(0))
-    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in how.keys])
-    return df.withColumn("_spread", F.when(no_key, F.pmod(F.xxhash64(*df.columns), F.lit(4096))).otherwise(0).cast("int"))
-
-
 def changes(history: DataFrame, source: DataFrame, how: Tracking, now: datetime) -> DataFrame:
     """Versions that a run leaves in place of the open ones: column ``_was_open`` tells those that
     already existed (still open, or closed now) from those that are new."""
@@ -130,8 +122,8 @@ def changes(history: DataFrame, source: DataFrame, how: Tracking, now: datetime)
     history = add_columns(history, {f.name: f.dataType for f in source.schema if f.name not in known})
     columns = history.columns
     kinds = {f.name: f.dataType for f in history.schema}
-    old = _spread(history.where(how.is_open()), how).withColumn("_here", F.lit(True)).alias("old")
-    new = _spread(_stamped(source, how, now), how).withColumn("_here", F.lit(True)).alias("new")
+    old = spread_missing_keys(history.where(how.is_open()), how.keys, how.null_safe).withColumn("_here", F.lit(True)).alias("old")
+    new = spread_missing_keys(_stamped(source, how, now), how.keys, how.null_safe).withColumn("_here", F.lit(True)).alias("new")
     on = reduce(Column.__and__, [equals(f"old.{k}", f"new.{k}", how.null_safe) for k in how.keys])
     on = on & (F.col("old._spread") == F.col("new._spread"))
     has_old, has_new = F.col("old._here").isNotNull(), F.col("new._here").isNotNull()
@@ -199,20 +191,22 @@ def apply_history(warehouse: Warehouse, table: str, source: DataFrame, how: Trac
         raise ValueError(f"the source of history {table} repeats a key, for example {repeated[0].asDict()}")
     stored = warehouse.read(table)
     history = stored.drop("_is_open")
-    made = changes(history, source, how, now)
+    made = stage(changes(history, source, how, now))
     extra = [f for f in made.schema if f.name not in (*stored.columns, "_was_open")]
-    n, columns = how.names, [c for c in made.columns if c != "_was_open"]
-    fresh = made.where(~F.col("_was_open")).join(history.select(n.scd_id), n.scd_id, "left_anti")
-    after = stage(marked(made.where("_was_open").select(*columns).unionByName(fresh.select(*columns))))
     if extra:
         added = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in extra)
         warehouse.spark.sql(f"ALTER TABLE {warehouse.full_name(table)} ADD COLUMNS ({added})")
+    scd_id_only = stored.select(how.names.scd_id, "_is_open")
+    was_open = marked(made.where("_was_open").drop("_was_open"))
     # closed versions first, skipping those a broken earlier run already appended
-    closed = after.where(~F.col("_is_open")).join(
-        stored.where(~F.col("_is_open")).select(n.scd_id), n.scd_id, "left_anti")
+    closed = was_open.where(~F.col("_is_open")).join(
+        scd_id_only.where(~F.col("_is_open")).drop("_is_open"), how.names.scd_id, "left_anti")
+    fresh = marked(made.where(~F.col("_was_open")).drop("_was_open")).join(
+        scd_id_only.drop("_is_open"), how.names.scd_id, "left_anti")
+    # both parts are fixed before the table changes under them
+    still_open = stage(was_open.where("_is_open").unionByName(fresh))
     if not closed.isEmpty():
         warehouse.append(table, closed, OPEN, how.keys)
-    still_open = after.where("_is_open")
     if still_open.isEmpty():
         warehouse.drop_partitions(table, ["true"])
     else:

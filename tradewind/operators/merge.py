@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,10 +23,7 @@ def match(keys: Sequence[str], predicates: Sequence[str] = (), null_safe: bool =
     """Join condition: all keys equal and all predicates true. A NULL key matches nothing unless
     ``null_safe``."""
     parts = [equals(f"target.{k}", f"source.{k}", null_safe) for k in keys] + [F.expr(p) for p in predicates]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out & p
-    return out
+    return reduce(Column.__and__, parts)
 
 
 def columns_to_update(columns: Sequence[str], update: Sequence[str] | None, exclude: Sequence[str] | None) -> list[str]:
@@ -51,13 +49,24 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: str | Sequence[str] |
         # keys are all that the anti-join needs; repeated ones combine before they travel
         by_key = s if predicates else new.select(*keys).distinct().alias("source")
         return t.join(by_key, on, "left_anti").unionByName(new)
-    # some columns keep their old value: one left join rewrites matched rows in place
-    hit = F.col("source._hit").isNotNull()
-    rewritten = t.join(new.withColumn("_hit", F.lit(True)).alias("source"), on, "left").select(*[
-        (F.when(hit, F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")) if c in changed else F.col(f"target.{c}")).alias(c)
-        for c in columns
+    # some columns keep their old value: one full outer join sees matched and unmatched rows of both
+    old = spread_missing_keys(target, keys, null_safe).withColumn("_here", F.lit(True)).alias("target")
+    add = spread_missing_keys(new, keys, null_safe).withColumn("_here", F.lit(True)).alias("source")
+    takes_new = {
+        c: F.col("source._here") if c in changed else F.col("source._here") & F.col("target._here").isNull() for c in columns
+    }
+    return old.join(add, on & (F.col("target._spread") == F.col("source._spread")), "full_outer").select(*[
+        F.when(takes_new[c], F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c) for c in columns
     ])
-    return rewritten.unionByName(s.join(t, on, "left_anti").select(*columns))
+
+
+def spread_missing_keys(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Rows with a NULL key match nothing, but would all meet in one task of a full outer join. A
+    second join column ``_spread``, constant for all other rows, spreads them."""
+    if null_safe:
+        return df.withColumn("_spread", F.lit(0))
+    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    return df.withColumn("_spread", F.when(missing, F.pmod(F.xxhash64(*df.columns), F.lit(4096))).otherwise(0).cast("int"))
 
 
 def repeated_keys(source: DataFrame, keys: str | Sequence[str]) -> DataFrame:

@@ -12,17 +12,22 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Distinct rows of ``a`` that ``b`` lacks; NULLs compare as equal.
+def _sides(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows of both frames with the sides they occur on. Repeats combine before the one
+    shuffle, so a row that fills a third of a table travels once per task; NULLs group as equal."""
+    in_a, in_b = F.lit(True), F.lit(False)
+    both = a.withColumns({"_a": in_a, "_b": in_b}).unionByName(b.select(*a.columns).withColumns({"_a": in_b, "_b": in_a}))
+    return both.groupBy(*a.columns).agg(F.bool_or("_a").alias("_a"), F.bool_or("_b").alias("_b"))
 
-    Both sides are made distinct first: repeats combine before the shuffle, so a row that fills a
-    third of a table travels once per task, and the join works in the partitioning of that step.
-    """
-    return a.distinct().subtract(b.select(*a.columns).distinct())
+
+def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows of ``a`` that ``b`` lacks; NULLs compare as equal."""
+    return _sides(a, b).where("_a AND NOT _b").drop("_a", "_b")
 
 
 def intersect_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.distinct().intersect(b.select(*a.columns).distinct())
+    """Distinct rows that both frames have; NULLs compare as equal."""
+    return _sides(a, b).where("_a AND _b").drop("_a", "_b")
 
 
 def rows_in(df: DataFrame, keys: Sequence[str], other: DataFrame) -> DataFrame:
@@ -60,16 +65,12 @@ def number_in_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
         F.percentile_approx("lead", [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
     inner = sorted({b for b in borders if b is not None})
     bucket = reduce(lambda c, b: c + F.when(lead > b, 1).otherwise(0), inner, F.when(lead.isNull(), -1).otherwise(0))
-    cut = df.withColumn("_range", bucket)
-    below = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (
-        cut.groupBy(*keys, "_range").count()
-        .withColumn("_before", F.coalesce(F.sum("count").over(below), F.lit(0)))
-        .drop("count")
-    )
-    inside = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order_by))
-    on = reduce(lambda a, b: a & b, [F.col(f"rows.{k}").eqNullSafe(F.col(f"sizes.{k}")) for k in (*keys, "_range")])
-    return (
-        cut.withColumn("_inside", inside).alias("rows").join(sizes.alias("sizes"), on)
-        .select(*[F.col(f"rows.{c}") for c in df.columns], (F.col("_inside") + F.col("_before")).alias(name))
-    )
+    # one key for group and range, never NULL itself: the window and the join share its partitioning
+    cut = df.withColumn("_cell", F.struct(*keys, bucket.alias("_range")))
+    group = [F.col(f"_cell.{k}") for k in keys]
+    below = Window.partitionBy(*group).orderBy("_cell._range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy("_cell").count().select(
+        "_cell", F.coalesce(F.sum("count").over(below), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_cell").orderBy(*order_by))
+    return cut.withColumn("_inside", inside).join(sizes, "_cell").select(
+        *df.columns, (F.col("_inside") + F.col("_before")).alias(name))
