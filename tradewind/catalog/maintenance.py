@@ -122,7 +122,7 @@ def schema_sync_columns(spark, d):
 # -- stored tables ----------------------------------------------------------------------------------
 
 
-def _warehouse(spark: SparkSession) -> Warehouse:
+def warehouse(spark: SparkSession) -> Warehouse:
     name = f"tw_{uuid.uuid4().hex}"
     return Warehouse(spark, working_folder(spark), {"gold": name, "silver": f"{name}_s", "bronze": f"{name}_b"})
 
@@ -132,14 +132,14 @@ BY_MONTH = TimePartition(PLACED, "month")
 
 def stored_merge(spark, d):
     """The merge on a stored, partitioned table; only touched partitions are rewritten."""
-    wh, how = _warehouse(spark), Incremental("merge", ("order_id",), BY_MONTH, ("order_status", "customer_id"))
+    wh, how = warehouse(spark), Incremental("merge", ("order_id",), BY_MONTH, ("order_status", "customer_id"))
     wh.write_table("gold.orders", old_rows(spark, d), BY_MONTH, how.cluster)
     inc.apply(wh, "gold.orders", new_rows(spark, d), how)
     return wh.read("gold.orders")
 
 
 def stored_overwrite(spark, d):
-    wh, how = _warehouse(spark), Incremental("insert_overwrite", partition=BY_MONTH)
+    wh, how = warehouse(spark), Incremental("insert_overwrite", partition=BY_MONTH)
     wh.write_table("gold.orders", old_rows(spark, d), BY_MONTH)
     inc.apply(wh, "gold.orders", new_rows(spark, d), how)
     return wh.read("gold.orders")
@@ -154,7 +154,7 @@ def _event_stream(spark, d):
 
 def stream_upsert(spark, d):
     """Events stream into a table of each event's latest state."""
-    wh = _warehouse(spark)
+    wh = warehouse(spark)
     how = Incremental("merge", ("event_id",), TimePartition("ts", "month"))
     stream = _event_stream(spark, d).select("event_id", "ts", "user_id", "event_type", "value")
     checkpoint = f"{working_folder(spark)}/checkpoints/{uuid.uuid4().hex}"
@@ -171,7 +171,7 @@ def _daily_totals(spark, d):
 
 def stream_replace_days(spark, d):
     """New events make the totals of their days run again."""
-    wh = _warehouse(spark)
+    wh = warehouse(spark)
     how = Incremental("microbatch", partition=TimePartition("day", "day"))
     stream = _event_stream(spark, d).select(F.date_trunc("day", "ts").alias("day"))
     checkpoint = f"{working_folder(spark)}/checkpoints/{uuid.uuid4().hex}"

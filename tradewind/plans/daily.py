@@ -90,7 +90,7 @@ class Outcome:
 
 def run_daily(warehouse: Warehouse, raw_folder: str, run: Run, *, files: Mapping[str, str] | None = None,
               params: Params = Params(), full_refresh: bool = False, extra_models: Iterable[Model] = (),
-              multiline: bool = True, load: bool = True) -> Outcome:
+              multiline: bool | str = True, load: bool = True) -> Outcome:
     """One run. A failed check raises before the next layer is built."""
     extra = list(extra_models)
     context = Context(warehouse, [*STAGING, *INTERMEDIATE, *CORE, *ANALYTICS, *extra], run, params, full_refresh)

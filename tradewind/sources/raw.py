@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tradewind.functions.casts import spark_type
@@ -20,9 +20,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, *, delimiter: s
     """CSV with a header line, doubled quotes, line breaks inside quotes, short rows padded with
     NULL. The schema goes by position; header names and a byte-order mark are skipped.
 
-    A file that may hold line breaks inside quotes cannot be cut, so one task reads one file: give
-    large tables as a folder of many files. For files known to have none, ``multiline=False`` lets
-    Spark cut each file into blocks.
+    With ``multiline`` one task reads one file, which suits a folder of many files. For files known to
+    have no line breaks inside quotes, ``multiline=False`` lets Spark cut each file into blocks; for
+    large files that may have some there is :func:`read_csv_in_blocks`.
     """
     return (
         spark.read.schema(schema)
@@ -32,11 +32,47 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, *, delimiter: s
     )
 
 
+def read_csv_in_blocks(spark: SparkSession, path: str, schema: StructType, *, delimiter: str = ",") -> DataFrame:
+    """The same for large files: each is read in blocks by many tasks, line breaks in quotes included.
+
+    A line with an odd number of quotes opens or closes a quoted line break. Knowing how many such
+    lines come before a line tells whether it is a record of its own or part of a longer one: the
+    blocks before it are counted in a first pass, the lines before it in its block by a window no larger
+    than a block. Only lines of longer records are grouped. Quotes must be used as in RFC 4180: around
+    whole fields, doubled inside.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.rtrim("value", F.lit("\r")).alias("line"),
+        (F.length(F.regexp_replace("value", '[^"]', "")) % 2).alias("odd"),
+    )
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("odd")).select(
+        "file", "block", F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("odd_in_earlier_blocks"))
+    in_block = Window.partitionBy("file", "block").orderBy("at")
+    above = F.coalesce(F.sum("odd").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = (
+        lines.join(blocks, ["file", "block"])
+        .withColumns({"odd_before": F.col("odd_in_earlier_blocks") + above, "number": F.row_number().over(in_block)})
+        .where("NOT (block = 0 AND number = 1)")  # the header line
+    )
+    part_of_longer = (F.col("odd_before") % 2 == 1) | (F.col("odd") == 1)
+    pieces = F.array_sort(F.collect_list(F.struct("block", "at", "line")))
+    longer = placed.where(part_of_longer).groupBy("file", F.floor(F.col("odd_before") / 2)).agg(
+        F.array_join(F.transform(pieces, lambda p: p["line"]), "\n").alias("record"))
+    records = placed.where(~part_of_longer).select(F.col("line").alias("record")).unionByName(longer.select("record"))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    return records.where("record <> ''").select(F.from_csv("record", columns, options).alias("r")).select("r.*")
+
+
 def raw_table(spark: SparkSession, folder: str, table: str, files: Mapping[str, str] | None = None,
-              multiline: bool = True) -> DataFrame:
-    """One of the nine raw tables as text columns."""
+              multiline: bool | str = True) -> DataFrame:
+    """One of the nine raw tables as text columns. ``multiline="blocks"`` reads large files in blocks."""
     path = f"{folder.rstrip('/')}/{(files or FILES)[table]}"
-    return read_csv(spark, path, raw_schema(table), multiline=multiline)
+    if multiline == "blocks":
+        return read_csv_in_blocks(spark, path, raw_schema(table))
+    return read_csv(spark, path, raw_schema(table), multiline=bool(multiline))
 
 
 def in_parallel(tasks: Iterable[Callable[[], object]], threads: int = PARALLEL_LOADS) -> list:
@@ -46,7 +82,7 @@ def in_parallel(tasks: Iterable[Callable[[], object]], threads: int = PARALLEL_L
 
 
 def load_bronze(warehouse: Warehouse, folder: str, files: Mapping[str, str] | None = None,
-                tables: Iterable[str] = tuple(COLUMNS), multiline: bool = True) -> None:
+                tables: Iterable[str] = tuple(COLUMNS), multiline: bool | str = True) -> None:
     """Replace each bronze table by the contents of its file, then compare the row counts."""
     spark, tables = warehouse.spark, list(tables)
 
@@ -58,7 +94,7 @@ def load_bronze(warehouse: Warehouse, folder: str, files: Mapping[str, str] | No
 
 
 def verify_bronze(warehouse: Warehouse, folder: str, files: Mapping[str, str] | None,
-                  tables: Iterable[str], multiline: bool = True) -> None:
+                  tables: Iterable[str], multiline: bool | str = True) -> None:
     """Every bronze table must hold as many rows as its file."""
     counts = None
     for t in tables:
