@@ -285,3 +285,23 @@ def test_changes_of_two_tables_at_once(wh):
     change = make(wh.spark, [("e", D3, "added", 1)])
     in_parallel(lambda t=t: inc.apply(wh, t, change, how) for t in ("gold.p", "gold.q", "gold.r"))
     assert [wh.read(t).count() for t in ("gold.p", "gold.q", "gold.r")] == [6, 6, 6]
+
+
+def test_staged_rows_are_removed(wh, tmp_path):
+    from tradewind.session import staged, working_folder
+
+    with staged(make(wh.spark, BASE)) as df:
+        assert df.count() == 5
+        files = df.inputFiles()
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
+        wh.spark.read.parquet(files[0]).count()
+    assert working_folder(wh.spark)
+
+
+def test_alter_columns(wh):
+    how = Incremental("merge", ("id",), DAY)
+    start(wh, how)
+    inc.alter_columns(wh, "gold.t", add={"note": "string", "n": "int"}, how=how)
+    assert wh.read("gold.t").where("note IS NULL AND n IS NULL").count() == 5
+    inc.alter_columns(wh, "gold.t", drop=["note", "value"], how=how)
+    assert wh.read("gold.t").columns == ["id", "at", "status", "n"] and wh.read("gold.t").count() == 5

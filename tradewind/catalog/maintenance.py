@@ -17,7 +17,7 @@ from tradewind.operators.history import Tracking
 from tradewind.operators.incremental import Incremental
 from tradewind.operators.schema_drift import reconcile
 from tradewind.session import working_folder
-from tradewind.sources.bindings import table
+from tradewind.sources.bindings import TABLES, table
 from tradewind.sources.tables import TimePartition, Warehouse
 from tradewind.streaming.sinks import replace_batches_stream, upsert_stream
 
@@ -145,11 +145,8 @@ def stored_overwrite(spark, d):
     return wh.read("gold.orders")
 
 
-EVENT = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-
-
 def _event_stream(spark, d):
-    return spark.readStream.schema(EVENT).option("pathGlobFilter", "events.parquet").parquet(d)
+    return spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(d)
 
 
 def stream_upsert(spark, d):

@@ -6,7 +6,7 @@ with the source once; each pair then yields the versions it leaves behind.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tradewind.functions.predicates import equals
 from tradewind.operators.merge import spread_missing_keys
 from tradewind.operators.schema_drift import add_columns
-from tradewind.session import stage
+from tradewind.session import staged
 from tradewind.sources.tables import ValuePartition, Warehouse
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -185,29 +185,32 @@ def apply_history(warehouse: Warehouse, table: str, source: DataFrame, how: Trac
     if not warehouse.exists(table):
         warehouse.write_table(table, marked(first_history(source, how, now)), OPEN, how.keys)
         return
-    source = stage(source)
-    repeated = source.groupBy(*how.keys).count().where("count > 1").take(1)
-    if repeated:
-        raise ValueError(f"the source of history {table} repeats a key, for example {repeated[0].asDict()}")
-    stored = warehouse.read(table)
-    history = stored.drop("_is_open")
-    made = stage(changes(history, source, how, now))
+    with staged(source) as source:
+        repeated = source.groupBy(*how.keys).count().where("count > 1").take(1)
+        if repeated:
+            raise ValueError(f"the source of history {table} repeats a key, for example {repeated[0].asDict()}")
+        stored = warehouse.read(table)
+        with staged(changes(stored.drop("_is_open"), source, how, now)) as made:
+            _store(warehouse, table, stored, made, marked, how)
+
+
+def _store(warehouse: Warehouse, table: str, stored: DataFrame, made: DataFrame,
+           marked: Callable[[DataFrame], DataFrame], how: Tracking) -> None:
+    scd_id = how.names.scd_id
     extra = [f for f in made.schema if f.name not in (*stored.columns, "_was_open")]
     if extra:
         added = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in extra)
         warehouse.spark.sql(f"ALTER TABLE {warehouse.full_name(table)} ADD COLUMNS ({added})")
-    scd_id_only = stored.select(how.names.scd_id, "_is_open")
     was_open = marked(made.where("_was_open").drop("_was_open"))
+    fresh = marked(made.where(~F.col("_was_open")).drop("_was_open")).join(stored.select(scd_id), scd_id, "left_anti")
     # closed versions first, skipping those a broken earlier run already appended
-    closed = was_open.where(~F.col("_is_open")).join(
-        scd_id_only.where(~F.col("_is_open")).drop("_is_open"), how.names.scd_id, "left_anti")
-    fresh = marked(made.where(~F.col("_was_open")).drop("_was_open")).join(
-        scd_id_only.drop("_is_open"), how.names.scd_id, "left_anti")
-    # both parts are fixed before the table changes under them
-    still_open = stage(was_open.where("_is_open").unionByName(fresh))
-    if not closed.isEmpty():
-        warehouse.append(table, closed, OPEN, how.keys)
-    if still_open.isEmpty():
-        warehouse.drop_partitions(table, ["true"])
-    else:
-        warehouse.replace_partitions(table, still_open, OPEN, how.keys)
+    known = stored.where(~F.col("_is_open")).select(scd_id)
+    closed = was_open.where(~F.col("_is_open")).join(known, scd_id, "left_anti")
+    # what stays open is fixed before the table changes under it
+    with staged(was_open.where("_is_open").unionByName(fresh)) as still_open:
+        if not closed.isEmpty():
+            warehouse.append(table, closed, OPEN, how.keys)
+        if still_open.isEmpty():
+            warehouse.drop_partitions(table, ["true"])
+        else:
+            warehouse.replace_partitions(table, still_open, OPEN, how.keys)

@@ -18,7 +18,7 @@ from tradewind.operators import merge
 from tradewind.operators.schema_drift import (
     add_columns, change_column_type as cast_column, drop_columns, fit, policy_of, reconcile, schema_diff,
 )
-from tradewind.session import stage
+from tradewind.session import staged
 from tradewind.sources.tables import Partition, TimePartition, Warehouse, is_in
 
 
@@ -102,20 +102,20 @@ def apply(warehouse: Warehouse, table: str, source: DataFrame, how: Incremental)
 
 
 def upsert(warehouse: Warehouse, table: str, source: DataFrame, how: Incremental) -> None:
-    source = stage(source)
-    if not merge.repeated_keys(source, how.keys).isEmpty():
-        stored = rows_of(warehouse, table, how.partition)
-        bad = merge.ambiguous_keys(stored, source, how.keys, how.predicates, how.null_safe).take(3)
-        if bad:
-            raise AmbiguousMerge(f"several new rows for one row of {table}, for example {[r.asDict() for r in bad]}")
-    _rewrite(warehouse, table, source, how, lambda old: merge.merge_rows(
-        old, source, how.keys, update=how.update, exclude=how.exclude, predicates=how.predicates, null_safe=how.null_safe))
+    with staged(source) as source:
+        if not merge.repeated_keys(source, how.keys).isEmpty():
+            stored = rows_of(warehouse, table, how.partition)
+            bad = merge.ambiguous_keys(stored, source, how.keys, how.predicates, how.null_safe).take(3)
+            if bad:
+                raise AmbiguousMerge(f"several new rows for one row of {table}, for example {[r.asDict() for r in bad]}")
+        _rewrite(warehouse, table, source, how, lambda old: merge.merge_rows(
+            old, source, how.keys, update=how.update, exclude=how.exclude, predicates=how.predicates, null_safe=how.null_safe))
 
 
 def delete_insert(warehouse: Warehouse, table: str, source: DataFrame, how: Incremental) -> None:
-    source = stage(source)
-    _rewrite(warehouse, table, source, how,
-             lambda old: merge.delete_insert_rows(old, source, how.keys, how.predicates))
+    with staged(source) as source:
+        _rewrite(warehouse, table, source, how,
+                 lambda old: merge.delete_insert_rows(old, source, how.keys, how.predicates))
 
 
 def _rewrite(warehouse: Warehouse, table: str, source: DataFrame, how: Incremental,
@@ -150,24 +150,18 @@ def _rewrite(warehouse: Warehouse, table: str, source: DataFrame, how: Increment
 
 def insert_overwrite(warehouse: Warehouse, table: str, source: DataFrame, how: Incremental) -> None:
     """Replace whole partitions without reading them: the listed ones, or those of the new rows."""
-    part = how.partition
-    if not how.partitions:
-        source = stage(source)
-        known = part.value().isNotNull()
-        warehouse.replace_partitions(table, source.where(known), part, how.cluster)
-        # rows without a partition are added; they replace nothing
-        rest = source.where(~known)
-        if not rest.isEmpty():
-            warehouse.append(table, rest, part, how.cluster)
-        return
-    source = stage(source.withColumn("_listed", F.coalesce(part.value().isin(list(how.partitions)), F.lit(False))))
-    inside = source.where("_listed").drop("_listed")
-    warehouse.replace_partitions(table, inside, part, how.cluster)
-    filled = {str(r[0]) for r in inside.select(part.value()).distinct().collect()}
-    warehouse.drop_partitions(table, [v for v in how.partitions if str(v) not in filled])
-    outside = source.where(~F.col("_listed")).drop("_listed")
-    if not outside.isEmpty():
-        warehouse.append(table, outside, part, how.cluster)
+    part, listed = how.partition, how.partitions
+    # rows of other partitions, or of none, are added; they replace nothing
+    replaces = F.coalesce(part.value().isin(list(listed)), F.lit(False)) if listed else part.value().isNotNull()
+    with staged(source.withColumn("_replaces", replaces)) as rows:
+        inside = rows.where("_replaces").drop("_replaces")
+        outside = rows.where(~F.col("_replaces")).drop("_replaces")
+        warehouse.replace_partitions(table, inside, part, how.cluster)
+        if listed:
+            filled = {str(r[0]) for r in inside.select(part.value()).distinct().collect()}
+            warehouse.drop_partitions(table, [v for v in listed if str(v) not in filled])
+        if not outside.isEmpty():
+            warehouse.append(table, outside, part, how.cluster)
 
 
 def microbatch(warehouse: Warehouse, table: str, rows: Callable[[datetime, datetime], DataFrame], how: Incremental,
@@ -185,11 +179,12 @@ def microbatch(warehouse: Warehouse, table: str, rows: Callable[[datetime, datet
         if not warehouse.exists(table):
             warehouse.write_table(table, batch, part, how.cluster)
             continue
-        batch, _ = change_schema(warehouse, table, stage(batch), how)
-        if batch.isEmpty():
-            warehouse.drop_partitions(table, [value])
-        else:
-            warehouse.replace_partitions(table, batch, part, how.cluster)
+        with staged(batch) as batch:
+            batch, _ = change_schema(warehouse, table, batch, how)
+            if batch.isEmpty():
+                warehouse.drop_partitions(table, [value])
+            else:
+                warehouse.replace_partitions(table, batch, part, how.cluster)
     return len(windows)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,8 +65,10 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="tradewind-")
 
 
-def stage(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, in session ``reader`` if given.
+@contextmanager
+def staged(df: DataFrame, reader: SparkSession | None = None) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back, in session ``reader`` if given; removed at
+    the end of the block.
 
     Cuts the lineage of a frame that several jobs use, so that it is computed once, keeps its
     values, and does not depend on executors staying alive.
@@ -72,4 +76,8 @@ def stage(df: DataFrame, reader: SparkSession | None = None) -> DataFrame:
     spark = reader or df.sparkSession
     path = f"{working_folder(spark)}/staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradewind.operators import incremental as inc
 from tradewind.operators.incremental import Incremental
-from tradewind.session import stage
+from tradewind.session import staged
 from tradewind.sources.tables import TimePartition, Warehouse, is_in
 
 
@@ -29,9 +29,9 @@ def upsert_stream(stream: DataFrame, warehouse: Warehouse, table: str, how: Incr
     """Merge every micro-batch into the table by its keys; the first one makes the table."""
     def work(batch: DataFrame, number: int) -> None:
         # read back in the table's session, where adaptive execution is on
-        rows = stage(batch, warehouse.spark)
-        if not rows.isEmpty():
-            inc.build(warehouse, table, lambda change: rows, how)
+        with staged(batch, warehouse.spark) as rows:
+            if not rows.isEmpty():
+                inc.build(warehouse, table, lambda change: rows, how)
 
     return _start(stream, work, checkpoint, once)
 
