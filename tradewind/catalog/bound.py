@@ -74,8 +74,8 @@ class Bound:
         return products.product_performance(self.dim_products(), self.item_context(), self.params)
 
     def seller_performance(self) -> DataFrame:
-        items = orders.with_categories(self.item_context(), self.products_with_categories())
-        return sellers.seller_performance(self.dim_sellers(), items, self.params)
+        sold_products = sellers.assortment(self.source("order_items"), self.products_with_categories())
+        return sellers.seller_performance(self.dim_sellers(), self.item_context(), self.params, sold_products)
 
 
 _CLEAN = "trim({}, ' ' || chr(9) || chr(10))"

@@ -35,20 +35,36 @@ def seller_dimension(sellers: DataFrame) -> DataFrame:
         "seller_id", "seller_zip_code_prefix", "seller_city", "seller_state", "seller_lat", "seller_lng")
 
 
-def seller_performance(sellers: DataFrame, items: DataFrame, p: Params = Params()) -> DataFrame:
-    """Sales of every seller. ``sellers`` is the dimension, ``items`` the item fact."""
+def assortment(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Products that each seller sold, with their category. Pairs combine before they meet the products."""
+    sold = items.select("seller_id", "product_id").distinct()
+    return sold.join(products.select("product_id", "product_category_name_english"), "product_id", "left")
+
+
+def seller_performance(sellers: DataFrame, items: DataFrame, p: Params = Params(),
+                       sold_products: DataFrame | None = None) -> DataFrame:
+    """Sales of every seller. ``sellers`` is the dimension, ``items`` the item fact.
+
+    Products and categories are counted over the few distinct pairs of seller and product, beside
+    the counts of orders and customers over all items. ``sold_products`` is :func:`assortment` where
+    ``items`` are not a stored fact with categories.
+    """
+    if sold_products is None:
+        sold_products = items.select("seller_id", "product_id", "product_category_name_english").distinct()
+    products_sold = sold_products.groupBy("seller_id").agg(
+        F.count_distinct("product_id").alias("unique_products_sold"),
+        F.count_distinct("product_category_name_english").alias("unique_categories"),
+    )
     sold = items.groupBy("seller_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count("*").alias("items"),
         money_sum("price", p.money_scale).alias("total_revenue"),
         F.count("price").alias("priced"),
         money_sum("freight_value", p.money_scale).alias("total_freight"),
-        F.count_distinct("product_id").alias("unique_products_sold"),
-        F.count_distinct("product_category_name_english").alias("unique_categories"),
         F.count_distinct("customer_id").alias("unique_customers"),
         F.min("order_purchase_timestamp").alias("first_sale_date"),
         F.max("order_purchase_timestamp").alias("last_sale_date"),
-    )
+    ).join(products_sold, "seller_id", "left")
     keys = ["seller_id", "seller_city", "seller_state", "seller_lat", "seller_lng"]
     joined = join_to_dimension(
         sellers, sold, keys, p, sums=["total_revenue", "total_freight"],
