@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.catalog.bound import Bound, sql
+from tradewind.functions.dates import time_literal
 from tradewind.operators import history, incremental as inc, merge
 from tradewind.operators.history import Tracking
 from tradewind.operators.incremental import Incremental
@@ -31,13 +32,13 @@ def _orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def old_rows(spark: SparkSession, d: str) -> DataFrame:
-    return _orders(spark, d).where(F.col(PLACED) < F.lit(OLD_UNTIL))
+    return _orders(spark, d).where(F.col(PLACED) < time_literal(OLD_UNTIL))
 
 
 def new_rows(spark: SparkSession, d: str) -> DataFrame:
     """Some orders are placed a day later than the table says."""
     moved = F.when(F.col("order_status") == "canceled", F.col(PLACED) + F.make_dt_interval(F.lit(1))).otherwise(F.col(PLACED))
-    return _orders(spark, d).where(F.col(PLACED) >= F.lit(NEW_FROM)).select(
+    return _orders(spark, d).where(F.col(PLACED) >= time_literal(NEW_FROM)).select(
         "order_id", "customer_id", F.concat(F.lit("new "), "order_status").alias("order_status"), moved.alias(PLACED))
 
 
@@ -90,7 +91,7 @@ def _month():
 
 
 def overwrite_static(spark, d):
-    months = [F.lit(datetime(1998, m, 1)) for m in (3, 4, 5)]
+    months = [time_literal(datetime(1998, m, 1)) for m in (3, 4, 5)]
     return merge.overwrite_static_rows(old_rows(spark, d), new_rows(spark, d), _month(), months)
 
 
@@ -184,8 +185,8 @@ FIRST_RUN, SECOND_RUN = datetime(2010, 1, 1), datetime(2010, 1, 2)
 def _states(spark, d):
     """Two states of the orders: in the second one delivered orders are later, and early ones are gone."""
     o = _orders(spark, d)
-    first = o.where(F.col(PLACED) < F.lit(OLD_UNTIL))
-    second = o.where(F.col(PLACED) >= F.lit(NEW_FROM)).withColumn(
+    first = o.where(F.col(PLACED) < time_literal(OLD_UNTIL))
+    second = o.where(F.col(PLACED) >= time_literal(NEW_FROM)).withColumn(
         PLACED, F.when(F.col("order_status") == "delivered", F.col(PLACED) + F.make_dt_interval(F.lit(2))).otherwise(F.col(PLACED)))
     return first, second
 

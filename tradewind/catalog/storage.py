@@ -13,6 +13,7 @@ from tradewind.catalog.maintenance import (
     BY_MONTH, COLUMNS as ORDER_COLUMNS, FIRST_RUN, ORACLE as MAINTENANCE, PLACED, SECOND_RUN, TRACKED, _states, new_rows,
     old_rows, warehouse,
 )
+from tradewind.functions.dates import time_literal
 from tradewind.operators import history, incremental as inc, quality
 from tradewind.operators.incremental import Incremental
 from tradewind.operators.schema_drift import schema_diff
@@ -205,7 +206,7 @@ def python_models(spark, d):
     wh = warehouse(spark)
     orders = Model("all_orders", lambda c, s: Bound(s, d).source("orders").select(*ORDER_COLUMNS))
     recent = Model("recent", lambda c, s: c.newer(c.ref("all_orders"), PLACED) if c.is_incremental
-                   else c.ref("all_orders").where(F.col(PLACED) < F.lit(c.config["until"])),
+                   else c.ref("all_orders").where(F.col(PLACED) < time_literal(c.config["until"])),
                    "incremental", how=Incremental("append", partition=BY_MONTH), config={"until": datetime(1999, 1, 1)})
     context = Context(wh, [orders, recent])
     build_all([[orders], [recent], [recent]], context)

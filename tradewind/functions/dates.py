@@ -66,6 +66,12 @@ def to_timestamp(text: Column | str) -> Column:
     return F.to_timestamp(F.lit(text) if isinstance(text, str) else text)
 
 
+def time_literal(t: datetime) -> Column:
+    """A Python time as timestamp. Without a zone it is meant in the session's zone; ``F.lit`` would
+    take it in the zone of the driver machine."""
+    return F.lit(t) if t.tzinfo else F.lit(t.isoformat(" ")).cast("timestamp")
+
+
 def current_timestamp() -> Column:
     return F.current_timestamp()
 

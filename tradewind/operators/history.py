@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tradewind.functions.dates import time_literal
 from tradewind.functions.predicates import equals
 from tradewind.operators.merge import spread_missing_keys
 from tradewind.operators.schema_drift import add_columns
@@ -65,7 +66,7 @@ class Tracking:
         return [n.scd_id, n.updated_at, n.valid_from, n.valid_to, *tail]
 
     def end(self) -> Column:
-        return F.lit(self.open_end).cast("timestamp")
+        return F.lit(None).cast("timestamp") if self.open_end is None else time_literal(self.open_end)
 
     def is_open(self) -> Column:
         to = F.col(self.names.valid_to)
@@ -85,7 +86,7 @@ def _time_text(t: Column) -> Column:
 def _stamped(source: DataFrame, how: Tracking, now: datetime) -> DataFrame:
     """Source rows as open versions."""
     n = how.names
-    at = F.col(how.updated_at).cast("timestamp") if how.updated_at else F.lit(now)
+    at = F.col(how.updated_at).cast("timestamp") if how.updated_at else time_literal(now)
     own = {
         n.scd_id: scd_id(*[F.col(k) for k in how.keys], _time_text(at)),
         n.updated_at: at, n.valid_from: at, n.valid_to: how.end(),
@@ -133,7 +134,7 @@ def changes(history: DataFrame, source: DataFrame, how: Tracking, now: datetime)
     gone = has_old & ~has_new & ~deleted
     closes_at = F.when(has_old & has_new & changed, F.col(f"new.{n.valid_from}"))
     if how.hard_deletes != "ignore":
-        closes_at = closes_at.when(gone, F.lit(now))
+        closes_at = closes_at.when(gone, time_literal(now))
 
     def version(values: dict[str, Column], was_open: bool, when: Column) -> Column:
         fields = [values[c].cast(kinds[c]).alias(c) for c in columns]
@@ -145,8 +146,8 @@ def changes(history: DataFrame, source: DataFrame, how: Tracking, now: datetime)
     versions = [version(kept, True, has_old), version(added, False, has_new & (~has_old | changed))]
     if how.hard_deletes == "new_record":
         grave = {c: F.col(f"old.{c}") if c in data else F.lit(None) for c in columns} | {
-            n.scd_id: scd_id(F.col(f"old.{n.scd_id}"), _time_text(F.lit(now))),
-            n.valid_from: F.lit(now), n.updated_at: F.lit(now),
+            n.scd_id: scd_id(F.col(f"old.{n.scd_id}"), _time_text(time_literal(now))),
+            n.valid_from: time_literal(now), n.updated_at: time_literal(now),
             n.valid_to: F.col(f"old.{n.valid_to}"), n.is_deleted: F.lit("True"),
         }
         versions.append(version(grave, False, gone))

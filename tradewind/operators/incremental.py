@@ -14,6 +14,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from tradewind.functions.casts import spark_type
+from tradewind.functions.dates import time_literal
 from tradewind.operators import merge
 from tradewind.operators.schema_drift import (
     add_columns, change_column_type as cast_column, drop_columns, fit, policy_of, reconcile, schema_diff,
@@ -175,7 +176,7 @@ def microbatch(warehouse: Warehouse, table: str, rows: Callable[[datetime, datet
     for lo, hi in windows:
         value = lo.strftime("%Y-%m-%d-%H") if part.granularity == "hour" else lo.date()
         at = F.col(part.field)
-        batch = rows(lo, hi).where((at >= F.lit(lo)) & (at < F.lit(hi)))
+        batch = rows(lo, hi).where((at >= time_literal(lo)) & (at < time_literal(hi)))
         if not warehouse.exists(table):
             warehouse.write_table(table, batch, part, how.cluster)
             continue
@@ -191,26 +192,31 @@ def microbatch(warehouse: Warehouse, table: str, rows: Callable[[datetime, datet
 # -- high-water mark --------------------------------------------------------------------------------
 
 
-def highest(warehouse: Warehouse, table: str, column: str, partition: Partition | None = None):
-    """Largest value of ``column``. Where the table is partitioned by the time of that column only
-    its newest partition is read."""
+def _newest_rows(warehouse: Warehouse, table: str, column: str, partition: Partition | None) -> DataFrame:
+    """The rows that hold the largest ``column``. Where the table is partitioned by the time of that
+    column these are in its newest partition."""
     df = warehouse.read(table, technical=True)
     if isinstance(partition, TimePartition) and partition.field == column and not partition.drop_field:
         values = [v for v in warehouse.partition_values(table) if v is not None]
-        if not values:
-            return None
-        df = df.where(F.col(partition.column) == F.lit(max(values)))
-    return df.agg(F.max(column)).first()[0]
+        df = df.where(F.col(partition.column) == F.lit(max(values))) if values else df.where(F.lit(False))
+    return df
+
+
+def highest(warehouse: Warehouse, table: str, column: str, partition: Partition | None = None):
+    return _newest_rows(warehouse, table, column, partition).agg(F.max(column)).first()[0]
 
 
 def newer_than_table(warehouse: Warehouse, table: str, source: DataFrame, column: str,
                      partition: Partition | None = None, lookback: timedelta | None = None) -> DataFrame:
     """Source rows above the table's highest ``column``; the mark is a literal, so that the filter
     reaches the scan of the source."""
-    mark = highest(warehouse, table, column, partition)
-    if mark is None:
+    top = _newest_rows(warehouse, table, column, partition).agg(F.max(column).alias("mark"))
+    # as text, which no time zone of the driver can shift
+    text = top.select(F.col("mark").cast("string")).first()[0]
+    if text is None:
         return source.where(F.lit(False))
-    return source.where(F.col(column) > F.lit(mark - lookback if lookback else mark))
+    mark = F.lit(text).cast(top.schema["mark"].dataType)
+    return source.where(F.col(column) > (mark - F.lit(lookback) if lookback else mark))
 
 
 def max_partition(warehouse: Warehouse, table: str):

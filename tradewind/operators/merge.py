@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tradewind.functions.dates import time_literal
 from tradewind.functions.predicates import equals
 
 
@@ -136,7 +137,7 @@ def microbatch_rows(target: DataFrame, source: DataFrame, event_time: str, begin
     if not windows:
         return target
     at = F.col(event_time)
-    inside = (at >= F.lit(windows[0][0])) & (at < F.lit(windows[-1][1]))
+    inside = (at >= time_literal(windows[0][0])) & (at < time_literal(windows[-1][1]))
     return target.where(~F.coalesce(inside, F.lit(False))).unionByName(source.where(inside).select(*target.columns))
 
 

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from tradewind.functions.dates import time_literal
 from tradewind.operators.sets import filtered, rows_not_in
 from tradewind.sources.tables import Warehouse
 
@@ -255,10 +256,10 @@ def freshness(df: DataFrame, loaded_at: str, now: datetime, warn_after: timedelt
     """Newest load time, its age in seconds, and whether that is too old. A table without any load
     time is too old."""
     newest = filtered(df, where).agg(F.max(F.col(loaded_at).cast("timestamp")).alias("max_loaded_at"))
-    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.lit(now))
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), time_literal(now))
     too_old = lambda limit: F.lit(False) if limit is None else age.isNull() | (age > F.lit(int(limit.total_seconds())))
     return newest.select(
-        "max_loaded_at", F.lit(now).cast("timestamp").alias("snapshotted_at"), age.alias("age_seconds"),
+        "max_loaded_at", time_literal(now).alias("snapshotted_at"), age.alias("age_seconds"),
         F.when(too_old(error_after), "error").when(too_old(warn_after), "warn").otherwise("pass").alias("status"),
     )
 

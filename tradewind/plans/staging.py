@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tradewind.functions.dates import time_literal
 from tradewind.functions.text import clean_string
 from tradewind.plans.params import Run
 from tradewind.sources.schemas import COLUMNS
@@ -13,7 +14,7 @@ def with_audit(df: DataFrame, run: Run | None) -> DataFrame:
     """Stamp rows with the time and id of the run."""
     if run is None:
         return df
-    return df.withColumns({run.at_column: F.lit(run.at), run.id_column: F.lit(run.id)})
+    return df.withColumns({run.at_column: time_literal(run.at), run.id_column: F.lit(run.id)})
 
 
 def clean(table: str, raw: DataFrame, run: Run | None = None) -> DataFrame:
