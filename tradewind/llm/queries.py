@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import line_quality, url_filter
+from tradewind.llm import line_quality, line_windows, mixing, url_filter
 
 # Fixed values of the URL contract.
 URL_RULES = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
@@ -19,13 +19,24 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_windows.remove_repeated(docs)
+
+
 def op9_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), "page_id", "url", URL_RULES)
 
 
 QUERIES = {
     "op3_line_frequency": op3_line_frequency,
+    "op6_entropy_mix": op6_entropy_mix,
+    "op8_line_windows": op8_line_windows,
     "op9_url_trees": op9_url_trees,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op8_line_windows": line_windows.SQL}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # ASCII white space: tab to carriage return, and the blank
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
-_BLANKS = " \t\n\x0b\f\r"
+BLANKS = " \t\n\x0b\f\r"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -25,7 +25,7 @@ def n_words(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of ``text`` in order; an empty array for null and for texts without a word."""
-    core = F.btrim(text, F.lit(_BLANKS))
+    core = F.btrim(text, F.lit(BLANKS))
     return F.when(core != "", F.split(core, SPACE + "+", -1)).otherwise(F.array().cast("array<string>"))
 
 
