@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import line_quality, line_windows, mixing, url_filter
+from tradewind.llm import line_quality, line_windows, mixing, token_files, url_filter
+from tradewind.llm.staging import new_folder
 
 # Fixed values of the URL contract.
 URL_RULES = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
@@ -19,6 +21,14 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op4_addressable_ids(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """``tokenizer``: path of a tokenizers file."""
+    path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
+    folder = new_folder(spark)
+    token_files.write(_table(spark, sf_dir, "documents"), folder, lambda: token_files.word_encoder(path), end_id=2)
+    return token_files.read(spark, folder)
+
+
 def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -34,6 +44,7 @@ def op9_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_line_frequency": op3_line_frequency,
+    "op4_addressable_ids": op4_addressable_ids,
     "op6_entropy_mix": op6_entropy_mix,
     "op8_line_windows": op8_line_windows,
     "op9_url_trees": op9_url_trees,

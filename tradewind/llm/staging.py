@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.session import working_folder
 
@@ -16,12 +16,9 @@ def written(df: DataFrame) -> DataFrame:
     lost executor loses none of them. The folder goes when the application ends, because the frame
     that an operator returns still reads it.
     """
-    spark = df.sparkSession
-    path = f"{working_folder(spark)}/llm/{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -30,3 +27,11 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A fresh path in the shared folder, removed when the application ends."""
+    path = f"{working_folder(spark)}/llm/{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
