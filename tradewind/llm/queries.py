@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import line_quality, line_windows, mixing, token_files, url_filter
+from tradewind.llm import html_text, line_quality, line_windows, mixing, token_files, url_filter
 from tradewind.llm.staging import new_folder
 
 # Fixed values of the URL contract.
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op9_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_text_density": op2_text_density,
     "op3_line_frequency": op3_line_frequency,
     "op4_addressable_ids": op4_addressable_ids,
     "op6_entropy_mix": op6_entropy_mix,
