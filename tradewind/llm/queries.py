@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradewind.llm import html_text, line_quality, line_windows, mixing, token_files, url_filter
+from tradewind.llm import hamming_index, html_text, line_quality, line_windows, mixing, token_files, url_filter
 from tradewind.llm.staging import new_folder
 
 # Fixed values of the URL contract.
@@ -37,6 +38,10 @@ def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_index.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_windows.remove_repeated(docs)
@@ -51,6 +56,7 @@ QUERIES = {
     "op3_line_frequency": op3_line_frequency,
     "op4_addressable_ids": op4_addressable_ids,
     "op6_entropy_mix": op6_entropy_mix,
+    "op7_multi_index": op7_multi_index,
     "op8_line_windows": op8_line_windows,
     "op9_url_trees": op9_url_trees,
 }
