@@ -6,13 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import hamming_index, html_text, line_quality, line_windows, mixing, token_files, url_filter
+from tradewind.llm import hamming_index, html_text, language, line_quality, line_windows, mixing, token_files, url_filter
 from tradewind.llm.staging import new_folder
 
 # Fixed values of the URL contract.
 URL_RULES = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
              url_filter.Rule("block", "example.com/de/"), url_filter.Rule("allow", "org/fr/")]
 
+LANGUAGES = ("en", "fr", "de", "es")
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -51,6 +53,11 @@ def op9_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), "page_id", "url", URL_RULES)
 
 
+def op10_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return language.identify(docs, LANGUAGES).select("doc_id", "lang", "language", "confidence", F.col("accepted").alias("kept"))
+
+
 QUERIES = {
     "op2_text_density": op2_text_density,
     "op3_line_frequency": op3_line_frequency,
@@ -59,6 +66,7 @@ QUERIES = {
     "op7_multi_index": op7_multi_index,
     "op8_line_windows": op8_line_windows,
     "op9_url_trees": op9_url_trees,
+    "op10_evidence_fusion": op10_evidence_fusion,
 }
 
 ORACLE = {"op8_line_windows": line_windows.SQL}
