@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import hamming_index, html_text, language, line_quality, line_windows, mixing, token_files, url_filter
+from tradewind.llm import hamming_index, html_text, language, line_quality, line_windows, mixing, prob_minhash, token_files, url_filter
 from tradewind.llm.staging import new_folder
 
 # Fixed values of the URL contract.
@@ -36,6 +36,10 @@ def op4_addressable_ids(spark: SparkSession, sf_dir: str, tokenizer: str | None
     return token_files.read(spark, folder)
 
 
+def op5_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prob_minhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op2_text_density": op2_text_density,
     "op3_line_frequency": op3_line_frequency,
     "op4_addressable_ids": op4_addressable_ids,
+    "op5_prob_minhash": op5_prob_minhash,
     "op6_entropy_mix": op6_entropy_mix,
     "op7_multi_index": op7_multi_index,
     "op8_line_windows": op8_line_windows,
