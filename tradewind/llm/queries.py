@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import hamming_index, html_text, language, line_quality, line_windows, mixing, prob_minhash, token_files, url_filter
+from tradewind.llm import hamming_index, html_text, language, line_quality, line_windows, mixing, pieces, prob_minhash, token_files, url_filter
 from tradewind.llm.staging import new_folder
 
 # Fixed values of the URL contract.
@@ -20,6 +20,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_pieces(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """``model``: path of a SentencePiece model."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, model or public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
 def op2_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
@@ -63,6 +69,7 @@ def op10_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_pieces": op1_suffix_pieces,
     "op2_text_density": op2_text_density,
     "op3_line_frequency": op3_line_frequency,
     "op4_addressable_ids": op4_addressable_ids,
