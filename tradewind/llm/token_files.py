@@ -15,19 +15,20 @@ about FILE_IDS ids at a time. Files are rows of a Parquet folder, which any stor
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MAGIC, VERSION, BLOCK = b"DACS", 1, 512
 FILE_IDS = 1 << 18
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 _HEAD, _DOC = struct.Struct("<4sIIIQ"), struct.Struct("<BqQ")
 FILES = "part int, seq int, n_docs long, n_ids long, file binary"
 
@@ -96,32 +97,78 @@ class TokenFile:
         return out
 
 
-_CHUNKS = re.compile(r"[^ \n]+")
+Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+
+# One run of letters that NFC and lower case treat one by one, and a run of punctuation behind it without apostrophes: the
+# tokenizer's pattern always splits between the two, so their ids are those of the parts.
+_PLAIN = r"""^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"""
 
 
 class WordEncoder:
-    """Encodes texts by their words. Words between blanks and line breaks are encoded apart, which gives the same ids
-    for tokenizers that drop white space before they split; known words come from a bounded cache."""
+    """From texts (an Arrow array) to the ids of all and the number of each, by distinct words.
+
+    For tokenizers that drop white space and split letters from punctuation before they merge: a word between ASCII
+    white space is encoded apart, and a plain word as its letters and its punctuation, which gives the same ids. Words
+    and parts are made distinct in Arrow; parts that the bounded cache does not hold are encoded in strings of
+    some, each of which ends with its first token that ends in ``word_end``.
+    """
 
-    def __init__(self, path: str, most: int = CACHED_WORDS):
+    def __init__(self, path: str, word_end: str = "</w>", most: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith(word_end)]] = True
+        self.known: dict[str, bytes] = {"": b""}
 
-    def learn(self, texts: list[str]) -> list[list[str]]:
-        words = [_CHUNKS.findall(t) for t in texts]
-        if len(self.known) > self.most:
-            self.known = {}
-        new = list({w for ws in words for w in ws}.difference(self.known))
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        return words
+    def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for i in range(0, len(texts), 1_000):
+            for e in self.tokenizer.encode_batch_fast(texts[i:i + 1_000], add_special_tokens=False):
+                yield np.array(e.ids, "<u4")
 
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for ws in self.learn(texts):
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, ws)), "<u4")
+    def _parts(self, parts: list[str], single: bool) -> list[bytes]:
+        """Ids of each part; ``single``: the tokenizer never splits one before it merges."""
+        if len(self.known) > self.most:
+            self.known = {"": b""}
+        new = [p for p in parts if p not in self.known]
+        if new and single:
+            ids = np.concatenate(list(self._encode([" ".join(new[i:i + 50]) for i in range(0, len(new), 50)])))
+            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            self.known.update(zip(new, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+        elif new:
+            self.known.update(zip(new, (ids.tobytes() for ids in self._encode(new)), strict=True))
+        return [self.known[p] for p in parts]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        words, which = coded.dictionary, coded.indices.to_numpy()
+        match = pc.extract_regex(words, _PLAIN)
+        plain = match.is_valid().to_numpy(zero_copy_only=False)
+        letters = pc.utf8_lower(pc.struct_field(match.filter(plain), "letters")).dictionary_encode()
+        marks = pc.struct_field(match.filter(plain), "marks").dictionary_encode()
+        other = words.filter(pa.array(~plain)).to_pylist()
+        parts = [*self._parts(letters.dictionary.to_pylist(), True), *self._parts(marks.dictionary.to_pylist(), True),
+                 *self._parts(other, False), b""]
+        sizes = np.array([len(p) >> 2 for p in parts], np.int64)
+        starts, pool = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(parts), "<u4")
+        # two parts of every word, the second one empty for words that are not plain
+        two = np.full((len(words), 2), len(parts) - 1)
+        n = len(letters.dictionary)
+        two[plain, 0], two[plain, 1] = letters.indices.to_numpy(), n + marks.indices.to_numpy()
+        two[~plain, 0] = n + len(marks.dictionary) + np.arange(len(other))
+        pool, sizes = pool[ranges(starts[two].ravel(), sizes[two].ravel())], sizes[two].sum(1)
+        counts = np.concatenate([[0], np.cumsum(sizes[which])])
+        offsets = split.offsets.to_numpy()
+        return pool[ranges((np.cumsum(sizes) - sizes)[which], sizes[which])], np.diff(counts[offsets - offsets[0]])
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (size numbers) of every range, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -134,56 +181,56 @@ def word_encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def _batches(texts: Iterable[str], most_chars: int = 4_000_000) -> Iterator[list[str]]:
-    batch, chars = [], 0
-    for t in texts:
-        batch.append(t)
-        chars += len(t)
-        if chars >= most_chars:
-            yield batch
-            batch, chars = [], 0
-    if batch:
-        yield batch
+def by_size(texts: pa.Array, most: int = 16_000_000) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``most`` bytes, or of one longer text."""
+    sizes, start, size = pc.fill_null(pc.binary_length(texts), 0).to_pylist(), 0, 0
+    for i, n in enumerate(sizes):
+        size += n
+        if size >= most or i + 1 == len(sizes):
+            yield start, i + 1
+            start, size = i + 1, 0
 
 
-def write(docs: DataFrame, path: str, encoder: Callable[[], Callable[[list[str]], Iterable[np.ndarray]]], end_id: int | None,
+def write(docs: DataFrame, path: str, encoder: Callable[[], Encoder], end_id: int | None,
           id_col: str = "doc_id", text_col: str = "text", file_ids: int = FILE_IDS) -> None:
     """Writes the ids of every text, each with ``end_id`` behind, in ascending order of document id.
 
-    ``encoder()`` is called in the tasks and gives a function from texts to id arrays. A null text is empty; a null
-    document id comes first; equal document ids are ordered by a hash of the text. A document is never split, so a file is as long
-    as its longest document where that has more than ``file_ids`` ids. Other columns are not read.
+    ``encoder()`` is called in the tasks. A null text is empty; a null document id comes first; equal document ids are
+    ordered by a hash of the text. A document is never split, so a file is as long as its longest document where that
+    has more than ``file_ids`` ids. Other columns are not read. An empty table gives no file.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
                        F.xxhash64(F.col(text_col)).alias("m"))
     rows = rows.repartitionByRange("k", "m").sortWithinPartitions("k", "m")
 
-    def files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, encode, tail = TaskContext.get().partitionId(), encoder(), [] if end_id is None else [end_id]
+        part, encode, tail = TaskContext.get().partitionId(), encoder(), np.array([] if end_id is None else [end_id], np.uint32)
         seq, keys, counts, held, n = 0, [], [], [], 0
 
-        def close() -> pd.DataFrame:
-            return pd.DataFrame({"part": [part], "seq": [seq], "n_docs": [len(keys)], "n_ids": [n],
-                                 "file": [build_file(keys, counts, np.concatenate(held))]})
+        def close() -> pa.RecordBatch:
+            file = build_file(keys, counts, np.concatenate(held))
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(keys)], pa.int64()),
+                                               pa.array([n], pa.int64()), pa.array([file], pa.binary())], ["part", "seq", "n_docs", "n_ids", "file"])
 
         for batch in batches:
-            names = iter([None if missing else int(k) for k, missing in zip(batch["k"], batch["k"].isna(), strict=True)])
-            for texts in _batches(batch["t"]):
-                for ids in encode(texts):
-                    ids = np.append(ids.astype(np.uint32), np.array(tail, np.uint32))
-                    keys.append(next(names))
-                    counts.append(len(ids))
-                    held.append(ids)
-                    n += len(ids)
+            names, texts = batch.column(0).to_pylist(), batch.column(1)
+            for a, b in by_size(texts):
+                ids, sizes = encode(texts.slice(a, b - a))
+                at = 0
+                for name, size in zip(names[a:b], sizes.tolist(), strict=True):
+                    keys.append(name)
+                    counts.append(size + len(tail))
+                    held += [ids[at:at + size], tail]
+                    at, n = at + size, n + size + len(tail)
                     if n >= file_ids:
                         yield close()
                         seq, keys, counts, held, n = seq + 1, [], [], [], 0
         if keys:
             yield close()
 
-    rows.select("k", "t").mapInPandas(files, FILES).write.parquet(path)
+    rows.select("k", "t").mapInArrow(files, FILES).write.parquet(path)
 
 
 def read(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
