@@ -179,13 +179,13 @@ class _Page:
         top = body if chars[body] == chars[0] else 0
         share = link_chars[top] / max(chars[top], 1)
 
-        density = [0.0] * n
-        for i in range(n):
-            c, lc = chars[i], max(link_chars[i], 1)
-            if kept[i] and c:
-                base = log(c / max(c - link_chars[i], 1) * lc + share * c + e)
-                density[i] = c / max(count[i], 1) * max(log(c / lc * max(count[i], 1) / max(link_count[i], 1)), 0.0) / log(base)
-        sums = [float(own) if k else 0.0 for own, k in zip(self.own, kept, strict=True)]
+        def composite(c: int, t: int, lc: int, lt: int) -> float:
+            base = log(c / max(c - lc, 1) * max(lc, 1) + share * c + e)
+            return c / max(t, 1) * log(1 + c / max(lc, 1) * max(t, 1) / max(lt, 1)) / log(base + 1)
+
+        density = [composite(chars[i], count[i], link_chars[i], link_count[i]) if kept[i] else 0.0 for i in range(n)]
+        # text that stands directly in a node counts like a child
+        sums = [composite(own, 1, 0, 0) if k and tag != "a" else 0.0 for own, k, tag in zip(self.own, kept, tags, strict=True)]
         for i in range(n - 1, 0, -1):
             if kept[i]:
                 sums[parents[i]] += density[i]
