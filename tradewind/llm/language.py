@@ -119,7 +119,7 @@ def _best(scores: Column, n: int) -> Column:
 
 def _counts(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
     """Documents per class for each group, as an array ``c``; combined before the shuffle."""
-    per = [F.sum(F.when(F.col("best") == i, 1.0).otherwise(0.0)) for i in range(n)]
+    per = [F.coalesce(F.sum(F.when(F.col("best") == i, 1.0).otherwise(0.0)), F.lit(0.0)) for i in range(n)]
     return rows.groupBy(*keys).agg(F.array(*per).alias("c"))
 
 
@@ -150,7 +150,7 @@ def identify(docs: DataFrame, languages: Sequence[str], id_col: str = "doc_id",
     # one narrow row per document: every count below is over all of them
     rows = written(full.select(F.col(d).alias("d"), F.col(h).alias("h"), F.when(F.get(s, n) > 0, _best(F.col(s), n)).alias("best")))
     uniform = [1.0 / n] * n
-    whole = _counts(rows, [], n).select(_smoothed(F.coalesce("c", F.array(*[F.lit(0.0)] * n)), F.array(*map(F.lit, uniform)), strength).alias("p"))
+    whole = _counts(rows, [], n).select(_smoothed(F.col("c"), F.array(*map(F.lit, uniform)), strength).alias("p"))
     overall = whole.first()["p"]
     base = F.array(*map(F.lit, overall))
     domain = F.substring_index("h", ".", -2)

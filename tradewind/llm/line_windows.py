@@ -46,7 +46,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     An empty table gives an empty one.
     """
     total, removed = free_name(docs, "n_lines"), free_name(docs, "n_removed")
-    key, mark, gone = (free_name(docs, f"_{n}") for n in ("key", "mark", "gone"))
+    key, mark, own, gone = (free_name(docs, f"_{n}") for n in ("key", "mark", "own", "gone"))
     text = F.col(text_col)
     found = docs.select(F.col(id_col).alias("k"), F.xxhash64(text).alias("m"), _windows(text).alias("w")).filter(F.size("w") > 0)
     found = written(found)
@@ -60,8 +60,8 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spans = later.groupBy("k", "m").agg(F.collect_set(F.struct("start", (F.col("pos") + SIZE - 1).alias("end"))).alias("spans"))
     merged = spans.select(F.col("k").alias(key), F.col("m").alias(mark), F.array_distinct(F.flatten(
         F.transform("spans", lambda s: F.sequence(s["start"], s["end"])))).alias(gone))
-    marked = docs.withColumn(f"{mark}_d", F.xxhash64(text))
-    joined = marked.join(merged, marked[id_col].eqNullSafe(merged[key]) & (marked[f"{mark}_d"] == merged[mark]), "left")
+    marked = docs.withColumn(own, F.xxhash64(text))
+    joined = marked.join(merged, marked[id_col].eqNullSafe(merged[key]) & (marked[own] == merged[mark]), "left")
     return joined.select(
         *[F.when(F.col(gone).isNull(), text).otherwise(_without(text, F.col(gone))).alias(c) if c == text_col else docs[c]
           for c in docs.columns],

@@ -140,11 +140,11 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     Rows with equal id and text are alike, so they share their copies evenly.
     """
-    key, mark, n, total = (free_name(docs, f"_{c}") for c in ("key", "mark", "n", "total"))
+    key, mark, own_mark, n, total = (free_name(docs, f"_{c}") for c in ("key", "mark", "own", "n", "total"))
     copies = mix(docs, id_col, text_col, source_col, **how).groupBy(F.col(id_col).alias(key), F.col("mark").alias(mark)) \
         .agg(F.count("*").alias(n), F.sum("copies").alias(total))
-    own = docs.withColumn(f"{mark}_d", F.xxhash64(F.col(text_col)))
-    joined = own.join(copies, own[id_col].eqNullSafe(copies[key]) & (own[f"{mark}_d"] == copies[mark]))
+    own = docs.withColumn(own_mark, F.xxhash64(F.col(text_col)))
+    joined = own.join(copies, own[id_col].eqNullSafe(copies[key]) & (own[own_mark] == copies[mark]))
     more = F.pmod(F.monotonically_increasing_id(), F.col(n)) < F.pmod(total, n)
     each = F.floor(F.col(total) / F.col(n)) + more.cast("long")
     return joined.withColumn(n, each).filter(F.col(n) > 0).withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))) \
