@@ -85,3 +85,46 @@ def test_csv_in_blocks_equals_spark_reader(spark, tmp_path):
 def test_csv_in_blocks_windows_line_ends(spark, tmp_path):
     (tmp_path / "w.csv").write_bytes(b'x,y,z\r\n1,"a",b\r\n\r\n2,,\r\n')
     assert sorted(map(tuple, read_csv_in_blocks(spark, str(tmp_path / "w.csv"), SCHEMA).collect())) == [("1", "a", "b"), ("2", None, None)]
+
+
+def test_csv_in_blocks_with_stray_quotes(spark, tmp_path):
+    """Random fields in and out of quotes, text behind closing quotes, both line ends, headers of several lines."""
+    import random
+
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(k) for k in keys]
+    for seed in range(6):
+        rng, folder, end = random.Random(seed), tmp_path / str(seed), ("\n", "\r\n")[seed % 2]
+        folder.mkdir()
+
+        def field():
+            body = "".join(rng.choice(["a", "é", ",", '"', end, "x", " "]) for _ in range(rng.randint(0, 8)))
+            if (kind := rng.random()) < 0.5:
+                return '"' + body.replace('"', '""') + '"'
+            body = body.replace(",", "").replace(end, "")
+            return '"' + body.replace('"', "") + '"g' + body if kind < 0.6 else ("z" if body.startswith('"') else "") + body
+
+        for f in range(2):
+            rows = [("a,b,c", f'\ufeff"a","b{end}x",c')[f]] + [",".join(field() for _ in range(rng.randint(2, 3))) for _ in range(60)]
+            (folder / f"{f}.csv").write_bytes((end.join(rows) + end * f).encode())
+        want = sorted(map(str, read_csv(spark, str(folder), SCHEMA).collect()))
+        try:
+            for size in ("64", "200", "1m"):
+                spark.conf.set(keys[0], size)
+                spark.conf.set(keys[1], "1")
+                assert sorted(map(str, read_csv_in_blocks(spark, str(folder), SCHEMA).collect())) == want
+        finally:
+            for k, v in zip(keys, before):
+                spark.conf.set(k, v)
+
+
+def test_csv_in_blocks_keeps_rows_behind_a_stray_quote(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('a,b,c\n1,5" pipe,x\n2,y,z\n3,"u\nv",w\n4,"""q",w\n')
+    got = sorted(map(tuple, read_csv_in_blocks(spark, str(tmp_path / "q.csv"), SCHEMA).collect()))
+    assert got == [("1", '5" pipe', "x"), ("2", "y", "z"), ("3", "u\nv", "w"), ("4", '"q', "w")]
+
+
+def test_csv_in_blocks_refuses_an_open_quote(spark, tmp_path):
+    (tmp_path / "o.csv").write_text('a,b,c\n1,"open,x\n2,y,z\n')
+    with pytest.raises(Exception, match="ends inside a quoted field"):
+        read_csv_in_blocks(spark, str(tmp_path / "o.csv"), SCHEMA).collect()

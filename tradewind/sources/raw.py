@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tradewind.functions.casts import spark_type
@@ -20,9 +21,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, *, delimiter: s
     """CSV with a header line, doubled quotes, line breaks inside quotes, short rows padded with
     NULL. The schema goes by position; header names and a byte-order mark are skipped.
 
-    With ``multiline`` one task reads one file, which suits a folder of many files. For files known to
-    have no line breaks inside quotes, ``multiline=False`` lets Spark cut each file into blocks; for
-    large files that may have some there is :func:`read_csv_in_blocks`.
+    With ``multiline`` one task reads one file, which suits a folder of many small files. For files known to
+    have no line breaks inside quotes, ``multiline=False`` lets Spark cut each file into blocks; files of any
+    size that may have some are read in blocks by :func:`read_csv_in_blocks`.
     """
     return (
         spark.read.schema(schema)
@@ -32,43 +33,85 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, *, delimiter: s
     )
 
 
+def _ends(line: Column, delimiter: str) -> tuple[Column, Column]:
+    """Whether a line ends inside a quoted field: if it begins a record or goes on outside quotes, and if it begins
+    inside a quoted field. A quote opens a field only as its first character; what follows a closing quote runs to the
+    next delimiter."""
+    d = re.escape(delimiter)
+    body = '(?:[^"]++|"")*+'
+    rest = f'(?:[^"{d}][^{d}]*+)?'
+    field = f'(?:[^"{d}][^{d}]*+|"{body}"{rest})?'
+    open_end = f'(?:{field}{d})*+"{body}$'
+    return line.rlike(f"(?s)^{open_end}"), line.rlike(f'(?s)^{body}(?:$|"{rest}{d}{open_end})')
+
+
 def read_csv_in_blocks(spark: SparkSession, path: str, schema: StructType, *, delimiter: str = ",") -> DataFrame:
-    """The same for large files: each is read in blocks by many tasks, line breaks in quotes included.
+    """The same, each file read in blocks by many tasks, line breaks in quotes included.
 
-    A line with an odd number of quotes opens or closes a quoted line break. Knowing how many such
-    lines come before a line tells whether it is a record of its own or part of a longer one: the
-    blocks before it are counted in a first pass, the lines before it in its block by a window no larger
-    than a block. Only lines of longer records are grouped. Quotes must be used as in RFC 4180: around
-    whole fields, doubled inside.
+    Two patterns tell where a line leaves the parser, in or out of quotes, from either place: it keeps the place, swaps
+    it, or settles it. So the place before a line is the last settled one in its block and the swaps since, and a whole
+    block acts on the blocks after it like one line. Lines of longer records are put together by where the record
+    begins. A file that ends inside a quoted field is refused when it is read.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"), F.rtrim("value", F.lit("\r")).alias("line"),
-        (F.length(F.regexp_replace("value", '[^"]', "")) % 2).alias("odd"),
-    )
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("odd")).select(
-        "file", "block", F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("odd_in_earlier_blocks"))
-    in_block = Window.partitionBy("file", "block").orderBy("at")
-    above = F.coalesce(F.sum("odd").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = (
-        lines.join(blocks, ["file", "block"])
-        .withColumns({"odd_before": F.col("odd_in_earlier_blocks") + above, "number": F.row_number().over(in_block)})
-        .where("NOT (block = 0 AND number = 1)")  # the header line
-    )
-    part_of_longer = (F.col("odd_before") % 2 == 1) | (F.col("odd") == 1)
-    pieces = F.array_sort(F.collect_list(F.struct("block", "at", "line")))
-    longer = placed.where(part_of_longer).groupBy("file", F.floor(F.col("odd_before") / 2)).agg(
-        F.array_join(F.transform(pieces, lambda p: p["line"]), "\n").alias("record"))
-    records = placed.where(~part_of_longer).select(F.col("line").alias("record")).unionByName(longer.select("record"))
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    from_out, from_in = _ends(F.col("line"), delimiter)
+    lines = lines.withColumns({"from_out": from_out, "from_in": from_in}).withColumns({
+        "settled": F.when(F.col("from_out") == F.col("from_in"), F.col("from_out")),
+        "swap": (F.col("from_out") & ~F.col("from_in")).cast("int")})
+
+    def track(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+        """Adds the swaps up to each row, and what the last settled row up to it (``last``) or before it (``prior``) says."""
+        upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        df = df.withColumn("swaps", F.sum("swap").over(upto))
+        known = F.when(F.col("settled").isNotNull(), F.struct("settled", "swaps"))
+        return df.withColumns({"last": F.last(known, ignorenulls=True).over(upto),
+                               "prior": F.last(known, ignorenulls=True).over(upto.rowsBetween(Window.unboundedPreceding, -1))})
+
+    def place(last: str, swaps: Column, otherwise: Column) -> Column:
+        odd = (swaps - F.coalesce(F.col(f"{last}.swaps"), F.lit(0))) % 2 == 1
+        return F.coalesce(F.col(f"{last}.settled"), otherwise) != odd
+
+    lines = track(lines, ["file", "block"], "at")
+    ends = lines.groupBy("file", "block").agg(F.max_by(F.struct("last", "swaps"), "at").alias("end"), F.min("at").alias("first"),
+                                               F.min_by(F.col("line").endswith("\r"), "at").alias("returns"))
+    # one row per block: it settles the place, or swaps it or not
+    ends = ends.select("file", "block", "first", "returns", F.when(F.col("end.last").isNotNull(), F.col("end.last.settled") != (
+        (F.col("end.swaps") - F.col("end.last.swaps")) % 2 == 1)).alias("settled"), (F.col("end.swaps") % 2).alias("swap"))
+    ends = track(ends.withColumn("swap", F.when(F.col("settled").isNull(), F.col("swap")).otherwise(0)), ["file"], "block")
+    whole = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    outside = F.lit(False)
+    blocks = ends.withColumn("open", F.last(place("last", F.col("swaps"), outside)).over(whole)).select(
+        F.col("file").alias("f"), F.col("block").alias("b"), "first",
+        F.first("returns").over(whole).alias("returns"), place("prior", F.col("swaps") - F.col("swap"), outside).alias("begins_in"),
+        F.when(F.col("open"), F.raise_error(F.concat(F.lit("the file ends inside a quoted field: "), "file"))).alias("refused"))
+    lines = lines.join(blocks, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).withColumn(
+        "inside", F.coalesce(F.col("refused").cast("boolean"), place("prior", F.col("swaps") - F.col("swap"), F.col("begins_in"))))
+    # the first line tells how the lines of a file end, as for Spark's own reader
+    lines = lines.withColumn("line", F.when(F.col("returns"), F.regexp_replace("line", "\r$", "")).otherwise(F.col("line")))
+    lines = lines.withColumn("head", (F.col("block") == 0) & (F.col("at") == F.col("first")))  # where the header begins
+    lines = lines.withColumn("goes_on", F.when(F.col("inside"), F.col("from_in")).otherwise(F.col("from_out")))
+    # the line at which a record began: in this block, or else in the last earlier block that begins one
+    upto = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("own", F.last(F.when(~F.col("inside"), F.col("at")), ignorenulls=True).over(upto))
+    starts = lines.groupBy("file", "block").agg(F.max("own").alias("own"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = starts.select(F.col("file").alias("f2"), F.col("block").alias("b2"), F.last("own", ignorenulls=True).over(before).alias("earlier"))
+    single = lines.where("NOT inside AND NOT goes_on").select("head", F.col("line").alias("record"))
+    longer = lines.where("inside OR goes_on").join(earlier, (F.col("file") == F.col("f2")) & (F.col("block") == F.col("b2")))
+    parts = F.array_sort(F.collect_list(F.struct("block", "at", "line", "head")))
+    longer = longer.groupBy("file", F.coalesce("own", "earlier").alias("start")).agg(parts.alias("parts")).select(
+        F.col("parts")[0]["head"].alias("head"), F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("record"))
+    records = single.unionByName(longer).where("NOT head")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
     return records.where("record <> ''").select(F.from_csv("record", columns, options).alias("r")).select("r.*")
 
 
 def raw_table(spark: SparkSession, folder: str, table: str, files: Mapping[str, str] | None = None,
-              multiline: bool | str = True) -> DataFrame:
-    """One of the nine raw tables as text columns. ``multiline="blocks"`` reads large files in blocks."""
+              multiline: bool | str = "blocks") -> DataFrame:
+    """One of the nine raw tables as text columns. ``multiline="blocks"`` reads each file by many tasks."""
     path = f"{folder.rstrip('/')}/{(files or FILES)[table]}"
     if multiline == "blocks":
         return read_csv_in_blocks(spark, path, raw_schema(table))
@@ -82,7 +125,7 @@ def in_parallel(tasks: Iterable[Callable[[], object]], threads: int = PARALLEL_L
 
 
 def load_bronze(warehouse: Warehouse, folder: str, files: Mapping[str, str] | None = None,
-                tables: Iterable[str] = tuple(COLUMNS), multiline: bool | str = True) -> None:
+                tables: Iterable[str] = tuple(COLUMNS), multiline: bool | str = "blocks") -> None:
     """Replace each bronze table by the contents of its file, then compare the row counts."""
     spark, tables = warehouse.spark, list(tables)
 
@@ -94,7 +137,7 @@ def load_bronze(warehouse: Warehouse, folder: str, files: Mapping[str, str] | No
 
 
 def verify_bronze(warehouse: Warehouse, folder: str, files: Mapping[str, str] | None,
-                  tables: Iterable[str], multiline: bool | str = True) -> None:
+                  tables: Iterable[str], multiline: bool | str = "blocks") -> None:
     """Every bronze table must hold as many rows as its file."""
     counts = None
     for t in tables:
