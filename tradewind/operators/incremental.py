@@ -38,7 +38,8 @@ class Incremental:
     keys: tuple[str, ...] = ()
     partition: Partition | None = None
     cluster: tuple[str, ...] = ()
-    update: tuple[str, ...] = ()
+    # None: all columns; an empty tuple: none, so that a merge only adds rows
+    update: tuple[str, ...] | None = None
     exclude: tuple[str, ...] = ()
     predicates: tuple[str, ...] = ()
     null_safe: bool = False
@@ -87,7 +88,7 @@ def apply(warehouse: Warehouse, table: str, source: DataFrame, how: Incremental)
     source, missing = change_schema(warehouse, table, source, how)
     if missing and how.strategy == "merge":
         # columns that the new rows lack keep their value on a match
-        how = replace(how, update=tuple(c for c in how.update if c not in missing)) if how.update else \
+        how = replace(how, update=tuple(c for c in how.update if c not in missing)) if how.update is not None else \
             replace(how, exclude=(*how.exclude, *missing))
     if how.strategy == "append" or (how.strategy in ("merge", "delete_insert") and not how.keys):
         warehouse.append(table, source, how.partition, how.cluster)

@@ -28,9 +28,9 @@ def match(keys: Sequence[str], predicates: Sequence[str] = (), null_safe: bool =
 
 
 def columns_to_update(columns: Sequence[str], update: Sequence[str] | None, exclude: Sequence[str] | None) -> list[str]:
-    if update and exclude:
+    if update is not None and exclude:
         raise ValueError("give the columns to update or the columns to leave out, not both")
-    if update:
+    if update is not None:  # an empty list leaves matched rows as they are
         return [c for c in columns if c in update]
     return [c for c in columns if c not in (exclude or ())]
 
