@@ -162,16 +162,10 @@ def next_history(history: DataFrame, source: DataFrame, how: Tracking, now: date
     """The whole history after a run."""
     n = how.names
     made = changes(history, source, how, now)
-    # a new version whose id the history already has is not added again
-    known = history.select(n.scd_id)
-    fresh = made.where(~F.col("_was_open")).join(known, n.scd_id, "left_anti")
-    columns = [c for c in made.columns if c != "_was_open"]
-    closed = history.where(~how.is_open())
-    return (
-        made.where("_was_open").select(*columns)
-        .unionByName(fresh.select(*columns))
-        .unionByName(closed, allowMissingColumns=True)
-    )
+    # a new version whose id the history already has is not added again; open ones pass through the same join
+    known = history.select(F.col(n.scd_id).alias("_known"))
+    made = made.join(known, (F.col(n.scd_id) == F.col("_known")) & ~F.col("_was_open"), "left_anti").drop("_was_open")
+    return made.unionByName(history.where(~how.is_open()), allowMissingColumns=True)
 
 
 # -- stored history ---------------------------------------------------------------------------------

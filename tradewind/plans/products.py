@@ -27,18 +27,23 @@ def product_dimension(products: DataFrame) -> DataFrame:
 
 
 def product_performance(products: DataFrame, items: DataFrame, p: Params = Params()) -> DataFrame:
-    """Sales of every product. ``products`` is the dimension, ``items`` the item fact."""
-    sold = items.groupBy("product_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count("*").alias("items"),
-        money_sum("price", p.money_scale).alias("total_revenue"),
-        F.count("price").alias("priced"),
-        money_sum("freight_value", p.money_scale).alias("total_freight"),
-        money_sum("item_total", p.money_scale).alias("total_revenue_with_freight"),
-        F.count_distinct("seller_id").alias("unique_sellers"),
-        F.min("order_purchase_timestamp").alias("first_sale_date"),
-        F.max("order_purchase_timestamp").alias("last_sale_date"),
+    """Sales of every product. ``products`` is the dimension, ``items`` the item fact.
+
+    Items are summed per product and order first, so that orders are counted without expanding rows; sellers
+    are counted over the distinct pairs.
+    """
+    scale, amounts = p.money_scale, {"total_revenue": "price", "total_freight": "freight_value", "total_revenue_with_freight": "item_total"}
+    per_order = items.groupBy("product_id", "order_id").agg(
+        F.count("*").alias("items"), F.count("price").alias("priced"),
+        *[money_sum(c, scale).alias(name) for name, c in amounts.items()],
+        F.min("order_purchase_timestamp").alias("first_sale_date"), F.max("order_purchase_timestamp").alias("last_sale_date"),
     )
+    sold_by = items.select("product_id", "seller_id").distinct().groupBy("product_id").agg(F.count("seller_id").alias("unique_sellers"))
+    sold = per_order.groupBy("product_id").agg(
+        F.count("order_id").alias("total_orders"), F.sum("items").alias("items"), F.sum("priced").alias("priced"),
+        *[money_sum(name, scale).alias(name) for name in amounts],
+        F.min("first_sale_date").alias("first_sale_date"), F.max("last_sale_date").alias("last_sale_date"),
+    ).join(sold_by, "product_id", "left")
     keys = ["product_id", "product_category_name_english", "product_weight_g", "product_volume_cm3"]
     joined = join_to_dimension(
         products, sold, keys, p,
