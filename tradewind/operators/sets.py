@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tradewind.session import fixed
+
 
 def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -48,25 +50,17 @@ def preview(df: DataFrame, limit: int, order_by: Sequence[str] = ()) -> DataFram
     return (df.orderBy(*order_by) if order_by else df).limit(limit)
 
 
-def number_in_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str = "number",
-                    buckets: int = 64) -> DataFrame:
+def number_in_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str = "number") -> DataFrame:
     """Rows numbered 1, 2, … within each group.
 
-    A plain window would sort a whole group in one task. Here the first sort column cuts every group
-    into value ranges with the same borders for all groups: rows are numbered inside each range, and
-    the sizes of the lower ranges (one row per group and range) are added. ``order_by`` must order
-    the rows of a group without ties; its first column must be a number, date or time.
+    A plain window would sort a whole group in one task. Here rows are dealt by ranges of (keys, order columns), so a
+    group of any size is spread, whatever its order columns hold; rows are numbered inside each range, and the
+    sizes of the group's earlier ranges (one row per group and range) are added. The borders of ranges come from a
+    sample, so the rows are written once with their range. ``order_by`` must order the rows of a group without ties.
     """
-    lead = F.col(order_by[0])
-    if dict(df.dtypes)[order_by[0]] in ("date", "timestamp", "timestamp_ntz"):
-        lead = lead.cast("timestamp")
-    lead = lead.cast("double")
-    borders = df.select(lead.alias("lead")).agg(
-        F.percentile_approx("lead", [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
-    inner = sorted({b for b in borders if b is not None})
-    bucket = reduce(lambda c, b: c + F.when(lead > b, 1).otherwise(0), inner, F.when(lead.isNull(), -1).otherwise(0))
+    ranges = df.repartitionByRange(*keys, *order_by).withColumn("_range", F.spark_partition_id())
     # one key for group and range, never NULL itself: the window and the join share its partitioning
-    cut = df.withColumn("_cell", F.struct(*keys, bucket.alias("_range")))
+    cut = fixed(ranges).withColumn("_cell", F.struct(*keys, "_range"))
     group = [F.col(f"_cell.{k}") for k in keys]
     below = Window.partitionBy(*group).orderBy("_cell._range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = cut.groupBy("_cell").count().select(

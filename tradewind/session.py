@@ -83,3 +83,14 @@ def staged(df: DataFrame, reader: SparkSession | None = None) -> Iterator[DataFr
     finally:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def fixed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, for results that are read later than the caller returns. The
+    folder goes when the application ends."""
+    spark = df.sparkSession
+    path = f"{working_folder(spark)}/fixed/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
