@@ -52,14 +52,21 @@ def test_series(spark):
         dates.generate_series(spark, 0)
 
 
-def test_day_lists():
-    assert dates.dates_in_range("20240228", "20240301") == ["20240228", "20240229", "20240301"]
-    assert dates.dates_in_range("2024-01-01", in_fmt="%Y-%m-%d", out_fmt="%d/%m") == ["01/01"]
-    assert dates.dates_in_range("20240101", out_fmt=None) == [datetime(2024, 1, 1)]
-    assert dates.partition_range("20240101, 20240102") == ["20240101", "20240102"]
+def test_day_ranges(spark):
+    assert [r.day for r in dates.day_range(spark, "20240228,20240301").collect()] == ["20240228", "20240229", "20240301"]
+    assert [r.day for r in dates.day_range(spark, "2024-01-01", "%Y-%m-%d", "dd/MM").collect()] == ["01/01"]
+    assert [r.day for r in dates.day_range(spark, 20240101, out=None).collect()] == [date(2024, 1, 1)]
+    df = spark.sql("SELECT explode(array(timestamp'2023-12-31 23:59:59', timestamp'2024-01-01', timestamp'2024-01-02 23:59:59.999999', timestamp'2024-01-03')) AS t")
+    assert df.where(dates.in_days("t", "20240101, 20240102")).count() == 2
     for bad in ("20240102,20240101", "a", "1,2,3"):
         with pytest.raises(ValueError):
-            dates.partition_range(bad)
+            dates.in_days("t", bad)
+
+
+def test_day_ranges_reach_the_scan(spark, tmp_path):
+    spark.sql("SELECT timestamp'2024-01-01' AS t").write.parquet(str(tmp_path / "t"))
+    plan = spark.read.parquet(str(tmp_path / "t")).where(dates.in_days("t", "20240101"))._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(t," in plan and "LessThan(t," in plan
 
 
 def test_clean_string(spark):

@@ -65,8 +65,7 @@ def date_spine_month(spark, d):
 
 def partition_days(spark, d):
     """Orders of the days named by a partition range."""
-    days = dates.partition_range("19980301,19980331")
-    return table(spark, d, "orders").where(F.date_format("o_orderdate", "yyyyMMdd").isin(days))
+    return table(spark, d, "orders").where(dates.in_days("o_orderdate", "19980301,19980331"))
 
 
 def generate_series(spark, d):
@@ -325,7 +324,7 @@ ORACLE = {
         SELECT month AS date_month, (SELECT cast(sum(cast(o_totalprice AS decimal(18,2))) AS double) FROM orders WHERE date_trunc('month', o_orderdate) = month) AS total
         FROM (SELECT unnest(generate_series((SELECT min(o_orderdate) FROM orders),
               (SELECT max(o_orderdate) FROM orders) + INTERVAL 1 DAY - INTERVAL 1 MONTH, INTERVAL 1 MONTH)) AS month)""",
-    "partition_days": "SELECT * FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1998-03-01' AND TIMESTAMP '1998-03-31'",
+    "partition_days": "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-03-01' AND o_orderdate < TIMESTAMP '1998-04-01'",
     "generate_series": """
         SELECT i AS generated_number, (SELECT count(*) FROM lineitem WHERE l_linenumber = i) AS lines
         FROM (SELECT unnest(range(1, (SELECT max(l_linenumber) + 3 FROM lineitem))) AS i)""",

@@ -17,7 +17,7 @@ from tradewind.operators import history, incremental as inc, merge
 from tradewind.operators.history import Tracking
 from tradewind.operators.incremental import Incremental
 from tradewind.operators.schema_drift import reconcile
-from tradewind.session import working_folder
+from tradewind.session import until_the_end, working_folder
 from tradewind.sources.bindings import TABLES, table
 from tradewind.sources.tables import TimePartition, Warehouse
 from tradewind.streaming.sinks import replace_batches_stream, upsert_stream
@@ -123,9 +123,18 @@ def schema_sync_columns(spark, d):
 # -- stored tables ----------------------------------------------------------------------------------
 
 
+def own_folder(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder that goes when the application ends."""
+    return until_the_end(spark, f"{working_folder(spark)}/{kind}/{uuid.uuid4().hex}")
+
+
 def warehouse(spark: SparkSession) -> Warehouse:
+    """Databases of one query; their files go when the application ends."""
     name = f"tw_{uuid.uuid4().hex}"
-    return Warehouse(spark, working_folder(spark), {"gold": name, "silver": f"{name}_s", "bronze": f"{name}_b"})
+    databases = {"gold": name, "silver": f"{name}_s", "bronze": f"{name}_b"}
+    for database in databases.values():
+        until_the_end(spark, f"{working_folder(spark)}/{database}")
+    return Warehouse(spark, working_folder(spark), databases)
 
 
 BY_MONTH = TimePartition(PLACED, "month")
@@ -146,37 +155,83 @@ def stored_overwrite(spark, d):
     return wh.read("gold.orders")
 
 
-def _event_stream(spark, d):
-    return spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(d)
+EVENT = ["event_id", "ts", "user_id", "event_type", "value"]
+
+
+def _event_files(spark, d) -> str:
+    """All events in one file; a third of them a month later with another value; a fifth as they were but corrected,
+    one in seven of those without a time. Three files, one after the other."""
+    events, folder = table(spark, d, "events").select(*EVENT), own_folder(spark, "files")
+    moved = events.where("event_id % 3 = 0").withColumn("ts", F.col("ts") + F.expr("interval 31 days")).withColumn("value", F.col("value") + 100)
+    fixed = events.where("event_id % 5 = 0").withColumn("event_type", F.lit("corrected")).withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+    for number, part in enumerate((events, moved, fixed)):
+        part.coalesce(1).write.parquet(f"{folder}/{number}")
+    return folder
+
+
+def _event_stream(spark, folder: str) -> DataFrame:
+    """One micro-batch per file."""
+    schema = spark.read.parquet(f"{folder}/0").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
 
 
 def stream_upsert(spark, d):
-    """Events stream into a table of each event's latest state."""
+    """Three batches of events stream into a table of each event's latest state."""
     wh = warehouse(spark)
     how = Incremental("merge", ("event_id",), TimePartition("ts", "month"))
-    stream = _event_stream(spark, d).select("event_id", "ts", "user_id", "event_type", "value")
-    checkpoint = f"{working_folder(spark)}/checkpoints/{uuid.uuid4().hex}"
-    upsert_stream(stream, wh, "gold.events", how, checkpoint, once=True).awaitTermination()
+    upsert_stream(_event_stream(spark, _event_files(spark, d)), wh, "gold.events", how, own_folder(spark, "checkpoints"), once=True).awaitTermination()
     return wh.read("gold.events")
 
 
-def _daily_totals(spark, d):
-    return (
-        table(spark, d, "events").groupBy(F.date_trunc("day", "ts").alias("day"))
-        .agg(F.count("*").alias("events"), F.count_distinct("user_id").alias("users"))
-    )
-
-
 def stream_replace_days(spark, d):
-    """New events make the totals of their days run again."""
-    wh = warehouse(spark)
+    """New events make the totals of their days run again, over all that has arrived until then: after three batches they
+    are the totals of all files."""
+    wh, folder = warehouse(spark), _event_files(spark, d)
     how = Incremental("microbatch", partition=TimePartition("day", "day"))
-    stream = _event_stream(spark, d).select(F.date_trunc("day", "ts").alias("day"))
-    checkpoint = f"{working_folder(spark)}/checkpoints/{uuid.uuid4().hex}"
-    replace_batches_stream(stream, wh, "gold.days", lambda: _daily_totals(spark, d), how, checkpoint, once=True).awaitTermination()
+    stream = _event_stream(spark, folder).select(F.date_trunc("day", "ts").alias("day"))
+
+    def totals() -> DataFrame:
+        return spark.read.parquet(f"{folder}/*").groupBy(F.date_trunc("day", "ts").alias("day")).agg(
+            F.count("*").alias("events"), F.count_distinct("user_id").alias("users"))
+
+    replace_batches_stream(stream, wh, "gold.days", totals, how, own_folder(spark, "checkpoints"), once=True).awaitTermination()
     return wh.read("gold.days")
 
 
+# -- facts kept up to date ------------------------------------------------------------------------------
+
+
+def _second_state(df: DataFrame) -> DataFrame:
+    return df.withColumn("order_status", F.concat(F.lit("new "), "order_status"))
+
+
+def stored_fct_orders(spark, d):
+    """The order fact in two runs: the second takes orders placed after the newest stored one, and leaves changes of
+    older orders out."""
+    wh, how = warehouse(spark), Incremental("merge", ("order_id",), BY_MONTH, ("order_status", "customer_id"))
+    fact = Bound(spark, d).orders_enriched()
+    inc.build(wh, "gold.fct_orders", lambda change: fact.where(F.col(PLACED) < time_literal(OLD_UNTIL)), how)
+    inc.build(wh, "gold.fct_orders", lambda change: inc.newer_than_table(wh, "gold.fct_orders", _second_state(fact), PLACED, BY_MONTH), how)
+    return wh.read("gold.fct_orders")
+
+
+def stored_fct_order_items(spark, d):
+    """The item fact in two runs: the second merges all items, those of stored orders with a new price."""
+    wh, how = warehouse(spark), Incremental("merge", ("order_id", "order_item_id"), BY_MONTH, ("order_status", "customer_id"))
+    fact = Bound(spark, d).fct_order_items()
+    inc.build(wh, "gold.fct_order_items", lambda change: fact.where(F.col(PLACED) < time_literal(OLD_UNTIL)), how)
+    inc.build(wh, "gold.fct_order_items", lambda change: fact.withColumn("price", F.col("price") + 1), how)
+    return wh.read("gold.fct_order_items")
+
+
+def stored_update_nothing(spark, d):
+    """A merge all of whose columns to update are missing in the new rows: stored rows stay, new ones are added."""
+    wh, how = warehouse(spark), Incremental("merge", ("order_id",), BY_MONTH, update=("customer_id",), on_schema_change="append_new_columns")
+    wh.write_table("gold.orders", old_rows(spark, d), BY_MONTH)
+    inc.apply(wh, "gold.orders", new_rows(spark, d).drop("customer_id"), how)
+    return wh.read("gold.orders")
+
+
 # -- history ----------------------------------------------------------------------------------------
 
 FIRST_RUN, SECOND_RUN = datetime(2010, 1, 1), datetime(2010, 1, 2)
@@ -216,7 +271,7 @@ QUERIES = {f.__name__: f for f in (
     merge_upsert, merge_update_columns, merge_exclude_columns, merge_predicates, merge_ambiguous_keys, append,
     delete_insert, delete_insert_predicate, overwrite_static, overwrite_dynamic, microbatch, high_watermark,
     schema_append_columns, schema_sync_columns, stored_merge, stored_overwrite, stream_upsert, stream_replace_days,
-    scd2_first_build,
+    stored_fct_orders, stored_fct_order_items, stored_update_nothing, scd2_first_build,
 )} | {name: _history(how) for name, how in TRACKED.items()}
 
 
@@ -327,9 +382,24 @@ ORACLE = {
     "schema_sync_columns": _state_sql("""
         SELECT order_id, order_status, cast(order_purchase_timestamp AS date) AS order_purchase_timestamp, NULL::varchar AS note FROM t
         UNION ALL SELECT order_id, order_status, cast(order_purchase_timestamp AS date), 'late' FROM s"""),
-    "stream_upsert": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "stream_upsert": """
+        SELECT event_id, user_id, CASE WHEN event_id % 5 = 0 THEN 'corrected' ELSE event_type END AS event_type,
+               CASE WHEN event_id % 5 = 0 OR event_id % 3 <> 0 THEN value ELSE value + 100 END AS value,
+               CASE WHEN event_id % 35 = 0 THEN NULL WHEN event_id % 5 = 0 OR event_id % 3 <> 0 THEN ts ELSE ts + INTERVAL 31 DAY END AS ts
+        FROM events""",
     "stream_replace_days": """
-        SELECT date_trunc('day', ts) AS day, count(*) AS events, count(DISTINCT user_id) AS users FROM events GROUP BY 1""",
+        SELECT date_trunc('day', ts) AS day, count(*) AS events, count(DISTINCT user_id) AS users FROM (
+            SELECT ts, user_id FROM events UNION ALL SELECT ts + INTERVAL 31 DAY, user_id FROM events WHERE event_id % 3 = 0
+            UNION ALL SELECT CASE WHEN event_id % 7 <> 0 THEN ts END, user_id FROM events WHERE event_id % 5 = 0) GROUP BY 1""",
+    "stored_fct_orders": sql(f"""
+        SELECT * REPLACE (CASE WHEN {PLACED} > (SELECT max({PLACED}) FROM orders_enriched WHERE {PLACED} < TIMESTAMP '2000-01-01')
+                               THEN 'new ' || order_status ELSE order_status END AS order_status) FROM orders_enriched
+        WHERE {PLACED} IS NOT NULL"""),
+    "stored_fct_order_items": sql("SELECT * REPLACE (price + 1 AS price) FROM fct_order_items"),
+    "stored_update_nothing": sql(f"""
+        SELECT order_id, customer_id, order_status, {PLACED} FROM src_orders WHERE {PLACED} < TIMESTAMP '2000-01-01' UNION ALL
+        SELECT order_id, NULL, 'new ' || order_status, CASE WHEN order_status = 'canceled' THEN {PLACED} + INTERVAL 1 DAY ELSE {PLACED} END
+        FROM src_orders WHERE {PLACED} >= TIMESTAMP '2000-01-01'"""),
     "scd2_first_build": sql("""
         SELECT order_id, customer_id, order_status, order_purchase_timestamp,
                md5(order_id || '|' || strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S.%f')) AS scd_id,

@@ -48,8 +48,10 @@ def test_delivered_has_items(spark, d):
 
 
 def test_negative_values(spark, d):
-    """Customers with a balance below zero, as order values."""
-    return quality.negative_order_values(table(spark, d, "customer").select("c_custkey", F.col("c_acctbal").alias("total_payment_value")))
+    """Order facts below zero, after one order in 97 was given back twice."""
+    given_back = F.when(F.regexp_extract("order_id", "[0-9]+", 0).cast("bigint") % 97 == 0, -F.col("total_payment_value"))
+    facts = Bound(spark, d).orders_enriched().select("order_id", F.coalesce(given_back, "total_payment_value").alias("total_payment_value"))
+    return quality.negative_order_values(facts)
 
 
 def row_count_match(spark, d):
@@ -184,7 +186,9 @@ ORACLE = {
     "test_minimum": sql("SELECT min(freight_value) AS minimum FROM order_items HAVING min(freight_value) < 0.5"),
     "test_delivered_has_items": sql("""
         SELECT order_id FROM src_orders WHERE order_status = 'delivered' AND order_id NOT IN (SELECT order_id FROM order_items)"""),
-    "test_negative_values": "SELECT c_custkey, c_acctbal AS total_payment_value FROM customer WHERE c_acctbal < 0",
+    "test_negative_values": sql("""
+        SELECT order_id, -total_payment_value AS total_payment_value FROM orders_enriched
+        WHERE cast(regexp_extract(order_id, '[0-9]+') AS bigint) % 97 = 0 AND total_payment_value > 0"""),
     "row_count_match": "SELECT (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM orders) AS row_count_diff",
     "aggregated_not_null": sql(_per_column("src_orders", WATCHED, "(SELECT count(*) FROM {t} WHERE {c} IS NULL)")),
     "aggregated_unique": _per_column("lineitem", ["l_orderkey", "l_partkey", "l_suppkey"], f"({_REPEATS})"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tradewind.catalog.bound import Bound, sql
 from tradewind.catalog.maintenance import (
     BY_MONTH, COLUMNS as ORDER_COLUMNS, FIRST_RUN, ORACLE as MAINTENANCE, PLACED, SECOND_RUN, TRACKED, _states, new_rows,
-    old_rows, warehouse,
+    old_rows, own_folder, warehouse,
 )
 from tradewind.functions.dates import time_literal
 from tradewind.operators import history, incremental as inc, quality
@@ -19,7 +18,6 @@ from tradewind.operators.incremental import Incremental
 from tradewind.operators.schema_drift import schema_diff
 from tradewind.plans.models import Context, Model, build_all
 from tradewind.plans.staging import clean
-from tradewind.session import working_folder
 from tradewind.sources.bindings import BINDINGS, table
 from tradewind.sources.raw import load_bronze, load_seed, read_csv, read_csv_in_blocks
 from tradewind.sources.schemas import COLUMNS
@@ -30,7 +28,7 @@ TEXTS = StructType([StructField(c, StringType()) for c in ("doc_id", "text", "la
 
 
 def _folder(spark) -> str:
-    return f"{working_folder(spark)}/files/{uuid.uuid4().hex}"
+    return own_folder(spark, "files")
 
 
 def _write_csv(df, path: str) -> str:

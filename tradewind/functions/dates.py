@@ -95,27 +95,26 @@ def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
     return spark.range(1, upper_bound + 1).withColumnRenamed("id", "generated_number")
 
 
-def _parse(text: str, fmt: str) -> datetime:
-    try:
-        return datetime.strptime(text.strip(), fmt)
-    except ValueError as e:
-        raise ValueError(f"partition date {text!r} does not match the format {fmt!r}") from e
-
-
-def dates_in_range(start: str, end: str | None = None, in_fmt: str = "%Y%m%d",
-                   out_fmt: str | None = "%Y%m%d") -> list[str | datetime]:
-    """Every day from ``start`` to ``end``, both included; used to name partitions."""
-    first = _parse(start, in_fmt)
-    last = first if end is None else _parse(end, in_fmt)
+def _days(text: str | int | date, fmt: str) -> tuple[date, date]:
+    """First and last day of ``'start'`` or ``'start,end'``."""
+    ends = [t.strip() for t in (text.strftime(fmt) if isinstance(text, date) else str(text)).split(",")]
+    if len(ends) > 2:
+        raise ValueError(f"a range of days is 'start' or 'start,end': {text!r}")
+    first, last = datetime.strptime(ends[0], fmt).date(), datetime.strptime(ends[-1], fmt).date()
     if last < first:
-        raise ValueError(f"start date {first} is after end date {last}")
-    days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
-    return [d.strftime(out_fmt) for d in days] if out_fmt else days
+        raise ValueError(f"a range of days must not end before it starts: {text!r}")
+    return first, last
 
 
-def partition_range(text: str | int | date, fmt: str = "%Y%m%d") -> list[str | datetime]:
-    """Days named by ``'start'`` or ``'start,end'``."""
-    parts = str(text).split(",")
-    if len(parts) > 2:
-        raise ValueError(f"expected 'start' or 'start,end', got {text!r}")
-    return dates_in_range(*parts, in_fmt=fmt)
+def in_days(column: Column | str, text: str | int | date, fmt: str = "%Y%m%d") -> Column:
+    """Whether a date or time lies in the days that ``text`` names, both ends included. The column stays bare, so the
+    filter reaches the scan and prunes partitions."""
+    first, last = _days(text, fmt)
+    return (_col(column) >= F.lit(first)) & (_col(column) < F.lit(last + timedelta(days=1)))
+
+
+def day_range(spark: SparkSession, text: str | int | date, fmt: str = "%Y%m%d", out: str | None = "yyyyMMdd") -> DataFrame:
+    """One row per day that ``text`` names: column ``day``, as text in the pattern ``out`` or as a date."""
+    first, last = _days(text, fmt)
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("day"))
+    return days.select(F.date_format("day", out).alias("day")) if out else days

@@ -177,13 +177,15 @@ def apply_history(warehouse: Warehouse, table: str, source: DataFrame, how: Trac
     """Keep a stored history. Open and closed versions are separate partitions: a run rewrites the
     open ones and appends what it closed; closed versions are never written again."""
     marked = lambda df: df.withColumn("_is_open", how.is_open())
-    if not warehouse.exists(table):
-        warehouse.write_table(table, marked(first_history(source, how, now)), OPEN, how.keys)
-        return
     with staged(source) as source:
-        repeated = source.groupBy(*how.keys).count().where("count > 1").take(1)
+        # in every run alike; a missing key matches nothing, unless NULLs are keys
+        named = source if how.null_safe else source.dropna(subset=list(how.keys))
+        repeated = named.groupBy(*how.keys).count().where("count > 1").take(1)
         if repeated:
             raise ValueError(f"the source of history {table} repeats a key, for example {repeated[0].asDict()}")
+        if not warehouse.exists(table):
+            warehouse.write_table(table, marked(first_history(source, how, now)), OPEN, how.keys)
+            return
         stored = warehouse.read(table)
         with staged(changes(stored.drop("_is_open"), source, how, now)) as made:
             _store(warehouse, table, stored, made, marked, how)

@@ -89,8 +89,13 @@ def fixed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, for results that are read later than the caller returns. The
     folder goes when the application ends."""
     spark = df.sparkSession
-    path = f"{working_folder(spark)}/fixed/{uuid.uuid4().hex}"
+    path = until_the_end(spark, f"{working_folder(spark)}/fixed/{uuid.uuid4().hex}")
     df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def until_the_end(spark: SparkSession, path: str) -> str:
+    """``path``, whatever is written there removed when the application ends."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
+    return path

@@ -7,10 +7,9 @@ high-water mark, so late rows are not lost.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import replace
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewind.operators import incremental as inc
@@ -41,21 +40,26 @@ def replace_batches_stream(stream: DataFrame, warehouse: Warehouse, table: str,
     """Recompute the time batches that new events fall into and replace their partitions.
 
     ``stream`` tells which batches are touched, by its ``how.partition.field``; ``rows`` is the whole
-    batch query, of which only the touched batches are read. A late event makes its batch run again.
+    batch query, of which only the touched batches are read. A late event makes its batch run again, and one that
+    leaves a batch empty removes it. Rows without a time are one batch of their own.
     """
     part = how.partition
     if not isinstance(part, TimePartition):
         raise ValueError("replacing batches needs a time partition")
 
     def work(batch: DataFrame, number: int) -> None:
-        value = part.value().alias("value")
-        touched: Sequence = [r[0] for r in batch.select(value).where("value IS NOT NULL").distinct().collect()]
+        touched = [r[0] for r in batch.select(part.value().alias("value")).distinct().collect()]
         if not touched:
             return
         new = rows().withColumn("_batch", part.value()).where(is_in("_batch", touched)).drop("_batch")
         if not warehouse.exists(table):
             warehouse.write_table(table, new, part, how.cluster)
-        else:
-            inc.apply(warehouse, table, new, replace(how, strategy="insert_overwrite", partitions=tuple(touched)))
+            return
+        with staged(new) as new:
+            new, _ = inc.change_schema(warehouse, table, new, how)
+            filled = {r[0] for r in new.select(part.value()).distinct().collect()}
+            if filled:
+                warehouse.replace_partitions(table, new, part, how.cluster)
+            warehouse.drop_partitions(table, [v for v in touched if v not in filled])
 
     return _start(stream, work, checkpoint, once)
