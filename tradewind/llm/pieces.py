@@ -31,9 +31,10 @@ from tradewind.llm.staging import free_name
 from tradewind.llm.token_files import by_size, ranges
 
 SPACE = "▁"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 _DEPTH = 32  # bytes by which suffixes are sorted; no piece but runs of spaces is longer
 _TABLE_BITS = 22
+_CHUNK = 2_500_000  # bytes of text at a time
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -279,7 +280,7 @@ class Pieces:
         for u in new:
             part.append(u)
             size += len(u)
-            if size > 1_000_000:
+            if size > 400_000:
                 self.known.update(zip(part, self._encode_words(part), strict=True))
                 size, part = 0, []
         if part:
@@ -346,7 +347,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "p
         model = pieces(path)
         for batch in batches:
             texts = batch.column(at)
-            for a, b in by_size(texts):
+            for a, b in by_size(texts, _CHUNK):
                 part = batch.slice(a, b - a)
                 own = part.column(at)
                 ids, counts = model(own)
