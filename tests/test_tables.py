@@ -305,3 +305,49 @@ def test_alter_columns(wh):
     assert wh.read("gold.t").where("note IS NULL AND n IS NULL").count() == 5
     inc.alter_columns(wh, "gold.t", drop=["note", "value"], how=how)
     assert wh.read("gold.t").columns == ["id", "at", "status", "n"] and wh.read("gold.t").count() == 5
+
+
+def test_a_failed_swap_leaves_the_old_table(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path), {"gold": "swap_gold"})
+    by = TimePartition("t", "day")
+    rows = lambda n: spark.range(n).selectExpr("id", "timestamp'2024-01-01' + make_dt_interval(CAST(id AS INT)) AS t")
+    wh.write_table("gold.a", rows(3), by)
+    rename, calls = wh._rename, []
+
+    def fails(name, to):
+        calls.append(name)
+        if name.endswith("__build"):
+            raise RuntimeError("killed")
+        rename(name, to)
+
+    wh._rename = fails
+    with pytest.raises(RuntimeError):
+        wh.write_table("gold.a", rows(5), by)
+    assert wh.read("gold.a").count() == 3 and len(calls) == 3
+    # the driver dies between the two renames
+    wh._rename = rename
+    wh._rename("swap_gold.a", "swap_gold.a__old")
+    assert Warehouse(spark, str(tmp_path), {"gold": "swap_gold"}).read("gold.a").count() == 3
+    wh.write_table("gold.a", rows(5), by)
+    assert wh.read("gold.a").count() == 5 and len(wh.partition_values("gold.a")) == 5 and wh.layout("gold.a") == (by, ())
+
+
+def test_copies_and_changed_columns_keep_the_layout(spark, tmp_path):
+    from tradewind.operators import incremental as inc
+
+    wh = Warehouse(spark, str(tmp_path), {"gold": "layout_gold"})
+    by = TimePartition("t", "day")
+    rows = spark.range(4).selectExpr("id", "id AS other", "timestamp'2024-01-01' + make_dt_interval(CAST(id % 2 AS INT)) AS t")
+    wh.write_table("gold.a", rows, by, ("id",))
+    wh.clone("gold.a", "gold.b")
+    wh.copy(["gold.a", "gold.b"], "gold.c")
+    wh.copy(["gold.a"], "gold.c", "incremental")
+    inc.change_column_type(wh, "gold.a", "id", "string")
+    inc.alter_columns(wh, "gold.a", drop=["other"])
+    for name, count in (("a", 4), ("b", 4), ("c", 12)):
+        table = f"gold.{name}"
+        assert wh.layout(table) == (by, ("id",)) and wh.partition_columns(table) == ["t_day"], name
+        assert len(wh.partition_values(table)) == 2 and wh.read(table).count() == count
+    assert dict(wh.read("gold.a").dtypes) == {"id": "string", "t": "timestamp"}
+    with pytest.raises(ValueError, match="stored by"):
+        inc.change_column_type(wh, "gold.a", "id", "int", inc.Incremental(partition=TimePartition("t", "month"), keys=("id",)))

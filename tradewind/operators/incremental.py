@@ -79,9 +79,7 @@ def is_incremental(warehouse: Warehouse, table: str, full_refresh: bool = False)
 
 def rows_of(warehouse: Warehouse, table: str, part: Partition | None) -> DataFrame:
     """Stored rows in the columns of the source: a field that only lives on as partition comes back."""
-    if part is None or not part.drop_field:
-        return warehouse.read(table)
-    return warehouse.read(table, technical=True).withColumn(part.field, part.time()).drop(part.column)
+    return warehouse.rows(table, part)
 
 
 def apply(warehouse: Warehouse, table: str, source: DataFrame, how: Incremental) -> None:
@@ -143,7 +141,7 @@ def _rewrite(warehouse: Warehouse, table: str, source: DataFrame, how: Increment
     if doubtful:
         stays = new.withColumn(value, part.value()).where(is_in(value, doubtful)).select(value).distinct().collect()
         emptied = [v for v in doubtful if v not in {r[0] for r in stays}]
-    warehouse.replace_partitions(table, new, part, how.cluster)
+    warehouse.replace_partitions(table, new, part, how.cluster, [v for v in leaving | arriving if v not in emptied])
     warehouse.drop_partitions(table, emptied)
 
 
@@ -158,10 +156,9 @@ def insert_overwrite(warehouse: Warehouse, table: str, source: DataFrame, how: I
     with staged(source.withColumn("_replaces", replaces)) as rows:
         inside = rows.where("_replaces").drop("_replaces")
         outside = rows.where(~F.col("_replaces")).drop("_replaces")
-        warehouse.replace_partitions(table, inside, part, how.cluster)
-        if listed:
-            filled = {str(r[0]) for r in inside.select(part.value()).distinct().collect()}
-            warehouse.drop_partitions(table, [v for v in listed if str(v) not in filled])
+        filled = [r[0] for r in inside.select(part.value()).distinct().collect()]
+        warehouse.replace_partitions(table, inside, part, how.cluster, filled)
+        warehouse.drop_partitions(table, [v for v in listed if str(v) not in {str(f) for f in filled}])
         if not outside.isEmpty():
             warehouse.append(table, outside, part, how.cluster)
 
@@ -247,17 +244,27 @@ def change_schema(warehouse: Warehouse, table: str, source: DataFrame, how: Incr
     return fit(source, rows_of(warehouse, table, how.partition).schema), []
 
 
-def change_column_type(warehouse: Warehouse, table: str, column: str, kind: str, how: Incremental = Incremental()) -> None:
-    warehouse.write_table(table, cast_column(rows_of(warehouse, table, how.partition), column, kind), how.partition, how.cluster)
+def _kept_layout(warehouse: Warehouse, table: str, how: Incremental | None) -> tuple[Partition | None, tuple[str, ...]]:
+    """The layout a table was written with; one that ``how`` states must be the same."""
+    partition, cluster = warehouse.layout(table)
+    if how and how.partition and how.partition != partition:
+        raise ValueError(f"{table} is stored by {partition}, not by {how.partition}")
+    return partition, how.cluster if how and how.cluster else cluster
+
+
+def change_column_type(warehouse: Warehouse, table: str, column: str, kind: str, how: Incremental | None = None) -> None:
+    """Rewrites a table with one column in another type, in the layout it has."""
+    partition, cluster = _kept_layout(warehouse, table, how)
+    warehouse.write_table(table, cast_column(warehouse.rows(table, partition), column, kind), partition, cluster)
 
 
 def alter_columns(warehouse: Warehouse, table: str, add: Mapping[str, str] | None = None, drop: Sequence[str] = (),
-                  how: Incremental = Incremental()) -> None:
-    """Add columns (NULL in the rows there are), drop columns. Adding only changes the catalog;
-    dropping rewrites the files."""
+                  how: Incremental | None = None) -> None:
+    """Add columns (NULL in the rows there are), drop columns. Adding only changes the catalog; dropping rewrites
+    the files in the layout the table has."""
     if add:
         listed = ", ".join(f"{c} {spark_type(t)}" for c, t in add.items())
         warehouse.spark.sql(f"ALTER TABLE {warehouse.full_name(table)} ADD COLUMNS ({listed})")
     if drop:
-        kept = drop_columns(rows_of(warehouse, table, how.partition), drop)
-        warehouse.write_table(table, kept, how.partition, how.cluster)
+        partition, cluster = _kept_layout(warehouse, table, how)
+        warehouse.write_table(table, drop_columns(warehouse.rows(table, partition), drop), partition, cluster)

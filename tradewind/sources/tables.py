@@ -7,8 +7,9 @@ files written by several tasks.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -84,6 +85,9 @@ class ValuePartition:
 
 
 Partition = TimePartition | RangePartition | ValuePartition
+KINDS = {kind.__name__: kind for kind in (TimePartition, RangePartition, ValuePartition)}
+# table property with the partition and the cluster columns of a table
+LAYOUT = "tradewind.table_layout"
 
 
 def is_in(column: str, values: Sequence) -> Column:
@@ -115,13 +119,26 @@ class Warehouse:
     # -- lookup ---------------------------------------------------------------------------------
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.full_name(table))
+        return self._there(self.full_name(table)) or self._recover(table)
+
+    def _there(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(name)
+
+    def _recover(self, table: str) -> bool:
+        """Gives a table its name back that a rebuild set aside and, killed in between, never replaced."""
+        name = self.full_name(table)
+        if not self._there(f"{name}__old"):
+            return False
+        self._rename(f"{name}__old", name)
+        return True
 
     def is_view(self, table: str) -> bool:
         return self.spark.catalog.getTable(self.full_name(table)).tableType == "VIEW"
 
     def read(self, table: str, technical: bool = False) -> DataFrame:
         """The table without its derived partition column, unless ``technical``."""
+        if not self._there(self.full_name(table)):
+            self._recover(table)
         df = self.spark.table(self.full_name(table))
         if technical:
             return df
@@ -141,6 +158,22 @@ class Warehouse:
         value = F.when(text != "__HIVE_DEFAULT_PARTITION__", F.url_decode(text)).cast(kind)
         return [r[0] for r in listed.select(value).collect()]
 
+    def rows(self, table: str, part: Partition | None) -> DataFrame:
+        """Stored rows in the columns they came with: a field that only lives on as partition comes back."""
+        if part is None or not part.drop_field:
+            return self.read(table)
+        return self.read(table, technical=True).withColumn(part.field, part.time()).drop(part.column)
+
+    def layout(self, table: str) -> tuple[Partition | None, tuple[str, ...]]:
+        """Partition and cluster columns that a table was written with."""
+        if self.is_view(table):
+            return None, ()
+        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(table)}").where(F.col("key") == LAYOUT).first()
+        if shown is None:
+            return None, ()
+        known = json.loads(shown["value"])
+        return KINDS[known["kind"]](**known["partition"]) if known["kind"] else None, tuple(known["cluster"])
+
     # -- write ----------------------------------------------------------------------------------
 
     def arrange(self, df: DataFrame, partition: Partition | None = None, cluster: Sequence[str] = ()) -> DataFrame:
@@ -163,22 +196,43 @@ class Warehouse:
 
     def write_table(self, table: str, df: DataFrame, partition: Partition | None = None,
                     cluster: Sequence[str] = ()) -> None:
-        """Full rebuild. The new table is written beside the old one and takes its name at the end,
-        so a failed job leaves the old table in place, and ``df`` may read the old table."""
+        """Full rebuild. The new table is written beside the old one and takes its name at the end, so a failed
+        job leaves the old table in place, and ``df`` may read the old table. The old table is set aside and
+        dropped only when the new one has its name; if that fails it gets its name back, at once or, if the driver
+        was killed, when the table is next looked up."""
         self._make_database(table)
         name = self.full_name(table)
-        build = f"{name}__build"
+        self.exists(table)
+        build, old = f"{name}__build", f"{name}__old"
         self.spark.sql(f"DROP TABLE IF EXISTS {build}")
         writer = self.arrange(df, partition, cluster).write.format("parquet")
         if partition:
             writer = writer.partitionBy(partition.column)
         writer.saveAsTable(build)
-        self.drop(table)
-        self.spark.sql(f"ALTER TABLE {build} RENAME TO {name}")
-        if partition:
+        layout = {"kind": type(partition).__name__ if partition else None, "partition": asdict(partition) if partition else {}, "cluster": list(cluster)}
+        text = json.dumps(layout).replace("'", "\\'")
+        self.spark.sql(f"ALTER TABLE {build} SET TBLPROPERTIES ('{LAYOUT}' = '{text}')")
+        if not self._there(name):
+            self._rename(build, name)
+            return
+        if self.is_view(table):
+            self.drop(table)
+            self._rename(build, name)
+            return
+        self._rename(name, old)
+        try:
+            self._rename(build, name)
+        except Exception:
+            self._rename(old, name)
+            raise
+        self.spark.sql(f"DROP TABLE {old}")
+
+    def _rename(self, name: str, to: str) -> None:
+        self.spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
+        if any(c.isPartition for c in self.spark.catalog.listColumns(to)):
             # a catalog may keep partitions at the folder of the old name: list them anew
-            self.spark.sql(f"MSCK REPAIR TABLE {name} DROP PARTITIONS")
-            self.spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
+            self.spark.sql(f"MSCK REPAIR TABLE {to} DROP PARTITIONS")
+            self.spark.sql(f"MSCK REPAIR TABLE {to} ADD PARTITIONS")
 
     def drop(self, table: str) -> None:
         if self.exists(table):
@@ -189,9 +243,11 @@ class Warehouse:
         out = self.arrange(df, partition, cluster)
         out.select(*self.spark.table(self.full_name(table)).columns).write.insertInto(self.full_name(table))
 
-    def replace_partitions(self, table: str, df: DataFrame, partition: Partition, cluster: Sequence[str] = ()) -> None:
+    def replace_partitions(self, table: str, df: DataFrame, partition: Partition, cluster: Sequence[str] = (),
+                           values: Sequence | None = None) -> None:
         """Replace exactly the partitions that occur in ``df``. ``df`` may read the same table: old
-        files are removed when the job commits.
+        files are removed when the job commits. With ``values``, the partition values in ``df``, only these are
+        made known to the catalog; else it lists all folders of the table.
 
         The overwrite mode is an option of this one write. As a session setting it could be reset by
         another thread, and a static overwrite would empty the table.
@@ -200,7 +256,11 @@ class Warehouse:
         out = self.arrange(df, partition, cluster).select(*self.spark.table(name).columns)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition.column).parquet(self.location(table)))
-        self.spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
+        if values is None:
+            self.spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
+        for i in range(0, len(values or ()), 500):
+            specs = " ".join(f"PARTITION ({partition.column} = {'NULL' if v is None else repr(str(v))})" for v in values[i:i + 500])
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
         self.spark.catalog.refreshTable(name)
 
     def location(self, table: str) -> str:
@@ -229,24 +289,26 @@ class Warehouse:
             body.createOrReplaceTempView(table.rpartition(".")[2])
 
     def copy(self, sources: Sequence[str], table: str, mode: str = "table") -> None:
-        """Rows of several tables into one: replacing it (``table``) or added to it (``incremental``)."""
-        rows = reduce(DataFrame.unionByName, [self.read(s) for s in sources])
+        """Rows of several tables into one: replacing it (``table``, in the layout of the first source) or added to it
+        (``incremental``, in its own layout)."""
+        if mode not in ("table", "incremental"):
+            raise ValueError(f"unknown copy mode: {mode}")
+        rows = reduce(DataFrame.unionByName, [self.rows(s, self.layout(s)[0]) for s in sources])
         if mode == "incremental" and self.exists(table):
-            self.append(table, rows)
-        elif mode in ("table", "incremental"):
-            self.write_table(table, rows)
+            self.append(table, rows, *self.layout(table))
         else:
-            raise ValueError(f"unknown copy mode: {mode}")
+            self.write_table(table, rows, *self.layout(sources[0]))
 
     def clone(self, source: str, table: str, full_refresh: bool = False, as_view: bool = False) -> None:
-        """Copy of another table; kept as it is when present, unless ``full_refresh``. ``as_view``
+        """Copy of another table in its layout; kept as it is when present, unless ``full_refresh``. ``as_view``
         points at the source instead of copying files."""
         if self.exists(table) and not full_refresh:
             return
         if as_view:
             self.create_view(table, f"SELECT * FROM {self.full_name(source)}", full_refresh)
         else:
-            self.write_table(table, self.read(source))
+            partition, cluster = self.layout(source)
+            self.write_table(table, self.rows(source, partition), partition, cluster)
 
     def materialized_view(self, table: str, query: Callable[[], DataFrame], partition: Partition | None = None,
                           cluster: Sequence[str] = ()) -> "MaterializedView":
