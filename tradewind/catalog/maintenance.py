@@ -224,6 +224,23 @@ def stored_fct_order_items(spark, d):
     return wh.read("gold.fct_order_items")
 
 
+def stored_changed_columns(spark, d):
+    """A column in another type, another one dropped: the table keeps its partitions."""
+    wh = warehouse(spark)
+    wh.write_table("gold.events", table(spark, d, "events").select(*EVENT), TimePartition("ts", "month"))
+    inc.change_column_type(wh, "gold.events", "event_id", "string")
+    inc.alter_columns(wh, "gold.events", drop=["value"])
+    return wh.read("gold.events", technical=True)
+
+
+def newest_partition(spark, d):
+    """Events per type in the newest partition, which the catalog names."""
+    wh, by = warehouse(spark), TimePartition("ts", "month")
+    wh.write_table("gold.events", table(spark, d, "events").select(*EVENT), by)
+    newest = wh.read("gold.events", technical=True).where(F.col(by.column) == F.lit(inc.max_partition(wh, "gold.events")))
+    return newest.groupBy("event_type").agg(F.count("*").alias("events"))
+
+
 def stored_update_nothing(spark, d):
     """A merge all of whose columns to update are missing in the new rows: stored rows stay, new ones are added."""
     wh, how = warehouse(spark), Incremental("merge", ("order_id",), BY_MONTH, update=("customer_id",), on_schema_change="append_new_columns")
@@ -271,7 +288,8 @@ QUERIES = {f.__name__: f for f in (
     merge_upsert, merge_update_columns, merge_exclude_columns, merge_predicates, merge_ambiguous_keys, append,
     delete_insert, delete_insert_predicate, overwrite_static, overwrite_dynamic, microbatch, high_watermark,
     schema_append_columns, schema_sync_columns, stored_merge, stored_overwrite, stream_upsert, stream_replace_days,
-    stored_fct_orders, stored_fct_order_items, stored_update_nothing, scd2_first_build,
+    stored_fct_orders, stored_fct_order_items, stored_update_nothing,
+    stored_changed_columns, newest_partition, scd2_first_build,
 )} | {name: _history(how) for name, how in TRACKED.items()}
 
 
@@ -391,6 +409,11 @@ ORACLE = {
         SELECT date_trunc('day', ts) AS day, count(*) AS events, count(DISTINCT user_id) AS users FROM (
             SELECT ts, user_id FROM events UNION ALL SELECT ts + INTERVAL 31 DAY, user_id FROM events WHERE event_id % 3 = 0
             UNION ALL SELECT CASE WHEN event_id % 7 <> 0 THEN ts END, user_id FROM events WHERE event_id % 5 = 0) GROUP BY 1""",
+    "stored_changed_columns": """
+        SELECT cast(event_id AS varchar) AS event_id, ts, user_id, event_type, cast(date_trunc('month', ts) AS date) AS ts_month FROM events""",
+    "newest_partition": """
+        SELECT event_type, count(*) AS events FROM events
+        WHERE date_trunc('month', ts) = (SELECT max(date_trunc('month', ts)) FROM events) GROUP BY 1""",
     "stored_fct_orders": sql(f"""
         SELECT * REPLACE (CASE WHEN {PLACED} > (SELECT max({PLACED}) FROM orders_enriched WHERE {PLACED} < TIMESTAMP '2000-01-01')
                                THEN 'new ' || order_status ELSE order_status END AS order_status) FROM orders_enriched

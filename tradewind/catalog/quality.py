@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from tradewind.catalog.bound import Bound, sql
 from tradewind.catalog.models import SOURCE_VIEWS
@@ -114,10 +115,17 @@ def freshness_filtered(spark, d):
     return quality.freshness(table(spark, d, "events"), "ts", NOW, timedelta(hours=1), timedelta(hours=24), where="event_type = 'error' AND ts < '2024-01-20'")
 
 
+ORDER_FACT = """order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp, order_approved_at timestamp,
+    order_delivered_carrier_date timestamp, order_delivered_customer_date timestamp, order_estimated_delivery_date timestamp,
+    total_payment_value double, payment_count bigint, max_installments bigint, payment_methods_used string, unique_products bigint,
+    total_item_value double, total_freight_value double, avg_item_price double, total_items bigint, order_total double,
+    delivery_days bigint, delivery_status string, hours_to_approval bigint"""
+
+
 def contract(spark, d):
-    """Order facts in the columns and types declared for them."""
+    """Order facts in the columns and types declared for them, whatever their order."""
     df = Bound(spark, d).orders_enriched()
-    return quality.require_contract(df.select(*reversed(df.columns)), df.schema)
+    return quality.require_contract(df.select(*reversed(df.columns)), DataType.fromDDL(ORDER_FACT))
 
 
 def compare_with_expected(spark, d):

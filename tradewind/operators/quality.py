@@ -80,10 +80,13 @@ def negative_order_values(orders: DataFrame) -> DataFrame:
 
 
 def compare_with_expected(actual: DataFrame, expected: DataFrame) -> DataFrame:
-    """Rows of only one side, with repeats, marked ``actual`` or ``expected``."""
-    actual = actual.select(*expected.columns)
-    side = lambda df, name: df.withColumn("actual_or_expected", F.lit(name))
-    return side(actual.exceptAll(expected), "actual").unionByName(side(expected.exceptAll(actual), "expected"))
+    """Rows of only one side, with repeats, marked ``actual`` or ``expected``. One grouping counts the rows of both sides
+    against each other."""
+    columns = expected.columns
+    both = actual.select(*columns, F.lit(1).alias("_n")).unionAll(expected.select(*columns, F.lit(-1).alias("_n")))
+    more = both.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    side = F.when(F.col("_n") > 0, "actual").otherwise("expected").alias("actual_or_expected")
+    return more.select(*columns, side, F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_n"))).alias("_n")).drop("_n")
 
 
 # -- many columns at once ---------------------------------------------------------------------------
