@@ -136,11 +136,12 @@ def test_strategy_needs():
         Incremental("no_such")
 
 
-def test_microbatch(wh):
+@pytest.mark.parametrize("one_pass", [False, True])
+def test_microbatch(wh, one_pass):
     how = Incremental("microbatch", partition=DAY)
     start(wh, how)
     new = make(wh.spark, [("z", D1, "again", 1), ("y", D3, "again", 2), ("x", datetime(2024, 1, 9), "outside", 3)])
-    n = inc.microbatch(wh, "gold.t", lambda lo, hi: new, how, datetime(2024, 1, 1, 12), datetime(2024, 1, 4))
+    n = inc.microbatch(wh, "gold.t", lambda lo, hi: new, how, datetime(2024, 1, 1, 12), datetime(2024, 1, 4), one_pass)
     assert n == 3
     # the day of b had no rows in its batch, so its partition is gone
     assert {(r.id, r.value) for r in wh.read("gold.t").collect()} == {("z", 1), ("y", 2), ("d", 5)}

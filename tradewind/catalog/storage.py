@@ -158,7 +158,7 @@ def stored_copy_partitions(spark, d):
 def stored_microbatch(spark, d):
     wh, how = warehouse(spark), Incremental("microbatch", partition=BY_MONTH)
     wh.write_table("gold.orders", old_rows(spark, d), BY_MONTH)
-    inc.microbatch(wh, "gold.orders", lambda lo, hi: new_rows(spark, d), how, datetime(1999, 3, 10), datetime(1999, 9, 20))
+    inc.microbatch(wh, "gold.orders", lambda lo, hi: new_rows(spark, d), how, datetime(1999, 3, 10), datetime(1999, 9, 20), one_pass=True)
     return wh.read("gold.orders")
 
 

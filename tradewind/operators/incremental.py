@@ -164,15 +164,20 @@ def insert_overwrite(warehouse: Warehouse, table: str, source: DataFrame, how: I
 
 
 def microbatch(warehouse: Warehouse, table: str, rows: Callable[[datetime, datetime], DataFrame], how: Incremental,
-               begin: datetime, end: datetime) -> int:
+               begin: datetime, end: datetime, one_pass: bool = False) -> int:
     """Run the query once per batch window and replace that window's partition. Windows are
-    independent: a failed one can be run again alone."""
+    independent: a failed one can be run again alone.
+
+    With ``one_pass`` the query runs once over all windows, which reads the source once. It is for queries that never
+    combine rows of different windows; the outcome is then the same.
+    """
     part = how.partition
     if not isinstance(part, TimePartition):
         raise ValueError("microbatch needs a time partition, whose granularity is the batch size")
     windows = merge.batch_windows(begin, end, part.granularity)
-    for lo, hi in windows:
-        value = lo.strftime("%Y-%m-%d-%H") if part.granularity == "hour" else lo.date()
+    named = [lo.strftime("%Y-%m-%d-%H") if part.granularity == "hour" else lo.date() for lo, _ in windows]
+    runs = [(windows[0][0], windows[-1][1], named)] if one_pass and windows else [(lo, hi, [v]) for (lo, hi), v in zip(windows, named)]
+    for lo, hi, values in runs:
         at = F.col(part.field)
         batch = rows(lo, hi).where((at >= time_literal(lo)) & (at < time_literal(hi)))
         if not warehouse.exists(table):
@@ -180,10 +185,10 @@ def microbatch(warehouse: Warehouse, table: str, rows: Callable[[datetime, datet
             continue
         with staged(batch) as batch:
             batch, _ = change_schema(warehouse, table, batch, how)
-            if batch.isEmpty():
-                warehouse.drop_partitions(table, [value])
-            else:
-                warehouse.replace_partitions(table, batch, part, how.cluster)
+            filled = {r[0] for r in batch.select(part.value()).distinct().collect()}
+            if filled:
+                warehouse.replace_partitions(table, batch, part, how.cluster, list(filled))
+            warehouse.drop_partitions(table, [v for v in values if v not in filled])
     return len(windows)
 
 
