@@ -301,7 +301,7 @@ def test_language(spark):
     rows = [(i, sentence(i, 60), "en", "a.example.com") for i in range(60)] + [(100 + i, sentence(i, 60, FRENCH), "fr", "b.example.fr") for i in range(60)]
     rows += [(200 + i, sentence(i, 60, GERMAN), "de", "c.example.de") for i in range(60)]
     rows += [(300, sentence(1, 60, FRENCH), "en", "b.example.fr"), (301, sentence(1, 60, GERMAN), None, None), (302, "12 34 !!", "fr", "b.example.fr"),
-             (303, "\u0436\u0437\u0438\u0439 " * 60, "en", "a.example.com"), (304, None, "en", "a.example.com")]
+             (303, "\u0436\u0437\u0438\u0439 " * 60, None, "a.example.com"), (304, None, "en", "a.example.com")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got = {r["doc_id"]: r for r in language.identify(docs, ("en", "fr", "de")).collect()}
     assert all(got[i]["language"] == "en" and got[i]["accepted"] for i in range(60))
