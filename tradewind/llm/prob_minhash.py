@@ -4,11 +4,11 @@ A text is its five-word shingles, weighted by how often they occur. Every shingl
 weight; its arrivals fall into random registers, and each register keeps the shingle that arrived first. Two texts agree in a
 register with the probability that is their probability Jaccard similarity. Arrivals are drawn in rounds, and a shingle
 stops as soon as its next arrival is later than what every register has seen. Registers are banded, texts that share a band
-are candidates, and candidates are verified by their exact similarity.
+are candidates, and candidates whose other registers do not speak against it are verified by their exact similarity.
 
 Equal word sequences are one node. Buckets are not expanded into pairs: each round tests the members of a bucket
-against its first few members only, and only those that are not yet in one class with them; later rounds go on
-with twice as many of the next ones, until no bucket holds an untested pair of different classes.
+against its most central members only, and only those that are not yet in one class with them; later rounds go on
+with four times as many of the next ones, until no bucket holds an untested pair of different classes.
 """
 
 from __future__ import annotations
@@ -27,6 +27,10 @@ from tradewind.llm.staging import free_name, written
 from tradewind.llm.token_files import by_size
 from tradewind.llm.words import words
 
+# Classes are joined anew after a round in which more than this share of the tested pairs were links; where fewer are,
+# classes that are not joined yet cost few tests more.
+LINKING = 0.05
+
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD,
                          0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 
@@ -115,23 +119,49 @@ def node(text: Column) -> Column:
     return F.unhex(F.md5(F.array_join(words(text), " ")))
 
 
+def _packed(z: np.ndarray) -> np.ndarray:
+    """Four bits of each register, 16 to a number."""
+    bits = np.zeros((len(z), -(-z.shape[1] // 16) * 16), np.uint64)
+    bits[:, :z.shape[1]] = z & np.uint64(15)
+    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
+    return (bits.reshape(len(z), -1, 16) << shifts).sum(2, dtype=np.uint64).view(np.int64)
+
+
+def _may_be(least: float, registers: int, first: str, second: str) -> Column:
+    """Whether two sketches (columns first0, ... and second0, ...) agree as texts of similarity ``least`` do, but for one
+    such pair in 10,000: their share of equal registers is below it by less than 3.7 deviations."""
+    ones = 0x1111111111111111
+    shift = lambda x, n: F.shiftrightunsigned(x, n)
+    differ = F.lit(0)
+    for i in range(-(-registers // 16)):
+        x = F.col(f"{first}{i}").bitwiseXOR(F.col(f"{second}{i}"))
+        x = x.bitwiseOR(shift(x, 1))
+        differ = differ + F.bit_count(x.bitwiseOR(shift(x, 2)).bitwiseAND(F.lit(ones)))
+    bound = least - 3.7 * (least * (1 - least) / registers) ** 0.5
+    # unequal registers agree in four bits one time in 16
+    return differ <= int((1 - bound) * registers * 15 / 16) + 1
+
+
 def _banded(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
-    """id, u, bands of each row of ``docs`` (id, t): the hash of each band of the signature, none without a word."""
+    """id, x (a hash of the text), u, bands, sketch of each row of ``docs`` (id, t): the hash of each band of the signature, none without a word,
+    and some bits of all registers. There are twice as many registers as the bands use."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2)
+            texts = batch.column(3)
             for a, b in by_size(texts, 4_000_000):
                 sets = shingles(texts.slice(a, b - a), size)
-                parts = signatures(sets, bands * rows).reshape(len(sets), bands, rows)
+                z = signatures(sets, 2 * bands * rows)
+                parts = z[:, :bands * rows].reshape(len(sets), bands, rows)
                 hashed = np.zeros((len(sets), bands), np.uint64)
                 for j in range(rows):
                     hashed = _mix(hashed * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j])
                 lists = [h if len(s) else h[:0] for h, (s, _) in zip(hashed.view(np.int64), sets, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(lists, pa.list_(pa.int64()))],
-                                                 ["id", "u", "bands"])
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(a, b - a) for c in batch.columns[:3]), pa.array(lists, pa.list_(pa.int64())),
+                     pa.array(list(_packed(z)), pa.list_(pa.int64()))], ["id", "x", "u", "bands", "sketch"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", node(F.col("t")).alias("u"), "t").mapInArrow(work, f"id {kind}, u binary, bands array<long>")
+    return docs.select("id", F.xxhash64("t").alias("x"), node(F.col("t")).alias("u"), "t").mapInArrow(work, f"id {kind}, x long, u binary, bands array<long>, sketch array<long>")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
@@ -145,7 +175,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> Data
                 near = [similarity(left[i], r) >= least for i, r in zip(coded.indices.to_pylist(), right, strict=True)]
                 yield pa.RecordBatch.from_arrays([c.slice(a, b - a).filter(pa.array(near, pa.bool_())) for c in (batch.column(0), batch.column(1))], ["a", "b"])
 
-    # the longer rows meet the more common side last, where a skewed partition is seen and split
+    # a centre with many partners comes last, when the rows are long and a skewed partition is seen and split
     full = pairs.join(texts.select(F.col("u").alias("b"), F.col("t").alias("tb")), "b")
     full = full.join(texts.select(F.col("u").alias("a"), F.col("t").alias("ta")), "a")
     return full.select("a", "b", "ta", "tb").mapInArrow(work, "a binary, b binary")
@@ -181,41 +211,57 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     connect, and class_id is the smallest id in the class (a null id counts as the largest). Texts of equal words are always in
     one class; so are all texts without a word, null ones included. Repeated rows are in one class and count in its size. With
     32 bands of 7 a pair at 0.8 is a candidate with probability 0.9995, and with more above; every candidate pair is
-    either verified or connected by others. Other columns are not read; an empty table gives no rows.
+    verified, connected by others, or so different in 448 registers that one linked pair in 10,000 would be. Other
+    columns are not read; an empty table gives no rows.
     """
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     signed = written(_banded(slim, bands, rows, size))
-    groups = written(signed.groupBy("u").agg(F.min(F.struct(F.col("id").isNull(), "id"))["id"].alias("rep"), F.count("*").alias("n"),
-                                             F.first("bands").alias("bands")))
+    groups = signed.groupBy("u").agg(F.min(F.struct(F.col("id").isNull(), "id", "x")).alias("rep"), F.count("*").alias("n"), F.first("bands").alias("bands"))
+    groups = written(groups.select("u", F.col("rep.id").alias("rep"), F.col("rep.x").alias("rep_x"), "n", "bands"))
     each = groups.select("u", F.posexplode("bands").alias("band", "h"))
-    shared = written(each.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1").select("band", "h"))
+    shared = written(each.groupBy("band", "h").agg(F.count("*").alias("size")).filter("size > 1"))
     members = written(each.join(shared, ["band", "h"]))
-    wanted = groups.join(members.select("u").distinct(), "u", "left_semi").select(F.col("u").alias("g"), "rep")
-    named = slim.withColumn("u", node(F.col("t")))
-    texts = written(named.join(wanted, (F.col("u") == F.col("g")) & F.col("id").eqNullSafe(F.col("rep"))).select("u", "t").dropDuplicates(["u"]))
-    edges, tested, centres = None, None, 1
+    # who shares most bands with most others comes first: in a group of copies that is what they are copies of
+    order = written(members.groupBy("u").agg((-F.sum("size")).alias("place")).select("u", F.struct("place", "u").alias("order")))
+    registers = 2 * bands * rows
+    sketch = [F.get("sketch", i).alias(f"s{i}") for i in range(-(-registers // 16))]
+    order = written(signed.select("u", *sketch).join(order, "u").dropDuplicates(["u"]))
+    members = written(members.select("band", "h", "u").join(order, "u"))
+    wanted = groups.join(members.select("u").distinct(), "u", "left_semi").select("u", "rep", "rep_x")
+    texts = slim.join(wanted, F.col("id").eqNullSafe(F.col("rep")) & (F.xxhash64("t") == F.col("rep_x")))
+    texts = written(texts.select("u", "t").dropDuplicates(["u"]))
+    members = members.withColumn("l", F.col("u"))
+    edges, tested, centres, stale = None, None, 1, False
     labels = texts.select("u", F.col("u").alias("l")).limit(0)
     while True:
-        known = members.join(labels, "u", "left").select("band", "h", "u", F.coalesce("l", "u").alias("l"))
-        known = written(known)
-        open_ = known.groupBy("band", "h").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).filter("lo != hi").select("band", "h")
-        left = written(known.join(written(open_), ["band", "h"]))
+        open_ = members.groupBy("band", "h").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).filter("lo != hi").select("band", "h")
+        left = written(members.join(open_, ["band", "h"]))
         if left.isEmpty():
             break
-        place = F.row_number().over(Window.partitionBy("band", "h").orderBy("u"))
-        first = written(left.withColumn("place", place).filter(F.col("place") <= centres).select("band", "h", F.col("u").alias("a"), F.col("l").alias("la")))
-        # a member after its centre in order; members before it are centres themselves
-        pairs = left.join(first, ["band", "h"]).filter("u > a and l != la").select("a", F.col("u").alias("b")).distinct()
+        place = F.row_number().over(Window.partitionBy("band", "h").orderBy("order"))
+        first = written(left.withColumn("place", place).filter(F.col("place") <= centres)
+                        .select("band", "h", F.col("u").alias("a"), F.col("l").alias("la"), F.col("order").alias("first"),
+                                *[F.col(f"s{i}").alias(f"a{i}") for i in range(len(sketch))]))
+        # members behind the centre in order; those before it are centres themselves
+        pairs = left.join(first, ["band", "h"]).filter(F.expr("order > first and l != la") & _may_be(least, registers, "s", "a"))
+        pairs = pairs.select("a", F.col("u").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs)
         found = written(_linked(pairs, texts, least, size))
         tested = pairs if tested is None else tested.unionAll(pairs)
         edges = found if edges is None else edges.unionAll(found)
-        labels = components(edges)
+        n_found, n_pairs = found.count(), pairs.count()
+        stale |= n_found > 0
         # centres have met every member of their bucket
-        members = written(left.select("band", "h", "u").join(first.select("band", "h", F.col("a").alias("u")), ["band", "h", "u"], "left_anti"))
-        centres *= 2
+        members = left.join(first.select("band", "h", F.col("a").alias("u")), ["band", "h", "u"], "left_anti")
+        if n_found > LINKING * n_pairs:
+            labels, stale = components(edges), False
+            members = members.drop("l").join(labels, "u", "left").withColumn("l", F.coalesce("l", "u"))
+        members = written(members)
+        centres *= 4
+    if stale:
+        labels = components(edges)
     nodes = groups.select("u", "rep", "n").join(labels, "u", "left").select("u", "rep", "n", F.coalesce("l", "u").alias("l"))
     nodes = written(nodes)
     classes = written(nodes.groupBy("l").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "u")).alias("least"), F.sum("n").alias("class_size")))
