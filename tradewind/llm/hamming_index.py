@@ -39,7 +39,7 @@ class Codes:
         return np.packbits((vectors - self.mean) @ self.directions > 0, axis=1).view(np.uint16)
 
 
-def learn(sample: np.ndarray, k: int, bits: int = 128, quantile: float = 0.99, rounds: int = 30, seed: int = 3) -> Codes:
+def learn(sample: np.ndarray, k: int, bits: int = 128, quantile: float = 0.95, rounds: int = 30, seed: int = 3) -> Codes:
     """Codes learned on a sample of rows.
 
     The radius is the ``quantile`` of the code distances between sampled vectors and their k nearest neighbours in the
