@@ -21,6 +21,8 @@ SQL_SETTINGS = {
     # split a skewed join also where a later step would have used its partitioning
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # rows go to Python workers in batches of some megabytes, however long their texts are
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 # For a large cluster: many small shuffle partitions that AQE merges back to about 256 MB.
