@@ -31,7 +31,7 @@ from tradewind.llm.staging import free_name
 from tradewind.llm.token_files import by_size, ranges
 
 SPACE = "▁"
-CACHED_WORDS = 150_000
+CACHED_WORDS = 100_000
 _DEPTH = 32  # bytes by which suffixes are sorted; no piece but runs of spaces is longer
 _TABLE_BITS = 22
 _CHUNK = 2_500_000  # bytes of text at a time
