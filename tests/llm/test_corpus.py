@@ -292,14 +292,49 @@ def test_trees_on_held_out_urls(spark):
     assert len(got) == 400 and right > 380 and {r["decided_by"] for r in got} == {"trees"}
 
 
+def shaped(bad, host, path, seed):
+    """A URL at ``host`` and ``path``, with many digits and parameters if ``bad``."""
+    r = random.Random(seed)
+    return f"http://{host}{path}" + (f"{r.randint(10**8, 10**9)}/{r.randint(10**8, 10**9)}?a={r.randint(0, 10**6)}&b={r.randint(0, 10**6)}&c=7"
+                                     if bad else "".join(r.choice("abcdefgh") for _ in range(r.randint(3, 9))))
+
+
+def test_undecided_urls_of_a_named_suffix(spark):
+    """All labels of .com are block and all of .org allow, in either shape; those of .net follow the shape, and so do undecided URLs."""
+    rules = [url_filter.Rule("block", "example.com/de/"), url_filter.Rule("allow", "org/fr/"),
+             url_filter.Rule("block", "example.net/no/"), url_filter.Rule("allow", "example.net/ok/")]
+    urls = [shaped(i % 2, "a.example.com", "/de/", i) for i in range(24)] + [shaped(i % 2, "a.example.org", "/fr/", i) for i in range(24)]
+    urls += [shaped(i % 2, "a.example.net", "/no/" if i % 2 else "/ok/", i) for i in range(400)]
+    asked = [(bad, shaped(bad, f"a.example.{last}", "/en/", (last, bad, i).__repr__())) for last in ("com", "org") for bad in (0, 1) for i in range(20)]
+    pages = spark.createDataFrame(list(enumerate(urls + [u for _, u in asked])), "page_id long, url string")
+    got = {r["page_id"]: r for r in url_filter.judge(pages, "page_id", "url", rules, trees=5, depth=3).collect()}
+    assert {got[i]["decided_by"] for i in range(len(urls), len(got))} == {"trees"}
+    for last in ("com", "org"):
+        good, bad = (sum(got[i]["verdict"] == "block" for i, x in enumerate(asked, len(urls)) if x[0] == b and f".{last}/" in x[1]) for b in (0, 1))
+        assert bad >= good + 8, (last, good, bad)  # of 20 each
+
+
+def test_rates_do_not_tell_the_own_label(spark):
+    """Labelled URLs of one suffix and fold have one rate, whatever their labels."""
+    rows = [(f"http://a.com/{i}", float(i % 2)) for i in range(200)]
+    known = url_filter.lexical(spark.createDataFrame(rows, "u string, blocked double").selectExpr("*", "'a.com' AS h", "'/' AS p"), "u", "h", "p")
+    known = known.withColumn("fold", url_filter._fold(known["u"]))
+    got = url_filter._with_suffixes(known, url_filter.suffix_statistics(known), 0.5, 20.0, True).collect()
+    rates = {(r["fold"], r["f_last_rate"], r["f_site_rate"]) for r in got}
+    assert len(got) == 200 and len(rates) == len({x[0] for x in rates}) == url_filter.FOLDS
+    for fold, rate, _ in rates:
+        others = [r["blocked"] for r in got if r["fold"] != fold]
+        assert rate == (sum(others) + 10) / (len(others) + 20)
+
+
 # -- 10: language
 
 FRENCH, GERMAN = "le la les de des un une et est que qui dans pour sur avec pas".split(), "der die das und ist nicht ein eine zu mit von auf im für sich".split()
 
 
 def test_language(spark):
-    rows = [(i, sentence(i, 60), "en", "a.example.com") for i in range(60)] + [(100 + i, sentence(i, 60, FRENCH), "fr", "b.example.fr") for i in range(60)]
-    rows += [(200 + i, sentence(i, 60, GERMAN), "de", "c.example.de") for i in range(60)]
+    rows = [(i, sentence(i, 60), "en", "a.example.com") for i in range(24)] + [(100 + i, sentence(i, 60, FRENCH), "fr", "b.example.fr") for i in range(24)]
+    rows += [(200 + i, sentence(i, 60, GERMAN), "de", "c.example.de") for i in range(24)]
     rows += [(300, sentence(1, 60, FRENCH), "en", "b.example.fr"), (301, sentence(1, 60, GERMAN), None, None), (302, "12 34 !!", "fr", "b.example.fr"),
              (303, "\u0436\u0437\u0438\u0439 " * 60, None, "a.example.com"), (304, None, "en", "a.example.com")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
