@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.data import DOCS, edge_docs, edge_rows, near, no_docs, sentence, text
 from tradewind.llm import hamming_index, language, line_windows, mixing, prob_minhash, url_filter
@@ -327,6 +328,21 @@ def test_rates_do_not_tell_the_own_label(spark):
         assert rate == (sum(others) + 10) / (len(others) + 20)
 
 
+def test_suffixes_are_counted_apart(spark):
+    """Each of many sites has the counts of its own URLs and labels, whatever other sites there are."""
+    rows = [(f"http://s{i}.t{i % 7000}/{j}", f"s{i}.t{i % 7000}", float(i % 2) if j else None) for i in range(9000) for j in range(2)]
+    rows = spark.createDataFrame(rows, "u string, h string, blocked double").withColumn("p", F.lit("/"))
+    rows = url_filter.lexical(rows, "u", "h", "p").withColumn("fold", url_filter._fold(F.col("u")))
+    got = url_filter._with_suffixes(rows, url_filter.suffix_statistics(rows), 0.5, 20.0, False).collect()
+    assert len(got) == 18_000
+    for r in got:
+        i = int(r["h"][1:].partition(".")[0])
+        same = [i] if 2000 <= i < 7000 else [i % 7000, i % 7000 + 7000]
+        assert r["f_site_seen"] == pytest.approx(math.log1p(2)) and r["f_site_rate"] == pytest.approx((i % 2 + 10) / 21)
+        assert r["f_last_seen"] == pytest.approx(math.log1p(2 * len(same)))
+        assert r["f_last_rate"] == pytest.approx((sum(x % 2 for x in same) + 10) / (len(same) + 20))
+
+
 # -- 10: language
 
 FRENCH, GERMAN = "le la les de des un une et est que qui dans pour sur avec pas".split(), "der die das und ist nicht ein eine zu mit von auf im für sich".split()
