@@ -12,7 +12,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tests.llm.data import edge_docs, edge_rows, no_docs, text
+from tests.llm.data import edge_docs, edge_rows, no_docs, sentence, text
 from tradewind.llm import html_text, line_quality, pieces, token_files
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -140,6 +140,15 @@ def test_frequent_lines(spark):
     assert got[300]["kept"] and not got[None]["kept"] and got[None]["base_failed"]
 
 
+def test_frequent_lines_of_a_large_host(spark):
+    """A line in 30 documents is frequent, whether its host has 40 documents or 4,000."""
+    line = "Subscribe to our letter and never miss it again dear reader of ours"
+    rows = [(n + i, line if i < 30 else sentence((n, i).__repr__()), f"host {n}") for n in (40, 4000) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = line_quality.judge(docs, min_words=5, max_repeat_percent=100).filter("n_frequent_lines > 0").collect()
+    assert len(got) == 60 and all(r["n_frequent_lines"] == 1 and r["n_left_words"] == 0 and not r["kept"] for r in got)
+
+
 def test_quality_edges(spark):
     got = line_quality.judge(edge_docs(spark)).collect()
     assert len(got) == len(edge_rows())

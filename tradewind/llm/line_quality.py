@@ -61,12 +61,12 @@ def statistics(text: Column) -> tuple[Column, Column, Column]:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-          min_words: int = 50, max_repeat_percent: int = 50, max_docs: int = 20, max_share: float = 0.01,
+          min_words: int = 50, max_repeat_percent: int = 50, max_docs: int = 20,
           min_left: float = 0.3) -> DataFrame:
     """One row per row of ``docs``: id, the statistics, n_frequent_lines, n_left_words, base_failed, kept.
 
     A line of a host is frequent if more than ``max_docs`` documents of the host have it (normalised, see
-    ``normal_line``; each document counts once) and these are more than ``max_share`` of the host's documents.
+    ``normal_line``; each document counts once), however many documents the host has.
     Frequent lines are removed; a document that keeps less than ``min_left`` of its words is depleted and
     rejected, as is one that fails the base rules. Every row is a document, so repeated rows count as often
     as they occur. A null text is empty (and fails the base rules); rows without a host share the null host;
@@ -82,12 +82,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     # the texts are read once; row ids are fixed by being written
     rows = written(rows.select("row", "k", "host", "w.*", "n_symbols", "n_dup_lines", "lines"))
     every = rows.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.h", "l.n")
-    hosts = rows.groupBy("host").agg(F.count("*").alias("docs"))
     seen = rows.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h")) \
         .groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > max_docs)
-    seen = seen.join(hosts, seen["host"].eqNullSafe(hosts["host"])).filter(F.col("n_docs") > max_share * F.col("docs")) \
-        .select(seen["host"].alias("f_host"), F.col("h").alias("f_h"))
-    frequent = written(seen)
+    frequent = written(seen.select(F.col("host").alias("f_host"), F.col("h").alias("f_h")))
     hits = every.join(frequent, (every["h"] == frequent["f_h"]) & every["host"].eqNullSafe(frequent["f_host"])) \
         .groupBy("row").agg(F.count("*").alias("n_frequent"), F.sum("n").cast("long").alias("n_lost"))
     lost = F.coalesce(F.col("n_lost"), F.lit(0)).cast("long")
