@@ -10,6 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.data import edge_docs, edge_rows, no_docs, sentence, text
@@ -149,6 +150,18 @@ def test_frequent_lines_of_a_large_host(spark):
     assert len(got) == 60 and all(r["n_frequent_lines"] == 1 and r["n_left_words"] == 0 and not r["kept"] for r in got)
 
 
+def test_frequent_lines_are_taken_out(spark):
+    line = "Subscribe to our letter on page {} now"
+    rows = [(i % 5, f"{line.format(i)}\n\n{text(i)}\n  {line.format(1).upper()}", None if i % 2 else "s") for i in range(60)] + [(9, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_frequent_lines", F.lit("own"))
+    got = line_quality.remove_frequent(docs).collect()
+    assert Counter(r["text"] for r in got) == Counter([f"\n{text(i)}" for i in range(60)] + [None])
+    assert Counter((r["n_frequent_lines"], r["_n_frequent_lines"]) for r in got) == {("own", 2): 60, ("own", 0): 1}
+    judged = line_quality.judge(docs, min_words=10, max_repeat_percent=100).collect()
+    assert all(r["n_left_words"] == len(WORD.findall(r["left_text"] or "")) and "letter" not in (r["left_text"] or "") for r in judged)
+    assert len(judged) == 61 and sum(r["kept"] for r in judged) == 60
+
+
 def test_quality_edges(spark):
     got = line_quality.judge(edge_docs(spark)).collect()
     assert len(got) == len(edge_rows())

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.staging import written
+from tradewind.llm.line_windows import without_lines
+from tradewind.llm.staging import free_name, written
 from tradewind.llm.words import has_word, let, lines, n_words, normal_line, words
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -60,37 +61,54 @@ def statistics(text: Column) -> tuple[Column, Column, Column]:
     return counts, symbols.cast("long"), repeats.cast("long")
 
 
+def remove_frequent(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                    max_docs: int = 20) -> DataFrame:
+    """``docs`` with the frequent lines of each host removed from its texts, plus n_frequent_lines: how many went.
+
+    A line of a host is frequent if more than ``max_docs`` documents of the host have it (normalised, see
+    ``normal_line``; each document counts once), however many documents the host has. Every row is a document, so
+    repeated rows count as often as they occur. A null text stays null; rows without a host share the null host.
+    Lines without a word stay. Other columns pass through; the new one gets underscores in front if ``docs`` has it.
+    """
+    removed = free_name(docs, "n_frequent_lines")
+    key, mark, own, gone, at = (free_name(docs, f"_{n}") for n in ("key", "mark", "own", "gone", "at"))
+    text, host = F.col(text_col), F.col(host_col).cast("string")
+    line = F.transform(F.filter(lines(text), has_word), lambda x: F.xxhash64(normal_line(x)))
+    read = written(docs.select(F.col(id_col).alias("k"), F.xxhash64(text).alias("m"), host.alias("host"), line.alias("lines")))
+    frequent = read.select("host", F.explode(F.array_distinct("lines")).alias("h")) \
+        .groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > max_docs)
+    frequent = written(frequent.select(F.col("host").alias("f_host"), F.col("h").alias("f_h")))
+    every = read.select("k", "m", "host", F.posexplode("lines").alias("pos", "h"))
+    # rows of equal id, text and host lose the same lines
+    hits = every.join(frequent, (every["h"] == frequent["f_h"]) & every["host"].eqNullSafe(frequent["f_host"])) \
+        .groupBy("k", "m", "host").agg(F.collect_set("pos").alias("pos"))
+    hits = hits.select(F.col("k").alias(key), F.col("m").alias(mark), F.col("host").alias(at), F.col("pos").alias(gone))
+    marked = docs.withColumn(own, F.xxhash64(text))
+    joined = marked.join(hits, marked[id_col].eqNullSafe(hits[key]) & (marked[own] == hits[mark])
+                         & marked[host_col].cast("string").eqNullSafe(hits[at]), "left")
+    return joined.select(
+        *[F.when(F.col(gone).isNull(), text).otherwise(without_lines(text, F.col(gone))).alias(c) if c == text_col else docs[c]
+          for c in docs.columns],
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(removed))
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
           min_words: int = 50, max_repeat_percent: int = 50, max_docs: int = 20,
           min_left: float = 0.3) -> DataFrame:
-    """One row per row of ``docs``: id, the statistics, n_frequent_lines, n_left_words, base_failed, kept.
+    """One row per row of ``docs``: id, the statistics, n_frequent_lines, n_left_words, base_failed, kept, left_text.
 
-    A line of a host is frequent if more than ``max_docs`` documents of the host have it (normalised, see
-    ``normal_line``; each document counts once), however many documents the host has.
-    Frequent lines are removed; a document that keeps less than ``min_left`` of its words is depleted and
-    rejected, as is one that fails the base rules. Every row is a document, so repeated rows count as often
-    as they occur. A null text is empty (and fails the base rules); rows without a host share the null host;
-    other columns are not read. An empty table gives no rows.
+    ``left_text`` is the text without frequent lines (see ``remove_frequent``); the statistics are those of the whole
+    text. A document that keeps less than ``min_left`` of its words is depleted and rejected, as is one that fails
+    the base rules. A null text is empty (and fails the base rules); other columns are not read. An empty table gives
+    no rows.
     """
-    line = F.filter(lines(F.col("t")), has_word)
-    read = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"), F.col(host_col).cast("string").alias("host"))
     counts, symbols, repeats = statistics(F.col("t"))
-    rows = read.select(
-        F.monotonically_increasing_id().alias("row"), "k", "host", counts.alias("w"),
-        symbols.alias("n_symbols"), repeats.alias("n_dup_lines"),
-        F.transform(line, lambda x: F.struct(F.xxhash64(normal_line(x)).alias("h"), n_words(x).cast("int").alias("n"))).alias("lines"))
-    # the texts are read once; row ids are fixed by being written
-    rows = written(rows.select("row", "k", "host", "w.*", "n_symbols", "n_dup_lines", "lines"))
-    every = rows.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.h", "l.n")
-    seen = rows.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h")) \
-        .groupBy("host", "h").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > max_docs)
-    frequent = written(seen.select(F.col("host").alias("f_host"), F.col("h").alias("f_h")))
-    hits = every.join(frequent, (every["h"] == frequent["f_h"]) & every["host"].eqNullSafe(frequent["f_host"])) \
-        .groupBy("row").agg(F.count("*").alias("n_frequent"), F.sum("n").cast("long").alias("n_lost"))
-    lost = F.coalesce(F.col("n_lost"), F.lit(0)).cast("long")
+    rows = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"), F.col(host_col).cast("string").alias("host"))
+    left = remove_frequent(rows.select("k", "t", "host", counts.alias("w"), symbols.alias("n_symbols"), repeats.alias("n_dup_lines")),
+                           "k", "t", "host", max_docs)
+    left = left.select("k", "t", "w.*", "n_symbols", "n_dup_lines", "n_frequent_lines", n_words(F.col("t")).alias("n_left_words"))
     base_failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    left = F.col("n_words") - lost
-    return rows.drop("lines").join(hits, "row", "left").select(
-        F.col("k").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        F.coalesce("n_frequent", F.lit(0)).cast("long").alias("n_frequent_lines"), left.alias("n_left_words"),
-        base_failed.alias("base_failed"), (~base_failed & (left >= min_left * F.col("n_words"))).alias("kept"))
+    return left.select(
+        F.col("k").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_frequent_lines",
+        "n_left_words", base_failed.alias("base_failed"),
+        (~base_failed & (F.col("n_left_words") >= min_left * F.col("n_words"))).alias("kept"), F.col("t").alias("left_text"))

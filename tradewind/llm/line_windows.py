@@ -24,7 +24,7 @@ def _windows(text: Column) -> Column:
         .otherwise(F.array().cast("array<bigint>")))
 
 
-def _without(text: Column, covered: Column) -> Column:
+def without_lines(text: Column, covered: Column) -> Column:
     """``text`` without the lines whose number among the lines with a word is in ``covered``."""
     def rest(all_lines: Column) -> Column:
         every = F.sequence(F.lit(0), F.size(all_lines) - 1)
@@ -63,7 +63,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = docs.withColumn(own, F.xxhash64(text))
     joined = marked.join(merged, marked[id_col].eqNullSafe(merged[key]) & (marked[own] == merged[mark]), "left")
     return joined.select(
-        *[F.when(F.col(gone).isNull(), text).otherwise(_without(text, F.col(gone))).alias(c) if c == text_col else docs[c]
+        *[F.when(F.col(gone).isNull(), text).otherwise(without_lines(text, F.col(gone))).alias(c) if c == text_col else docs[c]
           for c in docs.columns],
         F.size(F.filter(lines(text), has_word)).cast("long").alias(total),
         F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(removed))

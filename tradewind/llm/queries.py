@@ -31,7 +31,7 @@ def op2_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_quality.judge(_table(spark, sf_dir, "documents"))
+    return line_quality.judge(_table(spark, sf_dir, "documents")).drop("left_text")
 
 
 def op4_addressable_ids(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
