@@ -96,6 +96,19 @@ def test_page_cases(html, want):
     assert html_text.main_text(html) == want
 
 
+@pytest.mark.parametrize("open_tag", [f"<div id=page class='{c}'>" for c in ("has-sidebar", "with-sidebar", "no-comments", "content-search", "share-article")]
+                         + ["<form action=x method=post>", "<div role=form>", "<div class='has-sidebar'><form id=aspnetForm>"])
+def test_a_name_does_not_drop_the_article(open_tag):
+    paragraphs = [text(i, 4).replace("\n", " ") for i in range(3)]
+    page = f"""<html><body><nav><a href=/>Site</a></nav>{open_tag}<div><h1>The title</h1>{''.join(f'<p>{p}' for p in paragraphs)}</div>
+<div class=sidebar><p>Other things to read</div><form>Sign <input name=x></form></body></html>"""
+    assert html_text.main_text(page) == "\n".join(["The title", *paragraphs])
+
+
+def test_a_long_advert_beside_a_short_article():
+    assert html_text.main_text(f"<div class=ad>{sentence(1)}</div><article><h1>Title</h1><p>Short.</article>") == "Title\nShort."
+
+
 def test_extract_frame(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "old", 5), (2, None, None, "old", 5), (2, None, None, "old", 5), (None, "u", "x" * 100_000, None, None)],
                                   "page_id long, url string, html string, text string, n_chars int")

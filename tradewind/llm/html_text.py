@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
-Each page becomes a small tree without scripts, styles, forms and elements that say of themselves that they are
-navigation, adverts, notices or comments. For every node the composite density is its characters per tag, lowered
+Each page becomes a small tree without scripts and styles, and without forms and elements that say of themselves that
+they are navigation, adverts, notices or comments, unless these hold the core or most of the text outside links (and
+the largest ``article`` or ``main``, if there is one). For every node the composite density is its characters per tag, lowered
 by the share of them that is in links; a node's density sum adds up its children. The node with the largest sum is
 the core of the article. The lowest density on its path to the body is the threshold by which elements beside that
 path belong to the article too; an ``article`` or ``main`` element on the path is taken whole.
@@ -25,7 +26,7 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
 DROPPED = frozenset(
-    "aside audio button canvas datalist dialog embed footer form head iframe input map math menu nav noembed noframes noscript object "
+    "aside audio button canvas datalist dialog embed footer head iframe input map math menu nav noembed noframes noscript object "
     "optgroup option script select style svg template textarea title video".split())
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation note search searchbox status tablist toolbar".split())
@@ -54,31 +55,33 @@ _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 _BREAK = -1
 
 
-def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
+def _unwanted(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element goes whatever it holds, and whether it goes unless it holds the article."""
     if tag in DROPPED:
-        return True
+        return True, False
     if tag == "header":
-        return not in_article  # the heading of an article belongs to it
+        return not in_article, False  # the heading of an article belongs to it
+    named = tag == "form"
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return False, named
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden":
-            return True
+            return True, False
         if name == "role" and value.strip().lower() in ROLES:
-            return True
+            named = True
         if name in ("class", "id"):
             words = {w.lower() for w in _PARTS.findall(value)}
             if words & NAMED or {"side", "bar"} <= words or ("header" in words and not in_article):
-                return True
-    return False
+                named = True
+    return False, named
 
 
 class _Page:
     """The tree as parallel lists; a parent always comes before its children."""
 
     def __init__(self, html: str):
-        self.tags, self.parents, self.drop, self.own = ["#root"], [0], [False], [0]
+        self.tags, self.parents, self.drop, self.named, self.own = ["#root"], [0], [False], [False], [0]
         self.items: list[tuple[int, str]] = []  # text in page order with its node, or a break between blocks
         self.stack, self.open_p, self.articles = [0], 0, 0
         at, end = 0, len(html)
@@ -144,7 +147,9 @@ class _Page:
         self.tags.append(tag)
         self.parents.append(parent)
         self.own.append(0)
-        self.drop.append(self.drop[parent] or _unwanted(tag, attributes, self.articles > 0))
+        drop, named = _unwanted(tag, attributes, self.articles > 0)
+        self.drop.append(self.drop[parent] or drop)
+        self.named.append(named)
         if tag not in VOID:
             self.stack.append(len(self.tags) - 1)
             self.open_p += tag == "p"
@@ -162,10 +167,10 @@ class _Page:
             if tag not in BLOCKS and name in BLOCKS:
                 return  # an inline end tag does not reach out of its block
 
-    def main_text(self) -> str:
+    def densities(self, kept: list[bool]) -> tuple[list[int], list[int], list[float], int, int]:
+        """Characters, those in links and density of each node, the end of paths, and the core."""
         tags, parents, n = self.tags, self.parents, len(self.tags)
-        kept = [not d for d in self.drop]
-        chars, count, link_chars, link_count = list(self.own), [0] * n, [0] * n, [0] * n
+        chars, count, link_chars, link_count = [own if k else 0 for own, k in zip(self.own, kept, strict=True)], [0] * n, [0] * n, [0] * n
         for i in range(n - 1, 0, -1):
             if kept[i]:
                 up, is_link = parents[i], tags[i] == "a"
@@ -189,7 +194,29 @@ class _Page:
         for i in range(n - 1, 0, -1):
             if kept[i]:
                 sums[parents[i]] += density[i]
-        core = max(range(n), key=lambda i: (sums[i], -i))
+        return chars, link_chars, density, top, max(range(n), key=lambda i: (sums[i], -i))
+
+    def main_text(self) -> str:
+        tags, parents, n = self.tags, self.parents, len(self.tags)
+        kept = [not d for d in self.drop]
+        chars, link_chars, density, top, core = self.densities(kept)
+        if any(self.named):
+            holds = {core}
+            while core:
+                core = parents[core]
+                holds.add(core)
+            plain = [c - lc for c, lc in zip(chars, link_chars, strict=True)]
+            # a page that marks its article may have longer adverts or comments beside it
+            marked = [i for i in range(n) if kept[i] and tags[i] in ("article", "main") and plain[i]]
+            article, around = max(marked, key=lambda i: (plain[i], -i), default=0), set()
+            at = article
+            while at:
+                around.add(at)
+                at = parents[at]
+            for i in range(1, n):
+                gone = self.named[i] and not ((i in holds or 2 * plain[i] > plain[0]) and (not article or i in around))
+                kept[i] = kept[i] and kept[parents[i]] and not gone
+            chars, link_chars, density, top, core = self.densities(kept)
         path = [core]
         while path[-1] != top and path[-1] != 0:
             path.append(parents[path[-1]])
