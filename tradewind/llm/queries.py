@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import hamming_index, html_text, language, line_quality, line_windows, mixing, pieces, prob_minhash, token_files, url_filter
+from tradewind.llm import (
+    hamming_index, html_text, language, line_quality, line_windows, mixing, periodic_runs, pieces, prob_minhash, token_files, url_filter,
+)
 from tradewind.llm.staging import new_folder
+from tradewind.llm.words import let, words
 
 # Fixed values of the URL contract.
 URL_RULES = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
@@ -68,6 +71,33 @@ def op10_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, LANGUAGES).select("doc_id", "lang", "language", "confidence", F.col("accepted").alias("kept"))
 
 
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """doc_id, text of ``docs``, where every tenth document by the checksum of its id has its words from some place on replaced by
+    the first of these, over and over. A null id changes nothing."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def tail(ws):
+        n = F.size(ws)
+        a = F.when(n > 0, g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+        again = lambda a, p: F.transform(F.sequence(F.lit(0), n - a - 1), lambda i: F.get(ws, a + i % p))
+        return F.array_join(F.concat(F.slice(ws, 1, a), let(p, lambda p: again(a, p))), " ")
+
+    with_tail = let(words(F.col("text")), lambda ws: F.when(F.size(ws) > 0, tail(ws)))
+    return docs.select("doc_id", F.when(h % 10 == 0, F.coalesce(with_tail, F.col("text"))).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(repeated_tails(_table(spark, sf_dir, "documents")))
+    best = periodic_runs.longest_run(F.col("runs"))
+    listed = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words").select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256", "n_words")
+
+
 QUERIES = {
     "op1_suffix_pieces": op1_suffix_pieces,
     "op2_text_density": op2_text_density,
@@ -79,6 +109,7 @@ QUERIES = {
     "op8_line_windows": op8_line_windows,
     "op9_url_trees": op9_url_trees,
     "op10_evidence_fusion": op10_evidence_fusion,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE = {"op8_line_windows": line_windows.SQL}
