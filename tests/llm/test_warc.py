@@ -1,0 +1,114 @@
+"""WARC archives: round trips, the format itself, and the contract by plain Python."""
+
+import base64
+import hashlib
+import random
+
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+from tests.llm.data import CLASHING, sentence
+from tradewind.llm import queries, warc
+
+PAGES = "page_id long, url string, html string"
+
+
+def page(seed):
+    return f"<!DOCTYPE html><html><head><title>{sentence(seed, 5)}</title></head><body><article>{sentence(seed, 200)}</article></body></html>"
+
+
+def rows():
+    r = random.Random(1)
+    out = [(i, f"http://a.example.com/{i}", page(i if r.random() < 0.7 else i % 7)) for i in range(300)]
+    out += [(400 + i, "http://hot.example.com/", "same é 日本語 \x00 page") for i in range(150)]
+    out += [(600, None, None), (601, "", ""), (602, "http://x/a b\r\nWARC-Type: none\r\n\r\n", "\r\n\r\n\r\nWARC/1.1\r\n"), (603, "http://é/", "x" * 3_000_000),
+            (None, "http://null/", page(1)), (None, "http://null/", "only null"), (None, "http://null/", "only null"), (700, "u", "twice"), (700, "u", "twice"), (701, "u", "twice")]
+    return out
+
+
+def expected(pages, least=0):
+    firsts = {}
+    for i, _, html in pages:
+        h = html or ""
+        firsts[h] = min(firsts.get(h, (True, 0)), (i is None, i or 0))
+    out = []
+    for i, _, html in pages:
+        data = (html or "").encode()
+        none, first = firsts[html or ""]
+        revisit = len(data) >= least and not none and i != first
+        out.append((i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "revisit" if revisit else "response", first if revisit else None))
+    return sorted(out, key=str)
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    df = spark.createDataFrame(rows(), PAGES)
+    for name in CLASHING:
+        df = df.withColumn(name, F.lit("other"))
+    return df.repartition(3)
+
+
+def digests(found):
+    return sorted((tuple(r) for r in found.select(F.col("id").cast("long"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long")).collect()), key=str)
+
+
+@pytest.mark.parametrize(("least", "archive_bytes"), [(0, warc.ARCHIVE_BYTES), (1000, 50_000)])
+def test_round_trip(spark, pages, tmp_path, least, archive_bytes):
+    path = str(tmp_path / "archives")
+    warc.write(pages, path, least=least, archive_bytes=archive_bytes)
+    found = warc.read(spark, path)
+    assert digests(found) == expected(rows(), least)
+    assert digests(warc.read(spark, path, payloads=False)) == expected(rows(), least)
+    texts = {(r["id"], bytes(r["payload"]).decode()) for r in warc.resolved(found).collect()}
+    assert texts == {(None if i is None else str(i), h or "") for i, _, h in rows()}
+    assert {r["url"] for r in found.collect()} >= {None, "", "http://x/a%20b%0D%0AWARC-Type:%20none%0D%0A%0D%0A", "http://é/"}
+
+
+def test_format(spark, pages, tmp_path):
+    path = str(tmp_path / "archives")
+    warc.write(pages, path)
+    archives = spark.read.schema(warc.ARCHIVES).parquet(path)
+    for row in archives.collect():
+        image = bytes(row["archive"])
+        assert image[:4] == bytes.fromhex("5d2a4d18") and image[8:12] == bytes.fromhex("37a430ec")
+        # one frame per record, at its offset, read with nothing but the dictionary
+        seen = [warc.fetch(image, o) for o in row["offsets"]]
+        assert len(seen) == row["n_records"] and seen == list(warc.records_of(image))[1:]
+        assert next(warc.records_of(image))[0]["warc-type"] == "warcinfo"
+        end = 8 + int.from_bytes(image[4:8], "little")
+        packed = warc.SKIPPABLE + (len(z := zstandard.compress(image[8:end]))).to_bytes(4, "little") + z + image[end:]
+        assert list(warc.records_of(packed))[1:] == seen
+        plain = [zstandard.ZstdCompressor(level=3).compress(warc._record(list({"WARC-Type": "x"}.items()), b)) for _, b in seen]
+        assert len(seen) < 100 or len(image) < sum(map(len, plain))
+    assert sum(r["n_records"] for r in archives.collect()) == len(rows())
+
+
+def test_files(spark, pages, tmp_path):
+    path, folder = str(tmp_path / "archives"), str(tmp_path / "files")
+    warc.write(pages, path, archive_bytes=100_000)
+    made = warc.export(spark.read.schema(warc.ARCHIVES).parquet(path), f"file://{folder}").collect()
+    assert sorted(r["name"] for r in made) == sorted(p.name for p in (tmp_path / "files").iterdir()) and len(made) > 3
+    found = warc.records(spark.read.format("binaryFile").load(f"{folder}/*.warc.zst").select(F.col("content").alias("archive")))
+    assert digests(found) == expected(rows())
+
+
+def test_changed_payload_is_refused():
+    record = warc.page_record("1", "u", b"abc", 3, warc.digest(b"abd"), None, "1970-01-01T00:00:00Z")
+    (fields, block), = warc._parse(record)
+    with pytest.raises(ValueError, match="has changed"):
+        warc.page_of(fields, block)
+
+
+def test_few_records_and_none(spark, tmp_path):
+    one = spark.createDataFrame([(1, "u", "x")], PAGES)
+    warc.write(one, str(tmp_path / "one"))
+    assert digests(warc.read(spark, str(tmp_path / "one"))) == expected([(1, "u", "x")])
+    warc.write(one.limit(0), str(tmp_path / "none"))
+    assert warc.read(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_query(spark, tmp_path):
+    spark.createDataFrame(rows(), PAGES).write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.op12_dictionary_warc(spark, str(tmp_path))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == expected(rows())

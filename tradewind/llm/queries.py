@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (
-    hamming_index, html_text, language, line_quality, line_windows, mixing, periodic_runs, pieces, prob_minhash, token_files, url_filter,
+    hamming_index, html_text, language, line_quality, line_windows, mixing, periodic_runs, pieces, prob_minhash, token_files, url_filter, warc,
 )
 from tradewind.llm.staging import new_folder
 from tradewind.llm.words import let, words
@@ -98,6 +98,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "runs_sha256", "collapsed_sha256", "n_words")
 
 
+def op12_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark)
+    pages = _table(spark, sf_dir, "pages")
+    warc.write(pages, folder)
+    kind = pages.schema["page_id"].dataType
+    return warc.read(spark, folder, payloads=False).select(
+        F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
 QUERIES = {
     "op1_suffix_pieces": op1_suffix_pieces,
     "op2_text_density": op2_text_density,
@@ -110,6 +119,7 @@ QUERIES = {
     "op9_url_trees": op9_url_trees,
     "op10_evidence_fusion": op10_evidence_fusion,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_dictionary_warc": op12_dictionary_warc,
 }
 
-ORACLE = {"op8_line_windows": line_windows.SQL}
+ORACLE = {"op8_line_windows": line_windows.SQL, "op12_dictionary_warc": warc.SQL}
