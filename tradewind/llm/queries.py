@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (
-    hamming_index, html_text, language, line_quality, line_windows, mixing, periodic_runs, pieces, prob_minhash, token_files, url_filter, warc,
+    hamming_index, html_text, language, line_quality, line_windows, mixing, periodic_runs, pieces, prob_minhash, spelling, token_files, url_filter, warc,
 )
 from tradewind.llm.staging import new_folder
 from tradewind.llm.words import let, words
@@ -107,6 +107,20 @@ def op12_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
 
 
+def misspelt(runs: DataFrame) -> DataFrame:
+    """word of each run (id, run): every 31st by the checksum of id and run lacks one code point. A null id is written as
+    nothing."""
+    h = F.crc32(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("run")))
+    at = (F.col("h") % F.char_length("run")).cast("int")
+    shorter = F.concat(F.substr("run", F.lit(1), at), F.substr("run", at + 2))
+    return runs.withColumn("h", h).select(F.when(F.col("h") % 31 == 0, shorter).otherwise(F.col("run")).alias("word"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.runs(_table(spark, sf_dir, "documents"), least=7)  # a shorter run cannot give a word of 7
+    return spelling.variants(misspelt(runs), least_length=7, least_count=2, ratio=10)
+
+
 QUERIES = {
     "op1_suffix_pieces": op1_suffix_pieces,
     "op2_text_density": op2_text_density,
@@ -120,6 +134,7 @@ QUERIES = {
     "op10_evidence_fusion": op10_evidence_fusion,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_dictionary_warc": op12_dictionary_warc,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE = {"op8_line_windows": line_windows.SQL, "op12_dictionary_warc": warc.SQL}
