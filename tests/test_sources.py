@@ -1,5 +1,7 @@
 """Raw CSV files, date shards."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -128,3 +130,20 @@ def test_csv_in_blocks_refuses_an_open_quote(spark, tmp_path):
     (tmp_path / "o.csv").write_text('a,b,c\n1,"open,x\n2,y,z\n')
     with pytest.raises(Exception, match="ends inside a quoted field"):
         read_csv_in_blocks(spark, str(tmp_path / "o.csv"), SCHEMA).collect()
+
+
+def test_items_are_numbered_within_their_orders(spark, tmp_path):
+    """Lines that are equal in every column, and a third of all lines in one order, still get numbers of their own."""
+    from tradewind.sources.bindings import TABLES, order_items
+
+    line = lambda order, part, n, price: (order, part, part % 5, n, 1.0, price, 0.0, 0.05, "N", "O", datetime(2024, 1, 1 + part % 28))
+    rows = [line(i // 4, i % 9, i % 3, float(i % 2)) for i in range(800)] + [line(7, 3, 1, 2.0)] * 5 + [line(999, i % 30, i % 7, 1.0) for i in range(400)]
+    spark.createDataFrame(rows, TABLES["lineitem"].replace("timestamp_ntz", "timestamp")).selectExpr(
+        "* EXCEPT (l_shipdate)", "cast(l_shipdate AS timestamp_ntz) AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {}
+    for r in order_items(spark, str(tmp_path)).collect():
+        got.setdefault(r.order_id, []).append((r.order_item_id, r.product_id, r.price))
+    lines = {}
+    for r in sorted(rows, key=lambda r: (r[0], r[3], r[1], r[2], r[10], r[5], r[7])):
+        lines.setdefault(str(r[0]), []).append((len(lines.get(str(r[0]), [])) + 1, str(r[1]), r[5]))
+    assert {o: sorted(v) for o, v in got.items()} == lines

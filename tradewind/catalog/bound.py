@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tradewind.plans import customers, orders, products, sellers
 from tradewind.plans.params import Params
 from tradewind.plans.staging import clean
-from tradewind.sources.bindings import BINDINGS, TYPE_NAMES
+from tradewind.sources.bindings import BINDINGS, LINE_ORDER, TYPE_NAMES, order_items
 
 # Thresholds that split these tables into all labels; amounts have two decimals.
 PARAMS = replace(
@@ -29,11 +29,15 @@ class Bound:
     def source(self, name: str) -> DataFrame:
         return clean(name, BINDINGS[name](self.spark, self.sf_dir))
 
+    def items(self) -> DataFrame:
+        """Order items without their numbers, for models that do not read these."""
+        return clean("order_items", order_items(self.spark, self.sf_dir, numbered=False))
+
     def order_payments(self) -> DataFrame:
         return orders.order_payments(self.source("order_payments"), self.params)
 
     def order_items_agg(self) -> DataFrame:
-        return orders.order_items_aggregated(self.source("order_items"), self.params)
+        return orders.order_items_aggregated(self.items(), self.params)
 
     def orders_enriched(self) -> DataFrame:
         return orders.enriched_orders(self.source("orders"), self.order_payments(), self.order_items_agg())
@@ -68,13 +72,13 @@ class Bound:
 
     def item_context(self) -> DataFrame:
         """Items with their orders: all that product performance reads of the item fact."""
-        return orders.items_with_orders(self.source("order_items"), self.source("orders"))
+        return orders.items_with_orders(self.items(), self.source("orders"))
 
     def product_performance(self) -> DataFrame:
         return products.product_performance(self.dim_products(), self.item_context(), self.params)
 
     def seller_performance(self) -> DataFrame:
-        sold_products = sellers.assortment(self.source("order_items"), self.products_with_categories())
+        sold_products = sellers.assortment(self.items(), self.products_with_categories())
         return sellers.seller_performance(self.dim_sellers(), self.item_context(), self.params, sold_products)
 
 
@@ -101,9 +105,9 @@ VIEWS: dict[str, str] = {
                    AS order_delivered_customer_date,
                o_orderdate + to_days(30) AS order_estimated_delivery_date
         FROM orders""",
-    "order_items": """
+    "order_items": f"""
         SELECT cast(l_orderkey AS varchar) AS order_id,
-               (l_partkey * 10000000 + l_suppkey) * 10 + l_linenumber AS order_item_id,
+               row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)}) AS order_item_id,
                cast(l_partkey AS varchar) AS product_id, cast(l_suppkey AS varchar) AS seller_id,
                l_shipdate AS shipping_limit_date, l_extendedprice AS price,
                floor(l_extendedprice * l_tax * 100.0::double + 0.5::double) / 100.0::double AS freight_value

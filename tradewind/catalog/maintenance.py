@@ -61,7 +61,7 @@ def merge_predicates(spark, d):
 
 def merge_ambiguous_keys(spark, d):
     """Items as new rows of orders: keys of orders with several items."""
-    items = Bound(spark, d).source("order_items")
+    items = Bound(spark, d).items()
     return merge.ambiguous_keys(old_rows(spark, d), items, "order_id")
 
 

@@ -18,7 +18,7 @@ from tradewind.sources.schemas import COLUMNS
 
 def test_unique(spark, d):
     """Orders with more than one item."""
-    return quality.unique(Bound(spark, d).source("order_items"), "order_id")
+    return quality.unique(Bound(spark, d).items(), "order_id")
 
 
 def test_not_null(spark, d):
@@ -32,7 +32,7 @@ def test_accepted_values(spark, d):
 def test_relationships(spark, d):
     """Items of orders that are not among the delivered ones."""
     b = Bound(spark, d)
-    return quality.relationships(b.source("order_items"), "order_id", b.source("orders").where("order_status = 'delivered'"), "order_id")
+    return quality.relationships(b.items(), "order_id", b.source("orders").where("order_status = 'delivered'"), "order_id")
 
 
 def test_between(spark, d):
@@ -40,12 +40,12 @@ def test_between(spark, d):
 
 
 def test_minimum(spark, d):
-    return quality.minimum_at_least(Bound(spark, d).source("order_items"), "freight_value", 0.5)
+    return quality.minimum_at_least(Bound(spark, d).items(), "freight_value", 0.5)
 
 
 def test_delivered_has_items(spark, d):
     b = Bound(spark, d)
-    return quality.delivered_without_items(b.source("orders"), b.source("order_items"))
+    return quality.delivered_without_items(b.source("orders"), b.items())
 
 
 def test_negative_values(spark, d):
@@ -77,7 +77,7 @@ def aggregated_unique_rows(spark, d):
 def verdicts(spark, d):
     """Counts of failures with thresholds, a filter, a limit and another measure."""
     b = Bound(spark, d)
-    orders, items = b.source("orders"), b.source("order_items")
+    orders, items = b.source("orders"), b.items()
     many = quality.unique(items, "order_id")
     return quality.run_checks([
         Check("not_null", quality.not_null(orders, "order_approved_at")),
@@ -100,7 +100,7 @@ def row_counts(spark, d):
     b = Bound(spark, d)
     return quality.row_counts({
         "bronze.orders": table(spark, d, "orders"), "bronze._ext_orders": table(spark, d, "orders"),
-        "silver.order_items": b.source("order_items"), "gold.order_payments": b.order_payments(),
+        "silver.order_items": b.items(), "gold.order_payments": b.order_payments(),
     })
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tradewind.operators.sets import number_in_group
+
 # English names of the part types; PROMO is left out and becomes 'Unknown'.
 TYPE_NAMES = {
     "ECONOMY": "economy goods",
@@ -83,11 +85,18 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+# Columns that order the lines of an order; lines that are equal in all of them are equal rows.
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_tax")
+
+
+def order_items(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
+    """The lines as items. Items are numbered 1, 2, … within their order, as a line number may occur twice in one;
+    with ``numbered=False``, for queries that do not read the number, it is NULL."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
+    lines = number_in_group(lines, ["l_orderkey"], LINE_ORDER, "item") if numbered else lines.withColumn("item", F.lit(None))
+    return lines.select(
         _text("l_orderkey").alias("order_id"),
-        # one number per line of an order, without numbering the lines of each order in one task
-        ((F.col("l_partkey") * 10_000_000 + F.col("l_suppkey")) * 10 + F.col("l_linenumber")).alias("order_item_id"),
+        F.col("item").cast("bigint").alias("order_item_id"),
         _text("l_partkey").alias("product_id"),
         _text("l_suppkey").alias("seller_id"),
         F.col("l_shipdate").cast("timestamp").alias("shipping_limit_date"),
