@@ -377,3 +377,23 @@ def test_language_edges(spark):
     assert got.columns == [*docs.columns, "_language", "_confidence", "_accepted"] and got.count() == len(edge_rows())
     assert got.filter("text is null AND _accepted").count() == 0
     assert language.identify(no_docs(spark), LANGUAGES).count() == 0
+
+
+def test_bound_is_never_below_the_similarity():
+    """What the candidate join may drop: texts with and without repeated shingles, short and long ones."""
+    from pyspark.sql import functions as F  # noqa: F401
+
+    rng = np.random.default_rng(11)
+    for n, letters in [(40, 400), (300, 5000), (3000, 60000), (300, 12)]:
+        for _ in range(40):
+            w = [f"w{i}" for i in rng.integers(0, letters, n)]
+            v = list(w)
+            for i in rng.integers(0, n, rng.integers(1, max(2, n // 12))):
+                v[i] = f"x{rng.integers(0, letters)}"
+            sets = prob_minhash.shingles(pa.array([" ".join(w), " ".join(v)]))
+            bits, more, total, once = prob_minhash._counted(sets)
+            common = sum(int(a & b).bit_count() for a, b in zip(bits[0].view(np.uint64).tolist(), bits[1].view(np.uint64).tolist(), strict=True)) + min(more)
+            whole = total.sum() - common if once.all() else total.min()
+            assert common / whole >= prob_minhash.similarity(*sets) - 1e-12
+            x, y = (dict(zip(*s, strict=True)) for s in sets)
+            assert common >= sum(min(c, y.get(h, 0)) for h, c in x.items())

@@ -4,11 +4,13 @@ A text is its five-word shingles, weighted by how often they occur. Every shingl
 weight; its arrivals fall into random registers, and each register keeps the shingle that arrived first. Two texts agree in a
 register with the probability that is their probability Jaccard similarity. Arrivals are drawn in rounds, and a shingle
 stops as soon as its next arrival is later than what every register has seen. Registers are banded, texts that share a band
-are candidates, and candidates whose other registers do not speak against it are verified by their exact similarity.
+are candidates, and candidates are verified by their exact similarity.
 
-Equal word sequences are one node. Buckets are not expanded into pairs: each round tests the members of a bucket
-against its most central members only, and only those that are not yet in one class with them; later rounds go on
-with four times as many of the next ones, until no bucket holds an untested pair of different classes.
+Equal word sequences are one node. First every member of a bucket is tested against the bucket's most central member alone,
+which joins most near copies into classes. Then members that share a bucket but not a class are tested pairwise, each pair in the
+first band it shares. Where a bucket holds many members that are not linked these pairs grow with the square of their number:
+to lose no link, each has to be told apart. Most of them are by an upper bound of their similarity, computed inside the
+join from the counts of their shingles in 448 cells; the bound is exact, so it never drops a pair that is similar enough.
 """
 
 from __future__ import annotations
@@ -23,13 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tradewind.llm.staging import free_name, written
+from tradewind.llm.staging import free_name, released, written
 from tradewind.llm.token_files import by_size
 from tradewind.llm.words import words
 
-# Classes are joined anew after a round in which more than this share of the tested pairs were links; where fewer are,
-# classes that are not joined yet cost few tests more.
-LINKING = 0.05
+# Shingles are counted in this many cells, each count in unary in this many bits.
+CELLS, UNARY = 448, 4
+LONGS = CELLS * UNARY // 64
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD,
                          0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
@@ -119,49 +121,61 @@ def node(text: Column) -> Column:
     return F.unhex(F.md5(F.array_join(words(text), " ")))
 
 
-def _packed(z: np.ndarray) -> np.ndarray:
-    """Four bits of each register, 16 to a number."""
-    bits = np.zeros((len(z), -(-z.shape[1] // 16) * 16), np.uint64)
-    bits[:, :z.shape[1]] = z & np.uint64(15)
-    shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
-    return (bits.reshape(len(z), -1, 16) << shifts).sum(2, dtype=np.uint64).view(np.int64)
-
-
-def _may_be(least: float, registers: int, first: str, second: str) -> Column:
-    """Whether two sketches (columns first0, ... and second0, ...) agree as texts of similarity ``least`` do, but for one
-    such pair in 10,000: their share of equal registers is below it by less than 3.7 deviations."""
-    ones = 0x1111111111111111
-    shift = lambda x, n: F.shiftrightunsigned(x, n)
-    differ = F.lit(0)
-    for i in range(-(-registers // 16)):
-        x = F.col(f"{first}{i}").bitwiseXOR(F.col(f"{second}{i}"))
-        x = x.bitwiseOR(shift(x, 1))
-        differ = differ + F.bit_count(x.bitwiseOR(shift(x, 2)).bitwiseAND(F.lit(ones)))
-    bound = least - 3.7 * (least * (1 - least) / registers) ** 0.5
-    # unequal registers agree in four bits one time in 16
-    return differ <= int((1 - bound) * registers * 15 / 16) + 1
+def _counted(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per text: its shingle counts per cell in unary, LONGS numbers; what of them goes beyond UNARY; all its shingles; and whether
+    none occurs twice."""
+    sizes = np.array([len(h) for h, _ in sets], np.int64)
+    cell = np.repeat(np.arange(len(sets)) * CELLS, sizes)
+    if len(cell):
+        cell = cell + (np.concatenate([h for h, _ in sets]) % np.uint64(CELLS)).astype(np.int64)
+    weight = np.concatenate([c for _, c in sets]) if sets else np.zeros(0, np.int64)
+    counts = np.bincount(cell, weight, len(sets) * CELLS).astype(np.int64).reshape(len(sets), CELLS)
+    bits = np.zeros((len(sets), LONGS), np.uint64)
+    per_long = 64 // UNARY
+    at = np.arange(CELLS) % per_long * UNARY
+    for level in range(UNARY):
+        shifted = (counts > level).astype(np.uint64) << (at + level).astype(np.uint64)
+        bits |= shifted.reshape(len(sets), LONGS, per_long).sum(2, dtype=np.uint64)
+    once = np.array([int(c.max(initial=1)) == 1 for _, c in sets], bool)
+    return bits.view(np.int64), np.maximum(counts - UNARY, 0).sum(1), counts.sum(1), once
+
+
+def _may_be(least: float, one: str, other: str) -> Column:
+    """Whether two texts, whose counts are columns with these prefixes, can be similar enough.
+
+    What they have in common is at most ``shared``, the sum over cells of the smaller count. Their probability
+    Jaccard is at most shared / (n + m - shared) if no shingle of either occurs twice, and shared / min(n, m) in any case.
+    """
+    common = F.lit(0)
+    for i in range(LONGS):
+        common = common + F.bit_count(F.col(f"{one}{i}").bitwiseAND(F.col(f"{other}{i}")))
+    common = common + F.least(f"{one}more", f"{other}more")
+    n, m = F.col(f"{one}total"), F.col(f"{other}total")
+    whole = F.when(F.col(f"{one}once") & F.col(f"{other}once"), n + m - common).otherwise(F.least(n, m))
+    return common >= whole * F.lit(least - 1e-9)
 
 
 def _banded(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
-    """id, x (a hash of the text), u, bands, sketch of each row of ``docs`` (id, t): the hash of each band of the signature, none without a word,
-    and some bits of all registers. There are twice as many registers as the bands use."""
+    """id, x (a hash of the text), u, bands, counts, more, total, once of each row of ``docs`` (id, t): the hash of each band of
+    the signature with its number, none without a word, and what ``_counted`` gives."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(3)
             for a, b in by_size(texts, 4_000_000):
                 sets = shingles(texts.slice(a, b - a), size)
-                z = signatures(sets, 2 * bands * rows)
-                parts = z[:, :bands * rows].reshape(len(sets), bands, rows)
-                hashed = np.zeros((len(sets), bands), np.uint64)
+                parts = signatures(sets, bands * rows).reshape(len(sets), bands, rows)
+                hashed = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(sets), bands)).copy()
                 for j in range(rows):
                     hashed = _mix(hashed * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j])
                 lists = [h if len(s) else h[:0] for h, (s, _) in zip(hashed.view(np.int64), sets, strict=True)]
+                bits, more, total, once = _counted(sets)
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(a, b - a) for c in batch.columns[:3]), pa.array(lists, pa.list_(pa.int64())),
-                     pa.array(list(_packed(z)), pa.list_(pa.int64()))], ["id", "x", "u", "bands", "sketch"])
+                    [*(c.slice(a, b - a) for c in batch.columns[:3]), pa.array(lists, pa.list_(pa.int64())), pa.array(list(bits), pa.list_(pa.int64())),
+                     pa.array(more), pa.array(total), pa.array(once)], ["id", "x", "u", "bands", "counts", "more", "total", "once"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", F.xxhash64("t").alias("x"), node(F.col("t")).alias("u"), "t").mapInArrow(work, f"id {kind}, x long, u binary, bands array<long>, sketch array<long>")
+    named = docs.select("id", F.xxhash64("t").alias("x"), node(F.col("t")).alias("u"), "t")
+    return named.mapInArrow(work, f"id {kind}, x long, u binary, bands array<long>, counts array<long>, more long, total long, once boolean")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
@@ -181,25 +195,29 @@ def _linked(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> Data
     return full.select("a", "b", "ta", "tb").mapInArrow(work, "a binary, b binary")
 
 
+def _state(edges: DataFrame):
+    return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """u, l for every node of ``edges`` (a, b) but the smallest of each component, which is l.
 
     Alternates between linking the larger neighbours of a node and the smaller ones to its smallest neighbour,
-    so chains halve; each step is a grouping and a join, written to the shared folder.
+    so chains halve; each half step is a grouping and a join, written to the shared folder.
     """
     now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
-    seen = None
+    seen = _state(now)
     while True:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = written(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = written(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct())
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
+        after = written(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct())
+        released(now, large)
+        now, before, seen = after, seen, _state(after)
+        if before == seen:
             return now.select("u", F.col("v").alias("l"))
-        seen = state
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8, size: int = 5,
@@ -211,68 +229,63 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     connect, and class_id is the smallest id in the class (a null id counts as the largest). Texts of equal words are always in
     one class; so are all texts without a word, null ones included. Repeated rows are in one class and count in its size. With
     32 bands of 7 a pair at 0.8 is a candidate with probability 0.9995, and with more above; every candidate pair is
-    verified, connected by others, or so different in 448 registers that one linked pair in 10,000 would be. Other
-    columns are not read; an empty table gives no rows.
+    verified, in one class by other links, or below ``least`` by an exact bound. Other columns are not read; an empty table
+    gives no rows.
     """
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     signed = written(_banded(slim, bands, rows, size))
-    groups = signed.groupBy("u").agg(F.min(F.struct(F.col("id").isNull(), "id", "x")).alias("rep"), F.count("*").alias("n"), F.first("bands").alias("bands"))
-    groups = written(groups.select("u", F.col("rep.id").alias("rep"), F.col("rep.x").alias("rep_x"), "n", "bands"))
-    each = groups.select("u", F.posexplode("bands").alias("band", "h"))
-    shared = written(each.groupBy("band", "h").agg(F.count("*").alias("size")).filter("size > 1"))
-    members = written(each.join(shared, ["band", "h"]))
+    order = F.struct(F.col("id").isNull(), "id", "x")
+    groups = written(signed.groupBy("u").agg(F.min(order).alias("rep"), F.count("*").alias("n"), F.first(F.struct("bands", "counts", "more", "total", "once")).alias("own"))
+                     .select("u", F.col("rep.id").alias("rep"), F.col("rep.x").alias("rep_x"), "n", "own.*"))
+    ids, names = written(signed.select("id", "u")), written(groups.select("u", "rep", "n"))
+    released(signed)
+    each = groups.select("u", F.explode("bands").alias("h"))
+    members = written(each.withColumn("size", F.count("*").over(Window.partitionBy("h"))).filter("size > 1"))
     # who shares most bands with most others comes first: in a group of copies that is what they are copies of
-    order = written(members.groupBy("u").agg((-F.sum("size")).alias("place")).select("u", F.struct("place", "u").alias("order")))
-    registers = 2 * bands * rows
-    sketch = [F.get("sketch", i).alias(f"s{i}") for i in range(-(-registers // 16))]
-    order = written(signed.select("u", *sketch).join(order, "u").dropDuplicates(["u"]))
-    members = written(members.select("band", "h", "u").join(order, "u"))
-    wanted = groups.join(members.select("u").distinct(), "u", "left_semi").select("u", "rep", "rep_x")
+    place = members.groupBy("u").agg((-F.sum("size")).alias("place"))
+    nodes = written(groups.join(place, "u"))
+    wanted = nodes.select("u", "rep", "rep_x")
     texts = slim.join(wanted, F.col("id").eqNullSafe(F.col("rep")) & (F.xxhash64("t") == F.col("rep_x")))
     texts = written(texts.select("u", "t").dropDuplicates(["u"]))
-    members = members.withColumn("l", F.col("u"))
-    edges, tested, centres, stale = None, None, 1, False
-    labels = texts.select("u", F.col("u").alias("l")).limit(0)
-    while True:
-        open_ = members.groupBy("band", "h").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).filter("lo != hi").select("band", "h")
-        left = written(members.join(open_, ["band", "h"]))
-        if left.isEmpty():
-            break
-        place = F.row_number().over(Window.partitionBy("band", "h").orderBy("order"))
-        first = written(left.withColumn("place", place).filter(F.col("place") <= centres)
-                        .select("band", "h", F.col("u").alias("a"), F.col("l").alias("la"), F.col("order").alias("first"),
-                                *[F.col(f"s{i}").alias(f"a{i}") for i in range(len(sketch))]))
-        # members behind the centre in order; those before it are centres themselves
-        pairs = left.join(first, ["band", "h"]).filter(F.expr("order > first and l != la") & _may_be(least, registers, "s", "a"))
-        pairs = pairs.select("a", F.col("u").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs)
-        found = written(_linked(pairs, texts, least, size))
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        edges = found if edges is None else edges.unionAll(found)
-        n_found, n_pairs = found.count(), pairs.count()
-        stale |= n_found > 0
-        # centres have met every member of their bucket
-        members = left.join(first.select("band", "h", F.col("a").alias("u")), ["band", "h", "u"], "left_anti")
-        if n_found > LINKING * n_pairs:
-            labels, stale = components(edges), False
-            members = members.drop("l").join(labels, "u", "left").withColumn("l", F.coalesce("l", "u"))
-        members = written(members)
-        centres *= 4
-    if stale:
-        labels = components(edges)
-    nodes = groups.select("u", "rep", "n").join(labels, "u", "left").select("u", "rep", "n", F.coalesce("l", "u").alias("l"))
-    nodes = written(nodes)
-    classes = written(nodes.groupBy("l").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "u")).alias("least"), F.sum("n").alias("class_size")))
-    nodes = written(nodes.join(classes, "l").select("u", F.col("least.rep").alias("class_id"), "class_size", (F.col("u") == F.col("least.u")).alias("named")))
-    return signed.select("id", "u").join(nodes, "u").select(
+    released(groups)
+
+    # all members of a bucket against its first one
+    placed = members.select("h", "u").join(nodes.select("u", F.struct("place", "u").alias("order")), "u")
+    head = placed.groupBy("h").agg(F.min("order").alias("head")).select("h", F.col("head.u").alias("a"))
+    pairs = members.select("h", "u").join(head, "h").filter("u != a").select("a", F.col("u").alias("b")).distinct()
+    edges = written(_linked(pairs, texts, least, size))
+    labels = components(edges)
+
+    # members of different classes, a pair in the first band it shares
+    cells = [F.col("counts")[i].alias(f"c{i}") for i in range(LONGS)]
+    labelled = nodes.join(labels, "u", "left").select("u", F.coalesce("l", "u").alias("l"), "bands", *cells,
+                                                     F.col("more").alias("cmore"), F.col("total").alias("ctotal"), F.col("once").alias("conce"))
+    marked = written(members.select("h", "u").join(labelled.select("u", "l"), "u"))
+    open_ = marked.groupBy("h").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).filter("lo != hi").select("h")
+    apart = written(marked.join(open_, "h").select("h", "u"))
+    wide = apart.join(labelled, "u")
+    other = wide.select("h", *[F.col(c).alias(f"o_{c}" if c in ("u", "l", "bands") else f"o{c}") for c in wide.columns if c != "h"])
+    first_shared = F.expr("""element_at(filter(zip_with(bands, o_bands, (x, y) -> CASE WHEN x = y THEN x END), z -> z IS NOT NULL), 1)""")
+    pairs = wide.join(other, "h").filter((F.col("u") < F.col("o_u")) & (F.col("l") != F.col("o_l")) & _may_be(least, "c", "oc") & (first_shared == F.col("h")))
+    more = written(_linked(pairs.select(F.col("u").alias("a"), F.col("o_u").alias("b")), texts, least, size))
+    if not more.isEmpty():
+        labels = components(edges.unionAll(more))
+    released(members, marked, apart, nodes, texts)
+
+    members = written(names.join(labels, "u", "left").select("u", "rep", "n", F.coalesce("l", "u").alias("l")))
+    classes = members.groupBy("l").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "u")).alias("least"), F.sum("n").alias("class_size"))
+    members = members.join(classes, "l").select("u", F.col("least.rep").alias("class_id"), "class_size", (F.col("u") == F.col("least.u")).alias("named"))
+    return ids.join(members, "u").select(
         F.col("id").alias(id_col), "class_id", "class_size", F.col("u").alias("mark"),
         (F.col("named") & F.col("id").eqNullSafe(F.col("class_id"))).alias("first"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one row of each class: the one that gave the class its id."""
+    """``docs`` with one row of each class: the one that gave the class its id.
+
+    Of repeated rows one stays, and so does one of those rows of that id and word sequence that differ in other columns. Nulls, empty
+    and very long texts, empty tables and clashing names are as in ``near_duplicates``; all columns of ``docs`` are kept.
+    """
     mark, key, own = (free_name(docs, c) for c in ("_mark", "_key", "_own"))
     kept = near_duplicates(docs, id_col, text_col, **how).filter("first").select(F.col(id_col).alias(key), F.col("mark").alias(mark)).distinct()
     named = docs.withColumn(own, node(F.col(text_col)))

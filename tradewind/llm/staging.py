@@ -21,6 +21,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(*frames: DataFrame) -> None:
+    """Deletes the folders of frames that ``written`` gave and that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for path in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it (names are case-insensitive)."""
     taken = {c.lower() for c in df.columns}
