@@ -45,27 +45,23 @@ def seller_performance(sellers: DataFrame, items: DataFrame, p: Params = Params(
                        sold_products: DataFrame | None = None) -> DataFrame:
     """Sales of every seller. ``sellers`` is the dimension, ``items`` the item fact.
 
-    Items are summed per seller and order first: an order has one customer, so orders are rows then and
-    customers the only distinct count. Products and categories are counted over the few distinct pairs of seller and
-    product; a product has one category. ``sold_products`` is :func:`assortment` where
-    ``items`` are not a stored fact with categories.
+    Amounts and dates are summed straight by seller, which combines before the shuffle. Only (seller, order, customer) travels
+    for the counts of orders and customers: an order has one customer, so these rows are its orders. Products and categories are
+    counted over the few distinct pairs of seller and product; a product has one category. ``sold_products`` is
+    :func:`assortment` where ``items`` are not a stored fact with categories.
     """
     if sold_products is None:
         sold_products = items.select("seller_id", "product_id", "product_category_name_english").distinct()
     products_sold = sold_products.groupBy("seller_id", "product_id").agg(
         F.max("product_category_name_english").alias("category")).groupBy("seller_id").agg(
         F.count("product_id").alias("unique_products_sold"), F.count_distinct("category").alias("unique_categories"))
-    per_order = items.groupBy("seller_id", "order_id").agg(
-        F.max("customer_id").alias("customer_id"), F.count("*").alias("items"), F.count("price").alias("priced"),
+    orders_sold = items.select("seller_id", "order_id", "customer_id").distinct().groupBy("seller_id").agg(
+        F.count("order_id").alias("total_orders"), F.count_distinct("customer_id").alias("unique_customers"))
+    sold = items.groupBy("seller_id").agg(
+        F.count("*").alias("items"), F.count("price").alias("priced"),
         money_sum("price", p.money_scale).alias("total_revenue"), money_sum("freight_value", p.money_scale).alias("total_freight"),
         F.min("order_purchase_timestamp").alias("first_sale_date"), F.max("order_purchase_timestamp").alias("last_sale_date"),
-    )
-    sold = per_order.groupBy("seller_id").agg(
-        F.count("order_id").alias("total_orders"), F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum("items").alias("items"), F.sum("priced").alias("priced"),
-        money_sum("total_revenue", p.money_scale).alias("total_revenue"), money_sum("total_freight", p.money_scale).alias("total_freight"),
-        F.min("first_sale_date").alias("first_sale_date"), F.max("last_sale_date").alias("last_sale_date"),
-    ).join(products_sold, "seller_id", "left")
+    ).join(orders_sold, "seller_id", "left").join(products_sold, "seller_id", "left")
     keys = ["seller_id", "seller_city", "seller_state", "seller_lat", "seller_lng"]
     joined = join_to_dimension(
         sellers, sold, keys, p, sums=["total_revenue", "total_freight"],
