@@ -93,11 +93,11 @@ def test_first_run(built):
 
 def test_cleaning(built):
     wh, _, _ = built
-    assert by(wh.spark.table("stg_customers"), "customer_id", "customer_city", "customer_zip_code_prefix") == {
+    assert by(wh.read("silver.stg_customers"), "customer_id", "customer_city", "customer_zip_code_prefix") == {
         "c1": ("sao paulo", "01001"), "c2": ("rio", "01002"), "c3": ('a "quoted", city', "99999")}
-    assert wh.spark.table("stg_reviews").where("review_comment_message = 'line one\nline two'").count() == 1
-    assert wh.spark.table("stg_orders").where("order_id = 'o4' and order_estimated_delivery_date is null").count() == 1
-    assert {r["_run_id"] for r in wh.spark.table("stg_sellers").collect()} == {"run-1"}
+    assert wh.read("silver.stg_reviews").where("review_comment_message = 'line one\nline two'").count() == 1
+    assert wh.read("silver.stg_orders").where("order_id = 'o4' and order_estimated_delivery_date is null").count() == 1
+    assert {r["_run_id"] for r in wh.read("silver.stg_sellers").collect()} == {"run-1"}
     assert wh.read("bronze.product_category_name_translation").columns == ["product_category_name", "product_category_name_english"]
 
 

@@ -118,9 +118,26 @@ def test_stored_history_equals_history_in_memory(spark, tmp_path, hard_deletes):
     for s, now in runs:
         h = first_history(s, how, now) if h is None else next_history(h, s, how, now)
         apply_history(wh, "gold.h", s, how, now)
-        got = wh.read("gold.h").drop("_is_open")
+        got = wh.read("gold.h").drop("_open_bucket")
         cols = sorted(h.columns)
         assert sorted(got.columns) == cols
         assert versions(got, *cols) == versions(h, *cols)
     with pytest.raises(ValueError):
         apply_history(wh, "gold.h", src(spark, ("a", "p", T4), ("a", "q", T4)).withColumn("extra", F.lit(2)), how, T4)
+
+
+def test_a_small_change_leaves_most_open_files(spark, tmp_path):
+    """Three of 2,000 keys change: three of 32 partitions of open versions are written again, closed ones only grow."""
+    wh = Warehouse(spark, str(tmp_path), {"gold": "hist_files"})
+    how = Tracking(("id",), updated_at="at")
+    state = lambda day, ids: spark.range(2000).selectExpr("string(id) AS id", f"IF(id IN ({ids}), timestamp'2024-01-0{day}', timestamp'2024-01-01') AS at")
+    files = lambda: {r[0]: r[1] for r in wh.read("gold.h").select("_open_bucket", "_metadata.file_path").distinct().collect()}
+    apply_history(wh, "gold.h", state(1, "-1"), how, datetime(2024, 1, 1), buckets=32)
+    before = files()
+    apply_history(wh, "gold.h", state(2, "5, 500, 1500"), how, datetime(2024, 1, 2))
+    after = files()
+    assert len(before) == 32 and len([b for b in before if before[b] != after[b]]) <= 3 and set(after) - set(before) == {-1}
+    assert wh.read("gold.h").count() == 2003 and wh.read("gold.h").where("valid_to IS NULL").count() == 2000
+    # a run without a change writes nothing
+    apply_history(wh, "gold.h", state(2, "5, 500, 1500"), how, datetime(2024, 1, 3))
+    assert files() == after

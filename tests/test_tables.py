@@ -231,7 +231,9 @@ def test_views_copies_clones(wh):
     wh.create_view("gold.v", f"SELECT id, value FROM {wh.full_name('gold.t')}")
     assert wh.read("gold.v").columns == ["id", "value"]
     wh.create_view("silver.session_view", wh.read("gold.t").select("id"))
-    assert wh.spark.table("session_view").count() == 5
+    wh.create_view("gold.session_view", wh.read("gold.t").where("value > 3").select("value"))
+    assert wh.read("silver.session_view").count() == 5 and wh.read("gold.session_view").count() == 2
+    assert wh.is_view("silver.session_view")
     wh.copy(["gold.t", "gold.t"], "gold.copy")
     assert wh.read("gold.copy").count() == 10
     wh.copy(["gold.t"], "gold.copy", mode="incremental")
@@ -308,29 +310,94 @@ def test_alter_columns(wh):
     assert wh.read("gold.t").columns == ["id", "at", "status", "n"] and wh.read("gold.t").count() == 5
 
 
-def test_a_failed_swap_leaves_the_old_table(spark, tmp_path):
+def test_readers_see_a_whole_table_between_any_two_steps(spark, tmp_path, monkeypatch):
+    """Before and after every catalog command and write of a rebuild, SQL and ``read`` give all old or all new rows."""
     wh = Warehouse(spark, str(tmp_path), {"gold": "swap_gold"})
     by = TimePartition("t", "day")
     rows = lambda n: spark.range(n).selectExpr("id", "timestamp'2024-01-01' + make_dt_interval(CAST(id AS INT)) AS t")
     wh.write_table("gold.a", rows(3), by)
-    rename, calls = wh._rename, []
+    plain, commands, seen = type(spark).sql, [], []
 
-    def fails(name, to):
-        calls.append(name)
-        if name.endswith("__build"):
-            raise RuntimeError("killed")
-        rename(name, to)
+    def look():
+        seen.append((plain(spark, "SELECT count(*) FROM swap_gold.a").first()[0], wh.read("gold.a").count()))
 
-    wh._rename = fails
+    def watched(self, text, *args, **kwargs):
+        commands.append(text.split()[0] + " " + text.split()[1])
+        if commands[-1] in ("CREATE TABLE", "ALTER TABLE", "ALTER VIEW", "DROP TABLE"):
+            look()
+            out = plain(self, text, *args, **kwargs)
+            look()
+            return out
+        return plain(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", watched)
+    wh.write_table("gold.a", rows(5), by)
+    monkeypatch.undo()
+    assert set(seen) == {(3, 3), (5, 5)} and seen == sorted(seen) and "ALTER VIEW" in commands
+    assert not {"MSCK REPAIR", "SHOW PARTITIONS"} & set(commands)  # no folder is listed
+    assert len(wh.partition_values("gold.a")) == 5 and wh.layout("gold.a") == (by, ())
+
+
+def test_a_reader_keeps_its_version_through_a_rebuild(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path), {"gold": "keep_gold"})
+    wh.write_table("gold.a", spark.range(3))
+    reader = wh.read("gold.a")
+    wh.write_table("gold.a", spark.range(5))
+    assert reader.count() == 3 and wh.read("gold.a").count() == 5
+    # a table made of itself, and no version but the current and the one before
+    for _ in range(3):
+        wh.write_table("gold.a", wh.read("gold.a").selectExpr("id + 1 AS id"))
+    assert [r.id for r in wh.read("gold.a").orderBy("id").collect()] == [3, 4, 5, 6, 7]
+    assert spark.sql("SHOW TABLES IN keep_gold LIKE 'a__v*'").count() == 2
+    wh.drop("gold.a")
+    assert not wh.exists("gold.a") and spark.sql("SHOW TABLES IN keep_gold").where("NOT isTemporary").count() == 0
+
+
+@pytest.mark.parametrize("step", ["_write_files", "_set_properties", "_point"])
+def test_a_failed_rebuild_leaves_the_old_table(spark, tmp_path, step):
+    wh = Warehouse(spark, str(tmp_path), {"gold": "fail" + step.lower()})
+    by = TimePartition("t", "day")
+    rows = lambda n: spark.range(n).selectExpr("id", "timestamp'2024-01-01' + make_dt_interval(CAST(id AS INT)) AS t")
+    wh.write_table("gold.a", rows(3), by)
+    work = getattr(wh, step)
+
+    def killed(*args, **kwargs):
+        raise RuntimeError("killed")
+
+    setattr(wh, step, killed)
     with pytest.raises(RuntimeError):
         wh.write_table("gold.a", rows(5), by)
-    assert wh.read("gold.a").count() == 3 and len(calls) == 3
-    # the driver dies between the two renames
-    wh._rename = rename
-    wh._rename("swap_gold.a", "swap_gold.a__old")
-    assert Warehouse(spark, str(tmp_path), {"gold": "swap_gold"}).read("gold.a").count() == 3
+    setattr(wh, step, work)
+    assert wh.read("gold.a").count() == 3 and spark.table(f"{wh.full_name('gold.a')}").count() == 3
+    wh = Warehouse(spark, str(tmp_path), {"gold": "fail" + step.lower()})
     wh.write_table("gold.a", rows(5), by)
     assert wh.read("gold.a").count() == 5 and len(wh.partition_values("gold.a")) == 5 and wh.layout("gold.a") == (by, ())
+    assert spark.sql(f"SHOW TABLES IN {wh.full_name('gold.a').split('.')[0]} LIKE 'a__v*'").count() == 2
+
+
+def test_files_of_a_partition_do_not_overlap(spark, tmp_path):
+    """A day with a third of the rows becomes several files whose ranges of the cluster column are disjoint, so that a value is
+    in one of them."""
+    import pyarrow.parquet as pq
+
+    wh = Warehouse(spark, str(tmp_path), {"gold": "cluster_gold"})
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # as with ranges too large to be put together
+    try:
+        df = spark.range(60_000, numPartitions=16).select(
+            F.col("id"), F.format_string("c%05d", F.col("id") * 7919 % 20011).alias("customer"),
+            F.timestamp_add("DAY", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 9).cast("int"), F.lit(D1)).alias("at"))
+        wh.write_table("gold.t", df, DAY, ("customer",))
+    finally:
+        spark.conf.set(key, before)
+    hot = [f for f in wh.read("gold.t", technical=True).where("at_day = DATE'2024-01-01'").inputFiles()]
+    column = pq.ParquetFile(hot[0].removeprefix("file://")).schema.names.index("customer")
+    ranges = sorted((s.min, s.max) for f in hot for g in [pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(0)]
+                    for s in [g.column(column).statistics])
+    assert len(ranges) > 2 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+    assert sum(lo <= "c10000" <= hi for lo, hi in ranges) == 1
+    assert wh.read("gold.t").count() == 60_000 and wh.layout("gold.t") == (DAY, ("customer",))
 
 
 def test_copies_and_changed_columns_keep_the_layout(spark, tmp_path):
@@ -352,3 +419,37 @@ def test_copies_and_changed_columns_keep_the_layout(spark, tmp_path):
     assert dict(wh.read("gold.a").dtypes) == {"id": "string", "t": "timestamp"}
     with pytest.raises(ValueError, match="stored by"):
         inc.change_column_type(wh, "gold.a", "id", "int", inc.Incremental(partition=TimePartition("t", "month"), keys=("id",)))
+
+
+def test_silver_views_outlive_the_session(spark, tmp_path):
+    """The nine cleaning views are in the catalog: another session reads them, with the settings of the session that made them."""
+    from tradewind.plans.daily import STAGING
+    from tradewind.plans.models import Context, build_all
+    from tradewind.plans.params import Run
+    from tradewind.plans.staging import clean
+    from tradewind.sources.schemas import COLUMNS
+
+    wh = Warehouse(spark, str(tmp_path), {"gold": "views_g", "silver": "views_s", "bronze": "views_b"})
+    values = {"text": "'\\u00a0 a b\\t'", "string": "' x '", "bigint": "'12'", "double": "'1.5'", "timestamp": "'2024-01-31 22:30:00.25'"}
+    for table, columns in COLUMNS.items():
+        row = ", ".join(f"{values[t]} AS {c}" for c, t in columns.items())
+        empty = ", ".join(f"CAST(NULL AS STRING) AS {c}" for c in columns)
+        wh.write_table(f"bronze.{table}", spark.sql(f"SELECT {row} UNION ALL SELECT {empty}"))
+    run = Run(datetime(2024, 5, 1, 1, 2, 3, 4), "it's run\\1")
+    context = Context(wh, STAGING, run)
+    build_all([STAGING], context)
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    for table, model in zip(COLUMNS, STAGING, strict=True):
+        want = clean(table, wh.read(f"bronze.{table}"), run)
+        assert rows(context.ref(model.name)) == rows(want) and context.ref(model.name).dtypes == want.dtypes
+        seen = other.table(wh.full_name(model.table))
+        assert seen.dtypes == want.dtypes and sorted(map(str, seen.collect())) == sorted(map(str, want.collect()))
+    # a new load of the tables below shows at once, and a column of another type is refused
+    wh.write_table("bronze.customers", wh.read("bronze.customers").limit(0))
+    assert other.table("views_s.stg_customers").count() == 0
+    # views of one name in two layers, from text or frames
+    wh.create_view("gold.stg_sellers", "SELECT 1 AS one")
+    wh.create_view("gold.stg_orders", spark.range(3))
+    assert wh.read("gold.stg_sellers").columns == ["one"] and wh.read("gold.stg_orders").count() == 3
+    assert wh.read("silver.stg_sellers").count() == wh.read("silver.stg_orders").count() == 2

@@ -19,8 +19,8 @@ from tradewind.operators.incremental import Incremental
 from tradewind.operators.schema_drift import reconcile
 from tradewind.session import until_the_end, working_folder
 from tradewind.sources.bindings import TABLES, table
-from tradewind.sources.tables import TimePartition, Warehouse
-from tradewind.streaming.sinks import replace_batches_stream, upsert_stream
+from tradewind.sources.tables import KeyPartition, TimePartition, Warehouse
+from tradewind.streaming.sinks import replace_batches_stream, totals_stream, upsert_stream
 
 OLD_UNTIL, NEW_FROM = datetime(2000, 1, 1), datetime(1998, 1, 1)
 PLACED = "order_purchase_timestamp"
@@ -148,6 +148,15 @@ def stored_merge(spark, d):
     return wh.read("gold.orders")
 
 
+def stored_key_merge(spark, d):
+    """The merge on a table partitioned by a hash of its key: the new rows alone tell what to rewrite."""
+    by = KeyPartition(("order_id",), 8)
+    wh, how = warehouse(spark), Incremental("merge", ("order_id",), by)
+    wh.write_table("gold.orders", old_rows(spark, d), by)
+    inc.apply(wh, "gold.orders", new_rows(spark, d), how)
+    return wh.read("gold.orders")
+
+
 def stored_overwrite(spark, d):
     wh, how = warehouse(spark), Incremental("insert_overwrite", partition=BY_MONTH)
     wh.write_table("gold.orders", old_rows(spark, d), BY_MONTH)
@@ -158,43 +167,60 @@ def stored_overwrite(spark, d):
 EVENT = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
-def _event_files(spark, d) -> str:
-    """All events in one file; a third of them a month later with another value; a fifth as they were but corrected,
-    one in seven of those without a time. Three files, one after the other."""
-    events, folder = table(spark, d, "events").select(*EVENT), own_folder(spark, "files")
-    moved = events.where("event_id % 3 = 0").withColumn("ts", F.col("ts") + F.expr("interval 31 days")).withColumn("value", F.col("value") + 100)
-    fixed = events.where("event_id % 5 = 0").withColumn("event_type", F.lit("corrected")).withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
-    for number, part in enumerate((events, moved, fixed)):
-        part.coalesce(1).write.parquet(f"{folder}/{number}")
+def _event_batches(spark, d) -> list[DataFrame]:
+    """All events, with a later version of every fourth in the same batch; then a third of them a month later with another
+    value, and outdated versions of every sixth; then a fifth as they were but corrected, one in seven of those without a time."""
+    events = table(spark, d, "events").select(*EVENT, F.lit(1).alias("version"))
+    changed = lambda every, version, **columns: events.where(f"event_id % {every} = 0").withColumns(
+        {"version": F.lit(version), **columns})
+    return [
+        events.unionByName(changed(4, 2, event_type=F.concat("event_type", F.lit(" again")))),
+        changed(3, 3, ts=F.col("ts") + F.expr("interval 31 days"), value=F.col("value") + 100)
+        .unionByName(changed(6, 0, event_type=F.lit("outdated"))),
+        changed(5, 4, event_type=F.lit("corrected"), ts=F.when(F.col("event_id") % 7 != 0, F.col("ts"))),
+    ]
+
+
+def _stream_in(spark, batches: list[DataFrame], run) -> str:
+    """Writes one folder of files after the other and lets ``run(stream, folder)`` take what is new after each."""
+    folder = own_folder(spark, "files")
+    for number, batch in enumerate(batches):
+        batch.write.parquet(f"{folder}/{number}")
+        run(spark.readStream.schema(batches[0].schema).parquet(f"{folder}/*"), folder).awaitTermination()
     return folder
 
 
-def _event_stream(spark, folder: str) -> DataFrame:
-    """One micro-batch per file."""
-    schema = spark.read.parquet(f"{folder}/0").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
-
-
 def stream_upsert(spark, d):
-    """Three batches of events stream into a table of each event's latest state."""
-    wh = warehouse(spark)
+    """Three batches of events stream into a table of each event's latest version."""
+    wh, checkpoint = warehouse(spark), own_folder(spark, "checkpoints")
     how = Incremental("merge", ("event_id",), TimePartition("ts", "month"))
-    upsert_stream(_event_stream(spark, _event_files(spark, d)), wh, "gold.events", how, own_folder(spark, "checkpoints"), once=True).awaitTermination()
+    _stream_in(spark, _event_batches(spark, d), lambda stream, _: upsert_stream(
+        stream, wh, "gold.events", how, checkpoint, once=True, order_by=("version",)))
     return wh.read("gold.events")
 
 
 def stream_replace_days(spark, d):
     """New events make the totals of their days run again, over all that has arrived until then: after three batches they
     are the totals of all files."""
-    wh, folder = warehouse(spark), _event_files(spark, d)
+    wh, checkpoint = warehouse(spark), own_folder(spark, "checkpoints")
     how = Incremental("microbatch", partition=TimePartition("day", "day"))
-    stream = _event_stream(spark, folder).select(F.date_trunc("day", "ts").alias("day"))
 
-    def totals() -> DataFrame:
-        return spark.read.parquet(f"{folder}/*").groupBy(F.date_trunc("day", "ts").alias("day")).agg(
-            F.count("*").alias("events"), F.count_distinct("user_id").alias("users"))
+    def run(stream, folder):
+        def totals(touched) -> DataFrame:
+            rows = spark.read.parquet(f"{folder}/*").where(touched("ts"))
+            return rows.groupBy(F.date_trunc("day", "ts").alias("day")).agg(F.count("*").alias("events"), F.count_distinct("user_id").alias("users"))
+
+        return replace_batches_stream(stream.select(F.date_trunc("day", "ts").alias("day")), wh, "gold.days", totals, how, checkpoint, once=True)
+
+    _stream_in(spark, _event_batches(spark, d), run)
+    return wh.read("gold.days")
+
 
-    replace_batches_stream(stream, wh, "gold.days", totals, how, own_folder(spark, "checkpoints"), once=True).awaitTermination()
+def stream_day_totals(spark, d):
+    """The same totals from the stream's own state: no file is read for a second time."""
+    wh, checkpoint = warehouse(spark), own_folder(spark, "checkpoints")
+    _stream_in(spark, _event_batches(spark, d), lambda stream, _: totals_stream(
+        stream, wh, "gold.days", TimePartition("ts", "day"), {"events": "count(*)"}, checkpoint, {"users": ["user_id"]}, "day", once=True))
     return wh.read("gold.days")
 
 
@@ -287,7 +313,7 @@ def scd2_first_build(spark, d):
 QUERIES = {f.__name__: f for f in (
     merge_upsert, merge_update_columns, merge_exclude_columns, merge_predicates, merge_ambiguous_keys, append,
     delete_insert, delete_insert_predicate, overwrite_static, overwrite_dynamic, microbatch, high_watermark,
-    schema_append_columns, schema_sync_columns, stored_merge, stored_overwrite, stream_upsert, stream_replace_days,
+    schema_append_columns, schema_sync_columns, stored_merge, stored_key_merge, stored_overwrite, stream_upsert, stream_replace_days, stream_day_totals,
     stored_fct_orders, stored_fct_order_items, stored_update_nothing,
     stored_changed_columns, newest_partition, scd2_first_build,
 )} | {name: _history(how) for name, how in TRACKED.items()}
@@ -366,9 +392,19 @@ _GRAVE = f"""UNION ALL
            md5(scd_id || '|' || strftime({_NOW}, '%Y-%m-%d %H:%M:%S.%f')), {_NOW}, {_NOW}, valid_to, 'True'
     FROM h WHERE order_id NOT IN (SELECT order_id FROM v2)"""
 
+_EVENT_VERSIONS = """
+    WITH e AS (SELECT event_id, ts, user_id, event_type, value FROM events),
+    v AS (SELECT *, 1 AS version FROM e
+          UNION ALL SELECT event_id, ts, user_id, event_type || ' again', value, 2 FROM e WHERE event_id % 4 = 0
+          UNION ALL SELECT event_id, ts + INTERVAL 31 DAY, user_id, event_type, value + 100, 3 FROM e WHERE event_id % 3 = 0
+          UNION ALL SELECT event_id, ts, user_id, 'outdated', value, 0 FROM e WHERE event_id % 6 = 0
+          UNION ALL SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN ts END, user_id, 'corrected', value, 4 FROM e WHERE event_id % 5 = 0)"""
+_DAY_TOTALS = "SELECT date_trunc('day', ts) AS day, count(*) AS events, count(DISTINCT user_id) AS users FROM v GROUP BY 1"
+
 ORACLE = {
     "merge_upsert": _state_sql(_MERGED),
     "stored_merge": _state_sql(_MERGED),
+    "stored_key_merge": _state_sql(_MERGED),
     "merge_update_columns": _column_merge(
         "t.customer_id, coalesce(s.order_status, t.order_status) AS order_status, t.order_purchase_timestamp"),
     "merge_exclude_columns": _column_merge(
@@ -400,15 +436,10 @@ ORACLE = {
     "schema_sync_columns": _state_sql("""
         SELECT order_id, order_status, cast(order_purchase_timestamp AS date) AS order_purchase_timestamp, NULL::varchar AS note FROM t
         UNION ALL SELECT order_id, order_status, cast(order_purchase_timestamp AS date), 'late' FROM s"""),
-    "stream_upsert": """
-        SELECT event_id, user_id, CASE WHEN event_id % 5 = 0 THEN 'corrected' ELSE event_type END AS event_type,
-               CASE WHEN event_id % 5 = 0 OR event_id % 3 <> 0 THEN value ELSE value + 100 END AS value,
-               CASE WHEN event_id % 35 = 0 THEN NULL WHEN event_id % 5 = 0 OR event_id % 3 <> 0 THEN ts ELSE ts + INTERVAL 31 DAY END AS ts
-        FROM events""",
-    "stream_replace_days": """
-        SELECT date_trunc('day', ts) AS day, count(*) AS events, count(DISTINCT user_id) AS users FROM (
-            SELECT ts, user_id FROM events UNION ALL SELECT ts + INTERVAL 31 DAY, user_id FROM events WHERE event_id % 3 = 0
-            UNION ALL SELECT CASE WHEN event_id % 7 <> 0 THEN ts END, user_id FROM events WHERE event_id % 5 = 0) GROUP BY 1""",
+    "stream_upsert": f"""{_EVENT_VERSIONS}
+        SELECT event_id, ts, user_id, event_type, value, version FROM v QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY version DESC) = 1""",
+    "stream_replace_days": f"{_EVENT_VERSIONS} {_DAY_TOTALS}",
+    "stream_day_totals": f"{_EVENT_VERSIONS} {_DAY_TOTALS}",
     "stored_changed_columns": """
         SELECT cast(event_id AS varchar) AS event_id, ts, user_id, event_type, cast(date_trunc('month', ts) AS date) AS ts_month FROM events""",
     "newest_partition": """

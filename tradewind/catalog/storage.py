@@ -16,6 +16,7 @@ from tradewind.functions.dates import time_literal
 from tradewind.operators import history, incremental as inc, quality
 from tradewind.operators.incremental import Incremental
 from tradewind.operators.schema_drift import schema_diff
+from tradewind.plans.daily import STAGING
 from tradewind.plans.models import Context, Model, build_all
 from tradewind.plans.staging import clean
 from tradewind.sources.bindings import BINDINGS, table
@@ -102,6 +103,17 @@ def stored_view(spark, d):
     return wh.read("silver.by_status")
 
 
+def silver_view(spark, d):
+    """Reviews as loaded, read through their cleaning view in the catalog; another layer has a view of the same name."""
+    wh = warehouse(spark)
+    raw = BINDINGS["reviews"](spark, d)
+    wh.write_table("bronze.reviews", raw.select(*[F.col(c).cast("string") for c in raw.columns]))
+    model, = [m for m in STAGING if m.name == "stg_reviews"]
+    wh.create_view("gold.stg_reviews", "SELECT 'another layer' AS note")
+    build_all([[model]], Context(wh, STAGING))
+    return spark.table(f"{wh.full_name('silver.stg_reviews')}")
+
+
 def materialized_view(spark, d):
     wh = warehouse(spark)
     wh.write_table("gold.orders", old_rows(spark, d))
@@ -183,7 +195,7 @@ def stored_history(spark, d):
     wh, how = warehouse(spark), TRACKED["scd2_deleted_record"]
     for state, now in zip(_states(spark, d), (FIRST_RUN, SECOND_RUN)):
         history.apply_history(wh, "gold.history", state, how, now)
-    return wh.read("gold.history").drop("_is_open")
+    return wh.read("gold.history").drop(history.STORED_BY.column)
 
 
 def schema_difference(spark, d):
@@ -212,7 +224,7 @@ def python_models(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    csv_scan, csv_scan_in_blocks, bronze_load, bronze_reviews, seed_load, table_copy, table_clone, stored_view,
+    csv_scan, csv_scan_in_blocks, bronze_load, bronze_reviews, seed_load, table_copy, table_clone, stored_view, silver_view,
     materialized_view, stored_partitions, stored_ranges, stored_ingestion_time, shard_scan, stored_delete_insert,
     stored_copy_partitions, stored_microbatch, stored_watermark, stored_schema_sync, stored_history, schema_difference,
     stored_failures, python_models,
@@ -239,6 +251,7 @@ ORACLE = {
     "table_copy": f"{_STATES} SELECT * FROM t UNION ALL SELECT * FROM s UNION ALL SELECT * FROM t",
     "table_clone": f"{_STATES} SELECT * FROM t",
     "stored_view": f"{_STATES} SELECT order_status, count(*) AS n FROM t GROUP BY 1",
+    "silver_view": sql("SELECT * FROM reviews"),
     "materialized_view": f"{_STATES} SELECT order_status, count(*) AS n FROM s GROUP BY 1",
     "stored_partitions": f"{_STATES} SELECT cast(date_trunc('month', order_purchase_timestamp) AS date) AS month, count(*) AS n FROM t GROUP BY 1",
     "stored_ranges": """

@@ -6,7 +6,7 @@ with the source once; each pair then yields the versions it leaves behind.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -18,7 +18,7 @@ from tradewind.functions.predicates import equals
 from tradewind.operators.merge import spread_missing_keys
 from tradewind.operators.schema_drift import add_columns
 from tradewind.session import staged
-from tradewind.sources.tables import ValuePartition, Warehouse
+from tradewind.sources.tables import LASTING, ValuePartition, Warehouse, value_text
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 HARD_DELETES = ("ignore", "invalidate", "new_record")
@@ -170,13 +170,15 @@ def next_history(history: DataFrame, source: DataFrame, how: Tracking, now: date
 
 # -- stored history ---------------------------------------------------------------------------------
 
-OPEN = ValuePartition("_is_open")
+# partition of closed versions; open ones are in partitions 0, 1, ... by a hash of their key
+CLOSED = -1
+STORED_BY = ValuePartition("_open_bucket")
 
 
-def apply_history(warehouse: Warehouse, table: str, source: DataFrame, how: Tracking, now: datetime) -> None:
-    """Keep a stored history. Open and closed versions are separate partitions: a run rewrites the
-    open ones and appends what it closed; closed versions are never written again."""
-    marked = lambda df: df.withColumn("_is_open", how.is_open())
+def apply_history(warehouse: Warehouse, table: str, source: DataFrame, how: Tracking, now: datetime, buckets: int = 16) -> None:
+    """Keep a stored history. Closed versions are one partition, which is only appended to. Open ones are dealt to
+    ``buckets`` partitions by their key, and a run writes only those again in which a version closes or opens. ``buckets`` is
+    fixed by the first run: as many as make the open versions of one some hundred megabytes."""
     with staged(source) as source:
         # in every run alike; a missing key matches nothing, unless NULLs are keys
         named = source if how.null_safe else source.dropna(subset=list(how.keys))
@@ -184,30 +186,43 @@ def apply_history(warehouse: Warehouse, table: str, source: DataFrame, how: Trac
         if repeated:
             raise ValueError(f"the source of history {table} repeats a key, for example {repeated[0].asDict()}")
         if not warehouse.exists(table):
-            warehouse.write_table(table, marked(first_history(source, how, now)), OPEN, how.keys)
+            warehouse.write_table(table, _placed(first_history(source, how, now), how, buckets), STORED_BY, how.keys)
+            warehouse.set_properties(table, {f"{LASTING}buckets": str(buckets)})
             return
+        buckets = int(warehouse.properties(table).get(f"{LASTING}buckets", buckets))
         stored = warehouse.read(table)
-        with staged(changes(stored.drop("_is_open"), source, how, now)) as made:
-            _store(warehouse, table, stored, made, marked, how)
+        # what stays as it is need not be written
+        made = changes(stored.drop(STORED_BY.column), source, how, now).where(~F.col("_was_open") | ~how.is_open())
+        with staged(made) as made:
+            _store(warehouse, table, stored, made, how, buckets)
 
 
-def _store(warehouse: Warehouse, table: str, stored: DataFrame, made: DataFrame,
-           marked: Callable[[DataFrame], DataFrame], how: Tracking) -> None:
-    scd_id = how.names.scd_id
+def _placed(versions: DataFrame, how: Tracking, buckets: int) -> DataFrame:
+    bucket = F.pmod(F.xxhash64(*how.keys), F.lit(buckets)).cast("int")
+    return versions.withColumn(STORED_BY.column, F.when(how.is_open(), bucket).otherwise(CLOSED))
+
+
+def _store(warehouse: Warehouse, table: str, stored: DataFrame, made: DataFrame, how: Tracking, buckets: int) -> None:
+    scd_id, place = how.names.scd_id, F.col(STORED_BY.column)
     extra = [f for f in made.schema if f.name not in (*stored.columns, "_was_open")]
     if extra:
-        added = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in extra)
-        warehouse.spark.sql(f"ALTER TABLE {warehouse.full_name(table)} ADD COLUMNS ({added})")
-    was_open = marked(made.where("_was_open").drop("_was_open"))
-    fresh = marked(made.where(~F.col("_was_open")).drop("_was_open")).join(stored.select(scd_id), scd_id, "left_anti")
+        warehouse.add_columns(table, {f.name: f.dataType.simpleString() for f in extra})
+        stored = warehouse.read(table)
+    closes = _placed(made.where("_was_open").drop("_was_open"), how, buckets)
+    # an id that the history already has is not added again
+    fresh = _placed(made.where(~F.col("_was_open")).drop("_was_open"), how, buckets).join(stored.select(scd_id), scd_id, "left_anti")
     # closed versions first, skipping those a broken earlier run already appended
-    known = stored.where(~F.col("_is_open")).select(scd_id)
-    closed = was_open.where(~F.col("_is_open")).join(known, scd_id, "left_anti")
+    known = stored.where(place == CLOSED).select(scd_id)
+    closed = closes.unionByName(fresh.where(~how.is_open())).join(known, scd_id, "left_anti")
+    bucket = F.pmod(F.xxhash64(*how.keys), F.lit(buckets)).cast("int")
+    # partitions that lose or gain an open version: at most ``buckets`` values
+    touched = [r[0] for r in made.select(bucket).distinct().collect()]
+    if not touched:
+        return
+    left = stored.where(place.isin(touched)).join(closes.select(scd_id), scd_id, "left_anti").unionByName(fresh.where(how.is_open()))
     # what stays open is fixed before the table changes under it
-    with staged(was_open.where("_is_open").unionByName(fresh)) as still_open:
+    with staged(left) as left:
         if not closed.isEmpty():
-            warehouse.append(table, closed, OPEN, how.keys)
-        if still_open.isEmpty():
-            warehouse.drop_partitions(table, ["true"])
-        else:
-            warehouse.replace_partitions(table, still_open, OPEN, how.keys)
+            warehouse.append(table, closed, STORED_BY, how.keys)
+        filled = warehouse.replace_partitions(table, left, STORED_BY, how.keys)
+        warehouse.drop_partitions(table, [b for b in touched if value_text(b) not in filled])

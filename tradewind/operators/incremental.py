@@ -2,7 +2,8 @@
 
 Parquet tables know no row updates, so a keyed change rewrites partitions: only those that hold a
 matched row or receive a new one. The new rows are written once to the shared folder first, because
-they are read several times (uniqueness, touched partitions, merge).
+they are read several times (uniqueness, touched partitions, merge). In a table partitioned by its key
+(:class:`KeyPartition`) the new rows alone say which partitions these are; elsewhere the keys of the table are read.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from tradewind.operators.schema_drift import (
     add_columns, change_column_type as cast_column, drop_columns, fit, policy_of, reconcile, schema_diff,
 )
 from tradewind.session import staged
-from tradewind.sources.tables import Partition, TimePartition, Warehouse, is_in
+from tradewind.sources.tables import KeyPartition, Partition, TimePartition, Warehouse, is_in, value_text
 
 
 class AmbiguousMerge(ValueError):
@@ -126,23 +127,21 @@ def _rewrite(warehouse: Warehouse, table: str, source: DataFrame, how: Increment
         return
     stored = warehouse.read(table, technical=True)
     value = part.column
-    # partitions that hold a matched row: only keys, predicate columns and the partition are read
-    matched = stored.alias("target").join(
-        source.alias("source"), merge.match(how.keys, how.predicates, how.null_safe), "left_semi")
-    leaving = {r[0] for r in matched.select(value).distinct().collect()}
+    if isinstance(part, KeyPartition) and set(part.keys) <= set(how.keys):
+        leaving = set()  # a stored row lies where the new row of its key goes
+    else:
+        # partitions that hold a matched row: only keys, predicate columns and the partition are read
+        matched = stored.alias("target").join(
+            source.alias("source"), merge.match(how.keys, how.predicates, how.null_safe), "left_semi")
+        leaving = {r[0] for r in matched.select(value).distinct().collect()}
     arriving = {r[0] for r in source.select(part.value().alias(value)).distinct().collect()}
     old = stored.where(is_in(value, list(leaving | arriving)))
     if part.drop_field:
         old = old.withColumn(part.field, part.time())
     new = change(old.drop(value) if value != part.field else old)
-    # a partition all of whose rows move elsewhere does not occur in the new rows: drop it afterwards
-    doubtful = list(leaving - arriving)
-    emptied = []
-    if doubtful:
-        stays = new.withColumn(value, part.value()).where(is_in(value, doubtful)).select(value).distinct().collect()
-        emptied = [v for v in doubtful if v not in {r[0] for r in stays}]
-    warehouse.replace_partitions(table, new, part, how.cluster, [v for v in leaving | arriving if v not in emptied])
-    warehouse.drop_partitions(table, emptied)
+    filled = warehouse.replace_partitions(table, new, part, how.cluster)
+    # a partition all of whose rows moved elsewhere does not occur in the new rows
+    warehouse.drop_partitions(table, [v for v in leaving if value_text(v) not in filled])
 
 
 # -- partition replacement --------------------------------------------------------------------------
@@ -156,9 +155,8 @@ def insert_overwrite(warehouse: Warehouse, table: str, source: DataFrame, how: I
     with staged(source.withColumn("_replaces", replaces)) as rows:
         inside = rows.where("_replaces").drop("_replaces")
         outside = rows.where(~F.col("_replaces")).drop("_replaces")
-        filled = [r[0] for r in inside.select(part.value()).distinct().collect()]
-        warehouse.replace_partitions(table, inside, part, how.cluster, filled)
-        warehouse.drop_partitions(table, [v for v in listed if str(v) not in {str(f) for f in filled}])
+        filled = warehouse.replace_partitions(table, inside, part, how.cluster)
+        warehouse.drop_partitions(table, [v for v in listed if value_text(v) not in filled])
         if not outside.isEmpty():
             warehouse.append(table, outside, part, how.cluster)
 
@@ -185,10 +183,8 @@ def microbatch(warehouse: Warehouse, table: str, rows: Callable[[datetime, datet
             continue
         with staged(batch) as batch:
             batch, _ = change_schema(warehouse, table, batch, how)
-            filled = {r[0] for r in batch.select(part.value()).distinct().collect()}
-            if filled:
-                warehouse.replace_partitions(table, batch, part, how.cluster, list(filled))
-            warehouse.drop_partitions(table, [v for v in values if v not in filled])
+            filled = warehouse.replace_partitions(table, batch, part, how.cluster)
+            warehouse.drop_partitions(table, [v for v in values if value_text(v) not in filled])
     return len(windows)
 
 
@@ -239,8 +235,7 @@ def change_schema(warehouse: Warehouse, table: str, source: DataFrame, how: Incr
         return reconcile(stored, source, policy)[1], []
     if policy == "append_new_columns" or not (diff.removed or diff.retyped):
         if diff.added:
-            added = ", ".join(f"{c} {t.simpleString()}" for c, t in diff.added.items())
-            warehouse.spark.sql(f"ALTER TABLE {warehouse.full_name(table)} ADD COLUMNS ({added})")
+            warehouse.add_columns(table, {c: t.simpleString() for c, t in diff.added.items()})
         table_schema = rows_of(warehouse, table, how.partition).schema
         return fit(add_columns(source, diff.removed), table_schema), list(diff.removed)
     # dropping or retyping a column rewrites the files
@@ -268,8 +263,7 @@ def alter_columns(warehouse: Warehouse, table: str, add: Mapping[str, str] | Non
     """Add columns (NULL in the rows there are), drop columns. Adding only changes the catalog; dropping rewrites
     the files in the layout the table has."""
     if add:
-        listed = ", ".join(f"{c} {spark_type(t)}" for c, t in add.items())
-        warehouse.spark.sql(f"ALTER TABLE {warehouse.full_name(table)} ADD COLUMNS ({listed})")
+        warehouse.add_columns(table, {c: spark_type(t) for c, t in add.items()})
     if drop:
         partition, cluster = _kept_layout(warehouse, table, how)
         warehouse.write_table(table, drop_columns(warehouse.rows(table, partition), drop), partition, cluster)

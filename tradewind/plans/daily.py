@@ -12,7 +12,7 @@ from tradewind.operators.incremental import Incremental
 from tradewind.plans import customers, declared, orders, products, sellers
 from tradewind.plans.models import Context, Model, build_all
 from tradewind.plans.params import Params, Run
-from tradewind.plans.staging import clean, with_audit
+from tradewind.plans.staging import clean, clean_sql, with_audit
 from tradewind.sources.raw import load_bronze
 from tradewind.sources.schemas import COLUMNS
 from tradewind.sources.tables import TimePartition, Warehouse
@@ -24,7 +24,8 @@ CLUSTER = ("order_status", "customer_id")
 def _staging(table: str) -> Model:
     # stored and listed under the short name of the translation table
     name = "stg_product_category_translation" if table == "product_category_name_translation" else f"stg_{table}"
-    return Model(name, lambda c, s: clean(table, c.source(table), c.run), "view", "silver")
+    return Model(name, lambda c, s: clean(table, c.source(table), c.run), "view", "silver",
+                 sql=lambda c: clean_sql(table, c.warehouse.full_name(f"bronze.{table}"), c.run))
 
 
 def _plain(c: Context, name: str) -> DataFrame:
@@ -90,7 +91,7 @@ class Outcome:
 
 def run_daily(warehouse: Warehouse, raw_folder: str, run: Run, *, files: Mapping[str, str] | None = None,
               params: Params = Params(), full_refresh: bool = False, extra_models: Iterable[Model] = (),
-              multiline: bool | str = True, load: bool = True) -> Outcome:
+              multiline: bool | str = "blocks", load: bool = True) -> Outcome:
     """One run. A failed check raises before the next layer is built."""
     extra = list(extra_models)
     context = Context(warehouse, [*STAGING, *INTERMEDIATE, *CORE, *ANALYTICS, *extra], run, params, full_refresh)

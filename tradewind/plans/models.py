@@ -21,7 +21,8 @@ KINDS = ("view", "inline", "table", "incremental")
 @dataclass(frozen=True)
 class Model:
     """A named query. ``view`` and ``inline`` stay lazy frames, ``table`` is rebuilt on each run and
-    ``incremental`` is changed as ``how`` says."""
+    ``incremental`` is changed as ``how`` says. A view with ``sql``, a function that gives the text of its query, is made in the
+    catalog, where it outlives the session."""
 
     name: str
     query: Callable[["Context", SparkSession], DataFrame | pd.DataFrame]
@@ -29,6 +30,7 @@ class Model:
     layer: str = "gold"
     how: Incremental = Incremental()
     config: Mapping[str, Any] = field(default_factory=dict)
+    sql: Callable[["Context"], str] | None = None
 
     def __post_init__(self) -> None:
         if self.kind not in KINDS:
@@ -64,7 +66,7 @@ class Context:
     def ref(self, name: str) -> DataFrame:
         """Another model: its stored rows, or its lazy frame if it is not stored."""
         model = self.models[name]
-        if model.kind in ("table", "incremental"):
+        if model.kind in ("table", "incremental") or (model.sql and self.warehouse.exists(model.table)):
             return self.warehouse.read(model.table)
         if name not in self._lazy:
             self._lazy[name] = evaluate(model, self)
@@ -99,7 +101,8 @@ def evaluate(model: Model, context: Context) -> DataFrame:
 def build_model(model: Model, context: Context) -> None:
     warehouse = context.warehouse
     if model.kind == "view":
-        warehouse.create_view(model.table, context.ref(model.name), context.full_refresh)
+        body = model.sql(context.for_model(model)) if model.sql else context.ref(model.name)
+        warehouse.create_view(model.table, body, context.full_refresh)
     elif model.kind == "table":
         warehouse.write_table(model.table, evaluate(model, context), model.how.partition, model.how.cluster)
     elif model.kind == "incremental":

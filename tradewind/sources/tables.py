@@ -1,18 +1,27 @@
 """Stored tables: Parquet tables in the session catalog, one database per layer.
 
-Tables may be split by a derived column (a day, a number range) and sorted inside each partition.
-Rows are spread over writers with a rebalance hint, so a day with most of the rows becomes several
-files written by several tasks.
+A table's name is a view over its current version, a Parquet table of its own. A rebuild fills a new version, tells the
+catalog its partitions from the values that the write itself saw, and points the view at it in one change of
+the catalog, so that a reader sees the whole old or the whole new table at any time. The version before is kept until
+the next rebuild, for readers that began on it.
+
+Versions may be split by a derived column (a day, a number range) and clustered. Rows of clustered tables are dealt to
+writers by ranges of (partition, cluster columns), so the files of one partition cover ranges that do not
+overlap, and a filter on the first cluster column reads few of them. Other rows are spread with a rebalance hint.
+Either way a day with most of the rows becomes several files written by several tasks.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+import re
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import MapType, StructField, StructType
 
 from tradewind.functions.predicates import range_bucket
 
@@ -84,10 +93,37 @@ class ValuePartition:
         return F.col(self.field)
 
 
-Partition = TimePartition | RangePartition | ValuePartition
-KINDS = {kind.__name__: kind for kind in (TimePartition, RangePartition, ValuePartition)}
+@dataclass(frozen=True)
+class KeyPartition:
+    """Partition by a hash of the key, so that a row never leaves its partition while its key stays.
+
+    A keyed change then finds the partitions to rewrite from the new rows alone. ``buckets``: as many as make a partition some
+    hundred megabytes.
+    """
+
+    keys: tuple[str, ...]
+    buckets: int
+    drop_field = False
+    field = None
+
+    def __post_init__(self) -> None:
+        # a layout read back from a table holds a list
+        object.__setattr__(self, "keys", tuple(self.keys))
+
+    @property
+    def column(self) -> str:
+        return "_key_bucket"
+
+    def value(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+
+Partition = TimePartition | RangePartition | ValuePartition | KeyPartition
+KINDS = {kind.__name__: kind for kind in (TimePartition, RangePartition, ValuePartition, KeyPartition)}
 # table property with the partition and the cluster columns of a table
 LAYOUT = "tradewind.table_layout"
+# properties that a rebuild hands on to the next version
+LASTING = "tradewind.lasting."
 
 
 def is_in(column: str, values: Sequence) -> Column:
@@ -97,6 +133,20 @@ def is_in(column: str, values: Sequence) -> Column:
     return hit | F.col(column).isNull() if None in values else hit
 
 
+def text_literal(value) -> str:
+    """``value`` as a SQL string."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def value_text(value) -> str | None:
+    """A partition value as the catalog writes it."""
+    return value if value is None else str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def in_chunks(values: Sequence, size: int) -> list[Sequence]:
+    return [values[i:i + size] for i in range(0, len(values), size)]
+
+
 @dataclass
 class Warehouse:
     """Named tables ``<layer>.<table>``. ``root`` is the folder under which databases are made;
@@ -119,41 +169,52 @@ class Warehouse:
     # -- lookup ---------------------------------------------------------------------------------
 
     def exists(self, table: str) -> bool:
-        return self._there(self.full_name(table)) or self._recover(table)
+        return self._there(self.full_name(table)) or self._there(self._frame_view(table))
 
     def _there(self, name: str) -> bool:
         return self.spark.catalog.tableExists(name)
 
-    def _recover(self, table: str) -> bool:
-        """Gives a table its name back that a rebuild set aside and, killed in between, never replaced."""
+    def _frame_view(self, table: str) -> str:
+        """Name of the session view that a frame becomes: with its database, as layers may share names."""
+        return self.full_name(table).replace(".", "__")
+
+    def stored_name(self, table: str) -> str | None:
+        """The catalog table that holds the rows now; None for views and for tables that do not exist."""
         name = self.full_name(table)
-        if not self._there(f"{name}__old"):
-            return False
-        self._rename(f"{name}__old", name)
-        return True
+        if not self._there(name):
+            return None
+        if self.spark.catalog.getTable(name).tableType != "VIEW":
+            return name
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'").first()
+        version = re.fullmatch(rf"SELECT \* FROM ({re.escape(name)}__v\w+)", described["data_type"].strip())
+        return version[1] if version else None
 
     def is_view(self, table: str) -> bool:
-        return self.spark.catalog.getTable(self.full_name(table)).tableType == "VIEW"
+        """Whether the table is a query, in the catalog or of this session, and not stored rows."""
+        return self.exists(table) and self.stored_name(table) is None
 
     def read(self, table: str, technical: bool = False) -> DataFrame:
-        """The table without its derived partition column, unless ``technical``."""
-        if not self._there(self.full_name(table)):
-            self._recover(table)
-        df = self.spark.table(self.full_name(table))
+        """The table without its derived partition column, unless ``technical``. The frame stays with the version that
+        is current now."""
+        stored = self.stored_name(table)
+        if stored is None:
+            name = self.full_name(table)
+            return self.spark.table(name if self._there(name) else self._frame_view(table))
+        df = self.spark.table(stored)
         if technical:
             return df
         return df.drop(*[f.name for f in df.schema if f.metadata.get("comment") == DERIVED])
 
     def partition_columns(self, table: str) -> list[str]:
-        if self.is_view(table):
-            return []
-        return [c.name for c in self.spark.catalog.listColumns(self.full_name(table)) if c.isPartition]
+        stored = self.stored_name(table)
+        return [c.name for c in self.spark.catalog.listColumns(stored) if c.isPartition] if stored else []
 
     def partition_values(self, table: str) -> list:
         """Values of the partition column, from the catalog and not from the rows."""
         column, = self.partition_columns(table)
-        kind = self.spark.table(self.full_name(table)).schema[column].dataType
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.full_name(table)}")
+        stored = self.stored_name(table)
+        kind = self.spark.table(stored).schema[column].dataType
+        listed = self.spark.sql(f"SHOW PARTITIONS {stored}")
         text = F.regexp_extract("partition", "^[^=]*=(.*)$", 1)
         value = F.when(text != "__HIVE_DEFAULT_PARTITION__", F.url_decode(text)).cast(kind)
         return [r[0] for r in listed.select(value).collect()]
@@ -166,14 +227,26 @@ class Warehouse:
 
     def layout(self, table: str) -> tuple[Partition | None, tuple[str, ...]]:
         """Partition and cluster columns that a table was written with."""
-        if self.is_view(table):
-            return None, ()
-        shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(table)}").where(F.col("key") == LAYOUT).first()
+        shown = self.properties(table).get(LAYOUT)
         if shown is None:
             return None, ()
-        known = json.loads(shown["value"])
+        known = json.loads(shown)
         return KINDS[known["kind"]](**known["partition"]) if known["kind"] else None, tuple(known["cluster"])
 
+    def properties(self, table: str) -> dict[str, str]:
+        """Properties of the current version; those named ``LASTING...`` go on to the next one."""
+        stored = self.stored_name(table)
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {stored}").collect()} if stored else {}
+
+    def set_properties(self, table: str, values: Mapping[str, str]) -> None:
+        self._set_properties(self.stored_name(table), values)
+
+    def _set_properties(self, stored: str, values: Mapping[str, str]) -> None:
+        if values:
+            text = lambda v: v.replace("\\", "\\\\").replace("'", "\\'")
+            listed = ", ".join(f"'{text(k)}' = '{text(v)}'" for k, v in values.items())
+            self.spark.sql(f"ALTER TABLE {stored} SET TBLPROPERTIES ({listed})")
+
     # -- write ----------------------------------------------------------------------------------
 
     def arrange(self, df: DataFrame, partition: Partition | None = None, cluster: Sequence[str] = ()) -> DataFrame:
@@ -191,102 +264,140 @@ class Warehouse:
             spread = [partition.column]
         if not spread:
             return df
+        if not cluster:
+            return df.hint("rebalance", *[F.col(c) for c in spread]).sortWithinPartitions(*spread)
         order = list(dict.fromkeys([*spread, *cluster]))
-        return df.hint("rebalance", *[F.col(c) for c in spread]).sortWithinPartitions(*order)
+        # rows with equal cluster columns may still go to several tasks
+        rest = F.xxhash64(*[f.name for f in df.schema if not isinstance(f.dataType, MapType)])
+        return df.repartitionByRange(*order, rest).sortWithinPartitions(*order)
 
     def write_table(self, table: str, df: DataFrame, partition: Partition | None = None,
                     cluster: Sequence[str] = ()) -> None:
-        """Full rebuild. The new table is written beside the old one and takes its name at the end, so a failed
-        job leaves the old table in place, and ``df`` may read the old table. The old table is set aside and
-        dropped only when the new one has its name; if that fails it gets its name back, at once or, if the driver
-        was killed, when the table is next looked up."""
+        """Full rebuild: a new version beside the old one, then one change of the view. Until then, and if a job
+        or the driver fails, readers keep the old version; ``df`` may read the table itself. What a failed rebuild
+        leaves is dropped by the next one."""
         self._make_database(table)
-        name = self.full_name(table)
-        self.exists(table)
-        build, old = f"{name}__build", f"{name}__old"
-        self.spark.sql(f"DROP TABLE IF EXISTS {build}")
-        writer = self.arrange(df, partition, cluster).write.format("parquet")
-        if partition:
-            writer = writer.partitionBy(partition.column)
-        writer.saveAsTable(build)
+        name, was = self.full_name(table), self.stored_name(table)
+        version = f"{name}__v{uuid.uuid4().hex[:16]}"
+        lasting = {k: v for k, v in self.properties(table).items() if k.startswith(LASTING)} if was else {}
+        rows = self.arrange(df, partition, cluster)
+        columns = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in rows.schema]).toDDL()
+        by = f" PARTITIONED BY (`{partition.column}`)" if partition else ""
+        self.spark.sql(f"CREATE TABLE {version} ({columns}) USING parquet{by}")
+        self._write_files(version, rows, partition, "append")
         layout = {"kind": type(partition).__name__ if partition else None, "partition": asdict(partition) if partition else {}, "cluster": list(cluster)}
-        text = json.dumps(layout).replace("'", "\\'")
-        self.spark.sql(f"ALTER TABLE {build} SET TBLPROPERTIES ('{LAYOUT}' = '{text}')")
-        if not self._there(name):
-            self._rename(build, name)
-            return
-        if self.is_view(table):
-            self.drop(table)
-            self._rename(build, name)
+        self._set_properties(version, {LAYOUT: json.dumps(layout), **lasting})
+        if was is None:
+            self._drop_query(table)
+        self._point(table, version)
+        self._drop_versions(table, keep={version, was})
+
+    def _point(self, table: str, version: str) -> None:
+        """Makes ``version`` what the table's name stands for."""
+        name = self.full_name(table)
+        if self._there(name) and self.spark.catalog.getTable(name).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {name}")
+        # altering a view is one change of the catalog; replacing it would drop it first
+        verb = "ALTER" if self._there(name) else "CREATE"
+        self.spark.sql(f"{verb} VIEW {name} AS SELECT * FROM {version}")
+
+    def _drop_versions(self, table: str, keep: set[str | None]) -> None:
+        database, _, name = self.full_name(table).rpartition(".")
+        if not self.spark.catalog.databaseExists(database):
             return
-        self._rename(name, old)
-        try:
-            self._rename(build, name)
-        except Exception:
-            self._rename(old, name)
-            raise
-        self.spark.sql(f"DROP TABLE {old}")
-
-    def _rename(self, name: str, to: str) -> None:
-        self.spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
-        if any(c.isPartition for c in self.spark.catalog.listColumns(to)):
-            # a catalog may keep partitions at the folder of the old name: list them anew
-            self.spark.sql(f"MSCK REPAIR TABLE {to} DROP PARTITIONS")
-            self.spark.sql(f"MSCK REPAIR TABLE {to} ADD PARTITIONS")
+        for row in self.spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__v*'").collect():
+            version = f"{database}.{row['tableName']}"
+            if re.fullmatch(rf"{re.escape(name)}__v[0-9a-f]{{16}}", row["tableName"], re.IGNORECASE) and version.lower() not in {k.lower() for k in keep if k}:
+                self.spark.sql(f"DROP TABLE IF EXISTS {version}")
 
     def drop(self, table: str) -> None:
-        if self.exists(table):
-            kind = "VIEW" if self.is_view(table) else "TABLE"
-            self.spark.sql(f"DROP {kind} IF EXISTS {self.full_name(table)}")
+        self._drop_query(table)
+        if self._there(self.full_name(table)):
+            self.spark.sql(f"DROP TABLE {self.full_name(table)}")
+        self._drop_versions(table, keep=set())
+
+    def _drop_query(self, table: str) -> None:
+        """Drops what the name stands for, but for a table; versions stay."""
+        name = self.full_name(table)
+        if self._there(self._frame_view(table)):
+            self.spark.catalog.dropTempView(self._frame_view(table))
+        if self._there(name) and self.spark.catalog.getTable(name).tableType == "VIEW":
+            self.spark.sql(f"DROP VIEW {name}")
+
+    def add_columns(self, table: str, columns: Mapping[str, str]) -> None:
+        """New columns, NULL in the rows there are: the catalog changes, no file does."""
+        stored = self.stored_name(table)
+        listed = ", ".join(f"`{c}` {t}" for c, t in columns.items())
+        self.spark.sql(f"ALTER TABLE {stored} ADD COLUMNS ({listed})")
+        if stored != self.full_name(table):
+            self._point(table, stored)
 
     def append(self, table: str, df: DataFrame, partition: Partition | None = None, cluster: Sequence[str] = ()) -> None:
-        out = self.arrange(df, partition, cluster)
-        out.select(*self.spark.table(self.full_name(table)).columns).write.insertInto(self.full_name(table))
+        out, stored = self.arrange(df, partition, cluster), self.stored_name(table)
+        out.select(*self.spark.table(stored).columns).write.insertInto(stored)
 
-    def replace_partitions(self, table: str, df: DataFrame, partition: Partition, cluster: Sequence[str] = (),
-                           values: Sequence | None = None) -> None:
-        """Replace exactly the partitions that occur in ``df``. ``df`` may read the same table: old
-        files are removed when the job commits. With ``values``, the partition values in ``df``, only these are
-        made known to the catalog; else it lists all folders of the table.
+    def replace_partitions(self, table: str, df: DataFrame, partition: Partition, cluster: Sequence[str] = ()) -> set[str | None]:
+        """Replace exactly the partitions that occur in ``df``, and give their values as text. ``df`` may read the same
+        table: old files are removed when the job commits.
 
         The overwrite mode is an option of this one write. As a session setting it could be reset by
         another thread, and a static overwrite would empty the table.
         """
-        name = self.full_name(table)
-        out = self.arrange(df, partition, cluster).select(*self.spark.table(name).columns)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition.column).parquet(self.location(table)))
-        if values is None:
-            self.spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
-        for i in range(0, len(values or ()), 500):
-            specs = " ".join(f"PARTITION ({partition.column} = {'NULL' if v is None else repr(str(v))})" for v in values[i:i + 500])
-            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
-        self.spark.catalog.refreshTable(name)
+        stored = self.stored_name(table)
+        out = self.arrange(df, partition, cluster).select(*self.spark.table(stored).columns)
+        return self._write_files(stored, out, partition, "overwrite")
+
+    def _write_files(self, stored: str, rows: DataFrame, partition: Partition | None, mode: str) -> set[str | None]:
+        """Writes files under a catalog table and makes the partitions known that the write saw; no folder is listed."""
+        writer, seen = rows.write, None
+        if partition:
+            seen, value = Observation(), F.col(partition.column)
+            writer = rows.observe(seen, F.collect_set(value.cast("string")).alias("values"), F.count_if(value.isNull()).alias("missing")).write
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition.column)
+        writer.mode(mode).parquet(self._location(stored))
+        values: set[str | None] = set()
+        if seen:
+            values = set(seen.get.get("values") or ()) | ({None} if seen.get.get("missing") else set())
+        for chunk in in_chunks(sorted(values, key=str), 500):
+            specs = " ".join(f"PARTITION ({partition.column} = {'NULL' if v is None else text_literal(v)})" for v in chunk)
+            self.spark.sql(f"ALTER TABLE {stored} ADD IF NOT EXISTS {specs}")
+        self.spark.catalog.refreshTable(stored)
+        return values
 
     def location(self, table: str) -> str:
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(table)}")
+        return self._location(self.stored_name(table))
+
+    def _location(self, stored: str) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {stored}")
         return described.where("col_name = 'Location'").select("data_type").first()[0]
 
     def drop_partitions(self, table: str, values: Sequence) -> None:
         column, = self.partition_columns(table)
-        for v in values:
-            spec = f"{column} = NULL" if v is None else f"{column} = '{v}'"
-            self.spark.sql(f"ALTER TABLE {self.full_name(table)} DROP IF EXISTS PARTITION ({spec})")
+        stored = self.stored_name(table)
+        for chunk in in_chunks(list(values), 500):
+            specs = ", ".join(f"PARTITION ({column} = {'NULL' if v is None else text_literal(v)})" for v in chunk)
+            self.spark.sql(f"ALTER TABLE {stored} DROP IF EXISTS {specs}")
 
     # -- other kinds ----------------------------------------------------------------------------
 
     def create_view(self, table: str, body: DataFrame | str, full_refresh: bool = False) -> None:
-        """Replace a view. SQL text becomes a view in the catalog, a frame one of this session
-        (its name without the layer). A table of that name is an error, or dropped on full refresh."""
-        if self.exists(table) and not self.is_view(table):
+        """Replace a view. SQL text becomes a view in the catalog, which other sessions read; its columns are bound to their types,
+        so that a change of the tables below that would change it is an error. A frame becomes a view of this session. A table
+        of that name is an error, or dropped on full refresh."""
+        if self.stored_name(table) is not None:
             if not full_refresh:
                 raise ValueError(f"{self.full_name(table)} is a table; use full_refresh to put a view in its place")
             self.drop(table)
-        if isinstance(body, str):
-            self._make_database(table)
-            self.spark.sql(f"CREATE OR REPLACE VIEW {self.full_name(table)} AS {body}")
+        if not isinstance(body, str):
+            body.createOrReplaceTempView(self._frame_view(table))
+            return
+        self._make_database(table)
+        name = self.full_name(table)
+        if self._there(name):
+            # readers see the old or the new view; a replacement would drop it first
+            self.spark.sql(f"ALTER VIEW {name} AS {body}")
         else:
-            body.createOrReplaceTempView(table.rpartition(".")[2])
+            self.spark.sql(f"CREATE VIEW {name} WITH SCHEMA BINDING AS {body}")
 
     def copy(self, sources: Sequence[str], table: str, mode: str = "table") -> None:
         """Rows of several tables into one: replacing it (``table``, in the layout of the first source) or added to it
@@ -328,18 +439,9 @@ class MaterializedView:
     partition: Partition | None = None
     cluster: tuple[str, ...] = ()
 
-    _PROPERTY = "tradewind.layout"
-
-    def layout(self) -> str:
-        return repr((self.partition, self.cluster))
-
     def changed(self) -> bool:
-        rows = self.warehouse.spark.sql(f"SHOW TBLPROPERTIES {self.warehouse.full_name(self.table)}").collect()
-        return {r["key"]: r["value"] for r in rows}.get(self._PROPERTY) != self.layout().replace("'", "")
+        return self.warehouse.layout(self.table) != (self.partition, self.cluster)
 
     def refresh(self) -> DataFrame:
         self.warehouse.write_table(self.table, self.query(), self.partition, self.cluster)
-        text = self.layout().replace("'", "")
-        self.warehouse.spark.sql(
-            f"ALTER TABLE {self.warehouse.full_name(self.table)} SET TBLPROPERTIES ('{self._PROPERTY}' = '{text}')")
         return self.warehouse.read(self.table)
