@@ -163,3 +163,27 @@ def test_user_functions(spark):
         df, ["k"], lambda b: b.groupby("k", as_index=False).agg(s=("x", "sum"), n=("x", "count")), "k string, s double, n bigint",
         {"s": F.sum("s"), "n": F.sum("n")}, {"mean": F.col("s") / F.col("n")})
     assert {r.k: r["mean"] for r in out.collect()} == {"a": 2.0, "b": 5.0}
+
+
+def test_aggregates_by_name(spark):
+    """Called from SQL, from groupBy and in bounded memory: one result, also for a group of several pieces and without a key."""
+    spread = user_functions.Aggregate(
+        "tw_spread", {"x": "float64"}, "float64", {"low": ("double", "min"), "high": ("double", "max"), "n": ("bigint", "sum")},
+        lambda rows: {"low": rows["x"].min(), "high": rows["x"].max(), "n": int(rows["x"].count())}, lambda s: s["high"] - s["low"] + s["n"] / 10)
+    spread.register(spark)
+    df = spark.range(250_000).selectExpr("IF(id % 3 = 0, 'hot', IF(id % 3 = 1, string(id % 5), NULL)) AS k", "id AS x")
+    want = {}
+    for i in range(250_000):
+        lo, hi, n = want.get(k := "hot" if i % 3 == 0 else str(i % 5) if i % 3 == 1 else None, (i, i, 0))
+        want[k] = (min(lo, i), max(hi, i), n + 1)
+    want = {k: hi - lo + n / 10 for k, (lo, hi, n) in want.items()}
+    df.createOrReplaceTempView("tw_spread_rows")
+    assert {r.k: r.s for r in spark.sql("SELECT k, tw_spread(x) AS s FROM tw_spread_rows GROUP BY k").collect()} == want
+    assert {r.k: r.s for r in df.groupBy("k").agg(spread("x").alias("s")).collect()} == want
+    assert {r.k: r.tw_spread for r in spread.over(df, ["k"], "x").collect()} == want
+    plan = spread.over(df, ["k"], "x")._jdf.queryExecution().toString()
+    assert "AggregateInPandas" not in plan and "ArrowAggregate" not in plan and "FlatMapGroups" not in plan
+    with pytest.raises(ValueError, match="combine"):
+        user_functions.Aggregate("f", {}, "int", {"s": ("int", "first")}, dict, len)
+    with pytest.raises(Exception, match="takes 1 argument"):
+        spark.sql("SELECT tw_spread(x, x) FROM tw_spread_rows GROUP BY k").collect()

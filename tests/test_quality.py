@@ -67,7 +67,7 @@ def test_store_failures(spark, df, tmp_path):
     quality.store_failures(wh, "audit.bad", quality.not_null(df, "k", whole_rows=True))
     assert wh.read("audit.bad").count() == 2
     quality.store_failures(wh, "audit.bad_view", quality.not_null(df, "v"), "view")
-    assert spark.table("bad_view").count() == 1
+    assert wh.read("audit.bad_view").count() == 1
     with pytest.raises(ValueError):
         quality.store_failures(wh, "audit.x", df, "ephemeral")
 

@@ -35,7 +35,8 @@ def test_bronze_counts(spark, tmp_path):
     assert wh.read("bronze.sellers").count() == 2
     f.write_text("a,b,c,d\ns1,1,x,y\n")
     with pytest.raises(ValueError, match="sellers"):
-        verify_bronze(wh, str(tmp_path), files, ["sellers"])
+        verify_bronze(wh, {"sellers": 1})
+    assert load_bronze(wh, str(tmp_path), files, ["sellers"]) == {"sellers": 1}
     assert raw_table(spark, str(tmp_path), "sellers", files).count() == 1
 
 

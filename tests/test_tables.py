@@ -453,3 +453,81 @@ def test_silver_views_outlive_the_session(spark, tmp_path):
     wh.create_view("gold.stg_orders", spark.range(3))
     assert wh.read("gold.stg_sellers").columns == ["one"] and wh.read("gold.stg_orders").count() == 3
     assert wh.read("silver.stg_sellers").count() == wh.read("silver.stg_orders").count() == 2
+
+
+@pytest.mark.parametrize("at_once", [1, 3])
+def test_only_failed_windows_run_again(wh, at_once):
+    """One of five windows fails: the others are done, and the second call runs that window alone."""
+    how, asked, broken = Incremental("microbatch", partition=DAY), [], {datetime(2024, 1, 3)}
+    source = make(wh.spark, [(f"r{i}", datetime(2024, 1, 1 + i % 5, i % 24), "new", i) for i in range(50)])
+
+    def query(lo, hi):
+        asked.append(lo)
+        if lo in broken:
+            raise RuntimeError("source not there yet")
+        return source
+
+    days = (datetime(2024, 1, 1), datetime(2024, 1, 6))
+    with pytest.raises(inc.WindowsFailed, match="1 of 5 .*source not there yet"):
+        inc.microbatch(wh, "gold.t", query, how, *days, ledger="gold.windows", at_once=at_once)
+    assert sorted(asked) == [datetime(2024, 1, d) for d in range(1, 6)] and wh.read("gold.t").count() == 40
+    states = {r.begin_at.day: r.state for r in wh.read("gold.windows").collect()}
+    assert states == {1: "done", 2: "done", 3: "failed", 4: "done", 5: "done"}
+    broken.clear()
+    asked.clear()
+    assert inc.microbatch(wh, "gold.t", query, how, *days, ledger="gold.windows", at_once=at_once) == 1
+    assert asked == [datetime(2024, 1, 3)] and rows(wh.read("gold.t")) == rows(source)
+    assert inc.microbatch(wh, "gold.t", query, how, *days, ledger="gold.windows", at_once=at_once) == 0
+
+
+def test_rows_are_counted_by_the_job_that_writes(wh, spark):
+    from tradewind.operators import quality
+    from tradewind.operators.quality import ColumnRule
+
+    rules = {"id": ColumnRule(not_null=True), "value": ColumnRule(low=2, high=4)}
+    seen = wh.write_table("gold.t", make(spark, BASE), DAY, ("status",), quality.row_measures("t", rules))
+    assert seen == {"rows": 5, "not_null_t_id": 1, "between_t_value": 2}
+    assert wh.write_table("gold.empty", make(spark, []), DAY, (), quality.row_measures("t", rules)) == {"rows": 0, "not_null_t_id": 0, "between_t_value": 0}
+    group, tracker = "verdicts of a written table", spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        frames = {"t": wh.read("gold.t")}
+        quality.require_rows({"gold.t": frames["t"]}, {"gold.t": seen["rows"]})
+        got = {r.test: (r.failures, r.should_error) for r in quality.declared_verdicts(frames, {"t": rules}, {"t": seen}).collect()}
+        plan = quality.declared_verdicts(frames, {"t": rules}, {"t": seen})._jdf.queryExecution().toString()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {"not_null_t_id": (1, True), "between_t_value": (2, True)}
+    assert "FileScan" not in plan and len(tracker.getJobIdsForGroup(group)) <= 1
+    with pytest.raises(quality.CheckFailed, match="gold.empty"):
+        quality.require_rows({"gold.t": frames["t"], "gold.empty": wh.read("gold.empty")}, {"gold.t": 5})
+
+
+def test_rollup_reads_only_changed_partitions(wh, spark):
+    """After inserts, updates, moved rows and removed partitions the totals equal those of all rows, and only touched days are read."""
+    from tradewind.operators.rollup import Total, rollup
+
+    day = lambda n: datetime(2024, 1, n, 5)
+    how = Incremental("merge", ("id",), DAY)
+    wh.write_table("gold.t", make(spark, [(f"r{i}", day(1 + i % 6), f"s{i % 3}", i) for i in range(60)] + [("x", None, "s0", 5)]), DAY)
+    totals = {"n": Total("count(*)"), "total": Total("sum(value)"), "last": Total("max(at)", "max")}
+    kept = rollup(wh, "gold.totals", "gold.t", ["status"], totals)
+
+    def check(touched):
+        assert sorted(kept.refresh(), key=str) == sorted(touched, key=str)
+        direct = wh.read("gold.t").groupBy("status").agg(F.expr("count(*) AS n"), F.expr("sum(value) AS total"), F.expr("max(at) AS last"))
+        assert rows(kept.read()) == rows(direct)
+
+    check([])
+    inc.apply(wh, "gold.t", make(spark, [("r0", day(1), "s9", 100), ("new", day(9), "s1", 1)]), how)
+    check(["2024-01-01", "2024-01-09"])
+    inc.apply(wh, "gold.t", make(spark, [("r1", day(4), "s1", 7), ("y", None, "s0", 6)]), how)
+    check(["2024-01-02", "2024-01-04", None])
+    wh.drop_partitions("gold.t", [date(2024, 1, 3)])
+    check([])
+    assert date(2024, 1, 3) not in {r.day for r in wh.read("gold.totals").selectExpr("CAST(_source_partition AS DATE) AS day").collect()}
+    # other totals: made anew
+    kept = rollup(wh, "gold.totals", "gold.t", ["status"], {"n": Total("count(*)")})
+    assert kept.read().columns == ["status", "n"] and kept.read().agg(F.sum("n")).first()[0] == wh.read("gold.t").count()
+    with pytest.raises(ValueError, match="combine"):
+        Total("avg(value)", "avg")

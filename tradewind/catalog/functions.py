@@ -208,18 +208,16 @@ def number_in_group(spark, d):
 
 
 def except_distinct(spark, d):
-    """Parts and suppliers sold in 1996 but never returned."""
+    """Suppliers and parts of all lines, without those that were ever returned."""
     li = table(spark, d, "lineitem")
-    return sets.except_distinct(
-        li.where(F.year("l_shipdate") == 1996).select("l_suppkey", "l_linenumber"),
-        li.where("l_returnflag = 'R' AND year(l_shipdate) = 1997").select("l_suppkey", "l_linenumber"))
+    return sets.except_distinct(li.select("l_suppkey", "l_partkey"), li.where("l_returnflag = 'R'").select("l_suppkey", "l_partkey"))
 
 
 def intersect_distinct(spark, d):
     li = table(spark, d, "lineitem")
     return sets.intersect_distinct(
         li.where("l_returnflag = 'R'").select("l_orderkey", "l_linenumber"),
-        li.where("l_returnflag = 'A'").select("l_orderkey", "l_linenumber"))
+        li.where("l_returnflag <> 'R'").select("l_orderkey", "l_linenumber"))
 
 
 def union_all(spark, d):
@@ -259,11 +257,23 @@ def scalar_function(spark, d):
         "l_orderkey", "l_linenumber", "l_partkey", F.expr("tw_net(l_extendedprice, l_discount)").alias("net"))
 
 
+WEIGHTED_MEAN = user_functions.Aggregate(
+    "tw_weighted_mean", {"value": "float64", "weight": "float64"}, "float64", {"total": ("double", "sum"), "weight": ("double", "sum")},
+    lambda rows: {"total": float((rows["value"] * rows["weight"]).sum()), "weight": float(rows["weight"].sum())},
+    lambda states: states["total"] / states["weight"])
+
+
 def aggregate_function(spark, d):
-    """Mean quantity weighted by line number, as an aggregate of built-in ones."""
-    weighted = user_functions.aggregate_function(lambda x, w: F.try_divide(F.sum(x * w), F.sum(w)))
-    return table(spark, d, "lineitem").groupBy("l_suppkey").agg(
-        weighted(F.col("l_quantity"), F.col("l_linenumber").cast("double")).alias("mean_quantity"))
+    """Mean quantity weighted by line number, by an aggregate that SQL calls by its name."""
+    WEIGHTED_MEAN.register(spark)
+    table(spark, d, "lineitem").createOrReplaceTempView("tw_lines")
+    return spark.sql("SELECT l_suppkey, tw_weighted_mean(l_quantity, l_linenumber) AS mean_quantity FROM tw_lines GROUP BY l_suppkey")
+
+
+def aggregate_function_over(spark, d):
+    """The same aggregate in bounded memory, whatever the size of a group."""
+    found = WEIGHTED_MEAN.over(table(spark, d, "lineitem"), ["l_suppkey"], "l_quantity", "l_linenumber")
+    return found.withColumnRenamed("tw_weighted_mean", "mean_quantity")
 
 
 def python_aggregate(spark, d):
@@ -283,7 +293,7 @@ QUERIES = {f.__name__: f for f in (
     string_functions, document_functions, array_functions, safe_cast, safe_json, safe_divide, null_safe_equals,
     range_bucket, range_partition, time_partitions, listagg_limit, listagg_per_order, distinct_list, any_row, bool_or,
     distinct_partitions, number_in_group, except_distinct, intersect_distinct, union_all, tuple_in, tuple_not_in, preview,
-    date_shards, scalar_function, aggregate_function, python_aggregate,
+    date_shards, scalar_function, aggregate_function, aggregate_function_over, python_aggregate,
 )}
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(160) || chr(8195)"
@@ -394,11 +404,11 @@ ORACLE = {
                row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_partkey, l_suppkey, l_linenumber) AS item_number
         FROM lineitem""",
     "except_distinct": """
-        SELECT l_suppkey, l_linenumber FROM lineitem WHERE year(l_shipdate) = 1996
-        EXCEPT SELECT l_suppkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R' AND year(l_shipdate) = 1997""",
+        SELECT l_suppkey, l_partkey FROM lineitem
+        EXCEPT SELECT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'R'""",
     "intersect_distinct": """
         SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R'
-        INTERSECT SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'A'""",
+        INTERSECT SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag <> 'R'""",
     "union_all": "SELECT c_nationkey AS nation FROM customer UNION ALL SELECT s_nationkey FROM supplier",
     "tuple_in": """
         SELECT l_orderkey, l_partkey, l_returnflag FROM lineitem
@@ -420,5 +430,7 @@ ORACLE = {
         SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice * (1 - l_discount) AS net FROM lineitem""",
     "aggregate_function": """
         SELECT l_suppkey, sum(l_quantity * l_linenumber) / sum(l_linenumber) AS mean_quantity FROM lineitem GROUP BY l_suppkey""",
+    "aggregate_function_over": """
+        SELECT l_suppkey, sum(l_quantity * l_linenumber) / sum(l_linenumber) AS mean_quantity FROM lineitem GROUP BY l_suppkey""",
     "python_aggregate": "SELECT user_id, count(*) AS events, cast(max(hour(ts)) AS integer) AS latest_hour FROM events GROUP BY user_id",
 }

@@ -27,18 +27,18 @@ PLACED = "order_purchase_timestamp"
 COLUMNS = ["order_id", "customer_id", "order_status", PLACED]
 
 
-def _orders(spark: SparkSession, d: str) -> DataFrame:
+def all_orders(spark: SparkSession, d: str) -> DataFrame:
     return Bound(spark, d).source("orders").select(*COLUMNS)
 
 
 def old_rows(spark: SparkSession, d: str) -> DataFrame:
-    return _orders(spark, d).where(F.col(PLACED) < time_literal(OLD_UNTIL))
+    return all_orders(spark, d).where(F.col(PLACED) < time_literal(OLD_UNTIL))
 
 
 def new_rows(spark: SparkSession, d: str) -> DataFrame:
     """Some orders are placed a day later than the table says."""
     moved = F.when(F.col("order_status") == "canceled", F.col(PLACED) + F.make_dt_interval(F.lit(1))).otherwise(F.col(PLACED))
-    return _orders(spark, d).where(F.col(PLACED) >= time_literal(NEW_FROM)).select(
+    return all_orders(spark, d).where(F.col(PLACED) >= time_literal(NEW_FROM)).select(
         "order_id", "customer_id", F.concat(F.lit("new "), "order_status").alias("order_status"), moved.alias(PLACED))
 
 
@@ -65,6 +65,11 @@ def merge_ambiguous_keys(spark, d):
     return merge.ambiguous_keys(old_rows(spark, d), items, "order_id")
 
 
+def merge_without_key(spark, d):
+    """Nothing matches: all new rows are added."""
+    return merge.merge_rows(old_rows(spark, d), new_rows(spark, d), None)
+
+
 def append(spark, d):
     return merge.append_rows(old_rows(spark, d), new_rows(spark, d))
 
@@ -105,7 +110,7 @@ def microbatch(spark, d):
 
 
 def high_watermark(spark, d):
-    return merge.newer_rows(_orders(spark, d), old_rows(spark, d), PLACED)
+    return merge.newer_rows(all_orders(spark, d), old_rows(spark, d), PLACED)
 
 
 def schema_append_columns(spark, d):
@@ -282,7 +287,7 @@ FIRST_RUN, SECOND_RUN = datetime(2010, 1, 1), datetime(2010, 1, 2)
 
 def _states(spark, d):
     """Two states of the orders: in the second one delivered orders are later, and early ones are gone."""
-    o = _orders(spark, d)
+    o = all_orders(spark, d)
     first = o.where(F.col(PLACED) < time_literal(OLD_UNTIL))
     second = o.where(F.col(PLACED) >= time_literal(NEW_FROM)).withColumn(
         PLACED, F.when(F.col("order_status") == "delivered", F.col(PLACED) + F.make_dt_interval(F.lit(2))).otherwise(F.col(PLACED)))
@@ -307,15 +312,22 @@ TRACKED = {
 
 
 def scd2_first_build(spark, d):
-    return history.first_history(_states(spark, d)[0], TRACKED["scd2_timestamp"], FIRST_RUN)
+    return history.first_history(all_orders(spark, d), TRACKED["scd2_timestamp"], FIRST_RUN)
+
+
+def scd2_new_column(spark, d):
+    """The second state has a column that the history lacks: it is NULL in the versions there were."""
+    first, second = _states(spark, d)
+    how = TRACKED["scd2_timestamp"]
+    return history.next_history(history.first_history(first, how, FIRST_RUN), second.withColumn("note", F.lit("late")), how, SECOND_RUN)
 
 
 QUERIES = {f.__name__: f for f in (
-    merge_upsert, merge_update_columns, merge_exclude_columns, merge_predicates, merge_ambiguous_keys, append,
+    merge_upsert, merge_update_columns, merge_exclude_columns, merge_predicates, merge_ambiguous_keys, merge_without_key, append,
     delete_insert, delete_insert_predicate, overwrite_static, overwrite_dynamic, microbatch, high_watermark,
     schema_append_columns, schema_sync_columns, stored_merge, stored_key_merge, stored_overwrite, stream_upsert, stream_replace_days, stream_day_totals,
     stored_fct_orders, stored_fct_order_items, stored_update_nothing,
-    stored_changed_columns, newest_partition, scd2_first_build,
+    stored_changed_columns, newest_partition, scd2_first_build, scd2_new_column,
 )} | {name: _history(how) for name, how in TRACKED.items()}
 
 
@@ -417,6 +429,7 @@ ORACLE = {
         SELECT order_id FROM order_items WHERE order_id IN
             (SELECT order_id FROM src_orders WHERE order_purchase_timestamp < TIMESTAMP '2000-01-01')
         GROUP BY order_id HAVING count(*) > 1"""),
+    "merge_without_key": _state_sql("SELECT * FROM t UNION ALL SELECT * FROM s"),
     "append": _state_sql("SELECT * FROM t UNION ALL SELECT * FROM s"),
     "delete_insert": _replaced_payments("true"),
     "delete_insert_predicate": _replaced_payments("payment_type <> 'R'"),
@@ -458,8 +471,10 @@ ORACLE = {
         SELECT order_id, customer_id, order_status, order_purchase_timestamp,
                md5(order_id || '|' || strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S.%f')) AS scd_id,
                order_purchase_timestamp AS changed_at, order_purchase_timestamp AS valid_from, NULL::timestamp AS valid_to
-        FROM src_orders WHERE order_purchase_timestamp < TIMESTAMP '2000-01-01'"""),
+        FROM src_orders"""),
     "scd2_timestamp": _history_sql(["order_id"], _LATER, PLACED, PLACED),
+    "scd2_new_column": _history_sql(["order_id"], _LATER, PLACED, PLACED).replace("one AS (SELECT *", "one AS (SELECT *, NULL::varchar AS note").replace(
+        "END AS order_purchase_timestamp", "END AS order_purchase_timestamp, 'late' AS note"),
     "scd2_check": _history_sql(["order_id"], _OTHER, _NOW, _THEN),
     "scd2_hard_delete": _history_sql(["order_id"], _LATER, PLACED, PLACED, gone=_NOW),
     "scd2_deleted_record": _history_sql(["order_id"], _LATER, PLACED, PLACED, gone=_NOW, extra=_GRAVE),

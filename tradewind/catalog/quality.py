@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from tradewind.catalog.bound import Bound, sql
+from tradewind.catalog.maintenance import warehouse
 from tradewind.catalog.models import SOURCE_VIEWS
 from tradewind.operators import quality
 from tradewind.operators.quality import Check
@@ -96,6 +97,45 @@ def declared_checks(spark, d):
     return quality.declared_verdicts(frames, declared.STAGING)
 
 
+def declared_layers(spark, d):
+    """Every check declared for the intermediate models, the star schema and the analytics."""
+    b = Bound(spark, d)
+    frames = {n: getattr(b, n)() for n in (*declared.INTERMEDIATE, "dim_customers", "dim_products", "dim_sellers", "fct_order_items",
+                                           "customer_metrics", "product_performance", "seller_performance")}
+    frames |= {"fct_orders": b.orders_enriched(), "stg_customers": b.source("customers")}
+    return quality.declared_verdicts(frames, declared.INTERMEDIATE).unionByName(quality.declared_verdicts(frames, declared.GOLD))
+
+
+def observed_checks(spark, d):
+    """Checks of single rows counted by the job that writes the order fact, some of whose keys and values are bad."""
+    wh, rules = warehouse(spark), declared.GOLD["fct_orders"]
+    key = F.col("order_id").cast("bigint")
+    facts = Bound(spark, d).orders_enriched().withColumns({
+        "order_id": F.when(key % 31 != 0, F.col("order_id")), "total_payment_value": F.when(key % 17 == 0, -1.0).otherwise(F.col("total_payment_value"))})
+    seen = wh.write_table("gold.fct_orders", facts, measures=quality.row_measures("fct_orders", rules))
+    return spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("test"), F.lit(c).cast("bigint").alias("failures")) for n, c in seen.items()])))
+
+
+def empty_tables(spark, d):
+    """Of three tables the one without rows."""
+    b = Bound(spark, d)
+    return quality.empty_tables({"orders": b.source("orders"), "none": b.source("orders").where("order_status = 'no such status'"), "items": b.items()})
+
+
+def inconsistent_orders(spark, d):
+    """Cleaning that loses canceled orders, and a fact with a row per item."""
+    b = Bound(spark, d)
+    return quality.inconsistent_orders(table(spark, d, "orders"), b.source("orders").where("order_status <> 'canceled'"), b.items())
+
+
+def contract_broken(spark, d):
+    """Differences between the cleaned orders and the columns declared for the fact."""
+    found = quality.contract_violations(Bound(spark, d).source("orders").schema, DataType.fromDDL(ORDER_FACT))
+    return Bound(spark, d).source("orders").agg(F.count("*").alias("orders")).select(
+        "orders", F.explode(F.array(*[F.lit(f) for f in found])).alias("violation"))
+
+
 def row_counts(spark, d):
     b = Bound(spark, d)
     return quality.row_counts({
@@ -139,7 +179,8 @@ def compare_with_expected(spark, d):
 QUERIES = {f.__name__: f for f in (
     test_unique, test_not_null, test_accepted_values, test_relationships, test_between, test_minimum,
     test_delivered_has_items, test_negative_values, row_count_match, aggregated_not_null, aggregated_unique,
-    aggregated_unique_rows, verdicts, declared_checks, row_counts, freshness, freshness_filtered, contract,
+    aggregated_unique_rows, verdicts, declared_checks, declared_layers, observed_checks, empty_tables, inconsistent_orders,
+    contract_broken, row_counts, freshness, freshness_filtered, contract,
     compare_with_expected,
 )}
 
@@ -157,16 +198,18 @@ def _verdict(name: str, count: str, warn: str = "<> 0", error: str = "<> 0") ->
             f"FROM (SELECT cast(({count}) AS bigint) AS f)")
 
 
-def _declared_sql() -> str:
+def _declared_sql(layer: dict, view: dict[str, str]) -> str:
     parts = []
-    view = {f"stg_{t}": v for t, v in SOURCE_VIEWS.items()}
-    for t, columns in declared.STAGING.items():
+    for t, columns in layer.items():
         for c, rule in columns.items():
             n = f"{t}_{c}"
             if rule.unique:
                 parts.append(_verdict(f"unique_{n}", _REPEATS.format(c=c, t=view[t])))
             if rule.not_null:
                 parts.append(_verdict(f"not_null_{n}", f"SELECT count(*) FROM {view[t]} WHERE {c} IS NULL"))
+            if rule.low is not None or rule.high is not None:
+                outside = " OR ".join([f"{c} < {rule.low}"] * (rule.low is not None) + [f"{c} > {rule.high}"] * (rule.high is not None))
+                parts.append(_verdict(f"between_{n}", f"SELECT count(*) FROM {view[t]} WHERE {outside}", error="<> 0" if rule.range_severity == "error" else "< 0"))
             if rule.accepted:
                 listed = ", ".join(f"'{v}'" for v in rule.accepted)
                 parts.append(_verdict(f"accepted_values_{n}", f"SELECT count(DISTINCT {c}) FROM {view[t]} WHERE {c} NOT IN ({listed})"))
@@ -177,6 +220,7 @@ def _declared_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+_MODEL_VIEWS = {t: t for t in (*declared.INTERMEDIATE, *declared.GOLD)} | {"fct_orders": "orders_enriched", "stg_customers": "customers"}
 _NULL_APPROVALS = "SELECT count(*) FROM src_orders WHERE order_approved_at IS NULL"
 _ENRICHED = sql("SELECT * FROM orders_enriched")
 
@@ -211,7 +255,25 @@ ORACLE = {
         _verdict("limited", "SELECT 5"),
         _verdict("extra_items", "SELECT sum(n) FROM (SELECT count(*) AS n FROM order_items GROUP BY order_id HAVING count(*) > 1)"),
     ])),
-    "declared_checks": sql(_declared_sql()),
+    "declared_checks": sql(_declared_sql(declared.STAGING, {f"stg_{t}": v for t, v in SOURCE_VIEWS.items()})),
+    "declared_layers": sql(_declared_sql({**declared.INTERMEDIATE, **declared.GOLD}, _MODEL_VIEWS)),
+    "observed_checks": sql("""
+        SELECT unnest(['rows', 'not_null_fct_orders_order_id', 'not_null_fct_orders_customer_id', 'between_fct_orders_total_payment_value',
+                       'between_fct_orders_hours_to_approval']) AS test,
+               unnest([count(*), count(*) FILTER (WHERE cast(order_id AS bigint) % 31 = 0), count(*) FILTER (WHERE customer_id IS NULL),
+                       count(*) FILTER (WHERE cast(order_id AS bigint) % 17 = 0 OR total_payment_value < 0 OR total_payment_value > 100000),
+                       count(*) FILTER (WHERE hours_to_approval < 0 OR hours_to_approval > 8760)]) AS failures FROM orders_enriched"""),
+    "empty_tables": "SELECT 'none' AS table_name",
+    "inconsistent_orders": sql("""
+        WITH n AS (SELECT (SELECT count(*) FROM orders) AS b, (SELECT count(*) FROM src_orders WHERE order_status <> 'canceled') AS s,
+                          (SELECT count(*) FROM order_items) AS g)
+        SELECT 'bronze and silver' AS rule, b AS expected, s AS found FROM n WHERE b <> s
+        UNION ALL SELECT 'gold at most silver', s, g FROM n WHERE g > s""").replace(" WITH n AS", ", n AS"),
+    "contract_broken": """
+        SELECT orders, unnest([%s]) AS violation FROM (SELECT count(*) AS orders FROM orders)""" % ", ".join(
+        f"'missing column {c}'" for c in ("total_payment_value", "payment_count", "max_installments", "payment_methods_used", "unique_products",
+                                          "total_item_value", "total_freight_value", "avg_item_price", "total_items", "order_total", "delivery_days",
+                                          "delivery_status", "hours_to_approval")),
     "row_counts": """
         SELECT 'bronze' AS layer, 'orders' AS table_name, count(*) AS row_count FROM orders
         UNION ALL SELECT 'silver', 'order_items', count(*) FROM lineitem

@@ -9,15 +9,17 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tradewind.catalog.bound import Bound, sql
 from tradewind.catalog.maintenance import (
-    BY_MONTH, COLUMNS as ORDER_COLUMNS, FIRST_RUN, ORACLE as MAINTENANCE, PLACED, SECOND_RUN, TRACKED, _states, new_rows,
+    all_orders, BY_MONTH, COLUMNS as ORDER_COLUMNS, FIRST_RUN, ORACLE as MAINTENANCE, PLACED, SECOND_RUN, TRACKED, _states, new_rows,
     old_rows, own_folder, warehouse,
 )
 from tradewind.functions.dates import time_literal
 from tradewind.operators import history, incremental as inc, quality
 from tradewind.operators.incremental import Incremental
+from tradewind.operators.rollup import Total, rollup
 from tradewind.operators.schema_drift import schema_diff
 from tradewind.plans.daily import STAGING
 from tradewind.plans.models import Context, Model, build_all
+from tradewind.plans.params import Run
 from tradewind.plans.staging import clean
 from tradewind.sources.bindings import BINDINGS, table
 from tradewind.sources.raw import load_bronze, load_seed, read_csv, read_csv_in_blocks
@@ -89,7 +91,7 @@ def table_copy(spark, d):
 def table_clone(spark, d):
     """A clone stays as it was when its source changes."""
     wh = warehouse(spark)
-    wh.write_table("gold.orders", old_rows(spark, d), BY_MONTH)
+    wh.write_table("gold.orders", all_orders(spark, d), BY_MONTH)
     wh.clone("gold.orders", "silver.orders")
     inc.apply(wh, "gold.orders", new_rows(spark, d), Incremental("append", partition=BY_MONTH))
     wh.clone("gold.orders", "silver.orders")
@@ -98,7 +100,7 @@ def table_clone(spark, d):
 
 def stored_view(spark, d):
     wh = warehouse(spark)
-    wh.write_table("gold.orders", old_rows(spark, d))
+    wh.write_table("gold.orders", all_orders(spark, d))
     wh.create_view("silver.by_status", f"SELECT order_status, count(*) AS n FROM {wh.full_name('gold.orders')} GROUP BY 1")
     return wh.read("silver.by_status")
 
@@ -119,14 +121,33 @@ def materialized_view(spark, d):
     wh.write_table("gold.orders", old_rows(spark, d))
     view = wh.materialized_view("gold.by_status", lambda: wh.read("gold.orders").groupBy("order_status").agg(F.count("*").alias("n")),
                                 cluster=["order_status"])
-    wh.write_table("gold.orders", new_rows(spark, d))
+    wh.write_table("gold.orders", all_orders(spark, d))
     return view.refresh()
 
 
+def rollup_refreshed(spark, d):
+    """Orders, first and last purchase per status from partials by month, refreshed after a merge and after two years of orders
+    are gone."""
+    wh, how = warehouse(spark), Incremental("merge", ("order_id",), BY_MONTH)
+    wh.write_table("gold.orders", old_rows(spark, d), BY_MONTH)
+    kept = rollup(wh, "gold.by_status", "gold.orders", ["order_status"], {
+        "orders": Total("count(*)"), "first_order": Total(f"min({PLACED})", "min"), "last_order": Total(f"max({PLACED})", "max")})
+    inc.apply(wh, "gold.orders", new_rows(spark, d), how)
+    kept.refresh()
+    wh.drop_partitions("gold.orders", [v for v in wh.partition_values("gold.orders") if v.year in (1995, 1999)])
+    kept.refresh()
+    return kept.read()
+
+
+def audited_cleaning(spark, d):
+    """Sellers cleaned and stamped with a run."""
+    return clean("sellers", BINDINGS["sellers"](spark, d), Run(datetime(2024, 5, 1, 1, 2, 3), "run-1"))
+
+
 def stored_partitions(spark, d):
     """Partition values of a table by month, and rows in each."""
     wh = warehouse(spark)
-    wh.write_table("gold.orders", old_rows(spark, d), BY_MONTH, ["order_status", "customer_id"])
+    wh.write_table("gold.orders", all_orders(spark, d), BY_MONTH, ["order_status", "customer_id"])
     return wh.read("gold.orders", technical=True).groupBy(BY_MONTH.column).agg(F.count("*").alias("n")).withColumnRenamed(BY_MONTH.column, "month")
 
 
@@ -225,7 +246,7 @@ def python_models(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     csv_scan, csv_scan_in_blocks, bronze_load, bronze_reviews, seed_load, table_copy, table_clone, stored_view, silver_view,
-    materialized_view, stored_partitions, stored_ranges, stored_ingestion_time, shard_scan, stored_delete_insert,
+    materialized_view, rollup_refreshed, audited_cleaning, stored_partitions, stored_ranges, stored_ingestion_time, shard_scan, stored_delete_insert,
     stored_copy_partitions, stored_microbatch, stored_watermark, stored_schema_sync, stored_history, schema_difference,
     stored_failures, python_models,
 )}
@@ -249,11 +270,16 @@ ORACLE = {
     "bronze_reviews": sql("SELECT * FROM reviews"),
     "seed_load": "SELECT cast(p_partkey AS integer) AS p_partkey, cast(p_size AS varchar) AS p_size, p_retailprice FROM part",
     "table_copy": f"{_STATES} SELECT * FROM t UNION ALL SELECT * FROM s UNION ALL SELECT * FROM t",
-    "table_clone": f"{_STATES} SELECT * FROM t",
-    "stored_view": f"{_STATES} SELECT order_status, count(*) AS n FROM t GROUP BY 1",
+    "table_clone": f"{_STATES} SELECT * FROM o",
+    "stored_view": f"{_STATES} SELECT order_status, count(*) AS n FROM o GROUP BY 1",
     "silver_view": sql("SELECT * FROM reviews"),
-    "materialized_view": f"{_STATES} SELECT order_status, count(*) AS n FROM s GROUP BY 1",
-    "stored_partitions": f"{_STATES} SELECT cast(date_trunc('month', order_purchase_timestamp) AS date) AS month, count(*) AS n FROM t GROUP BY 1",
+    "materialized_view": f"{_STATES} SELECT order_status, count(*) AS n FROM o GROUP BY 1",
+    "rollup_refreshed": f"""{_STATES}
+        SELECT order_status, count(*) AS orders, min({PLACED}) AS first_order, max({PLACED}) AS last_order
+        FROM (SELECT * FROM t WHERE order_id NOT IN (SELECT order_id FROM s) UNION ALL SELECT * FROM s)
+        WHERE year({PLACED}) NOT IN (1995, 1999) GROUP BY 1""",
+    "audited_cleaning": sql("SELECT *, TIMESTAMP '2024-05-01 01:02:03' AS _loaded_at, 'run-1' AS _run_id FROM sellers"),
+    "stored_partitions": f"{_STATES} SELECT cast(date_trunc('month', order_purchase_timestamp) AS date) AS month, count(*) AS n FROM o GROUP BY 1",
     "stored_ranges": """
         SELECT c_custkey, CASE WHEN c_nationkey < 5 THEN 0 WHEN c_nationkey < 10 THEN 1 WHEN c_nationkey < 15 THEN 2
                WHEN c_nationkey < 20 THEN 3 ELSE 4 END::bigint AS part FROM customer""",

@@ -9,10 +9,11 @@ they are read several times (uniqueness, touched partitions, merge). In a table
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tradewind.functions.casts import spark_type
 from tradewind.functions.dates import time_literal
@@ -60,8 +61,9 @@ class Incremental:
 
 
 def build(warehouse: Warehouse, table: str, rows: Callable[[bool], DataFrame], how: Incremental,
-          full_refresh: bool = False) -> str:
-    """Create the table, rebuild it, or change it, and say which.
+          full_refresh: bool = False, measures: Mapping[str, Column] | None = None, observed: dict | None = None) -> str:
+    """Create the table, rebuild it, or change it, and say which. A rebuild puts the number of rows and ``measures`` of the
+    whole table into ``observed``.
 
     ``rows`` gives the new rows; its argument tells whether this is a change of an existing table,
     as :func:`is_incremental` does.
@@ -69,7 +71,9 @@ def build(warehouse: Warehouse, table: str, rows: Callable[[bool], DataFrame], h
     if is_incremental(warehouse, table, full_refresh):
         apply(warehouse, table, rows(True), how)
         return how.strategy
-    warehouse.write_table(table, rows(False), how.partition, how.cluster)
+    seen = warehouse.write_table(table, rows(False), how.partition, how.cluster, measures)
+    if observed is not None:
+        observed.update(seen)
     return "rebuild"
 
 
@@ -161,10 +165,18 @@ def insert_overwrite(warehouse: Warehouse, table: str, source: DataFrame, how: I
             warehouse.append(table, outside, part, how.cluster)
 
 
+class WindowsFailed(RuntimeError):
+    """Some windows of a microbatch run failed; the others are done."""
+
+
 def microbatch(warehouse: Warehouse, table: str, rows: Callable[[datetime, datetime], DataFrame], how: Incremental,
-               begin: datetime, end: datetime, one_pass: bool = False) -> int:
-    """Run the query once per batch window and replace that window's partition. Windows are
-    independent: a failed one can be run again alone.
+               begin: datetime, end: datetime, one_pass: bool = False, ledger: str | None = None, at_once: int = 1) -> int:
+    """Run the query once per batch window and replace that window's partition. Gives the number of windows run. Windows are
+    independent: ``at_once`` of them run side by side, and one that fails leaves the others alone.
+
+    ``ledger`` names a table that keeps the windows (``begin_at``, ``end_at``, ``state``: done or failed, ``message``). Windows that it has as
+    done are not run again, so a second call runs those that failed. Without a ledger every window runs; either way
+    failures are raised when all others are through.
 
     With ``one_pass`` the query runs once over all windows, which reads the source once. It is for queries that never
     combine rows of different windows; the outcome is then the same.
@@ -173,21 +185,77 @@ def microbatch(warehouse: Warehouse, table: str, rows: Callable[[datetime, datet
     if not isinstance(part, TimePartition):
         raise ValueError("microbatch needs a time partition, whose granularity is the batch size")
     windows = merge.batch_windows(begin, end, part.granularity)
-    named = [lo.strftime("%Y-%m-%d-%H") if part.granularity == "hour" else lo.date() for lo, _ in windows]
-    runs = [(windows[0][0], windows[-1][1], named)] if one_pass and windows else [(lo, hi, [v]) for (lo, hi), v in zip(windows, named)]
-    for lo, hi, values in runs:
-        at = F.col(part.field)
-        batch = rows(lo, hi).where((at >= time_literal(lo)) & (at < time_literal(hi)))
-        if not warehouse.exists(table):
-            warehouse.write_table(table, batch, part, how.cluster)
-            continue
-        with staged(batch) as batch:
-            batch, _ = change_schema(warehouse, table, batch, how)
-            filled = warehouse.replace_partitions(table, batch, part, how.cluster)
-            warehouse.drop_partitions(table, [v for v in values if value_text(v) not in filled])
+    if ledger:
+        done = finished_windows(warehouse, ledger)
+        windows = [w for w in windows if w not in done]
+    if not windows:
+        return 0
+    value = lambda lo: lo.strftime("%Y-%m-%d-%H") if part.granularity == "hour" else lo.date()
+    # one pass goes over windows side by side; a gap begins another
+    runs: list[list[tuple[datetime, datetime]]] = []
+    for window in windows:
+        if one_pass and runs and runs[-1][-1][1] == window[0]:
+            runs[-1].append(window)
+        else:
+            runs.append([window])
+
+    def run(own: list[tuple[datetime, datetime]]) -> Exception | None:
+        lo, hi, at = own[0][0], own[-1][1], F.col(part.field)
+        try:
+            batch = rows(lo, hi).where((at >= time_literal(lo)) & (at < time_literal(hi)))
+            if not warehouse.exists(table):
+                warehouse.write_table(table, batch, part, how.cluster)
+                return None
+            with staged(batch) as batch:
+                batch, _ = change_schema(warehouse, table, batch, how)
+                filled = warehouse.replace_partitions(table, batch, part, how.cluster)
+                warehouse.drop_partitions(table, [value(w[0]) for w in own if value_text(value(w[0])) not in filled])
+        except Exception as failure:
+            return failure
+        return None
+
+    failures: list[tuple[list[tuple[datetime, datetime]], Exception]] = []
+
+    def keep(own: list[tuple[datetime, datetime]], failure: Exception | None) -> None:
+        if failure:
+            failures.append((own, failure))
+        if ledger:
+            _record(warehouse, ledger, [(lo, hi, "failed" if failure else "done", str(failure)[:500] if failure else None) for lo, hi in own])
+
+    # the run that makes the table, or may change its columns, goes first
+    first = 1 if not warehouse.exists(table) or how.on_schema_change != "ignore" or at_once < 2 else 0
+    alone, together = (runs, []) if at_once < 2 else (runs[:first], runs[first:])
+    for own in alone:
+        keep(own, run(own))
+    with ThreadPoolExecutor(max_workers=max(at_once, 1)) as pool:
+        for own, future in [(own, pool.submit(run, own)) for own in together]:
+            keep(own, future.result())
+    if failures:
+        named = [f"{own[0][0]} to {own[-1][1]}: {failure}" for own, failure in failures]
+        raise WindowsFailed(f"{len(failures)} of {len(runs)} runs of {table} failed: {named}") from failures[0][1]
     return len(windows)
 
 
+LEDGER = "begin_at timestamp, end_at timestamp, state string, message string, recorded_at timestamp"
+
+
+def _record(warehouse: Warehouse, ledger: str, windows: Sequence[tuple]) -> None:
+    rows = warehouse.spark.createDataFrame([(*w, datetime.now()) for w in windows], LEDGER).coalesce(1)
+    if warehouse.exists(ledger):
+        warehouse.append(ledger, rows)
+    else:
+        warehouse.write_table(ledger, rows)
+
+
+def finished_windows(warehouse: Warehouse, ledger: str) -> set[tuple[datetime, datetime]]:
+    """Windows whose last record is done: at most as many as there are windows."""
+    if not warehouse.exists(ledger):
+        return set()
+    last = warehouse.read(ledger).groupBy("begin_at", "end_at").agg(F.max_by("state", "recorded_at").alias("state")).where("state = 'done'")
+    text = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("begin_at", "end_at")]
+    return {tuple(datetime.strptime(v, "%Y-%m-%d %H:%M:%S") for v in r) for r in last.select(*text).collect()}
+
+
 # -- high-water mark --------------------------------------------------------------------------------
 
 

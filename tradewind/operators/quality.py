@@ -195,18 +195,23 @@ class ColumnRule:
     range_severity: str = "error"
 
 
-def declared_verdicts(frames: Mapping[str, DataFrame], declared: Mapping[str, Mapping[str, ColumnRule]]) -> DataFrame:
+def row_measures(table: str, columns: Mapping[str, ColumnRule]) -> dict[str, Column]:
+    """What the checks of single rows (NULLs and bounds) count, one aggregate per check: for one pass over the
+    table, or for the job that writes it."""
+    out = {f"not_null_{table}_{c}": F.count_if(F.col(c).isNull()) for c, rule in columns.items() if rule.not_null}
+    return out | {f"between_{table}_{c}": F.count_if(_outside(c, rule.low, rule.high))
+                  for c, rule in columns.items() if rule.low is not None or rule.high is not None}
+
+
+def declared_verdicts(frames: Mapping[str, DataFrame], declared: Mapping[str, Mapping[str, ColumnRule]],
+                      observed: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
     """Verdicts of all declared checks. Those that look at single rows (NULLs and bounds) are counted
-    for all columns of a table in one pass; the others need a grouping or a join each."""
+    for all columns of a table in one pass, or taken from ``observed`` (table -> what its write measured); the others
+    need a grouping or a join each."""
     parts: list[DataFrame] = []
     for table, columns in declared.items():
         df = frames[table]
-        rowwise: dict[str, tuple[Column, str]] = {}
         for c, rule in columns.items():
-            if rule.not_null:
-                rowwise[f"not_null_{table}_{c}"] = (F.col(c).isNull(), "error")
-            if rule.low is not None or rule.high is not None:
-                rowwise[f"between_{table}_{c}"] = (_outside(c, rule.low, rule.high), rule.range_severity)
             if rule.unique:
                 parts.append(verdict(Check(f"unique_{table}_{c}", unique(df, c))))
             if rule.accepted:
@@ -214,11 +219,16 @@ def declared_verdicts(frames: Mapping[str, DataFrame], declared: Mapping[str, Ma
             if rule.parent:
                 to, field = rule.parent
                 parts.append(verdict(Check(f"relationships_{table}_{c}", relationships(df, c, frames[to], field))))
-        if rowwise:
-            counts = df.agg(*[F.count_if(bad).alias(n) for n, (bad, _) in rowwise.items()])
+        measures = row_measures(table, columns)
+        if measures:
+            known = (observed or {}).get(table, {})
+            if measures.keys() <= known.keys():
+                counts = df.sparkSession.range(1).select(*[F.lit(known[n]).cast("bigint").alias(n) for n in measures])
+            else:
+                counts = df.agg(*[bad.alias(n) for n, bad in measures.items()])
+            warns = {f"between_{table}_{c}" for c, rule in columns.items() if rule.range_severity != "error"}
             cells = F.array(*[
-                F.struct(F.lit(n).alias("test"), F.col(n).alias("failures"), F.lit(s == "error").alias("is_error"))
-                for n, (_, s) in rowwise.items()
+                F.struct(F.lit(n).alias("test"), F.col(n).alias("failures"), F.lit(n not in warns).alias("is_error")) for n in measures
             ])
             parts.append(counts.select(F.explode(cells).alias("c")).select(
                 "c.test", "c.failures", (F.col("c.failures") > 0).alias("should_warn"),
@@ -239,19 +249,41 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(n, d) for n, d in frames.items() if not n.rpartition(".")[2].startswith("_")])
 
 
-def require_rows(frames: Mapping[str, DataFrame]) -> None:
-    empty = [n for n, df in frames.items() if df.isEmpty()]
+def empty_tables(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Names of the frames without a row, in one job that takes at most one row of each."""
+    def one(name: str, df: DataFrame) -> DataFrame:
+        found = df.select(F.lit(1)).limit(1).agg(F.count("*").alias("n"))
+        return found.where("n = 0").select(F.lit(name).alias("table_name"))
+
+    return reduce(DataFrame.unionByName, [one(n, d) for n, d in frames.items()])
+
+
+def require_rows(frames: Mapping[str, DataFrame], observed: Mapping[str, int] | None = None) -> None:
+    """No table may be empty. ``observed``: rows that the writes of some tables counted, which are not looked at again."""
+    known = observed or {}
+    empty = [n for n in frames if known.get(n) == 0]
+    rest = {n: df for n, df in frames.items() if n not in known}
+    if rest:
+        empty += [r["table_name"] for r in empty_tables(rest).collect()]
     if empty:
         raise CheckFailed(f"empty tables: {empty}")
 
 
+def inconsistent_orders(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
+    """Cleaning keeps every order, and the fact has no more orders than there are: one row per rule that is broken, with the
+    counts that show it."""
+    counts = row_counts({"all.bronze": bronze, "all.silver": silver, "all.gold": gold}).groupBy().agg(
+        *[F.max(F.when(F.col("table_name") == t, F.col("row_count"))).alias(t) for t in ("bronze", "silver", "gold")])
+    rules = F.array(
+        F.when(F.col("bronze") != F.col("silver"), F.struct(F.lit("bronze and silver").alias("rule"), F.col("bronze").alias("expected"), F.col("silver").alias("found"))),
+        F.when(F.col("gold") > F.col("silver"), F.struct(F.lit("gold at most silver").alias("rule"), F.col("silver").alias("expected"), F.col("gold").alias("found"))))
+    return counts.select(F.inline(F.filter(rules, lambda r: r.isNotNull())))
+
+
 def require_consistent_orders(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> None:
-    """Cleaning keeps every order, and the fact has no more orders than there are."""
-    counts = {r["table_name"]: r["row_count"] for r in row_counts({"bronze": bronze, "silver": silver, "gold": gold}).collect()}
-    if counts["bronze"] != counts["silver"]:
-        raise CheckFailed(f"bronze has {counts['bronze']} orders, silver {counts['silver']}")
-    if counts["gold"] > counts["silver"]:
-        raise CheckFailed(f"gold has {counts['gold']} orders, silver only {counts['silver']}")
+    broken = [r.asDict() for r in inconsistent_orders(bronze, silver, gold).collect()]
+    if broken:
+        raise CheckFailed(f"numbers of orders differ: {broken}")
 
 
 def freshness(df: DataFrame, loaded_at: str, now: datetime, warn_after: timedelta | None = None,

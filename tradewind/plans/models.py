@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.operators import incremental as inc
 from tradewind.operators.incremental import Incremental
+from tradewind.operators.quality import ColumnRule, row_measures
 from tradewind.plans.params import Params, Run
 from tradewind.sources.raw import in_parallel
 from tradewind.sources.tables import Warehouse
@@ -45,8 +46,12 @@ class Context:
     """What a model sees: other models, source tables, its settings and its own stored rows."""
 
     def __init__(self, warehouse: Warehouse, models: Iterable[Model], run: Run | None = None,
-                 params: Params = Params(), full_refresh: bool = False) -> None:
+                 params: Params = Params(), full_refresh: bool = False,
+                 rules: Mapping[str, Mapping[str, ColumnRule]] | None = None) -> None:
+        """``rules``: checks declared for models; those of single rows are counted by the jobs that write these, into
+        ``observed`` (model -> check -> failures, and ``rows``)."""
         self.warehouse, self.run, self.params, self.full_refresh = warehouse, run, params, full_refresh
+        self.rules, self.observed = rules or {}, {}
         self.models = {m.name: m for m in models}
         self._lazy: dict[str, DataFrame] = {}
         self._current: Model | None = None
@@ -58,6 +63,7 @@ class Context:
     def for_model(self, model: Model) -> "Context":
         out = Context(self.warehouse, (), self.run, self.params, self.full_refresh)
         out.models, out._lazy, out._current = self.models, self._lazy, model
+        out.rules, out.observed = self.rules, self.observed
         return out
 
     def source(self, table: str) -> DataFrame:
@@ -104,9 +110,13 @@ def build_model(model: Model, context: Context) -> None:
         body = model.sql(context.for_model(model)) if model.sql else context.ref(model.name)
         warehouse.create_view(model.table, body, context.full_refresh)
     elif model.kind == "table":
-        warehouse.write_table(model.table, evaluate(model, context), model.how.partition, model.how.cluster)
+        measures = row_measures(model.name, context.rules.get(model.name, {}))
+        context.observed[model.name] = warehouse.write_table(
+            model.table, evaluate(model, context), model.how.partition, model.how.cluster, measures)
     elif model.kind == "incremental":
-        inc.build(warehouse, model.table, lambda change: evaluate(model, context), model.how, context.full_refresh)
+        measures, seen = row_measures(model.name, context.rules.get(model.name, {})), {}
+        inc.build(warehouse, model.table, lambda change: evaluate(model, context), model.how, context.full_refresh, measures, seen)
+        context.observed[model.name] = seen
 
 
 def build_all(steps: Iterable[Iterable[Model]], context: Context) -> None:

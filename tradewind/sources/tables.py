@@ -19,6 +19,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import MapType, StructField, StructType
@@ -272,8 +273,10 @@ class Warehouse:
         return df.repartitionByRange(*order, rest).sortWithinPartitions(*order)
 
     def write_table(self, table: str, df: DataFrame, partition: Partition | None = None,
-                    cluster: Sequence[str] = ()) -> None:
-        """Full rebuild: a new version beside the old one, then one change of the view. Until then, and if a job
+                    cluster: Sequence[str] = (), measures: Mapping[str, Column] | None = None) -> dict[str, Any]:
+        """Full rebuild; gives the number of ``rows`` and the aggregates ``measures``, both taken by the job that writes.
+
+        A new version beside the old one, then one change of the view. Until then, and if a job
         or the driver fails, readers keep the old version; ``df`` may read the table itself. What a failed rebuild
         leaves is dropped by the next one."""
         self._make_database(table)
@@ -284,13 +287,14 @@ class Warehouse:
         columns = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in rows.schema]).toDDL()
         by = f" PARTITIONED BY (`{partition.column}`)" if partition else ""
         self.spark.sql(f"CREATE TABLE {version} ({columns}) USING parquet{by}")
-        self._write_files(version, rows, partition, "append")
+        _, seen = self._write_files(version, rows, partition, "append", measures)
         layout = {"kind": type(partition).__name__ if partition else None, "partition": asdict(partition) if partition else {}, "cluster": list(cluster)}
         self._set_properties(version, {LAYOUT: json.dumps(layout), **lasting})
         if was is None:
             self._drop_query(table)
         self._point(table, version)
         self._drop_versions(table, keep={version, was})
+        return seen
 
     def _point(self, table: str, version: str) -> None:
         """Makes ``version`` what the table's name stands for."""
@@ -345,24 +349,27 @@ class Warehouse:
         """
         stored = self.stored_name(table)
         out = self.arrange(df, partition, cluster).select(*self.spark.table(stored).columns)
-        return self._write_files(stored, out, partition, "overwrite")
+        return self._write_files(stored, out, partition, "overwrite")[0]
 
-    def _write_files(self, stored: str, rows: DataFrame, partition: Partition | None, mode: str) -> set[str | None]:
-        """Writes files under a catalog table and makes the partitions known that the write saw; no folder is listed."""
-        writer, seen = rows.write, None
+    def _write_files(self, stored: str, rows: DataFrame, partition: Partition | None, mode: str,
+                     measures: Mapping[str, Column] | None = None) -> tuple[set[str | None], dict[str, Any]]:
+        """Writes files under a catalog table and makes the partitions known that the write saw; no folder is listed. Gives
+        their values and what was measured."""
+        seen, aggregates = Observation(), {"rows": F.count(F.lit(1)), **(measures or {})}
+        if partition:
+            value = F.col(partition.column)
+            aggregates |= {"_values": F.collect_set(value.cast("string")), "_missing": F.count_if(value.isNull())}
+        writer = rows.observe(seen, *[a.alias(n) for n, a in aggregates.items()]).write
         if partition:
-            seen, value = Observation(), F.col(partition.column)
-            writer = rows.observe(seen, F.collect_set(value.cast("string")).alias("values"), F.count_if(value.isNull()).alias("missing")).write
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition.column)
         writer.mode(mode).parquet(self._location(stored))
-        values: set[str | None] = set()
-        if seen:
-            values = set(seen.get.get("values") or ()) | ({None} if seen.get.get("missing") else set())
+        found = dict(seen.get)
+        values = set(found.pop("_values", None) or ()) | ({None} if found.pop("_missing", 0) else set())
         for chunk in in_chunks(sorted(values, key=str), 500):
             specs = " ".join(f"PARTITION ({partition.column} = {'NULL' if v is None else text_literal(v)})" for v in chunk)
             self.spark.sql(f"ALTER TABLE {stored} ADD IF NOT EXISTS {specs}")
         self.spark.catalog.refreshTable(stored)
-        return values
+        return values, found
 
     def location(self, table: str) -> str:
         return self._location(self.stored_name(table))
