@@ -380,9 +380,7 @@ def test_language_edges(spark):
 
 
 def test_bound_is_never_below_the_similarity():
-    """What the candidate join may drop: texts with and without repeated shingles, short and long ones."""
-    from pyspark.sql import functions as F  # noqa: F401
-
+    """What is not verified: texts with and without repeated shingles, short and long ones."""
     rng = np.random.default_rng(11)
     for n, letters in [(40, 400), (300, 5000), (3000, 60000), (300, 12)]:
         for _ in range(40):
@@ -390,10 +388,83 @@ def test_bound_is_never_below_the_similarity():
             v = list(w)
             for i in rng.integers(0, n, rng.integers(1, max(2, n // 12))):
                 v[i] = f"x{rng.integers(0, letters)}"
+            if rng.random() < 0.3:
+                w, v = w * 4, v * 3
             sets = prob_minhash.shingles(pa.array([" ".join(w), " ".join(v)]))
-            bits, more, total, once = prob_minhash._counted(sets)
-            common = sum(int(a & b).bit_count() for a, b in zip(bits[0].view(np.uint64).tolist(), bits[1].view(np.uint64).tolist(), strict=True)) + min(more)
-            whole = total.sum() - common if once.all() else total.min()
-            assert common / whole >= prob_minhash.similarity(*sets) - 1e-12
-            x, y = (dict(zip(*s, strict=True)) for s in sets)
-            assert common >= sum(min(c, y.get(h, 0)) for h, c in x.items())
+            most = prob_minhash.bound(*prob_minhash._counts(sets), 0, np.array([1]))[0]
+            assert most >= prob_minhash.similarity(*sets) - 1e-12
+
+
+def test_links_of_a_bucket():
+    """All links of a bucket in one or two blocks, against every pair; not those of one class or of an earlier band."""
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(40):
+        w = list(words)
+        for _ in range(r.randint(1, 5)):
+            w[r.randrange(len(w))] = f"x{i}"
+        texts.append(" ".join(w * (1 + i % 2)))
+    sets = prob_minhash.shingles(pa.array(texts))
+    near = {(i, j) for i in range(40) for j in range(i + 1, 40) if prob_minhash.similarity(sets[i], sets[j]) >= 0.8}
+    bands = np.array([[i % 7, 1000] for i in range(40)])
+
+    def classes(pairs):
+        of = list(range(40))
+        for i, j in pairs:
+            of = [of[i] if x == of[j] else x for x in of]
+        return [of.index(x) for x in of]
+
+    one = np.zeros(40, int)
+    got = prob_minhash.links(1000, one, np.arange(40), bands, texts, 0.8, 5)
+    allowed = {(i, j) for i, j in near if i % 7 != j % 7}
+    assert set(got) <= allowed and classes(got) == classes(allowed) and len(near) > 100
+    halves = np.arange(40) % 2
+    got = prob_minhash.links(1000, halves, np.arange(40), bands, texts, 0.8, 5)
+    assert classes(got) == classes({(i, j) for i, j in allowed if i % 2 != j % 2})
+    assert prob_minhash.links(1000, one, one, bands, texts, 0.8, 5) == []
+
+
+def test_blocks_of_a_bucket_lose_no_link(spark, monkeypatch):
+    """Blocks of three texts: the classes are those of whole buckets."""
+    from tests.llm.data import DOCS
+
+    r, words = random.Random(5), [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(60):
+        w = list(words)
+        for _ in range(8):
+            w[r.randrange(len(w))] = f"x{i}_{r.random()}"
+        texts.append(" ".join(w))
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)
+    whole = classes(prob_minhash.near_duplicates(docs))
+    monkeypatch.setattr(prob_minhash, "BLOCK_TEXTS", 3)
+    assert classes(prob_minhash.near_duplicates(docs)) == whole
+
+
+def test_nearest_does_not_depend_on_settings(spark):
+    """Clustered vectors in several slices: the answers are the same with 1, 8 and 200 partitions, and so is their recall."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(2)
+    x = (rng.normal(size=(60, 32))[rng.integers(0, 60, 12_000)] + 0.25 * rng.normal(size=(12_000, 32))).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    key, answers = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(key)
+    try:
+        for partitions in ("1", "8", "200"):
+            spark.conf.set(key, partitions)
+            found = hamming_index.nearest(table, F.col("vec_id") % 100 == 0, slice_rows=4_096)
+            answers.append(sorted((r["query_id"], r["rank"], r["vec_id"]) for r in found.collect()))
+    finally:
+        spark.conf.set(key, before)
+    assert answers[0] == answers[1] == answers[2]
+    hits, y = 0, x.astype(np.float64)
+    of = defaultdict(set)
+    for q, _, i in answers[0]:
+        of[q].add(i)
+    for q, found in of.items():
+        d = ((y - y[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(found & set(np.argsort(d, kind="stable")[:10].tolist()))
+    assert hits >= 0.9 * 10 * len(of) and len(of) == 120

@@ -7,10 +7,11 @@ stops as soon as its next arrival is later than what every register has seen. Re
 are candidates, and candidates are verified by their exact similarity.
 
 Equal word sequences are one node. First every member of a bucket is tested against the bucket's most central member alone,
-which joins most near copies into classes. Then members that share a bucket but not a class are tested pairwise, each pair in the
-first band it shares. Where a bucket holds many members that are not linked these pairs grow with the square of their number:
-to lose no link, each has to be told apart. Most of them are by an upper bound of their similarity, computed inside the
-join from the counts of their shingles in 448 cells; the bound is exact, so it never drops a pair that is similar enough.
+which joins most near copies into classes. Then members that share a bucket but not a class are told apart: a task holds a block of
+a bucket's texts, or two blocks, and tests their pairs, each pair in the first band it shares. No pair is a row, only links
+are; but where a bucket holds many members that are not linked, the tests grow with the square of their number, as each has to be made
+to lose no link. Most of them end at an upper bound of the similarity, from the counts of shingles in 448 cells; the bound is
+exact, so it never drops a pair that is similar enough.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ from tradewind.llm.staging import free_name, released, written
 from tradewind.llm.token_files import by_size
 from tradewind.llm.words import words
 
-# Shingles are counted in this many cells, each count in unary in this many bits.
-CELLS, UNARY = 448, 4
-LONGS = CELLS * UNARY // 64
+# Shingles are counted in this many cells for the bound of a similarity.
+CELLS = 448
+# A block of a bucket holds about this many words, and this many texts at most.
+BLOCK_WORDS, BLOCK_TEXTS = 1_000_000, 2_000
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD,
                          0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
@@ -121,43 +123,29 @@ def node(text: Column) -> Column:
     return F.unhex(F.md5(F.array_join(words(text), " ")))
 
 
-def _counted(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per text: its shingle counts per cell in unary, LONGS numbers; what of them goes beyond UNARY; all its shingles; and whether
-    none occurs twice."""
+def _counts(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per text: its shingles per cell, all its shingles, and whether none occurs twice."""
     sizes = np.array([len(h) for h, _ in sets], np.int64)
     cell = np.repeat(np.arange(len(sets)) * CELLS, sizes)
-    if len(cell):
-        cell = cell + (np.concatenate([h for h, _ in sets]) % np.uint64(CELLS)).astype(np.int64)
-    weight = np.concatenate([c for _, c in sets]) if sets else np.zeros(0, np.int64)
-    counts = np.bincount(cell, weight, len(sets) * CELLS).astype(np.int64).reshape(len(sets), CELLS)
-    bits = np.zeros((len(sets), LONGS), np.uint64)
-    per_long = 64 // UNARY
-    at = np.arange(CELLS) % per_long * UNARY
-    for level in range(UNARY):
-        shifted = (counts > level).astype(np.uint64) << (at + level).astype(np.uint64)
-        bits |= shifted.reshape(len(sets), LONGS, per_long).sum(2, dtype=np.uint64)
-    once = np.array([int(c.max(initial=1)) == 1 for _, c in sets], bool)
-    return bits.view(np.int64), np.maximum(counts - UNARY, 0).sum(1), counts.sum(1), once
-
-
-def _may_be(least: float, one: str, other: str) -> Column:
-    """Whether two texts, whose counts are columns with these prefixes, can be similar enough.
-
-    What they have in common is at most ``shared``, the sum over cells of the smaller count. Their probability
-    Jaccard is at most shared / (n + m - shared) if no shingle of either occurs twice, and shared / min(n, m) in any case.
+    cell = cell + (np.concatenate([h for h, _ in sets]) % np.uint64(CELLS)).astype(np.int64)
+    cells = np.bincount(cell, np.concatenate([c for _, c in sets]), len(sets) * CELLS).astype(np.int32).reshape(len(sets), CELLS)
+    return cells, cells.sum(1), np.array([int(c.max(initial=1)) == 1 for _, c in sets], bool)
+
+
+def bound(cells: np.ndarray, totals: np.ndarray, once: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """What the similarity of text ``i`` and each of ``others`` is at most.
+
+    They have no more in common than the sum over cells of the smaller count. Probability Jaccard is at most common / (n + m -
+    common) if no shingle of either occurs twice, and common / min(n, m) in any case.
     """
-    common = F.lit(0)
-    for i in range(LONGS):
-        common = common + F.bit_count(F.col(f"{one}{i}").bitwiseAND(F.col(f"{other}{i}")))
-    common = common + F.least(f"{one}more", f"{other}more")
-    n, m = F.col(f"{one}total"), F.col(f"{other}total")
-    whole = F.when(F.col(f"{one}once") & F.col(f"{other}once"), n + m - common).otherwise(F.least(n, m))
-    return common >= whole * F.lit(least - 1e-9)
+    common = np.minimum(cells[others], cells[i]).sum(1)
+    whole = np.where(once[others] & once[i], totals[others] + totals[i] - common, np.minimum(totals[others], totals[i]))
+    return common / np.maximum(whole, 1)
 
 
 def _banded(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
-    """id, x (a hash of the text), u, bands, counts, more, total, once of each row of ``docs`` (id, t): the hash of each band of
-    the signature with its number, none without a word, and what ``_counted`` gives."""
+    """id, x (a hash of the text), u, bands, total of each row of ``docs`` (id, t): the hash of each band of the signature with its
+    number, none without a word, and how many shingles there are."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(3)
@@ -168,14 +156,13 @@ def _banded(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
                 for j in range(rows):
                     hashed = _mix(hashed * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j])
                 lists = [h if len(s) else h[:0] for h, (s, _) in zip(hashed.view(np.int64), sets, strict=True)]
-                bits, more, total, once = _counted(sets)
+                total = pa.array([int(c.sum()) for _, c in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(a, b - a) for c in batch.columns[:3]), pa.array(lists, pa.list_(pa.int64())), pa.array(list(bits), pa.list_(pa.int64())),
-                     pa.array(more), pa.array(total), pa.array(once)], ["id", "x", "u", "bands", "counts", "more", "total", "once"])
+                    [*(c.slice(a, b - a) for c in batch.columns[:3]), pa.array(lists, pa.list_(pa.int64())), total], ["id", "x", "u", "bands", "total"])
 
     kind = docs.schema["id"].dataType.simpleString()
     named = docs.select("id", F.xxhash64("t").alias("x"), node(F.col("t")).alias("u"), "t")
-    return named.mapInArrow(work, f"id {kind}, x long, u binary, bands array<long>, counts array<long>, more long, total long, once boolean")
+    return named.mapInArrow(work, f"id {kind}, x long, u binary, bands array<long>, total long")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
@@ -195,6 +182,53 @@ def _linked(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> Data
     return full.select("a", "b", "ta", "tb").mapInArrow(work, "a binary, b binary")
 
 
+def links(h: int, blocks: np.ndarray, labels: np.ndarray, bands: np.ndarray, texts: list[str], least: float, size: int) -> list[tuple[int, int]]:
+    """Pairs of members of bucket ``h`` that are similar enough, of one block or, where there are two, one of each. Members of one class
+    are not compared, nor pairs that share an earlier band, nor members whose classes a link found here has joined."""
+    sets = shingles(pa.array(texts, pa.string()), size)
+    cells, totals, once = _counts(sets)
+    labels, found = labels.copy(), []
+    here = int(np.flatnonzero(bands[0] == h)[0])
+    two = len(np.unique(blocks)) > 1
+    for i in range(len(texts) - 1):
+        others = np.arange(i + 1, len(texts))
+        others = others[(labels[others] != labels[i]) & (not two or blocks[others] != blocks[i])]
+        if here:
+            others = others[~(bands[others, :here] == bands[i, :here]).any(1)]
+        if len(others):
+            others = others[bound(cells, totals, once, i, others) >= least - 1e-9]
+        for j in others.tolist():
+            if labels[j] != labels[i] and similarity(sets[i], sets[j]) >= least:
+                found.append((i, j))
+                labels[labels == labels[j]] = labels[i]
+    return found
+
+
+def _links_within(rows: DataFrame, least: float, size: int) -> DataFrame:
+    """a, b of all links inside the groups (h, lo, hi) of ``rows`` (h, lo, hi, block, u, l, bands, t)."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def close() -> pa.RecordBatch:
+            key, block, u, l, bands, texts = zip(*held, strict=True)
+            _, label = np.unique(np.array(l, dtype=object), return_inverse=True)
+            pairs = links(key[0][0], np.array(block), label, np.array(bands), list(texts), least, size)
+            return pa.RecordBatch.from_arrays([pa.array([u[i] for i, _ in pairs], pa.binary()), pa.array([u[j] for _, j in pairs], pa.binary())], ["a", "b"])
+
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for key, *row in zip(zip(*columns[:3], strict=True), *columns[3:], strict=True):
+                if held and held[-1][0] != key:
+                    yield close()
+                    held = []
+                held.append((key, *row))
+        if held:
+            yield close()
+
+    dealt = rows.select("h", "lo", "hi", "block", "u", "l", "bands", "t").repartition("h", "lo", "hi").sortWithinPartitions("h", "lo", "hi")
+    return dealt.mapInArrow(work, "a binary, b binary")
+
+
 def _state(edges: DataFrame):
     return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
@@ -235,7 +269,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     signed = written(_banded(slim, bands, rows, size))
     order = F.struct(F.col("id").isNull(), "id", "x")
-    groups = written(signed.groupBy("u").agg(F.min(order).alias("rep"), F.count("*").alias("n"), F.first(F.struct("bands", "counts", "more", "total", "once")).alias("own"))
+    groups = written(signed.groupBy("u").agg(F.min(order).alias("rep"), F.count("*").alias("n"), F.first(F.struct("bands", "total")).alias("own"))
                      .select("u", F.col("rep.id").alias("rep"), F.col("rep.x").alias("rep_x"), "n", "own.*"))
     ids, names = written(signed.select("id", "u")), written(groups.select("u", "rep", "n"))
     released(signed)
@@ -256,21 +290,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = written(_linked(pairs, texts, least, size))
     labels = components(edges)
 
-    # members of different classes, a pair in the first band it shares
-    cells = [F.col("counts")[i].alias(f"c{i}") for i in range(LONGS)]
-    labelled = nodes.join(labels, "u", "left").select("u", F.coalesce("l", "u").alias("l"), "bands", *cells,
-                                                     F.col("more").alias("cmore"), F.col("total").alias("ctotal"), F.col("once").alias("conce"))
-    marked = written(members.select("h", "u").join(labelled.select("u", "l"), "u"))
+    # members of different classes, in blocks
+    marked = written(members.select("h", "u").join(nodes.select("u", "total").join(labels, "u", "left").select("u", "total", F.coalesce("l", "u").alias("l")), "u"))
     open_ = marked.groupBy("h").agg(F.min("l").alias("lo"), F.max("l").alias("hi")).filter("lo != hi").select("h")
-    apart = written(marked.join(open_, "h").select("h", "u"))
-    wide = apart.join(labelled, "u")
-    other = wide.select("h", *[F.col(c).alias(f"o_{c}" if c in ("u", "l", "bands") else f"o{c}") for c in wide.columns if c != "h"])
-    first_shared = F.expr("""element_at(filter(zip_with(bands, o_bands, (x, y) -> CASE WHEN x = y THEN x END), z -> z IS NOT NULL), 1)""")
-    pairs = wide.join(other, "h").filter((F.col("u") < F.col("o_u")) & (F.col("l") != F.col("o_l")) & _may_be(least, "c", "oc") & (first_shared == F.col("h")))
-    more = written(_linked(pairs.select(F.col("u").alias("a"), F.col("o_u").alias("b")), texts, least, size))
+    weight = F.greatest(F.col("total") / BLOCK_WORDS, F.lit(1 / BLOCK_TEXTS))
+    bucket = Window.partitionBy("h").orderBy("u")
+    blocks = marked.join(open_, "h").withColumn("block", F.floor(F.sum(weight).over(bucket.rowsBetween(Window.unboundedPreceding, 0)) - weight))
+    blocks = blocks.withColumn("last", F.max("block").over(bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    pairs = blocks.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).select(
+        "h", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "u", "l")
+    more = written(_links_within(pairs.join(nodes.select("u", "bands"), "u").join(texts, "u"), least, size))
     if not more.isEmpty():
         labels = components(edges.unionAll(more))
-    released(members, marked, apart, nodes, texts)
+    released(members, marked, nodes, texts)
 
     members = written(names.join(labels, "u", "left").select("u", "rep", "n", F.coalesce("l", "u").alias("l")))
     classes = members.groupBy("l").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "u")).alias("least"), F.sum("n").alias("class_size"))
