@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -220,3 +221,11 @@ def test_write_and_read(spark, tmp_path):
     assert [r["start"] for r in got] == np.cumsum([0, *[r["n_tokens"] for r in got]])[:-1].tolist()
     token_files.write(no_docs(spark), str(tmp_path / "b"), lambda: token_files.word_encoder(WORDS), 2)
     assert token_files.read(spark, str(tmp_path / "b")).count() == 0
+
+
+@pytest.mark.parametrize("html", ["<div>" * 100_000 + "</section>" * 100_000, '<a "' * 500_000, '<a ">" ' * 250_000, "<b><div>" + "<i>" * 150_000 + "</b>" * 150_000,
+                                  "<div>" * 150_000 + "<td>" * 150_000, "<li><b>" * 150_000, "<ul>" * 80_000 + "</li><li>" * 80_000, "<!--" * 500_000])
+def test_long_broken_pages_take_linear_time(html):
+    start = time.process_time()
+    html_text.main_text(html)
+    assert time.process_time() - start < 30

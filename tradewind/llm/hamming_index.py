@@ -171,8 +171,10 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     schema = "q long, vec_id long, score double"
     if len(sample):
         codes = learn(np.stack(sorted(sample.to_list(), key=tuple)).astype(np.float64), k, bits)
-        slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // slice_rows))
-        blocks = -(-named.count() // block_queries)
+        # which vectors share a slice depends on the data alone, and so do the answers; more tasks come of smaller blocks of queries
+        slices, asking = -(-n // slice_rows), named.count()
+        spare = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // slices)
+        blocks = max(-(-asking // block_queries), min(spare, -(-asking // 64)))
         spread = lambda column, parts, name: F.pmod(F.xxhash64(column, F.lit(name)), F.lit(max(parts, 1))).cast("int")
         left = index.withColumn("slice", spread("v", slices, "slice")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1))))
         right = named.withColumn("block", spread("v", blocks, "block")).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))

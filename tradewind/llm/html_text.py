@@ -11,6 +11,8 @@ path belong to the article too; an ``article`` or ``main`` element on the path i
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 from math import e, log
@@ -48,8 +50,8 @@ CLOSES = {
 }
 ENDS_P = BLOCKS - frozenset("body html td th tr tbody thead tfoot caption legend summary".split())
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<[!?/][^>]*+>""", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_MARK = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 _BREAK = -1
@@ -77,36 +79,83 @@ def _unwanted(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
     return False, named
 
 
+class _Tags:
+    """Where tags end. A broken page may hold any number of tags that never do; what one search has seen, the next ones do
+    not look at again, so that a page is read in linear time."""
+
+    def __init__(self, html: str):
+        self.html, self.last = html, html.rfind(">")
+        self.mark, self.marked_from, self.bracket = -1, 0, -1
+        self.lost: set[int] = set()  # opening quotes from which no tag ends
+
+    def next_bracket(self, at: int) -> int:
+        """The next ``>``; there is one."""
+        if self.bracket < at:
+            self.bracket = self.html.find(">", at)
+        return self.bracket
+
+    def _next_mark(self, at: int) -> int:
+        found = _MARK.search(self.html, at)
+        return found.start() if found else len(self.html)
+
+    def end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose attributes begin at ``at``: one outside quotes, else the next one."""
+        if not self.marked_from <= at <= self.mark:
+            self.marked_from, self.mark = at, self._next_mark(at)
+        mark, tried = self.mark, []
+        while mark < len(self.html) and mark not in self.lost:
+            if self.html[mark] == ">":
+                return mark
+            tried.append(mark)
+            closing = self.html.find(self.html[mark], mark + 1)
+            mark = self._next_mark(closing + 1) if closing >= 0 else len(self.html)
+        self.lost.update(tried)
+        return self.next_bracket(at)
+
+
 class _Page:
     """The tree as parallel lists; a parent always comes before its children."""
 
     def __init__(self, html: str):
         self.tags, self.parents, self.drop, self.named, self.own = ["#root"], [0], [False], [False], [0]
         self.items: list[tuple[int, str]] = []  # text in page order with its node, or a break between blocks
-        self.stack, self.open_p, self.articles = [0], 0, 0
-        at, end = 0, len(html)
+        self.stack, self.articles = [0], 0
+        # places in the stack of the open elements of each name, and of open blocks
+        self.open: dict[str, list[int]] = defaultdict(list)
+        self.open_blocks = [0]
+        tags, at, look, end = _Tags(html), 0, 0, len(html)
         while at < end:
-            found = _TOKEN.search(html, at)
-            if not found:
-                self.text(html[at:])
+            i = html.find("<", look)
+            if i < 0 or i > tags.last:  # no tag ends from here on; a comment may still begin
+                comment = html.find("<!--", i) if i >= 0 else -1
+                self.text(html[at:comment if comment >= 0 else end])
                 break
-            if found.start() > at:
-                self.text(html[at:found.start()])
-            at = found.end()
-            close, tag, attributes = found[1], found[2], found[3]
-            if tag is None:
-                close, tag, attributes = found[4], found[5], found[6]
-            if tag is None:
+            name = None
+            if html.startswith("<!--", i):
+                stop = html.find("-->", i + 4)
+                after = stop + 3 if stop >= 0 else end
+            elif name := _NAME.match(html, i):
+                stop = tags.end(name.end())
+                after = stop + 1
+            elif html[i + 1] in "!?/":
+                after = tags.next_bracket(i + 2) + 1
+            else:
+                look = i + 1
+                continue
+            if i > at:
+                self.text(html[at:i])
+            at = look = after
+            if not name:
                 continue
-            tag = tag.lower()
-            if close:
+            tag = name[2].lower()
+            if name[1]:
                 self.close(tag)
                 continue
-            self.start(tag, attributes)
+            self.start(tag, html[name.end():stop])
             if tag in RAW:  # no markup inside, up to its own end tag
-                stop = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at)
-                at = stop.start() if stop else end
-                if not stop:
+                found = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at)
+                at = look = found.start() if found else end
+                if not found:
                     self.close(tag)
 
     def text(self, raw: str) -> None:
@@ -117,25 +166,22 @@ class _Page:
             self.own[node] += len(" ".join(text.split()))
 
     def pop(self) -> None:
-        node = self.stack.pop()
-        self.open_p -= self.tags[node] == "p"
-        self.articles -= self.tags[node] in ("article", "main")
-        if self.tags[node] in BLOCKS:
+        tag = self.tags[self.stack.pop()]
+        self.open[tag].pop()
+        self.articles -= tag in ("article", "main")
+        if tag in BLOCKS:
+            self.open_blocks.pop()
             self.items.append((_BREAK, ""))
 
     def pop_to(self, names: tuple[str, ...], stops: tuple[str, ...]) -> None:
-        depth = None
-        for i in range(len(self.stack) - 1, 0, -1):
-            tag = self.tags[self.stack[i]]
-            if tag in names:
-                depth = i
-            elif tag in stops:
-                break
-        while depth is not None and len(self.stack) > depth:
+        """Closes the outermost element of ``names`` that is inside the innermost one of ``stops``."""
+        stop = max((self.open[s][-1] for s in stops if self.open[s]), default=0)
+        inside = [self.open[n][bisect_right(self.open[n], stop)] for n in names if self.open[n] and self.open[n][-1] > stop]
+        while inside and len(self.stack) > min(inside):
             self.pop()
 
     def start(self, tag: str, attributes: str) -> None:
-        if tag in ENDS_P and self.open_p:
+        if tag in ENDS_P and self.open["p"]:
             self.pop_to(("p",), ("table", "td", "th", "button"))
         if tag in CLOSES:
             self.pop_to(*CLOSES[tag])
@@ -151,21 +197,20 @@ class _Page:
         self.drop.append(self.drop[parent] or drop)
         self.named.append(named)
         if tag not in VOID:
+            self.open[tag].append(len(self.stack))
+            if tag in BLOCKS:
+                self.open_blocks.append(len(self.stack))
             self.stack.append(len(self.tags) - 1)
-            self.open_p += tag == "p"
             self.articles += tag in ("article", "main")
 
     def close(self, tag: str) -> None:
-        if tag == "p" and not self.open_p or tag in VOID or tag in ("html", "body"):
+        if not self.open[tag] or tag in VOID or tag in ("html", "body"):
             return  # what follows </body> still belongs to the page
-        for i in range(len(self.stack) - 1, 0, -1):
-            name = self.tags[self.stack[i]]
-            if name == tag:
-                while len(self.stack) > i:
-                    self.pop()
-                return
-            if tag not in BLOCKS and name in BLOCKS:
-                return  # an inline end tag does not reach out of its block
+        place = self.open[tag][-1]
+        if tag not in BLOCKS and place < self.open_blocks[-1]:
+            return  # an inline end tag does not reach out of its block
+        while len(self.stack) > place:
+            self.pop()
 
     def densities(self, kept: list[bool]) -> tuple[list[int], list[int], list[float], int, int]:
         """Characters, those in links and density of each node, the end of paths, and the core."""
