@@ -186,10 +186,13 @@ class Warehouse:
             return None
         if self.spark.catalog.getTable(name).tableType != "VIEW":
             return name
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'").first()
-        version = re.fullmatch(rf"SELECT \* FROM ({re.escape(name)}__v\w+)", described["data_type"].strip())
+        version = re.fullmatch(rf"SELECT \* FROM ({re.escape(name)}__v\w+)", self._described(name, "View Text"))
         return version[1] if version else None
 
+    def _described(self, name: str, what: str) -> str:
+        """A property of a catalog entry. The description is collected as it is, which needs no job."""
+        return next(r["data_type"].strip() for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == what)
+
     def is_view(self, table: str) -> bool:
         """Whether the table is a query, in the catalog or of this session, and not stored rows."""
         return self.exists(table) and self.stored_name(table) is None
@@ -375,8 +378,7 @@ class Warehouse:
         return self._location(self.stored_name(table))
 
     def _location(self, stored: str) -> str:
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {stored}")
-        return described.where("col_name = 'Location'").select("data_type").first()[0]
+        return self._described(stored, "Location")
 
     def drop_partitions(self, table: str, values: Sequence) -> None:
         column, = self.partition_columns(table)
