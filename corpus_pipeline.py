@@ -1,7 +1,8 @@
 """From raw documents to the pieces of a training mix: five stages, each one operator of tradewind.llm.
 
 Every stage takes (spark, docs, sf_dir) and returns a frame; ``run`` writes each stage's result to the shared folder and
-gives what it reads back to the next one. All stages but the last keep the columns of documents.
+gives what it reads back to the next one. All stages but the last keep the columns of documents, in any number and of any
+name; names that an operator adds give way to them. An empty table gives an empty one in every stage.
 """
 
 from __future__ import annotations
@@ -18,7 +19,10 @@ from tradewind.session import apply_settings
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the fused evidence accepts; others and texts without a letter go."""
+    """Documents whose language the fused evidence accepts; others and texts without a letter go, null and empty ones with them.
+
+    A null language or source is evidence of nothing. Repeated rows and ids are judged one by one; texts of any length are read whole.
+    """
     apply_settings(spark)
     names = docs.columns
     found = language.identify(docs, LANGUAGES)
@@ -26,7 +30,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines of later window occurrences; one that loses all its lines goes."""
+    """Documents without the lines of later window occurrences; one that loses all its lines goes.
+
+    A null or empty text has no window and stays. Of equal rows the first keeps its lines; a null id counts as the operator says. ``n_chars``
+    is counted anew.
+    """
     apply_settings(spark)
     names = docs.columns
     cleaned = line_windows.remove_repeated(docs)
@@ -38,19 +46,26 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest id."""
+    """One document of each class of near duplicates, the one with the smallest id (null is the largest).
+
+    Texts without a word, null ones included, are one class; of repeated rows one stays.
+    """
     apply_settings(spark)
     return prob_minhash.keep_one(docs)
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them, zero to three times.
+
+    A null source is a source of its own, the last in order; a null or empty text has size 0. Equal rows share their copies.
+    """
     apply_settings(spark)
     return mixing.take(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document."""
+    """The pieces of every document, in place of its text: none for a null or empty text, all of a very long one. Rows are coded one by
+    one, repeated ones alike."""
     apply_settings(spark)
     return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
 
