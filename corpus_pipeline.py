@@ -32,8 +32,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of later window occurrences; one that loses all its lines goes.
 
-    A null or empty text has no window and stays. Of equal rows the first keeps its lines; a null id counts as the operator says. ``n_chars``
-    is counted anew.
+    A null or empty text has no window and stays; repeated rows, null ids and very long texts are as in ``line_windows.remove_repeated``.
+    ``n_chars`` is counted anew.
     """
     apply_settings(spark)
     names = docs.columns
