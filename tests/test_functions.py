@@ -187,3 +187,30 @@ def test_aggregates_by_name(spark):
         user_functions.Aggregate("f", {}, "int", {"s": ("int", "first")}, dict, len)
     with pytest.raises(Exception, match="takes 1 argument"):
         spark.sql("SELECT tw_spread(x, x) FROM tw_spread_rows GROUP BY k").collect()
+
+
+def test_aggregate_over_many_groups_takes_few_steps(spark):
+    """Groups that lie all over the table: a step sees many rows of one group, and states of several steps still combine."""
+    steps = user_functions.Aggregate(
+        "tw_steps", {"x": "float64"}, "float64", {"n": ("bigint", "sum"), "steps": ("bigint", "sum")},
+        lambda rows: {"n": len(rows), "steps": 1}, lambda s: s["n"] * 1000.0 + s["steps"])
+    df = spark.range(0, 60_000, 1, 4).select((F.col("id") % 200).alias("k"), F.col("id").cast("double").alias("x"))
+    got = [r.tw_steps for r in steps.over(df.unionAll(df.where("k = 0").limit(20_000)), ["k"], "x").collect()]
+    assert sorted(int(g // 1000) for g in got) == [300] * 199 + [600]
+    assert sum(g % 1000 for g in got) < 300
+
+
+def test_numbering_of_small_and_large_groups(spark):
+    """Small groups are numbered in place, so that a join on the key needs no further shuffle of the rows; large ones by ranges."""
+    df = spark.range(3000).select(F.when(F.col("id") % 10 > 6, "hot").when(F.col("id") % 10 == 6, None).otherwise(
+        (F.col("id") % 7).cast("string")).alias("g"), F.xxhash64("id").alias("o"), "id")
+    want = {}
+    for r in sorted(df.collect(), key=lambda r: r.o):
+        want[r.id] = 1 + sum(1 for i, g in ((i, v[0]) for i, v in want.items()) if g == r.g), r.g
+        want[r.id] = (r.g, want[r.id][0])
+    for large in (50, 600, 10_000):
+        assert {r.id: (r.g, r.number) for r in sets.number_in_group(df, ["g"], ["o", "id"], large=large).collect()} == want
+    numbered = sets.number_in_group(df, ["g"], ["o", "id"])
+    joined = numbered.hint("merge").join(spark.range(9).select(F.col("id").cast("string").alias("g"), F.lit(1).alias("one")), "g", "left")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Exchange rangepartitioning" not in plan

@@ -82,18 +82,22 @@ class Aggregate:
         return F.call_function(self.name, *typed)
 
     def over(self, df: DataFrame, keys: Sequence[str], *columns: Column | str) -> DataFrame:
-        """keys and the result, in a column of the aggregate's name, in bounded memory: steps run on batches of rows inside tasks, and
-        their states combine by built-in functions, also before the shuffle, so no group is ever held whole."""
+        """keys and the result, in a column of the aggregate's name, in bounded memory: rows of a group come to lie together (a
+        group with most of the rows over several tasks), steps run on batches of them, and their states combine by built-in functions.
+        So there are about as many steps as groups and batches, and no group is ever held whole."""
         typed = [(F.col(c) if isinstance(c, str) else c).cast(spark_type(t)).alias(a) for c, (a, t) in zip(columns, self.arguments.items(), strict=True)]
         fields, returns = list(self.state), spark_type(self.returns)
 
         def steps(batch: pd.DataFrame) -> pd.DataFrame:
             groups = batch.groupby(list(keys), dropna=False, sort=False)
-            return pd.DataFrame([{**dict(zip(keys, k, strict=True)), **self.step(rows[list(self.arguments)])} for k, rows in groups])
+            # a batch may hold the group without a key alone, whose NaN would be no text
+            return pd.DataFrame([{**{c: None if pd.isna(v) else v for c, v in zip(keys, k, strict=True)}, **self.step(rows[list(self.arguments)])}
+                                 for k, rows in groups])
 
         kinds = ", ".join([f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys] + [f"`{f}` {t}" for f, (t, _) in self.state.items()])
         merge = {f: getattr(F, how)(f) for f, (_, how) in self.state.items()}
-        states = python_aggregate(df.select(*keys, *typed), keys, steps, kinds, merge, {f: F.col(f) for f in fields})
+        together = df.select(*keys, *typed).hint("rebalance", *[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+        states = python_aggregate(together, keys, steps, kinds, merge, {f: F.col(f) for f in fields})
 
         @F.pandas_udf(returns)
         def result(*parts: pd.Series) -> pd.Series:
