@@ -148,3 +148,24 @@ def test_items_are_numbered_within_their_orders(spark, tmp_path):
     for r in sorted(rows, key=lambda r: (r[0], r[3], r[1], r[2], r[10], r[5], r[7])):
         lines.setdefault(str(r[0]), []).append((len(lines.get(str(r[0]), [])) + 1, str(r[1]), r[5]))
     assert {o: sorted(v) for o, v in got.items()} == lines
+
+
+def test_csv_in_chunks_of_a_block(spark, tmp_path, monkeypatch):
+    """Chunks of four lines in blocks of several sizes give what Spark's reader gives; nothing is sorted or held by whole blocks."""
+    with open(tmp_path / "c.csv", "w", encoding="utf-8", newline="") as f:
+        f.write('a,b,"head\nof three\nlines"\n')
+        for i in range(400):
+            f.write(f'{i},"x ""{i}""' + "\n" * (i % 11) + f'",y{i}\n' + ("z" * (i % 7) + "\n") * (i % 3))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    want = sorted(map(str, read_csv(spark, str(tmp_path), SCHEMA).collect()))
+    monkeypatch.setattr("tradewind.sources.raw.CHUNK_BITS", 2)
+    try:
+        for size in ("700", "1m"):
+            spark.conf.set(key, size)
+            df = read_csv_in_blocks(spark, str(tmp_path), SCHEMA)
+            assert sorted(map(str, df.collect())) == want
+    finally:
+        spark.conf.set(key, before)
+    windows = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line and "swap" in line]
+    assert windows and all("chunk" in line for line in windows)

@@ -16,6 +16,9 @@ from tradewind.sources.tables import Warehouse
 
 PARALLEL_LOADS = 4
 
+# lines of a block that are looked at together: 2 ** CHUNK_BITS
+CHUNK_BITS = 13
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, *, delimiter: str = ",",
              multiline: bool = True) -> DataFrame:
@@ -50,21 +53,23 @@ def read_csv_in_blocks(spark: SparkSession, path: str, schema: StructType, *, de
     """The same, each file read in blocks by many tasks, line breaks in quotes included.
 
     Two patterns tell where a line leaves the parser, in or out of quotes, from either place: it keeps the place, swaps
-    it, or settles it. So the place before a line is the last settled one in its block and the swaps since, and a whole
-    block acts on the blocks after it like one line. Lines of longer records are put together by where the record
-    begins. A file that ends inside a quoted field is refused when it is read.
+    it, or settles it. So the place before a line is the last settled one in its chunk (some thousand lines of a block) and the
+    swaps since, and a whole chunk acts on the chunks after it like one line: no task sorts or holds whole blocks. Lines of
+    longer records are put together by where the record begins. A file that ends inside a quoted field is refused when it is read.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    lines = lines.withColumn("chunk", F.shiftright("at", CHUNK_BITS))  # ids go up within a block
+    chunk = ["file", "block", "chunk"]
     from_out, from_in = _ends(F.col("line"), delimiter)
     lines = lines.withColumns({"from_out": from_out, "from_in": from_in}).withColumns({
         "settled": F.when(F.col("from_out") == F.col("from_in"), F.col("from_out")),
         "swap": (F.col("from_out") & ~F.col("from_in")).cast("int")})
 
-    def track(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    def track(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
         """Adds the swaps up to each row, and what the last settled row up to it (``last``) or before it (``prior``) says."""
-        upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         df = df.withColumn("swaps", F.sum("swap").over(upto))
         known = F.when(F.col("settled").isNotNull(), F.struct("settled", "swaps"))
         return df.withColumns({"last": F.last(known, ignorenulls=True).over(upto),
@@ -74,33 +79,33 @@ def read_csv_in_blocks(spark: SparkSession, path: str, schema: StructType, *, de
         odd = (swaps - F.coalesce(F.col(f"{last}.swaps"), F.lit(0))) % 2 == 1
         return F.coalesce(F.col(f"{last}.settled"), otherwise) != odd
 
-    lines = track(lines, ["file", "block"], "at")
-    ends = lines.groupBy("file", "block").agg(F.max_by(F.struct("last", "swaps"), "at").alias("end"), F.min("at").alias("first"),
-                                               F.min_by(F.col("line").endswith("\r"), "at").alias("returns"))
-    # one row per block: it settles the place, or swaps it or not
-    ends = ends.select("file", "block", "first", "returns", F.when(F.col("end.last").isNotNull(), F.col("end.last.settled") != (
+    lines = track(lines, chunk, "at")
+    ends = lines.groupBy(*chunk).agg(F.max_by(F.struct("last", "swaps"), "at").alias("end"), F.min("at").alias("first"),
+                                     F.min_by(F.col("line").endswith("\r"), "at").alias("returns"))
+    # one row per chunk: it settles the place, or swaps it or not
+    ends = ends.select(*chunk, "first", "returns", F.when(F.col("end.last").isNotNull(), F.col("end.last.settled") != (
         (F.col("end.swaps") - F.col("end.last.swaps")) % 2 == 1)).alias("settled"), (F.col("end.swaps") % 2).alias("swap"))
-    ends = track(ends.withColumn("swap", F.when(F.col("settled").isNull(), F.col("swap")).otherwise(0)), ["file"], "block")
-    whole = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = track(ends.withColumn("swap", F.when(F.col("settled").isNull(), F.col("swap")).otherwise(0)), ["file"], "block", "chunk")
+    whole = Window.partitionBy("file").orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     outside = F.lit(False)
     blocks = ends.withColumn("open", F.last(place("last", F.col("swaps"), outside)).over(whole)).select(
-        F.col("file").alias("f"), F.col("block").alias("b"), "first",
+        F.col("file").alias("f"), F.col("block").alias("b"), F.col("chunk").alias("c"), F.first("first").over(whole).alias("first"),
         F.first("returns").over(whole).alias("returns"), place("prior", F.col("swaps") - F.col("swap"), outside).alias("begins_in"),
         F.when(F.col("open"), F.raise_error(F.concat(F.lit("the file ends inside a quoted field: "), "file"))).alias("refused"))
-    lines = lines.join(blocks, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).withColumn(
+    lines = lines.join(blocks, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")) & (F.col("chunk") == F.col("c"))).withColumn(
         "inside", F.coalesce(F.col("refused").cast("boolean"), place("prior", F.col("swaps") - F.col("swap"), F.col("begins_in"))))
     # the first line tells how the lines of a file end, as for Spark's own reader
     lines = lines.withColumn("line", F.when(F.col("returns"), F.regexp_replace("line", "\r$", "")).otherwise(F.col("line")))
     lines = lines.withColumn("head", (F.col("block") == 0) & (F.col("at") == F.col("first")))  # where the header begins
     lines = lines.withColumn("goes_on", F.when(F.col("inside"), F.col("from_in")).otherwise(F.col("from_out")))
-    # the line at which a record began: in this block, or else in the last earlier block that begins one
-    upto = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    # the line at which a record began: in this chunk, or else in the last earlier chunk that begins one
+    upto = Window.partitionBy(*chunk).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     lines = lines.withColumn("own", F.last(F.when(~F.col("inside"), F.col("at")), ignorenulls=True).over(upto))
-    starts = lines.groupBy("file", "block").agg(F.max("own").alias("own"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = starts.select(F.col("file").alias("f2"), F.col("block").alias("b2"), F.last("own", ignorenulls=True).over(before).alias("earlier"))
+    starts = lines.groupBy(*chunk).agg(F.max("own").alias("own"))
+    before = Window.partitionBy("file").orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = starts.select(F.col("file").alias("f2"), F.col("block").alias("b2"), F.col("chunk").alias("c2"), F.last("own", ignorenulls=True).over(before).alias("earlier"))
     single = lines.where("NOT inside AND NOT goes_on").select("head", F.col("line").alias("record"))
-    longer = lines.where("inside OR goes_on").join(earlier, (F.col("file") == F.col("f2")) & (F.col("block") == F.col("b2")))
+    longer = lines.where("inside OR goes_on").join(earlier, (F.col("file") == F.col("f2")) & (F.col("block") == F.col("b2")) & (F.col("chunk") == F.col("c2")))
     parts = F.array_sort(F.collect_list(F.struct("block", "at", "line", "head")))
     longer = longer.groupBy("file", F.coalesce("own", "earlier").alias("start")).agg(parts.alias("parts")).select(
         F.col("parts")[0]["head"].alias("head"), F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("record"))
