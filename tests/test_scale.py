@@ -219,3 +219,40 @@ def test_working_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.working_folder(Cluster())
+
+
+def test_replaced_partitions_are_not_read_again(spark, tmp_path, monkeypatch):
+    """January is replaced row by row, February in part; only the old rows of February meet the new ones."""
+    wh, how = Warehouse(spark, str(tmp_path), {"gold": "scale_gone"}), Incremental("merge", ("id",), TimePartition("at", "month"))
+    rows = spark.range(60).select("id", F.timestamp_add("DAY", F.col("id").cast("int"), F.lit(datetime(2024, 1, 1))).alias("at"), F.lit("old").alias("v"))
+    whole, seen = merge.merge_rows, []
+    monkeypatch.setattr(merge, "merge_rows", lambda old, *a, **k: seen.append(old.count()) or whole(old, *a, **k))
+    for kind in (True, False):
+        wh.write_table("gold.t", rows, how.partition)
+        inc.apply(wh, "gold.t", rows.where("id < 40").withColumn("v", F.lit("new")), Incremental("merge", ("id",), how.partition, stage=kind))
+        assert {r.id: r.v for r in wh.read("gold.t").collect()} == {i: "new" if i < 40 else "old" for i in range(60)}
+    assert seen == [29, 29]
+    # columns that keep their value are read from the old rows
+    inc.apply(wh, "gold.t", rows.where("id < 40").select("id", "at", F.lit("third").alias("v")), Incremental("merge", ("id",), how.partition, update=("v",)))
+    assert seen[-1] == 60 and wh.read("gold.t").where("v = 'third'").count() == 40
+
+
+@pytest.mark.parametrize("name", ["stored_fct_orders", "stored_fct_order_items"])
+def test_facts_of_two_runs_are_joined_once(spark, monkeypatch, name):
+    files, build = [], inc.build
+    monkeypatch.setattr(inc, "build", lambda wh, t, rows, how: build(wh, t, lambda change: files.append(rows(change).inputFiles()) or rows(change), how))
+    assert entry.queries()[name](spark, SMALL).count() > 0
+    assert len(files) == 2 and not [f for run in files for f in run if "lineitem" in f or "orders.parquet" in f]
+
+
+def test_pairs_of_seller_and_product_meet_after_the_shuffle(spark):
+    items = spark.read.schema("seller_id string, product_id string").parquet(f"{SMALL}/lineitem.parquet")
+    text = plan(sellers.assortment(items, spark.createDataFrame([("p", "c")], "product_id string, product_category_name_english string")))
+    below = text.split("== Physical Plan ==")[1].split("REPARTITION_BY_COL")[1].split("FileScan")[0]
+    assert "Aggregate" not in below
+
+
+def test_tasks_read_small_parts_of_a_shuffle(spark, settings):
+    settings(adaptive__advisoryPartitionSizeInBytes="64m")
+    entry.queries()["declared_layers"](spark, SMALL)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
