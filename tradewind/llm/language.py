@@ -22,7 +22,8 @@ BUCKETS = 1 << 15
 NOTHING = "und"
 # other than letters become blanks; bytes of longer characters stay
 _PLAIN = bytes(b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in range(256))
-_CHUNK = 1_000_000
+# characters at a time; each takes about 100 bytes while it is scored
+_CHUNK = 200_000
 
 
 def _buckets(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:

@@ -35,6 +35,7 @@ CACHED_WORDS = 100_000
 _DEPTH = 32  # bytes by which suffixes are sorted; no piece but runs of spaces is longer
 _TABLE_BITS = 22
 _CHUNK = 2_500_000  # bytes of text at a time
+_DECODED = 100_000  # ids at a time, or one longer text's
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -128,7 +129,7 @@ class Pieces:
                                     np.array([len(raw) for raw, _ in group], np.int64)))
         self.single = np.zeros(self.size, bool)
         self.single[[i for p, i in self.ids.items() if len(p) == 1]] = True
-        self.table_keys = np.full(1 << _TABLE_BITS, -1, np.int64)
+        self.table_keys = np.full(1 << _TABLE_BITS, -1, np.int32 if (self.size + 1) ** 2 < 1 << 31 else np.int64)
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.most, self.known = most, {}
         raw = [bytes([int(p[3:-1], 16)]) if self.is_byte[i] else b"" if i in special else p.replace(SPACE, " ").encode() for i, p in enumerate(text)]
@@ -315,6 +316,15 @@ class Pieces:
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """The texts of some id lists, one after the other in ``ids``."""
+        ends, texts, a = np.cumsum(counts), [], 0
+        while a < len(counts):  # every byte takes several numbers, so some lists at a time
+            start = int(ends[a] - counts[a])
+            b = max(a + 1, int(np.searchsorted(ends, start + _DECODED, "right")))
+            texts += self._decode(ids[start:ends[b - 1]], counts[a:b])
+            a = b
+        return texts
+
+    def _decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         sizes = self.raw_sizes[ids]
         raw = self.raw[ranges((np.cumsum(self.raw_sizes) - self.raw_sizes)[ids], sizes)].tobytes()
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])].tolist()

@@ -34,6 +34,7 @@ from tradewind.llm.words import words
 CELLS = 448
 # A block of a bucket holds about this many words, and this many texts at most.
 BLOCK_WORDS, BLOCK_TEXTS = 1_000_000, 2_000
+_CHUNK = 1_000_000  # bytes of text at a time
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD,
                          0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
@@ -125,10 +126,9 @@ def node(text: Column) -> Column:
 
 def _counts(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per text: its shingles per cell, all its shingles, and whether none occurs twice."""
-    sizes = np.array([len(h) for h, _ in sets], np.int64)
-    cell = np.repeat(np.arange(len(sets)) * CELLS, sizes)
-    cell = cell + (np.concatenate([h for h, _ in sets]) % np.uint64(CELLS)).astype(np.int64)
-    cells = np.bincount(cell, np.concatenate([c for _, c in sets]), len(sets) * CELLS).astype(np.int32).reshape(len(sets), CELLS)
+    cells = np.empty((len(sets), CELLS), np.int32)
+    for row, (h, c) in zip(cells, sets, strict=True):
+        row[:] = np.bincount((h % np.uint64(CELLS)).astype(np.int64), c, CELLS)
     return cells, cells.sum(1), np.array([int(c.max(initial=1)) == 1 for _, c in sets], bool)
 
 
@@ -149,7 +149,7 @@ def _banded(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(3)
-            for a, b in by_size(texts, 4_000_000):
+            for a, b in by_size(texts, _CHUNK):
                 sets = shingles(texts.slice(a, b - a), size)
                 parts = signatures(sets, bands * rows).reshape(len(sets), bands, rows)
                 hashed = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(sets), bands)).copy()
@@ -170,7 +170,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> Data
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, other = batch.column(2), batch.column(3)
-            for a, b in by_size(other, 4_000_000):
+            for a, b in by_size(other, _CHUNK):
                 coded = one.slice(a, b - a).dictionary_encode()  # a text with many partners is read once
                 left, right = shingles(coded.dictionary, size), shingles(other.slice(a, b - a), size)
                 near = [similarity(left[i], r) >= least for i, r in zip(coded.indices.to_pylist(), right, strict=True)]
@@ -185,13 +185,18 @@ def _linked(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> Data
 def links(h: int, blocks: np.ndarray, labels: np.ndarray, bands: np.ndarray, texts: list[str], least: float, size: int) -> list[tuple[int, int]]:
     """Pairs of members of bucket ``h`` that are similar enough, of one block or, where there are two, one of each. Members of one class
     are not compared, nor pairs that share an earlier band, nor members whose classes a link found here has joined."""
-    sets = shingles(pa.array(texts, pa.string()), size)
+    return _links_of(h, blocks, labels, bands, shingles(pa.array(texts, pa.string()), size), least)
+
+
+def _links_of(h: int, blocks: np.ndarray, labels: np.ndarray, bands: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]],
+              least: float) -> list[tuple[int, int]]:
+    """``links`` of texts whose shingles are ``sets``."""
     cells, totals, once = _counts(sets)
     labels, found = labels.copy(), []
     here = int(np.flatnonzero(bands[0] == h)[0])
     two = len(np.unique(blocks)) > 1
-    for i in range(len(texts) - 1):
-        others = np.arange(i + 1, len(texts))
+    for i in range(len(sets) - 1):
+        others = np.arange(i + 1, len(sets))
         others = others[(labels[others] != labels[i]) & (not two or blocks[others] != blocks[i])]
         if here:
             others = others[~(bands[others, :here] == bands[i, :here]).any(1)]
@@ -205,23 +210,28 @@ def links(h: int, blocks: np.ndarray, labels: np.ndarray, bands: np.ndarray, tex
 
 
 def _links_within(rows: DataFrame, least: float, size: int) -> DataFrame:
-    """a, b of all links inside the groups (h, lo, hi) of ``rows`` (h, lo, hi, block, u, l, bands, t)."""
+    """a, b of all links inside the groups (h, lo, hi) of ``rows`` (h, lo, hi, block, u, l, bands, t). Of a group a task holds the
+    shingles, not the texts."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def close() -> pa.RecordBatch:
-            key, block, u, l, bands, texts = zip(*held, strict=True)
+            key, block, u, l, bands, sets = zip(*held, strict=True)
             _, label = np.unique(np.array(l, dtype=object), return_inverse=True)
-            pairs = links(key[0][0], np.array(block), label, np.array(bands), list(texts), least, size)
+            pairs = _links_of(key[0][0], np.array(block), label, np.array(bands), list(sets), least)
             return pa.RecordBatch.from_arrays([pa.array([u[i] for i, _ in pairs], pa.binary()), pa.array([u[j] for _, j in pairs], pa.binary())], ["a", "b"])
 
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for key, *row in zip(zip(*columns[:3], strict=True), *columns[3:], strict=True):
-                if held and held[-1][0] != key:
-                    yield close()
-                    held = []
-                held.append((key, *row))
+            for a, b in by_size(batch.column(7), _CHUNK):
+                *columns, bands, texts = batch.slice(a, b - a).columns
+                columns = [c.to_pylist() for c in columns]
+                own = np.array(bands.to_pylist(), np.int64)
+                sets = [(h, c.astype(np.int32)) for h, c in shingles(texts, size)]
+                for key, *row in zip(zip(*columns[:3], strict=True), *columns[3:], own, sets, strict=True):
+                    if held and held[-1][0] != key:
+                        yield close()
+                        held = []
+                    held.append((key, *row))
         if held:
             yield close()
 
