@@ -256,3 +256,66 @@ def test_tasks_read_small_parts_of_a_shuffle(spark, settings):
     settings(adaptive__advisoryPartitionSizeInBytes="64m")
     entry.queries()["declared_layers"](spark, SMALL)
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def kept_shuffles(spark, before, seconds=10):
+    """Shuffle files that are new and stay: executors delete those of an ended job a moment later."""
+    import time
+
+    until = time.time() + seconds
+    while (new := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    return new
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    from tradewind.session import FREE_SHUFFLES, fixed, staged
+
+    wh, rows = Warehouse(spark, str(tmp_path), {"gold": "scale_free"}), spark.range(3000).selectExpr("id", "id % 7 AS k", "'x' AS v")
+    total = rows.groupBy("k").agg(F.count("*").alias("n"))
+    before, was = shuffle_files(spark), spark.conf.get(FREE_SHUFFLES)
+    wh.write_table("gold.t", total)
+    wh.append("gold.t", total)
+    wh.write_table("gold.by", rows, None, ("k",))
+    inc.apply(wh, "gold.by", rows.where("k = 3").withColumn("v", F.lit("new")), Incremental("merge", ("id",)))
+    with staged(total), staged(total):
+        kept = fixed(total)
+    assert not kept_shuffles(spark, before)
+    assert spark.conf.get(FREE_SHUFFLES) == was and kept.count() == 7 and wh.read("gold.t").count() == 14
+    assert wh.read("gold.by").where("v = 'new'").count() == 429 and wh.read("gold.by").count() == 3000
+
+
+def test_item_fact_leaves_only_its_table(spark):
+    """The joined fact and the shuffles of both runs are gone when the query returns; the merge of whole partitions joins nothing."""
+    import os
+
+    from tradewind.session import working_folder
+
+    here = lambda kind: {f for f in os.listdir(f"{working_folder(spark)}/{kind}")} if os.path.isdir(f"{working_folder(spark)}/{kind}") else set()
+    fixed, staged, before = here("fixed"), here("staged"), shuffle_files(spark)
+    df = entry.queries()["stored_fct_order_items"](spark, SMALL)
+    left = [spark.read.parquet(f"{working_folder(spark)}/fixed/{f}").columns for f in here("fixed") - fixed]
+    assert left in ([], [["_many_order_id"]]) and here("staged") == staged  # keys of large groups may stay
+    assert not kept_shuffles(spark, before)
+    assert df.count() == spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+
+
+def test_whole_partitions_and_new_ones_meet_no_old_rows(spark, tmp_path):
+    wh, how = Warehouse(spark, str(tmp_path), {"gold": "scale_whole"}), Incremental("merge", ("id",), TimePartition("at", "month"))
+    rows = spark.range(90).select("id", F.timestamp_add("DAY", F.col("id").cast("int"), F.lit(datetime(2024, 1, 1))).alias("at"), F.lit("old").alias("v"))
+    wh.write_table("gold.t", rows.where("id < 60"), how.partition)
+    seen, replace = [], wh.replace_partitions
+    wh.replace_partitions = lambda table, new, *rest: seen.append(new._jdf.queryExecution().optimizedPlan().toString()) or replace(table, new, *rest)
+    inc.apply(wh, "gold.t", rows.withColumn("v", F.lit("new")), how)
+    assert "Join" not in seen[0]
+    assert {r.id: r.v for r in wh.read("gold.t").collect()} == {i: "new" for i in range(90)}
+
+
+def test_item_total_does_not_travel(spark):
+    text = plan(Bound(spark, SMALL).fct_order_items()).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert "item_total" not in text[text.index("Join"):]
