@@ -169,3 +169,60 @@ def test_csv_in_chunks_of_a_block(spark, tmp_path, monkeypatch):
         spark.conf.set(key, before)
     windows = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line and "swap" in line]
     assert windows and all("chunk" in line for line in windows)
+
+
+def shuffled_bytes(spark):
+    """Bytes of each shuffle file there is."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName(): f.length() for f in map(files.apply, range(files.size())) if f.getName().startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("quote", ['"', ""])
+def test_csv_in_blocks_shuffles_no_lines(spark, tmp_path, quote):
+    """Lines are cut into records where they are read, also where no line of a block has a quote; only parts of records that lie in two
+    blocks are shuffled, and a few rows about chunks."""
+    import random
+
+    rng, path = random.Random(5), tmp_path / "r.csv"
+    with open(path, "w") as f:
+        f.write("a,b,c\n")
+        for i in range(20_000):
+            f.write(f'{quote}{i}{quote},{quote}{rng.randbytes(40).hex()}{quote},"{"x" + chr(10) * (i % 1000 == 7)}"\n')
+    key = "spark.sql.files.maxPartitionBytes"
+    size, value, before = path.stat().st_size, spark.conf.get(key), shuffled_bytes(spark)
+    spark.conf.set(key, str(size // 6))
+    try:
+        read_csv_in_blocks(spark, str(path), SCHEMA).write.format("noop").mode("overwrite").save()
+        shuffled = sum(n for name, n in shuffled_bytes(spark).items() if name not in before)
+        assert shuffled < size / 20
+        assert read_csv_in_blocks(spark, str(path), SCHEMA).distinct().count() == 20_000
+    finally:
+        spark.conf.set(key, value)
+
+
+def test_csv_in_blocks_keeps_bytes_that_are_no_text(spark, tmp_path):
+    (tmp_path / "b.csv").write_bytes(b'a,b,c\r\n1,"\xff\r\n\xfe",x\r\n2,\xff,\r\n')
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    want = sorted(map(str, read_csv(spark, str(tmp_path), SCHEMA).collect()))
+    try:
+        for size in ("8", "1m"):
+            spark.conf.set(key, size)
+            assert sorted(map(str, read_csv_in_blocks(spark, str(tmp_path), SCHEMA).collect())) == want
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_bronze_load_keeps_small_files(spark):
+    """The files that are loaded are written compressed."""
+    import os
+
+    import __spark_entry__ as entry
+    from tradewind.session import working_folder
+
+    top = f"{working_folder(spark)}/files"
+    before = set(os.listdir(top)) if os.path.isdir(top) else set()
+    assert entry.queries()["bronze_load"](spark, "/root/testdata/sf0.001").count() == 9
+    folder, = set(os.listdir(top)) - before
+    names = [f for _, _, files in os.walk(f"{top}/{folder}") for f in files if f.startswith("part-")]
+    assert len(names) >= 9 and all(f.endswith(".csv.gz") for f in names)

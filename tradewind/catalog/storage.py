@@ -21,6 +21,7 @@ from tradewind.plans.daily import STAGING
 from tradewind.plans.models import Context, Model, build_all
 from tradewind.plans.params import Run
 from tradewind.plans.staging import clean
+from tradewind.session import shuffles_freed
 from tradewind.sources.bindings import BINDINGS, table
 from tradewind.sources.raw import load_bronze, load_seed, read_csv, read_csv_in_blocks
 from tradewind.sources.schemas import COLUMNS
@@ -34,9 +35,10 @@ def _folder(spark) -> str:
     return own_folder(spark, "files")
 
 
-def _write_csv(df, path: str) -> str:
-    df.write.csv(path, header=True, quote='"', escape='"', quoteAll=True, emptyValue="",
-                 timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
+def _write_csv(df, path: str, **options) -> str:
+    with shuffles_freed(df.sparkSession):
+        df.write.options(**options).csv(path, header=True, quote='"', escape='"', quoteAll=True, emptyValue="",
+                                        timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
     return path
 
 
@@ -58,7 +60,8 @@ def bronze_load(spark, d):
     """All nine sources as CSV files, loaded, counted and cleaned; their rows per table."""
     folder, wh = _folder(spark), warehouse(spark)
     for t in COLUMNS:
-        _write_csv(BINDINGS[t](spark, d), f"{folder}/{t}.csv")
+        # quoted text is several times as large as its table; one task reads a compressed file, so that none may be large
+        _write_csv(BINDINGS[t](spark, d), f"{folder}/{t}.csv", compression="gzip", maxRecordsPerFile=500_000)
     load_bronze(wh, folder)
     return quality.row_counts({f"silver.{t}": clean(t, wh.read(f"bronze.{t}")) for t in COLUMNS})
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -16,7 +19,7 @@ from tradewind.sources.tables import Warehouse
 
 PARALLEL_LOADS = 4
 
-# lines of a block that are looked at together: 2 ** CHUNK_BITS
+# lines of a block that are summed up together: 2 ** CHUNK_BITS
 CHUNK_BITS = 13
 
 
@@ -49,23 +52,135 @@ def _ends(line: Column, delimiter: str) -> tuple[Column, Column]:
     return line.rlike(f"(?s)^{open_end}"), line.rlike(f'(?s)^{body}(?:$|"{rest}{d}{open_end})')
 
 
+def _runs(batch: pa.RecordBatch, *names: str) -> Iterator[tuple[int, int]]:
+    """Begins and ends of the stretches of rows that are equal in the named columns."""
+    n = batch.num_rows
+    cut = np.zeros(max(n - 1, 0), bool)
+    for c in (batch.column(name) for name in names):
+        cut |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+    begins = [0, *(np.flatnonzero(cut) + 1).tolist()] if n else []
+    return zip(begins, [*begins[1:], n])
+
+
+def _flags(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("from_out", "from_in"))
+
+
+def _places(from_out: np.ndarray, from_in: np.ndarray, inside: bool) -> np.ndarray:
+    """Whether each of some lines, and what comes behind the last, begins inside a quoted field, as the first does if ``inside``."""
+    odd = np.logical_xor.accumulate(from_out & ~from_in)
+    last = np.maximum.accumulate(np.where(from_out == from_in, np.arange(len(odd)), -1))
+    at = np.maximum(last, 0)
+    return np.concatenate(([inside], np.where(last >= 0, from_out[at] ^ odd[at], inside) ^ odd))
+
+
+CHUNK_ENDS = ("file string, block bigint, chunk bigint, first boolean, returns boolean, ends_out boolean, ends_in boolean, "
+              "starts_in boolean")
+
+
+def _chunk_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per chunk: where it ends if it begins outside (``ends_out``) or inside a quoted field, and if a line of it
+    begins outside in the latter case (``starts_in``). Lines come in the order of their block."""
+    kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.bool_()] * 5]
+    names = [c.split()[0] for c in CHUNK_ENDS.split(", ")]
+    chunk: list = []
+
+    def rows(done: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], kind) for i, kind in enumerate(kinds)], names)
+
+    for batch in batches:
+        done, (from_out, from_in) = [], _flags(batch)
+        for lo, hi in _runs(batch, "file", "block", "chunk"):
+            key = [batch.column(c)[lo].as_py() for c in ("file", "block", "chunk")]
+            if key != chunk[:3]:
+                if chunk:
+                    done.append(chunk)
+                chunk = [*key, key[:2] != chunk[:2], batch.column("returns")[lo].as_py(), False, True, False]
+            out, within = (_places(from_out[lo:hi], from_in[lo:hi], begins) for begins in chunk[5:7])
+            chunk[5:] = bool(out[-1]), bool(within[-1]), chunk[7] or not within[:-1].all()
+        if done:
+            yield rows(done)
+    if chunk:
+        yield rows([chunk])
+
+
+RECORDS = "file string, start bigint, block bigint, head boolean, record string"
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records that lie in one block, without the headers of files, and the parts in this block of records that do not, with the block where
+    such a record begins (``start``). The first row of all lists the blocks that begin inside a quoted field, or in a
+    file whose lines end in a carriage return."""
+    known = key = start = None
+    inside = returns = head = at_head = False
+    lines: list[bytes] = []
+    names = [c.split()[0] for c in RECORDS.split(", ")]
+
+    def part() -> tuple:
+        return key[0], key[1] if start is None else start, key[1], head, b"\n".join(lines)
+
+    def rows(parts: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+        columns = [pa.array([p[i] for p in parts], kind) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays([*columns[:4], columns[4].view(pa.string())], names)
+
+    for batch in batches:
+        if known is None and batch.num_rows:
+            known = {(k["file"], k["block"]): k for k in batch.column("known")[0].as_py() or ()}
+        whole, long, parts, (from_out, from_in) = [], [], [], _flags(batch)
+        for lo, hi in _runs(batch, "file", "block"):
+            if (now := tuple(batch.column(c)[lo].as_py() for c in ("file", "block"))) != key:
+                if lines:
+                    parts.append(part())
+                key, here = now, known.get(now, {})
+                inside, returns, start = here.get("begins_in", False), here.get("returns", False), here.get("start")
+                lines, head, at_head = [], False, now[1] == 0
+            # as bytes, which need not be valid text
+            text = batch.column("line").slice(lo, hi - lo).view(pa.binary())
+            if returns:
+                text = pc.replace_substring_regex(text, "\r{1,2}\\z", "")
+            place = _places(from_out[lo:hi], from_in[lo:hi], inside)
+            begins_in, ends_in, inside = place[:-1], place[1:], bool(place[-1])
+            single = ~(begins_in | ends_in)
+            for i in np.flatnonzero(~single).tolist():
+                if not begins_in[i]:
+                    lines, start, head = [], None, at_head and i == 0
+                lines.append(text[i].as_py())
+                if not ends_in[i]:
+                    if start is not None:
+                        parts.append(part())
+                    elif not head:
+                        long.append(b"\n".join(lines))
+                    lines = []
+            single[0] &= not at_head
+            whole.append(text.filter(pa.array(single)))
+            at_head = False
+        found = pa.concat_arrays([*whole, pa.array(long, pa.binary())]).view(pa.string())
+        if len(found):
+            missing = [pa.nulls(len(found), kind) for kind in (pa.string(), pa.int64(), pa.int64(), pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*missing, found], names)
+        if parts:
+            yield rows(parts)
+    if lines:
+        yield rows([part()])
+
+
 def read_csv_in_blocks(spark: SparkSession, path: str, schema: StructType, *, delimiter: str = ",") -> DataFrame:
     """The same, each file read in blocks by many tasks, line breaks in quotes included.
 
     Two patterns tell where a line leaves the parser, in or out of quotes, from either place: it keeps the place, swaps
-    it, or settles it. So the place before a line is the last settled one in its chunk (some thousand lines of a block) and the
-    swaps since, and a whole chunk acts on the chunks after it like one line: no task sorts or holds whole blocks. Lines of
-    longer records are put together by where the record begins. A file that ends inside a quoted field is refused when it is read.
+    it, or settles it. A first scan makes one row per chunk (some thousand lines of a block), which acts on the chunks after it like one
+    line, and so finds the blocks that begin inside a quoted field. A second one knows them and cuts each block into records where it
+    is read: no line is shuffled or sorted but those of records that lie in several blocks, which are put together by where the record
+    begins. A file that ends inside a quoted field is refused when it is read.
     """
-    lines = spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
-    lines = lines.withColumn("chunk", F.shiftright("at", CHUNK_BITS))  # ids go up within a block
-    chunk = ["file", "block", "chunk"]
-    from_out, from_in = _ends(F.col("line"), delimiter)
-    lines = lines.withColumns({"from_out": from_out, "from_in": from_in}).withColumns({
-        "settled": F.when(F.col("from_out") == F.col("from_in"), F.col("from_out")),
-        "swap": (F.col("from_out") & ~F.col("from_in")).cast("int")})
+    def read(*conditions: Column) -> DataFrame:
+        text = reduce(DataFrame.where, conditions, spark.read.option("lineSep", "\n").text(path))
+        from_out, from_in = _ends(F.col("line"), delimiter)
+        return text.select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"),
+        ).withColumns({"from_out": from_out, "from_in": from_in})
 
     def track(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
         """Adds the swaps up to each row, and what the last settled row up to it (``last``) or before it (``prior``) says."""
@@ -79,40 +194,40 @@ def read_csv_in_blocks(spark: SparkSession, path: str, schema: StructType, *, de
         odd = (swaps - F.coalesce(F.col(f"{last}.swaps"), F.lit(0))) % 2 == 1
         return F.coalesce(F.col(f"{last}.settled"), otherwise) != odd
 
-    lines = track(lines, chunk, "at")
-    ends = lines.groupBy(*chunk).agg(F.max_by(F.struct("last", "swaps"), "at").alias("end"), F.min("at").alias("first"),
-                                     F.min_by(F.col("line").endswith("\r"), "at").alias("returns"))
-    # one row per chunk: it settles the place, or swaps it or not
-    ends = ends.select(*chunk, "first", "returns", F.when(F.col("end.last").isNotNull(), F.col("end.last.settled") != (
-        (F.col("end.swaps") - F.col("end.last.swaps")) % 2 == 1)).alias("settled"), (F.col("end.swaps") % 2).alias("swap"))
-    ends = track(ends.withColumn("swap", F.when(F.col("settled").isNull(), F.col("swap")).otherwise(0)), ["file"], "block", "chunk")
-    whole = Window.partitionBy("file").orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # one row per chunk: it settles the place, or swaps it or not; ids of lines go up within a block
+    chunks = read().select("file", "block", F.shiftright("at", CHUNK_BITS).alias("chunk"), "from_out", "from_in",
+                           F.col("line").endswith("\r").alias("returns")).mapInArrow(_chunk_ends, CHUNK_ENDS)
+    chunks = track(chunks.withColumns({"settled": F.when(F.col("ends_out") == F.col("ends_in"), F.col("ends_out")),
+                                       "swap": (F.col("ends_out") & ~F.col("ends_in")).cast("int")}), ["file"], "block", "chunk")
+    in_file = Window.partitionBy("file").orderBy("block", "chunk")
+    whole = in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     outside = F.lit(False)
-    blocks = ends.withColumn("open", F.last(place("last", F.col("swaps"), outside)).over(whole)).select(
-        F.col("file").alias("f"), F.col("block").alias("b"), F.col("chunk").alias("c"), F.first("first").over(whole).alias("first"),
-        F.first("returns").over(whole).alias("returns"), place("prior", F.col("swaps") - F.col("swap"), outside).alias("begins_in"),
-        F.when(F.col("open"), F.raise_error(F.concat(F.lit("the file ends inside a quoted field: "), "file"))).alias("refused"))
-    lines = lines.join(blocks, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")) & (F.col("chunk") == F.col("c"))).withColumn(
-        "inside", F.coalesce(F.col("refused").cast("boolean"), place("prior", F.col("swaps") - F.col("swap"), F.col("begins_in"))))
-    # the first line tells how the lines of a file end, as for Spark's own reader
-    lines = lines.withColumn("line", F.when(F.col("returns"), F.regexp_replace("line", "\r$", "")).otherwise(F.col("line")))
-    lines = lines.withColumn("head", (F.col("block") == 0) & (F.col("at") == F.col("first")))  # where the header begins
-    lines = lines.withColumn("goes_on", F.when(F.col("inside"), F.col("from_in")).otherwise(F.col("from_out")))
-    # the line at which a record began: in this chunk, or else in the last earlier chunk that begins one
-    upto = Window.partitionBy(*chunk).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    lines = lines.withColumn("own", F.last(F.when(~F.col("inside"), F.col("at")), ignorenulls=True).over(upto))
-    starts = lines.groupBy(*chunk).agg(F.max("own").alias("own"))
-    before = Window.partitionBy("file").orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = starts.select(F.col("file").alias("f2"), F.col("block").alias("b2"), F.col("chunk").alias("c2"), F.last("own", ignorenulls=True).over(before).alias("earlier"))
-    single = lines.where("NOT inside AND NOT goes_on").select("head", F.col("line").alias("record"))
-    longer = lines.where("inside OR goes_on").join(earlier, (F.col("file") == F.col("f2")) & (F.col("block") == F.col("b2")) & (F.col("chunk") == F.col("c2")))
-    parts = F.array_sort(F.collect_list(F.struct("block", "at", "line", "head")))
-    longer = longer.groupBy("file", F.coalesce("own", "earlier").alias("start")).agg(parts.alias("parts")).select(
-        F.col("parts")[0]["head"].alias("head"), F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("record"))
-    records = single.unionByName(longer).where("NOT head")
+    chunks = chunks.withColumn("begins_in", place("prior", F.col("swaps") - F.col("swap"), outside)).withColumns({
+        "open": F.last(place("last", F.col("swaps"), outside)).over(whole),
+        # the first line tells how the lines of a file end, as for Spark's own reader
+        "returns": F.first("returns").over(whole),
+        # the last earlier block in which a record begins
+        "start": F.last(F.when(~F.col("begins_in") | F.col("starts_in"), F.col("block")), ignorenulls=True).over(
+            in_file.rowsBetween(Window.unboundedPreceding, -1))})
+    refused = F.when(F.col("open"), F.raise_error(F.concat(F.lit("the file ends inside a quoted field: "), "file")))
+    blocks = chunks.where("first").where(F.coalesce(refused.cast("boolean"), F.col("begins_in") | F.col("returns")))
+    # at most an entry per block, of which Spark's driver has the list as well
+    known = blocks.agg(F.struct(
+        F.collect_list(F.struct("file", "block", "begins_in", "returns", "start")).alias("blocks"),
+        F.coalesce(F.bool_or("begins_in"), F.lit(False)).alias("crossed")).alias("known")).scalar()
+
+    def records(*conditions: Column) -> DataFrame:
+        first = F.col("at").bitwiseAND((1 << 33) - 1) == 0  # of the lines of a task
+        return read(*conditions).select("file", "block", "line", "from_out", "from_in", F.when(first, known["blocks"]).alias("known")).mapInArrow(
+            _records, RECORDS)
+
+    single = records().where("start IS NULL").select("record")
+    longer = records(known["crossed"]).where("start IS NOT NULL").groupBy("file", "start").agg(
+        F.array_sort(F.collect_list(F.struct("block", "record", "head"))).alias("parts")).where(~F.col("parts")[0]["head"]).select(
+        F.array_join(F.transform("parts", lambda p: p["record"]), "\n").alias("record"))
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
-    return records.where("record <> ''").select(F.from_csv("record", columns, options).alias("r")).select("r.*")
+    return single.unionByName(longer).where("record <> ''").select(F.from_csv("record", columns, options).alias("r")).select("r.*")
 
 
 def raw_table(spark: SparkSession, folder: str, table: str, files: Mapping[str, str] | None = None,
